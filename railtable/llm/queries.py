@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from railtable.llm import chat, exactdedup, sharding
+from railtable.llm import chat, exactdedup, neardup, sharding
 from railtable.llm.common import table
 
 
@@ -17,6 +17,10 @@ def op1_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digest(chat.format_chats(chat.from_rows(turns)))
 
 
+def op2_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neardup.near_groups(table(spark, sf_dir, "documents"))
+
+
 def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign_shards(table(spark, sf_dir, "documents"), shards=24)
 
@@ -27,6 +31,7 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_formatting": op1_chat_formatting,
+    "op2_minhash_near_dedup": op2_minhash_near_dedup,
     "op8_sharding": op8_sharding,
     "op10_exact_dedup": op10_exact_dedup,
 }
