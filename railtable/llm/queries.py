@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from railtable.llm import chat, exactdedup, neardup, sharding
+from railtable.llm import chat, decontam, exactdedup, neardup, sharding
 from railtable.llm.common import table
 
 
@@ -21,6 +21,10 @@ def op2_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_groups(table(spark, sf_dir, "documents"))
 
 
+def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign_shards(table(spark, sf_dir, "documents"), shards=24)
 
@@ -32,7 +36,8 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_formatting": op1_chat_formatting,
     "op2_minhash_near_dedup": op2_minhash_near_dedup,
+    "op4_benchmark_decontamination": op4_benchmark_decontamination,
     "op8_sharding": op8_sharding,
     "op10_exact_dedup": op10_exact_dedup,
 }
-ORACLES: dict[str, str] = {"op1_chat_formatting": chat.SQL, "op8_sharding": sharding.SQL, "op10_exact_dedup": exactdedup.SQL}
+ORACLES: dict[str, str] = {"op1_chat_formatting": chat.SQL, "op4_benchmark_decontamination": decontam.SQL, "op8_sharding": sharding.SQL, "op10_exact_dedup": exactdedup.SQL}
