@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from railtable.llm import chat, decontam, exactdedup, neardup, sharding
+from railtable.llm import chat, decontam, exactdedup, langid, neardup, quality, sharding
 from railtable.llm.common import table
 
 
@@ -21,10 +21,20 @@ def op2_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_groups(table(spark, sf_dir, "documents"))
 
 
+def op3_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality.score(docs, quality.train(docs, table(spark, sf_dir, "labels")))
+
+
 def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return langid.predict(docs, langid.train(docs))
+
+
 def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign_shards(table(spark, sf_dir, "documents"), shards=24)
 
@@ -36,7 +46,9 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_chat_formatting": op1_chat_formatting,
     "op2_minhash_near_dedup": op2_minhash_near_dedup,
+    "op3_quality_classifier": op3_quality_classifier,
     "op4_benchmark_decontamination": op4_benchmark_decontamination,
+    "op7_language_id": op7_language_id,
     "op8_sharding": op8_sharding,
     "op10_exact_dedup": op10_exact_dedup,
 }
