@@ -88,7 +88,7 @@ def window_sets(windows: DataFrame, most: int = MOST_WINDOWS) -> list[WindowSet]
     """The benchmark as sets of at most about `most` windows each: one, unless it is larger."""
     n = windows.count()
     blocks = max(1, -(-n // most))
-    return [WindowSet((windows if blocks == 1 else windows.where(F.pmod("hash", F.lit(blocks)) == b)).toPandas()) for b in range(blocks)]
+    return [WindowSet((windows if blocks == 1 else windows.where(F.pmod("hash", F.lit(blocks)) == b)).toArrow().to_pandas()) for b in range(blocks)]
 
 
 def _scan(sets, at: int, act):

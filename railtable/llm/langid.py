@@ -162,7 +162,7 @@ def train(docs: DataFrame, vocabulary: str = VOCABULARY, id_col: str = "doc_id",
                 got += [(lang, k, n) for k, n in zip(*(x.tolist() for x in np.unique(np.asarray(sp.encode(text, num_threads=1), np.int64), return_counts=True)), strict=True)]
             yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in got], t) for k, t in ((0, pa.string()), (1, pa.int64()), (2, pa.int64()))], names=["lang", "piece", "n"])
 
-    counted = rows.join(F.broadcast(ids), "doc_id").select("lang", "text").mapInArrow(cut, "lang string, piece long, n long").groupBy("lang", "piece").agg(F.sum("n").alias("n")).toPandas()
+    counted = rows.join(F.broadcast(ids), "doc_id").select("lang", "text").mapInArrow(cut, "lang string, piece long, n long").groupBy("lang", "piece").agg(F.sum("n").alias("n")).toArrow().to_pandas()
     keys = sorted(vocab)
     place = {k: i for i, key in enumerate(keys) for k in vocab[key]}
     counts = np.zeros((len(keys), len(langs)))

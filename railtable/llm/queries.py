@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from railtable.llm import chat, decontam, exactdedup, langid, neardup, quality, sharding
+from railtable.llm import chat, decontam, exactdedup, langid, neardup, quality, sharding, suffixtree
 from railtable.llm.common import table
 
 
@@ -39,6 +39,10 @@ def op8_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.assign_shards(table(spark, sf_dir, "documents"), shards=24)
 
 
+def op9_suffix_tree_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixtree.score_texts(table(spark, sf_dir, "documents"))
+
+
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exactdedup.exact_groups(table(spark, sf_dir, "documents"))
 
@@ -50,6 +54,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_benchmark_decontamination": op4_benchmark_decontamination,
     "op7_language_id": op7_language_id,
     "op8_sharding": op8_sharding,
+    "op9_suffix_tree_scoring": op9_suffix_tree_scoring,
     "op10_exact_dedup": op10_exact_dedup,
 }
 ORACLES: dict[str, str] = {"op1_chat_formatting": chat.SQL, "op4_benchmark_decontamination": decontam.SQL, "op8_sharding": sharding.SQL, "op10_exact_dedup": exactdedup.SQL}
