@@ -15,9 +15,10 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """One row for each row of `docs`: doc_id, keep_id, group_size, kept, text_sha256.
 
     The 128-bit MD5 of the normalised text is the group's key. Spark's aggregation on (hash, text) compares
-    the bytes inside each group and combines copies before the shuffle, so a group of any size leaves each
-    map task as one row. A hash that more than one text has (a collision) is then joined by its text, every
-    other hash by the hash alone: narrow rows, whose hot keys adaptive execution splits.
+    the bytes inside each group, so texts that only share a hash part, and it combines copies before the one
+    shuffle of texts: a group of any size leaves each map task as one row. Rows then find their group by MD5 and
+    SHA-256, a join of narrow rows whose hot keys adaptive execution splits. Different texts that shared both
+    (none are known) would raise an error rather than be merged.
 
     Null text equals the empty text. Repeated rows (same id and text) count each in group_size and are all
     kept if their id is the smallest. Null ids are passed over when the smallest id is sought; a group of
@@ -25,17 +26,11 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """
     rows = docs.select(F.col(id_col).alias("doc_id"), normalised(F.col(text_col)).alias("t")).withColumn("h", F.unhex(F.md5("t")))
     texts = rows.groupBy("h", "t").agg(F.min("doc_id").alias("keep_id"), F.count("*").alias("group_size"))
-    heads = texts.select("h", F.sha2("t", 256).alias("text_sha256"), "keep_id", "group_size")
-    by_hash = heads.groupBy("h").agg(
-        F.count("*").alias("variants"), F.min(F.struct("keep_id", "group_size", "text_sha256")).alias("one")
-    )
-    ids = rows.select("doc_id", "h")
-    plain = ids.join(by_hash.where("variants = 1"), "h").select("doc_id", "one.*")
-    clashing = by_hash.where("variants > 1").select("h")
-    apart = texts.join(clashing, "h", "left_semi").withColumn("text_sha256", F.sha2("t", 256))
-    clashed = rows.join(clashing, "h", "left_semi").join(apart, ["h", "t"]).select("doc_id", "keep_id", "group_size", "text_sha256")
-    return plain.unionByName(clashed).select(
-        "doc_id", "keep_id", "group_size", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), "text_sha256"
+    sha = F.unhex(F.sha2("t", 256)).alias("s")
+    groups = texts.select("h", sha, "keep_id", "group_size").groupBy("h", "s").agg(F.max("keep_id").alias("keep_id"), F.max("group_size").alias("group_size"), F.count("*").alias("texts"))
+    size = F.when(F.col("texts") == 1, F.col("group_size")).otherwise(F.raise_error(F.lit("two texts share MD5 and SHA-256")).cast("long"))
+    return rows.select("doc_id", "h", sha).join(groups, ["h", "s"]).select(
+        "doc_id", "keep_id", size.alias("group_size"), F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("kept"), F.lower(F.hex("s")).alias("text_sha256")
     )
 
 
