@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from railtable.llm import chat, decontam, exactdedup, langid, neardup, quality, sharding, suffixtree
+from railtable.llm import chat, decontam, exactdedup, langid, mixing, neardup, quality, sharding, suffixtree
 from railtable.llm.common import table
 
 
@@ -30,6 +31,20 @@ def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return decontam.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+#: Shares of tokens that a mix of the four languages aims at.
+WEIGHTS = {"en": 0.55, "fr": 0.17, "de": 0.17, "es": 0.11}
+
+
+def labelled_domains(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """(doc_id, domain): the language of the documents that the table of labels covers."""
+    return docs.select("doc_id", F.col("lang").alias("domain")).join(labels.select("doc_id").distinct(), "doc_id", "left_semi")
+
+
+def op6_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return mixing.mix(docs, labelled_domains(docs, table(spark, sf_dir, "labels")), WEIGHTS)
+
+
 def op7_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return langid.predict(docs, langid.train(docs))
@@ -52,6 +67,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_minhash_near_dedup": op2_minhash_near_dedup,
     "op3_quality_classifier": op3_quality_classifier,
     "op4_benchmark_decontamination": op4_benchmark_decontamination,
+    "op6_mixing": op6_mixing,
     "op7_language_id": op7_language_id,
     "op8_sharding": op8_sharding,
     "op9_suffix_tree_scoring": op9_suffix_tree_scoring,
