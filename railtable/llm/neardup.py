@@ -22,6 +22,8 @@ BITS = 4
 HASHES = BANDS * ROWS
 #: Pairs whose estimate lies this many standard errors under the threshold are not confirmed on their sets.
 SIGMAS = 6.0
+#: Buckets of up to so many rows list their pairs across components (at most SMALL - 1 a row); larger ones meet in blocks.
+SMALL = 16
 _U = np.uint64
 _r = np.random.default_rng(7)
 _XOR = _r.integers(0, 2**63, HASHES, dtype=_U) * _U(2) + _r.integers(0, 2, HASHES, dtype=_U)
@@ -95,6 +97,15 @@ def least_estimate(percent: int = PERCENT) -> float:
     return j - SIGMAS * math.sqrt(p * (1 - p) / HASHES) / (1 - chance)
 
 
+def similar(x: np.ndarray, y: np.ndarray, percent: int) -> bool:
+    """100 * intersection >= percent * union, of sorted distinct hashes; an empty set is like nothing."""
+    small, large = (x, y) if len(x) <= len(y) else (y, x)
+    if not len(small) or 100 * len(small) < percent * len(large):
+        return False
+    both = int((large[np.minimum(np.searchsorted(large, small), len(large) - 1)] == small).sum())
+    return 100 * both >= percent * (len(x) + len(y) - both)
+
+
 def _confirm(percent: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         """Rows sorted by (hub, block, role): the hub's own text, then those to compare with it."""
@@ -107,14 +118,9 @@ def _confirm(percent: int):
                     s = hashes[edges[k - i] : edges[k - i + 1]]
                     if roles[k] == 0:
                         hub, own = hubs[k], s.copy()
-                    elif hub == hubs[k] and own is not None and len(s) and len(own):
-                        small, large = (s, own) if len(s) <= len(own) else (own, s)
-                        if 100 * len(small) >= percent * len(large):
-                            at = np.minimum(np.searchsorted(large, small), len(large) - 1)
-                            both = int((large[at] == small).sum())
-                            if 100 * both >= percent * (len(s) + len(own) - both):
-                                a.append(hubs[k])
-                                b.append(ids[k])
+                    elif hub == hubs[k] and own is not None and similar(s, own, percent):
+                        a.append(hubs[k])
+                        b.append(ids[k])
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
     return run
@@ -134,6 +140,88 @@ def confirm(pairs: DataFrame, texts: DataFrame, percent: int = PERCENT, block: i
     return sent.select("hub", "role", "doc_id", "text").mapInArrow(_confirm(percent), "a long, b long")
 
 
+def _blocks(percent: int, least: float):
+    """A mapInArrow function over rows (key, i, j, side, rep, component, minor, bands, low, text) sorted by (key, i, j, side):
+    links between the rows of side 0 and of side 1 of each group, by estimate and then on full sets."""
+    lanes = _U(int("1" * 16, 16))
+    chance = 2.0**-BITS
+
+    def links(key: int, rows: list[dict]) -> list[tuple[int, int]]:
+        left, right = ([r for r in rows if r["side"] == k] for k in (0, 1))
+        if not left or not right:
+            return []
+        bands = [np.array([r["bands"] for r in x], np.int64) for x in (left, right)]
+        low = [np.array([r["low"] for r in x], np.int64).view(_U) for x in (left, right)]
+        ids, groups = ([np.array([r[c] for r in x], np.int64) for x in (left, right)] for c in ("rep", "component"))
+        # each pair once: in the first band that both share, and from the smaller id if both are of side 0
+        shared = bands[0][:, None, :] == bands[1][None, :, :]
+        ok = bands[0][np.arange(len(left))[:, None], shared.argmax(axis=2)] == key
+        minor = np.array([r["minor"] for r in right], bool)
+        ok &= (groups[0][:, None] != groups[1][None, :]) & (~minor[None, :] | (ids[0][:, None] < ids[1][None, :]))
+        x = low[0][:, None, :] ^ low[1][None, :, :]
+        x |= x >> _U(1)
+        x |= x >> _U(2)
+        differ = np.bitwise_count(x & lanes).sum(axis=2)
+        guess = (1.0 - differ / HASHES - chance) / (1.0 - chance)
+        a, b = np.nonzero(ok & (guess >= least))
+        order = np.argsort(-guess[a, b], kind="stable")
+        need = sorted({(0, k) for k in a.tolist()} | {(1, k) for k in b.tolist()})
+        place = {at: n for n, at in enumerate(need)}
+        sets: list[np.ndarray] = []
+        for _, _, hashes, edges in vectext.shingle_sets(pa.array([(left, right)[side][k]["text"] for side, k in need], pa.string()), SHINGLE):
+            sets += [hashes[p:q].copy() for p, q in zip(edges[:-1], edges[1:], strict=True)]
+        root: dict[int, int] = {}
+
+        def find(c: int) -> int:
+            while root.get(c, c) != c:
+                c = root[c]
+            return c
+
+        out = []
+        for k in order.tolist():
+            u, v = int(a[k]), int(b[k])
+            gu, gv = find(int(groups[0][u])), find(int(groups[1][v]))
+            if gu != gv and similar(sets[place[0, u]], sets[place[1, v]], percent):
+                root[max(gu, gv)] = min(gu, gv)
+                out.append((int(ids[0][u]), int(ids[1][v])))
+        return out
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, rows = None, []
+        out: list[tuple[int, int]] = []
+        for batch in batches:
+            for row in batch.to_pylist():
+                here = (row["key"], row["i"], row["j"])
+                if here != at:
+                    if rows:
+                        out += links(at[0], rows)
+                    at, rows = here, []
+                rows.append(row)
+            yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], pa.int64()) for k in (0, 1)], names=["a", "b"])
+            out = []
+        if rows:
+            out = links(at[0], rows)
+            yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], pa.int64()) for k in (0, 1)], names=["a", "b"])
+
+    return run
+
+
+def confirm_across(mixed: DataFrame, signs: DataFrame, texts: DataFrame, percent: int, least: float, block: int = 128) -> DataFrame:
+    """Links across components inside large buckets, without listing their pairs.
+
+    `mixed` has (key, rep, component, minor, n, m): the rows of buckets of n rows of which m are outside the largest component. Both
+    are cut into blocks by hash, and each block of outsiders meets each block of the bucket in one group of about 2 * block rows;
+    there, estimates and then sets are compared, and a component once joined is not compared again."""
+    parts = lambda size: F.ceil(F.col(size) / block).cast("int")
+    place = lambda size, salt: F.pmod(F.xxhash64(F.lit(salt), "rep"), parts(size)).cast("int")
+    every = F.explode(F.sequence(F.lit(0), parts("m") - 1))
+    sides = mixed.where("minor").select("key", place("m", 1).alias("i"), F.explode(F.sequence(F.lit(0), parts("n") - 1)).alias("j"), F.lit(0).alias("side"), "rep", "component", "minor")
+    sides = sides.unionByName(mixed.select("key", every.alias("i"), place("n", 2).alias("j"), F.lit(1).alias("side"), "rep", "component", "minor"))
+    own = signs.join(texts, signs["rep"] == texts["doc_id"]).drop("doc_id")
+    sent = sides.join(own, "rep").select("key", "i", "j", "side", "rep", "component", "minor", "bands", "low", "text")
+    return sent.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "side", "rep").mapInArrow(_blocks(percent, least), "a long, b long")
+
+
 def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
     """One row for each row of `docs`: doc_id, n_shingles, component_id, kept.
 
@@ -142,8 +230,9 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     representative, combined on the map side; (3) band buckets of two or more representatives; (4) each representative is
     tried against the best of its buckets' smallest members, by b-bit estimate, and confirmed on full sets; (5) where
     a bucket still holds several components, one pair for each of the smaller ones; (6) every pair of a bucket across
-    components that is left, from the rows outside the bucket's largest component. After (6) no candidate pair lies
-    across two components untried, so groups are whole although pairs inside a group are never listed.
+    components that is left, from the rows outside the bucket's largest component: listed for small buckets, compared
+    block by block for large ones. After (6) no candidate pair lies across two components untried, so groups are whole
+    although pairs inside a group are never listed.
 
     Sets are compared as 64-bit shingle hashes. Null or blank texts have no set and no link; null ids take no part
     (component_id null, kept true). Rows that share an id are one document. No rows: no rows.
@@ -183,13 +272,15 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
     named = cut(labels(links), "labels")
     sizes = named.groupBy("key", "component").agg(F.count("*").alias("n"))
-    mixed = sizes.groupBy("key").agg(F.count("*").alias("k"), F.max(F.struct("n", "component")).alias("m")).where("k > 1").select("key", F.col("m.component").alias("main"))
-    mixed = named.join(mixed, "key")
-    minor = mixed.where("component <> main").select("key", F.col("rep").alias("r1"), F.col("component").alias("c1"))
-    third = minor.join(mixed, "key").where("c1 <> component").select(F.least("r1", "rep").alias("a"), F.greatest("r1", "rep").alias("b")).distinct()
-    third = third.join(first.unionByName(second), ["a", "b"], "left_anti")
-    third = cut(likely(third).select("a", "b"), "tried")
-    links = links.unionByName(confirm(third, texts, percent))
+    mixed = sizes.groupBy("key").agg(F.count("*").alias("k"), F.sum("n").alias("n"), F.max(F.struct("n", "component")).alias("m")).where("k > 1")
+    mixed = mixed.select("key", "n", (F.col("n") - F.col("m.n")).alias("m"), F.col("m.component").alias("main"))
+    mixed = cut(named.join(mixed, "key").select("key", "rep", "component", (F.col("component") != F.col("main")).alias("minor"), "n", "m"), "mixed")
+    few = mixed.where(F.col("n") <= SMALL)
+    minor = few.where("minor").select("key", F.col("rep").alias("r1"), F.col("component").alias("c1"))
+    third = minor.join(few.drop("minor", "n", "m"), "key").where("c1 <> component").select(F.least("r1", "rep").alias("a"), F.greatest("r1", "rep").alias("b")).distinct()
+    third = cut(likely(third).select("a", "b").join(first.unionByName(second), ["a", "b"], "left_anti"), "tried")
+    across = confirm_across(mixed.where(F.col("n") > SMALL), reps.select("rep", "bands", "low"), texts, percent, least)
+    links = links.unionByName(confirm(third, texts, percent)).unionByName(across)
 
     found = connected_components(links)
     named = reps.select("set_hi", "set_lo", "n_shingles", "rep").join(found, F.col("rep") == F.col("node"), "left")
