@@ -250,7 +250,7 @@ def provider_status(rows: DataFrame, codes: DataFrame) -> DataFrame:
     """SC-25: removed rows go; a blank code has situation PROVIDER_STATUS_MISSING and no state; others take (operational,
     situation) of the code table; an unknown code is a violation (reason UNKNOWN_CODE)."""
     code = F.trim(F.coalesce("code", F.lit("")))
-    out = rows.withColumn("code", code).where(F.col("code") != REMOVED).join(F.broadcast(codes), "code", "left")
+    out = rows.withColumn("code", code).where(F.col("code") != REMOVED).join(codes, "code", "left")
     blank = F.col("code") == ""
     return out.withColumn("reason", F.when(~blank & F.col("situation").isNull(), "UNKNOWN_CODE")).withColumn(
         "situation", F.when(blank, "PROVIDER_STATUS_MISSING").otherwise(F.col("situation"))

@@ -49,7 +49,7 @@ def direction_violations(rows: DataFrame) -> DataFrame:
 def sequence_wrap_violations(rows: DataFrame, lines: DataFrame) -> DataFrame:
     """WN-3: as WN-2, but a loop line (lines: line_id, lo, hi, stations >= 4) may step once between its smallest and largest
     sequence; a change of line starts anew. Returns trips that break it. A fold over each trip's sorted stops."""
-    s = rows.join(F.broadcast(lines), "line_id").groupBy("trip_id").agg(F.sort_array(F.collect_list(F.struct("stop_no", "line_id", "seq", "lo", "hi", "stations"))).alias("s"))
+    s = rows.join(lines, "line_id").groupBy("trip_id").agg(F.sort_array(F.collect_list(F.struct("stop_no", "line_id", "seq", "lo", "hi", "stations"))).alias("s"))
     start = F.struct(F.lit(None).cast("string").alias("line"), F.lit(None).cast("int").alias("seq"), F.lit(0).alias("sign"), F.lit(0).alias("wraps"), F.lit(False).alias("bad"))
 
     def step(a, x):
@@ -142,9 +142,9 @@ def stop_patterns(stops: DataFrame) -> DataFrame:
 
 def passed_through(stops: DataFrame, corridor: DataFrame) -> DataFrame:
     """WN-22: stations of the corridor (station_id, seq) between a trip's first and last one where it does not stop."""
-    at = stops.join(F.broadcast(corridor), "station_id").select("trip_id", "seq").distinct()
+    at = stops.join(corridor, "station_id").select("trip_id", "seq").distinct()
     ends = at.groupBy("trip_id").agg(F.min("seq").alias("lo"), F.max("seq").alias("hi"))
-    inside = ends.join(F.broadcast(corridor), F.col("seq").between(F.col("lo"), F.col("hi"))).select("trip_id", "station_id", "seq")
+    inside = ends.join(corridor, F.col("seq").between(F.col("lo"), F.col("hi"))).select("trip_id", "station_id", "seq")
     return inside.join(at, ["trip_id", "seq"], "left_anti").select("trip_id", "station_id")
 
 
