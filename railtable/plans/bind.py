@@ -32,7 +32,7 @@ VIEWS: dict[str, str] = {
     "v_edges": """SELECT DISTINCT c_nationkey AS from_node, s_nationkey AS to_node FROM orders JOIN customer ON o_custkey = c_custkey JOIN lineitem ON l_orderkey = o_orderkey
         JOIN supplier ON s_suppkey = l_suppkey WHERE (c_nationkey * 7 + s_nationkey * 3) % 10 = 1""",
     "v_snapshots": """SELECT o_orderkey AS snapshot_id, o_custkey AS source_id, lag(o_orderkey) OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS previous_id,
-        @secs(o_orderdate) AS retrieved_at, o_orderstatus AS schema_mark, CAST(o_totalprice AS BIGINT) AS row_count, o_orderpriority AS raw_mark FROM orders""",
+        @secs(o_orderdate) AS retrieved_at, o_orderstatus AS schema_mark, CAST(floor(o_totalprice) AS BIGINT) AS row_count, o_orderpriority AS raw_mark FROM orders""",
 }
 
 
