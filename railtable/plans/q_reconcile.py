@@ -48,7 +48,7 @@ EV = "SELECT event_id AS edge_id, CASE user_id % 3 WHEN 0 THEN 'OPERATION' WHEN
 book.add("jn19_access_gate", R.accessibility_gate, [AE, EV], """SELECT event_id AS edge_id, CASE event_id % 4 WHEN 0 THEN 'LACKS_OPERATION' WHEN 1 THEN 'LACKS_MAINTENANCE_NOTICE' WHEN 2 THEN 'LACKS_FEED_SEARCH' ELSE 'STATUS_UNPROVEN' END AS reason FROM events WHERE event_id % 3 < 2 AND (event_id % 4 = 3 OR event_id % 4 <> user_id % 3)""")
 LN = lambda cond: f"SELECT p_brand AS line_id, p_name AS name, p_partkey AS station_id FROM part WHERE {cond}"
 book.add("jn20_missing_stations", R.missing_stations, [LN("p_partkey % 2 = 0"), LN("p_size % 4 = 0"), LN("p_partkey % 50 = 0"), LN("p_size % 9 = 0")], "SELECT DISTINCT p_brand AS line_id, p_name AS name FROM part WHERE p_partkey % 2 = 0 EXCEPT SELECT p_brand, p_name FROM part WHERE p_size % 4 = 0 OR p_partkey % 50 = 0 OR p_size % 9 = 0")
-book.add("jn20_name_collisions", R.name_collisions, [LN("p_partkey > 0")], f"SELECT p_brand AS line_id, {_N.format('p_name')} AS key, count(DISTINCT p_partkey) AS n FROM part GROUP BY 1, 2 HAVING n > 1")
+book.add("jn20_name_collisions", R.name_collisions, [LN("p_partkey >= 0")], f"SELECT p_brand AS line_id, {_N.format('p_name')} AS key, count(DISTINCT p_partkey) AS n FROM part GROUP BY 1, 2 HAVING n > 1")
 book.add("jn21_rename_check", R.rename_check, ["SELECT concat('n', s_suppkey) AS old_name, concat('n', s_suppkey + 3) AS new_name FROM supplier", "SELECT concat('n', s_suppkey) AS name FROM supplier WHERE s_suppkey % 5 < 2"], """WITH r AS (SELECT concat('n', s_suppkey) AS old_name, concat('n', s_suppkey + 3) AS new_name FROM supplier), t AS (SELECT concat('n', s_suppkey) AS name FROM supplier WHERE s_suppkey % 5 < 2), f AS (SELECT *, old_name IN (SELECT name FROM t) AS o, new_name IN (SELECT name FROM t) AS n FROM r)
   SELECT old_name, new_name, CASE WHEN n AND NOT o THEN 'ADOPTED' WHEN o AND NOT n THEN 'STALE' WHEN o THEN 'BOTH' ELSE 'NEITHER' END AS status FROM f""")
 book.add("jn22_allow_list", lambda a, b: R.not_listed(a, b, "from_node", "to_node"), ["v_edges", "SELECT to_node AS from_node, from_node AS to_node FROM v_edges WHERE from_node % 3 = 0"], "SELECT * FROM v_edges e WHERE NOT EXISTS (SELECT 1 FROM v_edges a WHERE a.from_node % 3 = 0 AND least(a.from_node, a.to_node) = least(e.from_node, e.to_node) AND greatest(a.from_node, a.to_node) = greatest(e.from_node, e.to_node))")
