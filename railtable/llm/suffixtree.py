@@ -20,8 +20,8 @@ DEPTH = 5
 #: A context is kept if it makes up this share of all positions and its divergence from its suffix's prediction,
 #: weighed by that share, is worth so many bits a position. So a level has at most 1 / SHARE contexts, whatever the input.
 SHARE, GAIN = 2e-6, 1e-8
-#: Weight of the suffix's distribution in a context's own.
-BACKOFF = 8.0
+#: Weight of the suffix's distribution in a context's own: so much for each distinct next symbol seen, plus one.
+BACKOFF = 3.0
 #: Words counted by each task's broadcast table; all others are looked up by a join. 65,536 words are about 2 MB.
 HOT_WORDS = 65_536
 FOLDS, HELD_OUT = 7, 2
@@ -145,15 +145,16 @@ def grow(counts: DataFrame, share: float = SHARE, gain: float = GAIN) -> Tree:
         n, m = got["n"].to_numpy(), got["m"].to_numpy()
         # the suffix's probability: score() over the tree so far sees only its shorter contexts
         parent = 10 ** tree.score(pairs)
-        prob = (n + BACKOFF * parent) / (m + BACKOFF)
         keys, first, size = np.unique(context, return_index=True, return_counts=True)
+        weight = BACKOFF * size + 1.0
+        prob = (n + np.repeat(weight, size) * parent) / (m + np.repeat(weight, size))
         divergence = np.add.reduceat(n / m * np.log2(prob / parent), first)
         mass = m[first] / total
         suffix = keys & _U((1 << (8 * (k - 1))) - 1)
         known = np.ones(len(keys), bool) if k == 1 else np.isin(suffix, tree.levels[-1][0])
         kept = known & (mass * divergence >= gain)
         rows = np.repeat(kept, size)
-        tree.levels.append((keys[kept], np.log10(BACKOFF / (m[first] + BACKOFF))[kept], pairs[rows], np.log10(prob)[rows]))
+        tree.levels.append((keys[kept], np.log10(weight / (m[first] + weight))[kept], pairs[rows], np.log10(prob)[rows]))
     return tree
 
 

@@ -1,0 +1,348 @@
+"""Brute-force versions, exact round trips, held-out accuracy and odd inputs of the corpus operators."""
+
+import hashlib
+import math
+import os
+import random
+import re
+import zlib
+from collections import Counter
+
+import pytest
+from oracle import compare, connect
+from pyspark.sql import functions as F
+
+from railtable.llm import chat, decontam, exactdedup, langid, mixing, neardup, quality, queries, secrets, sharding, suffixtree
+from railtable.llm.components import connected_components
+
+SF = "/root/testdata/sf0.001"
+data = pytest.mark.skipif(not os.path.isdir(SF), reason="the driver's tables are not here")
+LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def split(text):
+    return re.findall("[^\x20\x09-\x0d]+", (text or "").translate(LOWER))
+
+
+def sentence(rng, n, vocabulary=400):
+    return " ".join(f"w{rng.randrange(vocabulary)}" for _ in range(n))
+
+
+@pytest.fixture(scope="module")
+def corpus():
+    """Ids and texts with copies, near copies, chains of them, short, blank, null and long texts, and repeated rows."""
+    rng = random.Random(5)
+    out, k = [], 0
+    for _ in range(12):
+        base = sentence(rng, rng.choice([6, 20, 60, 120])).split()
+        for _ in range(rng.randrange(1, 9)):
+            t = list(base)
+            for _ in range(rng.randrange(0, 1 + len(t) // 25)):
+                t[rng.randrange(len(t))] = f"x{rng.randrange(10_000)}"
+            out.append((k, " ".join(t)))
+            k += 1
+    chain = sentence(rng, 200).split()
+    for _ in range(25):  # neighbours are linked, ends are not
+        at = rng.randrange(len(chain))
+        chain[at : at + 3] = [f"c{rng.randrange(10**6)}" for _ in range(3)]
+        out.append((k, "\t".join(chain)))
+        k += 1
+    hot = sentence(rng, 80).split()
+    for _ in range(70):  # one large group of near copies
+        t = list(hot)
+        for _ in range(rng.randrange(1, 7)):
+            t[rng.randrange(len(t))] = f"h{rng.randrange(10**6)}"
+        out.append((k, " ".join(t)))
+        k += 1
+    out += [(k, ""), (k + 1, " \n\t "), (k + 2, None), (k + 3, "One Two"), (k + 4, "one  two"), (k + 5, "ONE"), (k + 6, "é Ü ß"), (k + 7, sentence(rng, 30_000))]
+    return out
+
+
+def docs_of(spark, rows):
+    return spark.createDataFrame([(i, t, 7, "x") for i, t in rows], "doc_id long, text string, h int, rep string")
+
+
+def test_near_groups_brute_force(spark, corpus):
+    got = {r.doc_id: r for r in neardup.near_groups(docs_of(spark, corpus)).collect()}
+    sets = {i: {tuple(w[k : k + 5]) for k in range(max(1, len(w) - 4))} if (w := split(t)) else set() for i, t in corpus}
+    root = {i: i for i in sets}
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    ids = sorted(sets)
+    for n, a in enumerate(ids):
+        for b in ids[:n]:
+            both = len(sets[a] & sets[b])
+            if sets[a] and sets[b] and 100 * both >= 75 * (len(sets[a]) + len(sets[b]) - both):
+                x, y = find(a), find(b)
+                root[max(x, y)] = min(x, y)
+    assert {i: (r.n_shingles, r.component_id, r.kept) for i, r in got.items()} == {i: (len(sets[i]), find(i), find(i) == i) for i in ids}
+
+
+def test_near_groups_odd_rows(spark):
+    text = "a b c d e f g h"
+    rows = [(None, text), (3, text), (3, text), (1, text), (9, None), (None, None)]
+    got = sorted(map(str, neardup.near_groups(docs_of(spark, rows)).select("doc_id", "component_id", "kept").collect()))
+    assert got == sorted(map(str, [f"Row(doc_id={i}, component_id={c}, kept={k})" for i, c, k in [(None, None, True), (3, 1, False), (3, 1, False), (1, 1, True), (9, 9, True), (None, None, True)]]))
+    assert neardup.near_groups(docs_of(spark, rows).limit(0)).count() == 0
+    left = neardup.drop_near_copies(docs_of(spark, rows))
+    assert left.columns == ["doc_id", "text", "h", "rep"] and left.count() == 4
+
+
+def test_estimate_is_near_the_truth(spark):
+    rng = random.Random(1)
+    a = sentence(rng, 400, 10**6).split()
+    b = a[:300] + sentence(rng, 100, 10**6).split()
+    s = {r.doc_id: r.low for r in neardup.signatures(docs_of(spark, [(1, " ".join(a)), (2, " ".join(b))])).collect()}
+    est = spark.createDataFrame([(s[1], s[2])], "a array<long>, b array<long>").select(neardup.estimate(F.col("a"), F.col("b"))).first()[0]
+    assert abs(est - 296 / 496) < 0.2
+    assert 0.5 < neardup.least_estimate() < 0.75
+
+
+def test_components(spark):
+    rng = random.Random(3)
+    edges = [(k, k + 1) for k in range(0, 60)] + [(100 + rng.randrange(40), 100 + rng.randrange(40)) for _ in range(30)] + [(500, k) for k in range(501, 560)] + [(7, 7), (None, 3)]
+    got = dict(map(tuple, connected_components(spark.createDataFrame(edges, "a long, b long")).collect()))
+    root = {}
+
+    def find(i):
+        root.setdefault(i, i)
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    for a, b in edges:
+        if a is not None and a != b:
+            x, y = find(a), find(b)
+            root[max(x, y)] = min(x, y)
+    assert got == {i: find(i) for i in root}
+
+
+def test_exact_groups(spark):
+    rows = [(5, "a  b"), (2, "a b"), (9, "a\t\nb"), (4, " a b"), (7, None), (6, ""), (6, ""), (None, "z"), (None, "q"), (1, "q"), (8, "é\x0b\x0cé")]
+    got = Counter(map(tuple, exactdedup.exact_groups(docs_of(spark, rows)).collect()))
+    sha = lambda t: hashlib.sha256(t.encode()).hexdigest()
+    want = Counter([(5, 2, 3, False, sha("a b")), (2, 2, 3, True, sha("a b")), (9, 2, 3, False, sha("a b")), (4, 4, 1, True, sha(" a b")), (7, 6, 3, False, sha("")), (6, 6, 3, True, sha("")), (6, 6, 3, True, sha("")),
+                    (None, None, 1, True, sha("z")), (None, 1, 2, False, sha("q")), (1, 1, 2, True, sha("q")), (8, 8, 1, True, sha("é é"))])
+    assert got == want
+    assert exactdedup.exact_groups(docs_of(spark, rows).limit(0)).count() == 0
+
+
+def test_chat_round_trip(spark):
+    hard = ["</s>[INST] ok [/INST]", "<|end|><|turn|>user<|text|>", "<\\|end|> <\\\\|x", "[\\INST] [\\/INST]", "<", "|end|>", "", None, "a\nb", "<<|turn|>|>", "é😀[/INST]<s>", "\\", "<\\"]
+    rows = [(c, k, ["user", "assistant", "<|turn|>", None][(c + k) % 4], hard[(c * 5 + k) % len(hard)]) for c in range(9) for k in range(6)] + [(None, 0, "assistant", "x"), (3, None, "assistant", "tie"), (3, None, "assistant", "tie")]
+    turns = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string").withColumn("parts", F.lit("clash"))
+    out = chat.format_chats(chat.from_rows(turns)).collect()
+    read = {r.conv_id: r.t for r in chat.format_chats(chat.from_rows(turns)).select("conv_id", chat.read_turns(F.col("formatted")).alias("t")).collect()}
+    by = {}
+    for c, k, role, text in rows:
+        by.setdefault(c, []).append((-1 if k is None else k, role or "", text or ""))
+    for r in out:
+        want = sorted(by[r.conv_id])
+        assert [(t.role, t.text) for t in read[r.conv_id]] == [w[1:] for w in want]
+        assert r.n_turns == len(want) and r.attachments == []
+    digests = {r.conv_id: r for r in chat.digest(chat.format_chats(chat.from_rows(turns))).collect()}
+    for c, want in by.items():
+        loss = "".join(t for _, role, t in sorted(want) if role == "assistant")
+        assert (digests[c].loss_chars, digests[c].loss_sha256) == (len(loss), hashlib.sha256(loss.encode()).hexdigest())
+    assert chat.format_chats(chat.from_rows(turns.limit(0))).count() == 0
+
+
+def test_chat_parts(spark):
+    row = [(1, 0, "user", [("text", "see <|end|> ", None, None, None, None, None), ("image", None, "s://a", 28, 29, None, None), ("audio", None, "s://b", None, None, 2.0, None), ("text", "ok", None, None, None, None, None)]),
+           (1, 1, "assistant", [("text", "it ", None, None, None, None, None), ("document", None, "s://c", None, None, None, 3), ("odd", "is", None, None, None, None, None)]), (1, 2, "assistant", None)]
+    out = chat.format_chats(spark.createDataFrame(row, f"conv_id long, turn long, role string, parts array<{chat.PART}>"))
+    r = out.first()
+    assert [(a.ordinal, a.turn_no, a.kind, a.ref, a.tokens) for a in r.attachments] == [(0, 0, "image", "s://a", 6), (1, 0, "audio", "s://b", 50), (2, 1, "document", "s://c", 1536)]
+    assert r.expanded_tokens == 1592 and "<|image|><|audio|>ok" in r.formatted
+    assert out.select(chat.masked_text(F.col("formatted"), F.col("loss_spans"))).first()[0] == "it is"
+
+
+def test_sharding(spark):
+    rows = [(k, None if k % 50 == 0 else "é" * (k % 7)) for k in range(3000)] + [(5, "dup"), (5, "dup"), (None, "n"), (None, None)]
+    got = sharding.assign_shards(docs_of(spark, rows), buckets=16).collect()
+    assert len(got) == len(rows) and {r.shard for r in got} == set(range(24))
+    for s in range(24):
+        assert sorted(r.slot for r in got if r.shard == s) == list(range(sum(r.shard == s for r in got)))
+    assert all(r.grown_shard in (r.shard, 24) for r in got) and 60 < sum(r.grown_shard == 24 for r in got) < 200
+    by_id = {r.doc_id: r for r in got}
+    assert by_id[8].size == 8 + 2 and by_id[8].text_crc32 == zlib.crc32("é".encode()) and by_id[50].size == 8 and by_id[50].text_crc32 == 0
+    assert sharding.assign_shards(docs_of(spark, rows).limit(0)).count() == 0
+
+
+def test_tree_confines_movement(spark):
+    keys = spark.range(4000).withColumn("k", F.col("id").cast("string"))
+    base = sharding.tree(24)
+    changed = [(r, k, s, 3.0 if s == 2 else w) for r, k, s, w in base]  # one shard of rack 0 of region 0 grows
+    equal = [(r, k, s, w * (2.0 / 3) if (r, k) == (0, 0) else w) for r, k, s, w in changed]  # and its rack weighs as before
+    both = sharding.shard_of(sharding.shard_of(keys, F.col("k"), base, "a"), F.col("k"), equal, "b").collect()
+    assert any(r.a != r.b for r in both) and all(r.a == r.b or (r.a < 4 and r.b < 4) for r in both)
+    got = sharding.shard_of(sharding.shard_of(keys, F.col("k"), base, "a"), F.col("k"), changed, "b").collect()
+    assert sum(r.b == 2 for r in got) > 2 * sum(r.a == 2 for r in got)
+
+
+def test_decontamination(spark):
+    rng = random.Random(2)
+    words = lambda t: re.findall("[^\x00-\x2f\x3a-\x60\x7b-\x7f]+", (t or "").translate(LOWER))
+    items = [(k, sentence(rng, 14, 60)) for k in range(20)] + [(30, "short item é3"), (31, ""), (32, None), (33, "..."), (7, "Copy of item seven has many many more words than ten has it")]
+    docs = [(k, f"{sentence(rng, 20, 60)}! {items[k % 25][1] or ''}, {sentence(rng, 10, 60)} {items[(k * 7) % 25][1] or ''}") for k in range(60)] + [(100, "SHORT  Item É3 short--ITEM_é3"), (101, None), (102, ""), (103, "clean text")]
+    bench, d = spark.createDataFrame(items, "item_id long, text string"), docs_of(spark, docs)
+    windows = {}
+    for i, t in items:
+        w = words(t)
+        for p in range(len(w) - min(10, len(w)) + 1):
+            if w:
+                windows.setdefault(tuple(w[p : p + min(10, len(w))]), set()).add(i)
+    for most in (10**6, 40):
+        got = {r.doc_id: r for r in decontam.report(d, bench, most=most).collect()}
+        for i, t in docs:
+            w, hit, found = words(t), set(), set()
+            for n in {len(x) for x in windows}:
+                for p in range(len(w) - n + 1):
+                    if ids := windows.get(tuple(w[p : p + n])):
+                        hit |= set(range(p, p + n))
+                        found |= ids
+            r = got[i]
+            assert (r.n_words, r.n_hit, r.n_items, r.contaminated) == (len(w), len(hit), len(found), bool(hit)), i
+            assert r.items_sha256 == hashlib.sha256(",".join(sorted(map(str, found))).encode()).hexdigest()
+    assert not any(r.contaminated for r in decontam.report(decontam.remove(d, bench), bench).collect())
+    cut = decontam.remove(d, bench, how="spans")
+    assert cut.columns == d.columns and cut.count() == len(docs) and {r.doc_id: r.text for r in cut.collect()}[103] == "clean text"
+    assert decontam.report(d, bench.limit(0)).where("contaminated").count() == 0 and decontam.report(d.limit(0), bench).count() == 0
+
+
+def test_suffix_tree(spark):
+    rng = random.Random(4)
+    docs = [(k, sentence(rng, rng.randrange(1, 60), 120).upper() if k % 3 else sentence(rng, 40, 50)) for k in range(300)] + [(400, None), (401, " "), (402, "zzz unseen"), (None, "w1 w2"), (5, "w1 w1")]
+    d = docs_of(spark, docs)
+    train = [split(t) for i, t in docs if i is not None and zlib.crc32(str(i).encode()) % 7 != 2]
+    c, ends = Counter(w for t in train for w in t), len(train)
+    total, kinds = sum(c.values()) + ends, len(c) + 1
+    for hot in (10**6, 20):
+        got = suffixtree.score_texts(d, hot_words=hot).collect()
+        assert len(got) == len(docs)
+        by = {(r.doc_id, r.n_tokens): r for r in got}
+        for i, t in docs:
+            w = split(t)
+            r = by[i, len(w) + 1]
+            assert math.isclose(r.base_score, sum(math.log10((c[x] + 1) / (total + kinds)) for x in w) + math.log10((ends + 1) / (total + kinds)), rel_tol=1e-9)
+            assert (r.n_known, r.train_tokens) == (sum(c[x] > 0 for x in w) + 1, total) and r.score < 0
+    held, symbols = [r for r in got if r.held_out], {i: len(" ".join(split(t)).encode()) + 1 for i, t in docs}
+    assert sum(r.score for r in held) > -0.8 * sum(symbols[r.doc_id] for r in held)  # 2.41 a symbol without a model
+    assert suffixtree.score_texts(d.limit(0)).count() == 0
+    alone = suffixtree.score_texts(docs_of(spark, [(None, "a b")])).first()
+    assert (alone.n_known, alone.train_tokens) == (0, 0) and math.isfinite(alone.base_score)
+
+
+def test_tree_is_a_distribution():
+    import numpy as np
+
+    text = [b"ab ab ba".split(), b"abba abba".split(), b"ab".split()] * 40
+    keys, n = np.unique(suffixtree.grams(text)[0], return_counts=True)
+    tree = suffixtree.Tree(np.log10(np.full(256, 1 / 256)), [])
+    assert n.sum() == sum(len(b" ".join(t)) + 1 for t in text)
+    context = np.arange(256, dtype=np.uint64) | (keys[0] & ~np.uint64(255))
+    assert math.isclose((10 ** tree.score(context)).sum(), 1.0, rel_tol=1e-9)
+
+
+def test_forward_sums_all_segmentations():
+    import itertools
+
+    import numpy as np
+
+    keys = [b"a", b"b", b"ab", b"ba", b"aba", b" a", b" "]
+    m = langid.Model(["x"], np.zeros(1), keys, np.array([[0.2], [0.1], [0.15], [0.05], [0.3], [0.1], [0.1]]))
+    word = b" abab"
+    total = 0.0
+    for cuts in itertools.product([0, 1], repeat=len(word) - 1):
+        parts, at = [], 0
+        for k, c in enumerate(cuts, 1):
+            if c:
+                parts.append(word[at:k])
+                at = k
+        parts.append(word[at:])
+        if all(p in keys for p in parts):
+            total += math.prod(m.probs[keys.index(p), 0] for p in parts)
+    buf = np.frombuffer(word, np.uint8)
+    assert math.isclose(langid.Scorer(m).words(buf, np.array([0]), np.array([len(word)]))[0, 0], math.log(total))
+    long = np.frombuffer(b" " + b"ab" * 40, np.uint8)
+    assert np.isfinite(langid.Scorer(m).words(long, np.array([0]), np.array([len(long)]))).all()
+
+
+@data
+def test_language_held_out(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    more = docs.unionByName(spark.createDataFrame([(10**6, None, "en", "s", 0), (10**6 + 1, "123 !!", None, "s", 0), (None, "the and of this", None, "s", 0)], docs.schema))
+    got = langid.predict(more, langid.train(more)).join(more.select("doc_id", "lang"), "doc_id", "left").collect()
+    assert {r.doc_id: r.lang_pred for r in got}[10**6] == "und" and {r.doc_id: r.lang_pred for r in got}[10**6 + 1] == "und"
+    held = [r for r in got if r.held_out and r.lang and r.lang_pred != "und"]
+    assert sum(r.lang == r.lang_pred for r in held) >= 0.95 * len(held) and all(0 <= r.score <= 1 for r in got)
+    assert {r.lang_pred for r in langid.predict(more, langid.train(more.limit(0))).collect()} == {"und"}
+
+
+@data
+def test_quality_held_out(spark):
+    docs, labels = spark.read.parquet("/root/testdata/sf0.01/documents.parquet"), spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
+    model = quality.train(docs, labels)
+    got = quality.score(docs, model).join(labels, "doc_id").where("held_out").collect()
+    assert sum(r.predicted == r.quality for r in got) >= 0.9 * len(got) and all(r.predicted for r in got if r.quality == 1 and r.score >= 0.3)
+    odd = spark.createDataFrame([(1, None, "a"), (None, "", "b"), (1, None, "a")], "doc_id long, text string, score string")
+    assert quality.score(odd, model).count() == 3 and quality.score(odd.limit(0), model).count() == 0
+    assert quality.keep_good(odd, model).columns == odd.columns
+    assert quality.train(docs, labels.limit(0)).constant == 1.0 and quality.train(docs, labels.where("quality = 0")).constant == 0.0
+
+
+@data
+def test_mixing(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    lab = queries.labelled_domains(docs, spark.read.parquet("/root/testdata/sf0.01/labels.parquet"))
+    got = mixing.mix(docs, lab, {"en": 0.4, "fr": 0.3, "de": 0.2, "es": 0.1}).collect()
+    total = sum(r.tokens for r in got)
+    for d, w in {"en": 0.4, "fr": 0.3, "de": 0.2, "es": 0.1}.items():
+        assert abs(sum(r.posteriors[d] * r.tokens * r.rate for r in got) / total - w) < 2e-3
+    assert all(r.rate >= 0 and abs(r.copies - r.rate) < 1 for r in got) and len(got) == docs.count()
+    few = spark.createDataFrame([(1, None), (None, ""), (2, " a  b\tc\n"), (2, " a  b\tc\n")], "doc_id long, text string")
+    none = mixing.mix(few, few.select("doc_id", F.lit(None).cast("string").alias("domain")), {"en": 1.0}).collect()
+    assert sorted(r.tokens for r in none) == [0, 0, 3, 3] and {r.rate for r in none} == {1.0}
+    kept = mixing.take(docs, lab, {"en": 0.4, "fr": 0.3, "de": 0.2, "es": 0.1})
+    assert kept.columns == docs.columns and 0 < kept.count() < docs.count()
+
+
+@data
+def test_secrets(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    odd = docs.unionByName(spark.createDataFrame([(None, None, None, None, None), (10**6, 'x token = "9f86d081884c7d659a2feaa0c55ad015a3bf4f1b" y', "en", None, 1)], docs.schema))
+    found = secrets.scan(odd, secrets.common_words(odd), path_col="source").cache()
+    out = secrets.judge(found, secrets.train(secrets.weak_labels(found))).collect()
+    assert len(out) == found.count()
+    hexes = [r for r in out if re.fullmatch("[0-9a-f]{40}", r.candidate)]
+    assert hexes and all(r.is_secret for r in hexes) and not any(r.is_secret for r in out if re.fullmatch(r"\d{16}|[\d.]+", r.candidate))
+    assert secrets.scan(odd.limit(0), []).count() == 0 and secrets.train(secrets.weak_labels(found.limit(0))) is None
+    assert secrets.judge(found, None).where("is_secret").count() > 0
+
+
+@data
+@pytest.mark.parametrize("name", sorted(queries.ORACLES))
+def test_oracle(spark, name):
+    compare(queries.QUERIES[name](spark, SF), connect(SF), queries.ORACLES[name])
+
+
+@data
+def test_pipeline(spark):
+    import corpus_pipeline as p
+
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    for name, stage in p.STAGES:
+        before, docs = docs, stage(spark, docs, SF).cache()
+        assert 0 < docs.count() <= before.count(), name
+        if name == "near_dedup":
+            assert neardup.near_groups(docs).where("NOT kept").count() == 0
+        if name == "decontamination":
+            assert decontam.report(docs, spark.read.parquet(f"{SF}/benchmark.parquet")).where("contaminated").count() == 0
+        if name != "sharding":
+            assert docs.columns == before.columns
+    assert docs.columns == ["doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard"]
+    assert p.run(spark, SF).count() == docs.count()
