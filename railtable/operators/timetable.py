@@ -215,12 +215,12 @@ def calendars(trips: DataFrame, days: dict[str, str], holidays: list[str], holid
     return found, one.select("date", F.explode(F.array(F.struct(F.lit(holiday_service).alias("service_id"), F.lit(1).alias("exception_type")), F.struct(F.lit(weekday_service).alias("service_id"), F.lit(2).alias("exception_type")))).alias("e")).select("date", "e.*")
 
 
-def next_service_dates(now: str, zone: str, spark) -> DataFrame:
-    """PL-6: for WEEKDAY, SATURDAY and SUNDAY the next service date within 7 days of the (given) instant, local time."""
-    today = F.to_date(F.from_utc_timestamp(F.lit(now).cast("timestamp"), zone))
-    days = spark.range(1).select(F.explode(F.sequence(today, F.date_add(today, 6))).alias("date"))
+def next_service_dates(instants: DataFrame, zone: str) -> DataFrame:
+    """PL-6: for each (key, now as UTC epoch seconds) the next service date of WEEKDAY, SATURDAY and SUNDAY within 7 days, local time."""
+    today = F.to_date(F.from_utc_timestamp(F.timestamp_seconds("now"), zone))
+    days = instants.select("key", F.explode(F.sequence(today, F.date_add(today, 6))).alias("date"))
     kind = F.when(F.dayofweek("date") == 7, "SATURDAY").when(F.dayofweek("date") == 1, "SUNDAY").otherwise("WEEKDAY")
-    return days.groupBy(kind.alias("day_type")).agg(F.min("date").alias("date"))
+    return days.groupBy("key", kind.alias("day_type")).agg(F.min("date").alias("date"))
 
 
 def routes(trips: DataFrame, declared: DataFrame, pattern: str = r"^([A-Z]+)-") -> DataFrame:

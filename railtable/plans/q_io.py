@@ -10,6 +10,9 @@ book = Book()
 QUERIES, ORACLES = book.queries, book.oracles
 EVENTS = "SELECT event_id, event_type, user_id, props FROM events"
 book.add("io01_explode_json", lambda d: IO.explode_json(d, "j", "a long, b string"), ["SELECT event_id, concat(chr(123), '\"a\": ', user_id, ', \"b\": \"', event_type, '\"', chr(125)) AS j FROM events"], "SELECT event_id, user_id AS a, event_type AS b FROM events")
+book.add("io02_parse_csv", lambda d: IO.parse_csv(d, "line", "name string, size int, price double"), ["SELECT p_partkey, CASE WHEN p_partkey % 7 = 0 THEN concat(p_name, ',x', p_size, ',1.5') WHEN p_partkey % 11 = 0 THEN p_name ELSE concat('\"', p_name, ', ', p_brand, '\",', p_size, ',2.25') END AS line FROM part"],
+         """SELECT p_partkey, CASE WHEN p_partkey % 7 = 0 OR p_partkey % 11 = 0 THEN p_name ELSE concat(p_name, ', ', p_brand) END AS name, CASE WHEN p_partkey % 7 > 0 AND p_partkey % 11 > 0 THEN p_size END AS size, CASE WHEN p_partkey % 7 = 0 THEN 1.5 WHEN p_partkey % 11 > 0 THEN 2.25 END::DOUBLE AS price,
+         CASE WHEN p_partkey % 7 = 0 THEN concat(p_name, ',x', p_size, ',1.5') WHEN p_partkey % 11 = 0 THEN p_name END AS corrupt FROM part""")
 book.add("io03_field_inventory", lambda d: IO.field_inventory(d, "props", "event_type"), [EVENTS], "WITH k AS (SELECT DISTINCT event_type, unnest(json_keys(props)) AS k FROM events) SELECT event_type, string_agg(k, ',' ORDER BY k) AS fields, sha256(string_agg(k, ',' ORDER BY k)) AS fingerprint FROM k GROUP BY 1")
 book.add("io04_typed_load", lambda d: IO.typed(d, "station_lines", {"stationId": "station_id", "lineId": "line_id", "seq": "line_sequence"}, {"pack_id": "capital", "line_sequence": -1}),
          ["SELECT p_partkey AS stationId, p_brand AS lineId, CASE WHEN p_size % 3 > 0 THEN concat(p_size, CASE WHEN p_size % 5 = 0 THEN 'x' ELSE '' END) END AS seq FROM part"],

@@ -72,3 +72,5 @@ book.add("jn12_endpoint_conflicts", T.endpoint_conflicts, [ITIN, "v_stops"], f""
 book.add("pl05_calendars", lambda d: T.calendars(d, {"A": "MON-FRI", "N": "SAT", "R": "SUN"}, ["20240101"], "R", "A")[0], ["SELECT DISTINCT line_id AS day FROM v_stops"], "SELECT DISTINCT line_id AS service_id, CASE line_id WHEN 'A' THEN 'MON-FRI' WHEN 'N' THEN 'SAT' WHEN 'R' THEN 'SUN' END AS days FROM v_stops")
 book.add("pl07_routes", T.routes, ["SELECT DISTINCT concat(CASE WHEN n_regionkey > 0 THEN 'K' ELSE '' END, '-', l_shipdate_m) AS route_id FROM (SELECT n_regionkey, n_nationkey AS l_shipdate_m FROM nation) AS x", "SELECT concat('K-', n_nationkey) AS route_id, n_name AS name FROM nation WHERE n_nationkey < 9"],
   "SELECT r AS route_id, CASE WHEN n_regionkey > 0 AND n_nationkey < 9 THEN n_name WHEN n_regionkey > 0 THEN 'K' END AS name, n_regionkey > 0 AND n_nationkey < 9 AS is_declared FROM (SELECT *, concat(CASE WHEN n_regionkey > 0 THEN 'K' ELSE '' END, '-', n_nationkey) AS r FROM nation)")
+book.add("pl06_next_dates", lambda d: T.next_service_dates(d, "Asia/Seoul").withColumn("date", F.date_format("date", "yyyyMMdd")), ["SELECT facility_id AS key, max(observed_at) AS now FROM v_status GROUP BY facility_id"],
+  """WITH n AS (SELECT facility_id AS key, (epoch_ms(max(observed_at) * 1000) + INTERVAL 9 HOUR)::DATE AS today FROM v_status GROUP BY 1), d AS (SELECT key, today + i::INT AS date FROM n, range(7) r(i)) SELECT key, CASE dayofweek(date) WHEN 6 THEN 'SATURDAY' WHEN 0 THEN 'SUNDAY' ELSE 'WEEKDAY' END AS day_type, strftime(min(date), '%Y%m%d') AS date FROM d GROUP BY 1, 2""")

@@ -29,7 +29,15 @@ def scan_csv(spark: SparkSession, path: str, ddl: str, encoding: str = "UTF-8")
     """IO-2: an official CSV with header: good rows, and quarantined ones (text that does not fit the columns or types)."""
     shape = T.StructType([*T.StructType.fromDDL(ddl).fields, T.StructField("_corrupt", T.StringType())])
     df = spark.read.csv(path, header=True, schema=shape, encoding=encoding, mode="PERMISSIVE", columnNameOfCorruptRecord="_corrupt", enforceSchema=True)
-    return df.where("_corrupt IS NULL").drop("_corrupt"), df.where("_corrupt IS NOT NULL").select(F.col("_corrupt").alias("line"))
+    # Spark refuses a scan of the corrupt column alone, so both sides also look at a data column
+    touched = F.length(F.coalesce(F.col(df.columns[0]).cast("string"), F.lit(""))) >= 0
+    return df.where(F.col("_corrupt").isNull() & touched).drop("_corrupt"), df.where(F.col("_corrupt").isNotNull() & touched).select(F.col("_corrupt").alias("line"))
+
+
+def parse_csv(df: DataFrame, column: str, ddl: str) -> DataFrame:
+    """IO-2 on a column of lines: their typed fields, and `corrupt` (the line) where it does not fit the columns or types."""
+    shape = T.StructType([*T.StructType.fromDDL(ddl).fields, T.StructField("corrupt", T.StringType())])
+    return df.withColumn("_c", F.from_csv(column, shape.simpleString()[7:-1].replace(":", " ").replace(",", ", "), {"columnNameOfCorruptRecord": "corrupt", "mode": "PERMISSIVE"})).select(*[c for c in df.columns if c != column], "_c.*")
 
 
 def field_inventory(df: DataFrame, json_column: str, *groups: str) -> DataFrame:
