@@ -29,8 +29,8 @@ def scan_csv(spark: SparkSession, path: str, ddl: str, encoding: str = "UTF-8")
     """IO-2: an official CSV with header: good rows, and quarantined ones (text that does not fit the columns or types)."""
     shape = T.StructType([*T.StructType.fromDDL(ddl).fields, T.StructField("_corrupt", T.StringType())])
     df = spark.read.csv(path, header=True, schema=shape, encoding=encoding, mode="PERMISSIVE", columnNameOfCorruptRecord="_corrupt", enforceSchema=True)
-    # Spark refuses a scan of the corrupt column alone, so both sides also look at a data column
-    touched = F.length(F.coalesce(F.col(df.columns[0]).cast("string"), F.lit(""))) >= 0
+    # with columns pruned the parser would skip bad fields (and it refuses a scan of the corrupt column alone): both sides read all
+    touched = F.xxhash64(*[c for c in df.columns if c != "_corrupt"]) >= F.lit(-(2**63))
     return df.where(F.col("_corrupt").isNull() & touched).drop("_corrupt"), df.where(F.col("_corrupt").isNotNull() & touched).select(F.col("_corrupt").alias("line"))
 
 
