@@ -124,6 +124,29 @@ class Tree:
         return out
 
 
+class Cached:
+    """Tree.score() behind a direct-mapped table: most grams of a text were scored a moment ago. A gram that is not in its
+    slot is scored by the tree and takes the slot."""
+
+    BITS = 20
+
+    def __init__(self, tree: Tree):
+        self.tree = tree
+        self.keys, self.logs = np.full(1 << self.BITS, 2**64 - 1, _U), np.zeros(1 << self.BITS)
+
+    def score(self, grams: np.ndarray) -> np.ndarray:
+        slot = ((grams * _U(0x9E3779B97F4A7C15)) >> _U(64 - self.BITS)).astype(np.int64)
+        out = self.logs[slot]
+        miss = np.flatnonzero(self.keys[slot] != grams)
+        if len(miss):
+            keys, back = np.unique(grams[miss], return_inverse=True)
+            logs = self.tree.score(keys)
+            out[miss] = logs[back.reshape(-1)]
+            at = ((keys * _U(0x9E3779B97F4A7C15)) >> _U(64 - self.BITS)).astype(np.int64)
+            self.keys[at], self.logs[at] = keys, logs
+        return out
+
+
 def grow(counts: DataFrame, share: float = SHARE, gain: float = GAIN) -> Tree:
     """Builds the tree from the counts (gram, n) of all training text, level by level in Spark: counts of a depth's
     (context, next) pairs are sums over the grams; contexts under `share` of the positions are dropped there, so at
@@ -188,11 +211,11 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         """A row for each text with what the broadcast tables know of it, and its other words as (word, times)."""
         hot, tree = sent.value
         known = {w: np.log10(c + 1.0) for w, c in hot.items()}
+        quick = Cached(tree)
         for batch in batches:
             for i, j, tokens in _chunks(batch.column(2)):
                 g, starts = grams(tokens)
-                keys, back = np.unique(g, return_inverse=True)
-                logs = np.add.reduceat(tree.score(keys)[back.reshape(-1)], starts[:-1])
+                logs = np.add.reduceat(quick.score(g), starts[:-1])
                 n, k, b, rest = [], [], [], []
                 for t in tokens:
                     mine, near, far, other = 0, 0, 0.0, []
