@@ -7,40 +7,42 @@ import math
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from railtable.llm.common import ascii_lower, bounded_ids, cut
+from railtable.llm.common import bounded_ids, cut
 
-#: Labelled texts of each domain that the classifier is fitted on, and words it looks for: those whose presence tells
-#: most about the domain.
-TEXTS, WORDS = 400, 24
+#: Labelled texts of each domain that the classifier is fitted on, and letter runs of PIECE characters it looks for:
+#: those whose presence tells most about the domain.
+TEXTS, WORDS, PIECE = 400, 24, 3
 #: Rounds of projected gradient at most, and the largest miss of a target, as a share of all tokens, that is good enough.
 ROUNDS, MISS = 60, 1e-4
 
 
 def n_tokens(text: Column) -> Column:
-    """Runs of other characters than ASCII white space: the places where one starts. Null: 0."""
-    flat = F.concat(F.lit(" "), F.translate(F.coalesce(text, F.lit("")), "\t\n\x0b\f\r", "     "))
-    # each word start is a space followed by another character; both counts are plain byte scans
-    spaces = F.octet_length(flat) - F.octet_length(F.replace(flat, F.lit(" "), F.lit("")))
-    squeezed = F.regexp_replace(F.rtrim(flat), "  +", " ")
-    return F.when(F.instr(flat, "  ") > 0, F.octet_length(squeezed) - F.octet_length(F.replace(squeezed, F.lit(" "), F.lit("")))).otherwise(
-        spaces - F.when(F.substring(flat, -1, 1) == " ", 1).otherwise(0)
-    ).cast("long")
+    """Runs of other characters than ASCII white space. Null: 0."""
+    return F.regexp_count(F.coalesce(text, F.lit("")), F.lit("[^\\x20\\x09-\\x0D]+")).cast("long")
 
 
-def _spaced(text: Column) -> Column:
-    """Lower-cased, with a space before, after and for all other white space: a word w is found as ' w '."""
-    return F.concat(F.lit(" "), F.translate(F.coalesce(ascii_lower(text), F.lit("")), "\t\n\x0b\f\r.,!", "        "), F.lit(" "))
+def _lower(text: Column) -> Column:
+    return F.lower(F.coalesce(text, F.lit("")))
+
+
+def _pieces(text: Column) -> Column:
+    """The distinct runs of PIECE characters of a text: its characters zipped with themselves, shifted."""
+    chars = F.split(_lower(text), "")
+    out = chars
+    for k in range(1, PIECE):
+        out = F.zip_with(out, F.slice(chars, F.lit(k + 1), F.size(chars)), lambda a, b: F.concat(a, b))
+    return F.array_distinct(out)
 
 
 class Classifier:
-    """Words and, for each domain, the log odds of their presence and absence: a small table of numbers."""
+    """Letter runs and, for each domain, the log odds of their presence and absence: a small table of numbers."""
 
     def __init__(self, domains: list[str], words: list[str], prior: list[float], present: list[list[float]], absent: list[list[float]]):
         self.domains, self.words, self.prior, self.present, self.absent = domains, words, prior, present, absent
 
     def posteriors(self, text: Column, temper: float = 1.0) -> Column:
-        """array<double>: P(domain | which of the words occur). One scan of the text for each word, no row made of it."""
-        seen = F.array(*[F.contains(text, F.lit(f" {w} ")).cast("int") for w in self.words]) if self.words else F.array().cast("array<int>")
+        """array<double>: P(domain | which of the letter runs occur). One scan of the (lower-cased) text for each, no row made of it."""
+        seen = F.array(*[F.contains(text, F.lit(w)).cast("int") for w in self.words]) if self.words else F.array().cast("array<int>")
         logs = []
         for d in range(len(self.domains)):
             on, off = F.array(*map(F.lit, self.present[d] or [0.0])), F.array(*map(F.lit, self.absent[d] or [0.0]))
@@ -55,7 +57,7 @@ def softmax(logs: Column) -> Column:
 
 def train(docs: DataFrame, labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", texts: int = TEXTS, words: int = WORDS) -> Classifier:
     """Fits presence odds on `labelled` (id, domain): up to `texts` texts a domain, those with the smallest hashes; priors
-    from all labelled ids. The words are those with the largest mutual information with the domain. Null domains and
+    from all labelled ids. The letter runs are those with the largest mutual information with the domain. Null domains and
     ids teach nothing; of several labels of an id the first by name counts."""
     known = labelled.select(F.col(id_col).alias("doc_id"), F.col("domain").cast("string").alias("domain")).where("doc_id IS NOT NULL AND domain IS NOT NULL").groupBy("doc_id").agg(F.min("domain").alias("domain"))
     known = cut(known, "labelled")
@@ -65,7 +67,7 @@ def train(docs: DataFrame, labelled: DataFrame, id_col: str = "doc_id", text_col
         return Classifier([], [], [], [], [])
     chosen = bounded_ids(known, "doc_id", texts, by=["domain"]).select("doc_id").join(known, "doc_id")
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text")).join(F.broadcast(chosen), "doc_id")
-    said = rows.select("domain", F.explode(F.array_distinct(F.split(F.trim(_spaced(F.col("text"))), " +"))).alias("w"))
+    said = rows.select("domain", F.explode(_pieces(F.col("text"))).alias("w")).where(F.col("w").rlike(rf"^\p{{L}}{{{PIECE}}}$"))
     counts = said.groupBy("domain", "w").count().groupBy("w").pivot("domain", domains).sum("count").na.fill(0)
     sizes = {r["domain"]: r["count"] for r in rows.groupBy("domain").count().collect()}
     n = {d: sizes.get(d, 0) for d in domains}
@@ -138,7 +140,7 @@ def mix(docs: DataFrame, labelled: DataFrame, weights: dict[str, float], id_col:
         now = rows.select("doc_id", n_tokens(F.col("text")).alias("tokens"), F.array(F.lit(1.0)).alias("p"), F.lit(1.0).alias("rate"))
         names = ["all"]
     else:
-        logs = rows.select("doc_id", n_tokens(F.col("text")).alias("tokens"), _spaced(F.col("text")).alias("s")).select("doc_id", "tokens", model.posteriors(F.col("s")).alias("logs"))
+        logs = rows.select("doc_id", n_tokens(F.col("text")).alias("tokens"), _lower(F.col("text")).alias("s")).select("doc_id", "tokens", model.posteriors(F.col("s")).alias("logs"))
         members = cut(logs.select("doc_id", "tokens", softmax(F.col("logs")).alias("p")), "members")
         now, _, _ = rates(members, aims, max_rate)
         names = model.domains
