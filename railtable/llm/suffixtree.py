@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import repeat
 
 import numpy as np
 import pandas as pd
@@ -47,11 +48,11 @@ def grams(tokens: list[list[bytes]]) -> tuple[np.ndarray, np.ndarray]:
     at = starts[:-1] + DEPTH * np.arange(len(parts))
     for k in range(DEPTH):
         keep[at + k] = False
-    pos = np.flatnonzero(keep)
-    out = np.zeros(len(pos), _U)
-    for k in range(DEPTH, -1, -1):
-        out = (out << _U(8)) | buf[pos - k].astype(_U)
-    return out, starts
+    wide = buf.astype(_U)
+    out = wide.copy()
+    for k in range(1, DEPTH + 1):
+        out[k:] |= wide[:-k] << _U(8 * k)
+    return out[keep], starts
 
 
 def _chunks(batch: pa.Array) -> Iterator[tuple[int, int, list[list[bytes]]]]:
@@ -218,14 +219,10 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 logs = np.add.reduceat(quick.score(g), starts[:-1])
                 n, k, b, rest = [], [], [], []
                 for t in tokens:
-                    mine, near, far, other = 0, 0, 0.0, []
-                    for w, c in Counter(t).items():
-                        log = known.get(w)
-                        if log is not None:
-                            near += c
-                            far += c * log
-                        elif not whole:
-                            other.append({"w": w, "c": c})
+                    # a known word's log10(c + 1) is positive, so 0 marks the others
+                    logs_of = np.fromiter(map(known.get, t, repeat(0.0)), np.float64, len(t))
+                    far, near = float(logs_of.sum()), int(np.count_nonzero(logs_of))
+                    other = [] if whole else [{"w": w, "c": c} for w, c in Counter(t[x] for x in np.flatnonzero(logs_of == 0).tolist()).items()]
                     mine = len(t) + 1
                     n.append(mine)
                     k.append(near + (1 if ends else 0))
