@@ -23,14 +23,16 @@ VIEWS: dict[str, str] = {
     "v_stops": """SELECT concat(l_returnflag, '-', @str(l_orderkey)) AS trip_id, l_returnflag AS line_id, l_suppkey AS station_id,
         CAST((@days(l_shipdate) * 37 + l_partkey * 13 + l_linenumber * 601) % 72000 + 14400 AS INT) AS departure,
         CAST(row_number() OVER (PARTITION BY l_returnflag, l_orderkey ORDER BY l_linenumber, l_shipdate, l_partkey, l_suppkey, l_quantity, l_extendedprice, l_discount, l_tax) AS INT) AS stop_no
-        FROM lineitem WHERE l_orderkey % 4 = 0""",
+        FROM lineitem""",
     "v_departures": """SELECT event_id AS trip_id, event_type AS line_id, user_id % 40 AS station_id, CAST(user_id % 2 AS INT) AS direction, event_type AS stop_line,
         CAST(@secs(ts) % 86400 AS INT) AS seconds, CAST(event_id % 11 AS INT) AS pickup_type, event_id % 13 = 0 AS by_frequency FROM events""",
     "v_status": """SELECT user_id AS facility_id, event_type AS status, @secs(ts) AS observed_at, event_id AS seq, @secs(ts) + 86400 * (1 + event_id % 9) AS expires_at FROM events""",
     "v_positions": """SELECT vec_id AS station_id, label AS line_id, CAST(round(@at0(embedding) * 2000) AS BIGINT) AS x, CAST(round(@at1(embedding) * 2000) AS BIGINT) AS y FROM embeddings""",
     "v_roster": """SELECT p_partkey AS station_id, p_name AS name, p_brand AS line_id, p_type AS kind, p_size AS seq FROM part""",
-    "v_edges": """SELECT DISTINCT c_nationkey AS from_node, s_nationkey AS to_node FROM orders JOIN customer ON o_custkey = c_custkey JOIN lineitem ON l_orderkey = o_orderkey
-        JOIN supplier ON s_suppkey = l_suppkey WHERE (c_nationkey * 7 + s_nationkey * 3) % 10 = 1""",
+    # platforms are stations by line code, edges the consecutive stops of trips; a trip keeps to its line, so other lines' platforms are out of reach
+    "v_nodes": """SELECT s_suppkey * 5 + r_regionkey AS node FROM supplier CROSS JOIN region""",
+    "v_edges": """SELECT DISTINCT from_node, to_node FROM (SELECT node AS from_node, lead(node) OVER (PARTITION BY trip_id ORDER BY stop_no) AS to_node
+        FROM (SELECT trip_id, stop_no, station_id * 5 + CASE line_id WHEN 'A' THEN 0 WHEN 'N' THEN 1 ELSE 2 END AS node FROM v_stops) AS s) AS e WHERE from_node <> to_node""",
     "v_snapshots": """SELECT o_orderkey AS snapshot_id, o_custkey AS source_id, lag(o_orderkey) OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS previous_id,
         @secs(o_orderdate) AS retrieved_at, o_orderstatus AS schema_mark, CAST(floor(o_totalprice) AS BIGINT) AS row_count, o_orderpriority AS raw_mark FROM orders""",
 }

@@ -37,19 +37,17 @@ book.add("gr01_edge_audit", G.edge_audit, [RIDES, ON], f"""WITH r AS ({RIDES}),
   UNION ALL SELECT edge_id, 'LOCAL_NOT_ADJACENT' FROM e WHERE pattern = 'LOCAL' AND abs(s - t) <> 1 UNION ALL SELECT edge_id, 'EXPRESS_ADJACENT' FROM e WHERE pattern = 'EXPRESS' AND abs(s - t) = 1""")
 SL = "SELECT DISTINCT l_returnflag || l_linestatus AS line_id, l_suppkey AS station_id FROM lineitem WHERE l_orderkey % 7 = 0"
 book.add("gr02_generated_transfers", G.generated_transfers, [SL], f"WITH s AS ({SL}), b AS (SELECT * FROM s WHERE line_id IN (SELECT line_id FROM s GROUP BY 1 HAVING count(*) > 1)) SELECT a.station_id, a.line_id AS from_line, b.line_id AS to_line FROM b a JOIN b ON a.station_id = b.station_id AND a.line_id <> b.line_id")
-NODES = "SELECT n_nationkey AS node FROM nation"
-book.add("gr03_isolated", G.isolated_nodes, [NODES, "SELECT from_node, to_node FROM v_edges WHERE from_node < 12 AND to_node < 12"], "SELECT n_nationkey AS node FROM nation WHERE NOT EXISTS (SELECT 1 FROM v_edges WHERE from_node < 12 AND to_node < 12 AND (from_node = n_nationkey OR to_node = n_nationkey))")
-SPARSE = "SELECT from_node, to_node FROM v_edges WHERE from_node < to_node OR from_node % 5 = 0"
-book.add("gr04_unreachable", G.unreachable_pairs, [NODES, SPARSE], f"""WITH RECURSIVE e AS ({SPARSE}), r(source, node) AS (SELECT from_node, to_node FROM e UNION SELECT source, to_node FROM r JOIN e ON node = from_node)
-  SELECT a.n_nationkey AS source, b.n_nationkey AS node FROM nation a, nation b WHERE a.n_nationkey <> b.n_nationkey AND NOT EXISTS (SELECT 1 FROM r WHERE source = a.n_nationkey AND node = b.n_nationkey)""")
-book.add("gr05_components", lambda n, e: G.components(e, n), [NODES, "SELECT from_node, to_node FROM v_edges WHERE from_node % 4 = to_node % 4"], """WITH RECURSIVE e AS (SELECT from_node AS a, to_node AS b FROM v_edges WHERE from_node % 4 = to_node % 4 UNION SELECT to_node, from_node FROM v_edges WHERE from_node % 4 = to_node % 4),
-  r(node, c) AS (SELECT n_nationkey, n_nationkey FROM nation UNION SELECT b, c FROM r JOIN e ON node = a) SELECT node, min(c) AS component FROM r GROUP BY node""")
+book.add("gr03_isolated", G.isolated_nodes, ["v_nodes", "v_edges"], "SELECT node FROM v_nodes WHERE node NOT IN (SELECT from_node FROM v_edges UNION SELECT to_node FROM v_edges)")
+book.add("gr04_unreachable", G.unreachable_pairs, ["v_nodes", "v_edges"], """WITH RECURSIVE r(source, node) AS (SELECT from_node, to_node FROM v_edges UNION SELECT source, to_node FROM r JOIN v_edges ON node = from_node)
+  SELECT a.node AS source, b.node AS node FROM v_nodes a, v_nodes b WHERE a.node <> b.node AND NOT EXISTS (SELECT 1 FROM r WHERE source = a.node AND r.node = b.node)""")
+book.add("gr05_components", lambda n, e: G.components(e, n), ["v_nodes", "v_edges"], """WITH RECURSIVE e AS (SELECT from_node AS a, to_node AS b FROM v_edges UNION SELECT to_node, from_node FROM v_edges),
+  r(node, c) AS (SELECT node, node FROM v_nodes UNION SELECT b, c FROM r JOIN e ON node = a) SELECT node, min(c) AS component FROM r GROUP BY node""")
 book.add("gr06_service_edges", G.service_edges, ["v_stops"], """WITH e AS (SELECT DISTINCT a AS from_node, b AS to_node FROM (SELECT station_id AS a, lead(station_id) OVER (PARTITION BY trip_id ORDER BY stop_no) AS b FROM v_stops) WHERE b IS NOT NULL AND a <> b)
   SELECT e.*, EXISTS (SELECT 1 FROM e r WHERE r.from_node = e.to_node AND r.to_node = e.from_node) AS has_reverse FROM e""")
 book.add("gr07_bidirectional", G.expand_bidirectional, ["SELECT from_node, to_node, from_node % 2 = 0 AS bidirectional FROM v_edges", "SELECT n_nationkey AS from_node, n_regionkey AS to_node FROM nation"], "SELECT from_node, to_node FROM v_edges UNION ALL SELECT to_node, from_node FROM v_edges WHERE from_node % 2 = 0 UNION ALL SELECT n_nationkey, n_regionkey FROM nation")
 book.add("gr08_replace_edges", lambda e, n: G.replace_edges(e, "A", n), [RIDES, "SELECT CAST(-n_nationkey - 1 AS BIGINT) AS edge_id, 'A' AS line_id, CAST(n_nationkey AS BIGINT) AS from_station, CAST(n_regionkey AS BIGINT) AS to_station, 60 AS seconds, 900 AS metres, 'LOCAL' AS pattern FROM nation"],
   f"SELECT * FROM ({RIDES}) WHERE NOT (line_id = 'A' AND pattern = 'LOCAL') UNION ALL SELECT -n_nationkey - 1, 'A', n_nationkey, n_regionkey, 60, 900, 'LOCAL' FROM nation")
-book.add("gr09_remap_ids", lambda e, m: G.remap_ids(e, m, "from_node", "to_node"), ["v_edges", "SELECT n_nationkey AS old_id, n_nationkey + 100 AS new_id FROM nation WHERE n_nationkey % 6 = 0"], "SELECT CASE WHEN from_node % 6 = 0 THEN from_node + 100 ELSE from_node END AS from_node, CASE WHEN to_node % 6 = 0 THEN to_node + 100 ELSE to_node END AS to_node FROM v_edges")
+book.add("gr09_remap_ids", lambda e, m: G.remap_ids(e, m, "from_node", "to_node"), ["v_edges", "SELECT node AS old_id, node + 100 AS new_id FROM v_nodes WHERE node % 6 = 0"], "SELECT CASE WHEN from_node % 6 = 0 THEN from_node + 100 ELSE from_node END AS from_node, CASE WHEN to_node % 6 = 0 THEN to_node + 100 ELSE to_node END AS to_node FROM v_edges")
 book.add("gr09_remap_conflicts", G.remap_conflicts, ["SELECT p_size AS old_id, p_partkey % 60 + 40 AS new_id FROM part WHERE p_partkey % 11 = 0"], "WITH m AS (SELECT p_size AS old_id, p_partkey % 60 + 40 AS new_id FROM part WHERE p_partkey % 11 = 0) SELECT old_id, 'TWO_TARGETS' AS reason FROM m GROUP BY 1 HAVING count(DISTINCT new_id) > 1 UNION ALL SELECT DISTINCT old_id, 'IS_TARGET' FROM m WHERE old_id IN (SELECT new_id FROM m)")
 SNAP = "SELECT snapshot_id, source_id, CASE WHEN snapshot_id % 13 = 0 THEN NULL WHEN snapshot_id % 17 = 0 THEN -snapshot_id ELSE previous_id END AS previous_id, retrieved_at - CASE WHEN snapshot_id % 19 = 0 THEN 900000000 ELSE 0 END AS retrieved_at FROM v_snapshots"
 book.add("gr10_lineage", G.lineage, [SNAP], f"""WITH s AS ({SNAP}), j AS (SELECT s.*, p.retrieved_at AS before, p.source_id AS ps, CASE WHEN s.previous_id IS NULL THEN 1 ELSE count(*) OVER (PARTITION BY s.source_id, s.previous_id) END AS children, sum((s.previous_id IS NULL)::INT) OVER (PARTITION BY s.source_id) AS roots FROM s LEFT JOIN s p ON p.snapshot_id = s.previous_id)
