@@ -18,7 +18,7 @@ CON = "SELECT o_orderpriority AS region, o_orderstatus AS edge_type, o_orderkey
 book.add("ag04_connector_ratio", lambda d: Q.connector_ratio(d, ["region", "edge_type"]), [CON], f"SELECT region, edge_type, count(*) FILTER (WHERE generated) AS generated, count(*) FILTER (WHERE NOT generated) AS explicit, grouping(region) * 2 + grouping(edge_type) AS level, round(count(*) FILTER (WHERE generated)::DOUBLE / count(*), 4) AS generated_ratio FROM ({CON}) GROUP BY CUBE (region, edge_type)")
 OD = "SELECT event_id, event_id % 4 > 0 AS found, CASE WHEN event_id % 8 = 0 THEN event_type END AS reason_code, CASE WHEN user_id % 5 = 0 THEN 'HIGH' END AS priority FROM events"
 book.add("ag05_route_not_found", Q.route_not_found, [OD], f"WITH o AS ({OD}) SELECT coalesce(reason_code, 'UNKNOWN') AS reason, count(*) AS n, count(*) FILTER (WHERE priority = 'HIGH') AS high_priority, round(count(*)::DOUBLE / (SELECT count(*) FROM o), 4) AS rate FROM o WHERE NOT found GROUP BY 1")
-FAC = "SELECT CASE WHEN event_id % 21 > 0 THEN user_id END AS station_id, event_type AS facility_type, event_id % 40 AS detail FROM events WHERE event_id % 3 = 0"
+FAC = "SELECT CASE WHEN event_id % 21 > 0 THEN user_id END AS station_id, event_type AS facility_type, event_id % 40 AS detail FROM events"
 TYPES = ["click", "view", "purchase", "lift"]
 _TY = ", ".join(f"('{t}')" for t in TYPES)
 book.add("ag10_facility_counts", lambda d: Q.facility_counts(d, TYPES), [FAC], f"WITH f AS (SELECT * FROM ({FAC}) WHERE station_id IS NOT NULL), c AS (SELECT station_id, t, (SELECT count(*) FROM f x WHERE x.station_id = s.station_id AND facility_type = t) AS n FROM (SELECT DISTINCT station_id FROM f) s, (VALUES {_TY}) v(t)) SELECT station_id, t AS facility_type, n, CASE WHEN n > 0 THEN 'EXISTS' ELSE 'NOT_EXISTS' END AS existence FROM c")
@@ -41,7 +41,7 @@ book.add("ag22_reason_histogram", Q.reason_histogram, ["SELECT concat(event_type
 IC = "SELECT event_type AS artifact, CASE event_id % 5 WHEN 0 THEN 'MALFORMED' WHEN 1 THEN 'SELF_LOOP' WHEN 2 THEN 'QUARANTINED' ELSE 'ADMITTED' END AS status, user_id AS station_id FROM events"
 book.add("ag23_ingestion", Q.ingestion_coverage, [IC], f"SELECT artifact, count(*) AS total, count(*) FILTER (WHERE status = 'MALFORMED') AS malformed, count(*) FILTER (WHERE status = 'SELF_LOOP') AS self_loops, count(*) FILTER (WHERE status = 'QUARANTINED') AS quarantined, count(*) FILTER (WHERE status = 'ADMITTED') AS admitted, count(DISTINCT station_id) FILTER (WHERE status = 'ADMITTED') AS stations FROM ({IC}) GROUP BY 1")
 book.add("ag24_silent_sources", Q.silent_sources, ["SELECT n_nationkey AS source_id FROM nation", "SELECT s_nationkey AS source_id FROM supplier WHERE s_suppkey % 4 = 0", "SELECT c_nationkey AS source_id FROM customer WHERE c_nationkey % 5 = 0"], "SELECT n_nationkey AS source_id FROM nation WHERE n_nationkey NOT IN (SELECT s_nationkey FROM supplier WHERE s_suppkey % 4 = 0) AND n_nationkey NOT IN (SELECT c_nationkey FROM customer WHERE c_nationkey % 5 = 0)")
-book.add("ag25_evidence_horizon", lambda r, e: Q.evidence_horizon(r, e, 1_710_000_000), ["SELECT user_id % 20 AS pack_id, event_id AS evidence_id FROM events WHERE event_id % 10 = 0", "SELECT seq AS evidence_id, expires_at FROM v_status WHERE seq % 70 > 0"], "SELECT facility_id % 20 AS pack_id, min(CASE WHEN seq % 70 > 0 THEN expires_at END) AS fresh_until, count(*) FILTER (WHERE seq % 70 = 0) AS missing, count(*) FILTER (WHERE seq % 70 > 0 AND expires_at <= 1710000000) AS stale FROM v_status WHERE seq % 10 = 0 GROUP BY 1")
+book.add("ag25_evidence_horizon", lambda r, e: Q.evidence_horizon(r, e, 1_710_000_000), ["SELECT user_id % 20 AS pack_id, event_id AS evidence_id FROM events", "SELECT seq AS evidence_id, expires_at FROM v_status WHERE seq % 70 > 0"], "SELECT facility_id % 20 AS pack_id, min(CASE WHEN seq % 70 > 0 THEN expires_at END) AS fresh_until, count(*) FILTER (WHERE seq % 70 = 0) AS missing, count(*) FILTER (WHERE seq % 70 > 0 AND expires_at <= 1710000000) AS stale FROM v_status GROUP BY 1")
 TS = ["SELECT event_id AS rule_id, user_id AS seconds, event_type AS source_id FROM events", "SELECT event_id AS rule_id, CASE WHEN event_id % 5 = 0 THEN user_id + 1 ELSE user_id END AS seconds, CASE WHEN event_id % 3 = 0 THEN 'other' ELSE event_type END AS source_id FROM events WHERE event_id % 11 > 0"]
 book.add("ag26_time_sources", Q.time_source_check, TS, f"""WITH j AS (SELECT a.rule_id, b.seconds AS s, array_to_string(list_filter([CASE WHEN a.seconds <> b.seconds THEN 'SECONDS' END, CASE WHEN a.source_id <> b.source_id THEN 'SOURCE' END, CASE WHEN b.seconds <= 0 THEN 'NOT_POSITIVE' END], lambda x: x IS NOT NULL), ',') AS bad FROM ({TS[0]}) a LEFT JOIN ({TS[1]}) b USING (rule_id))
   SELECT rule_id, bad, CASE WHEN s IS NULL THEN 'SKIPPED' WHEN bad = '' THEN 'PASS' ELSE 'FAIL' END AS status FROM j""")

@@ -35,11 +35,11 @@ COD = "SELECT s_suppkey % 90 AS code, s_suppkey % 95 AS station_id, CASE WHEN s_
 USE = "SELECT c_custkey % 110 AS code FROM customer"
 book.add("jn06_code_lookup", R.code_lookup, [USE, COD], f"""WITH m AS ({COD}), n AS (SELECT *, count(*) OVER (PARTITION BY code) AS n FROM m) SELECT DISTINCT code, 'DUPLICATE_CODE' AS reason FROM n WHERE n > 1 UNION SELECT code, 'NO_EVIDENCE' FROM n WHERE state <> 'ACTIVE' AND evidence IS NULL
   UNION SELECT code, 'RETIRED_ID_REUSED' FROM n WHERE state = 'ACTIVE' AND station_id IN (SELECT station_id FROM m WHERE state = 'RETIRED') UNION SELECT code, 'UNMAPPED' FROM ({USE}) WHERE code NOT IN (SELECT code FROM m)""")
-RAWE = "SELECT l_orderkey * 10 + l_linenumber AS edge_id, l_suppkey AS from_code, l_partkey % 130 AS to_code, CASE WHEN l_linenumber > 2 THEN l_linenumber * 30 END AS seconds, CASE WHEN l_linenumber = 1 THEN 'EXPRESS' END AS pattern FROM lineitem WHERE l_orderkey % 9 = 0"
+RAWE = "SELECT l_orderkey * 10 + l_linenumber AS edge_id, l_suppkey AS from_code, l_partkey % 130 AS to_code, CASE WHEN l_linenumber > 2 THEN l_linenumber * 30 END AS seconds, CASE WHEN l_linenumber = 1 THEN 'EXPRESS' END AS pattern FROM lineitem"
 book.add("jn07_assemble_edges", R.assemble_edges, [RAWE, "SELECT s_suppkey AS code, s_suppkey + 1000 AS station_id FROM supplier WHERE s_suppkey % 6 > 0"], f"SELECT edge_id, from_code + 1000 AS from_station, to_code + 1000 AS to_station, coalesce(seconds, 120) AS seconds, coalesce(pattern, 'LOCAL') AS pattern FROM ({RAWE}) JOIN supplier a ON a.s_suppkey = from_code AND from_code % 6 > 0 JOIN supplier b ON b.s_suppkey = to_code AND to_code % 6 > 0")
 book.add("jn08_missing_evidence", R.missing_evidence, ["SELECT p_partkey AS station_line FROM part", "SELECT r_name AS facility_type FROM region", "SELECT p_partkey AS station_line, r_name AS facility_type FROM part JOIN region ON (p_partkey + r_regionkey) % 3 > 0"], "SELECT p_partkey AS station_line, r_name AS facility_type FROM part, region WHERE (p_partkey + r_regionkey) % 3 = 0")
 book.add("jn08_scope", lambda a, b: R.scope_differences(a, b, "id"), ["SELECT p_partkey % 700 AS id FROM part", "SELECT c_custkey * 2 AS id FROM customer"], "SELECT DISTINCT p_partkey % 700 AS id, 'OUT_OF_SCOPE' AS reason FROM part WHERE p_partkey % 700 NOT IN (SELECT c_custkey * 2 FROM customer) UNION ALL SELECT c_custkey * 2, 'NO_ROWS' FROM customer WHERE c_custkey * 2 NOT IN (SELECT p_partkey % 700 FROM part)")
-EE = "SELECT l_orderkey * 10 + l_linenumber AS edge_id, CASE WHEN l_linenumber % 2 = 0 THEN concat(l_suppkey, '') ELSE concat(l_suppkey, ':', l_returnflag) END AS from_node, CASE WHEN l_linenumber % 3 = 0 THEN concat(l_suppkey, '') ELSE concat(l_suppkey + l_linenumber % 4, ':', l_returnflag) END AS to_node, CASE l_linestatus WHEN 'O' THEN 'ENTRY' ELSE 'EXIT' END AS edge_type FROM lineitem WHERE l_orderkey % 8 = 0"
+EE = "SELECT l_orderkey * 10 + l_linenumber AS edge_id, CASE WHEN l_linenumber % 2 = 0 THEN concat(l_suppkey, '') ELSE concat(l_suppkey, ':', l_returnflag) END AS from_node, CASE WHEN l_linenumber % 3 = 0 THEN concat(l_suppkey, '') ELSE concat(l_suppkey + l_linenumber % 4, ':', l_returnflag) END AS to_node, CASE l_linestatus WHEN 'O' THEN 'ENTRY' ELSE 'EXIT' END AS edge_type FROM lineitem"
 SLN = "SELECT DISTINCT l_suppkey AS station_id, l_returnflag AS line_id FROM lineitem WHERE l_suppkey % 11 > 0"
 book.add("jn09_endpoints", R.endpoint_violations, [EE, SLN], f"""WITH e AS ({EE}), s AS ({SLN}), n AS (SELECT DISTINCT concat(station_id, ':', line_id) AS node, 'LINE' AS kind FROM s UNION SELECT concat(station_id, ''), 'STATION' FROM s), j AS (SELECT e.*, a.kind AS fk, b.kind AS tk, split_part(from_node, ':', 1) = split_part(to_node, ':', 1) AS same FROM e LEFT JOIN n a ON a.node = from_node LEFT JOIN n b ON b.node = to_node)
   SELECT edge_id, 'UNKNOWN_FROM' AS reason FROM j WHERE fk IS NULL UNION ALL SELECT edge_id, 'UNKNOWN_TO' FROM j WHERE tk IS NULL UNION ALL SELECT edge_id, 'BAD_ENTRY' FROM j WHERE edge_type = 'ENTRY' AND NOT (fk = 'STATION' AND tk = 'LINE' AND same) UNION ALL SELECT edge_id, 'BAD_EXIT' FROM j WHERE edge_type = 'EXIT' AND NOT (fk = 'LINE' AND tk = 'STATION' AND same)""")
@@ -55,10 +55,10 @@ book.add("jn22_allow_list", lambda a, b: R.not_listed(a, b, "from_node", "to_nod
 book.add("jn23_work_plan", lambda s, d: R.work_plan(s, ["01", "02", "03"], ["U", "D"], d, 50), ["SELECT p_partkey AS station_id FROM part", "SELECT p_partkey AS station_id, '02' AS day_type, 'U' AS direction FROM part WHERE p_size % 3 = 0"], """WITH f AS (SELECT p_partkey AS station_id, d AS day_type, r AS direction FROM part, (VALUES ('01'), ('02'), ('03')) a(d), (VALUES ('U'), ('D')) b(r) WHERE NOT (d = '02' AND r = 'U' AND p_size % 3 = 0))
   SELECT *, ceil(row_number() OVER (ORDER BY station_id, day_type, direction) / 50.0)::BIGINT AS batch FROM f""")
 book.add("jn24_search_plan", R.search_plan, ["SELECT p_partkey AS line_id, p_size % 2 = 0 AS active FROM part", "SELECT n_name AS domain FROM nation", "SELECT p_partkey AS line_id, n_name AS domain FROM part JOIN nation ON p_partkey % 25 <> n_nationkey", "SELECT n_name AS domain, r_name AS term FROM nation JOIN region ON r_regionkey <= n_regionkey"], "SELECT p_partkey AS line_id, n_name AS domain, r_name AS term FROM part JOIN nation ON p_partkey % 25 = n_nationkey AND p_size % 2 = 0 JOIN region ON r_regionkey <= n_regionkey")
-PB = ["SELECT DISTINCT l_suppkey AS station_id, l_returnflag AS from_line, l_linestatus AS to_line, l_linenumber * 60 AS seconds FROM lineitem WHERE l_orderkey % 20 = 0", "SELECT l_suppkey AS station_id, l_linestatus AS from_line, l_returnflag AS to_line FROM lineitem WHERE l_suppkey % 4 = 0 AND l_returnflag = 'N'", "SELECT s_suppkey AS station_id, 'A' AS line_id, concat('pA', s_suppkey) AS node FROM supplier UNION ALL SELECT s_suppkey AS station_id, 'F' AS line_id, concat('pF', s_suppkey) AS node FROM supplier WHERE s_suppkey % 2 = 0"]
+PB = ["SELECT DISTINCT l_suppkey AS station_id, l_returnflag AS from_line, l_linestatus AS to_line, l_linenumber * 60 AS seconds FROM lineitem", "SELECT l_suppkey AS station_id, l_linestatus AS from_line, l_returnflag AS to_line FROM lineitem WHERE l_suppkey % 4 = 0 AND l_returnflag = 'N'", "SELECT s_suppkey AS station_id, 'A' AS line_id, concat('pA', s_suppkey) AS node FROM supplier UNION ALL SELECT s_suppkey AS station_id, 'F' AS line_id, concat('pF', s_suppkey) AS node FROM supplier WHERE s_suppkey % 2 = 0"]
 book.add("jn25_pathway_baseline", R.pathway_baseline, PB, f"""WITH p AS ({PB[0]}), x AS ({PB[1]}), f AS ({PB[2]}), n AS (SELECT * FROM p WHERE NOT EXISTS (SELECT 1 FROM x WHERE x.station_id = p.station_id AND least(x.from_line, x.to_line) = least(p.from_line, p.to_line) AND greatest(x.from_line, x.to_line) = greatest(p.from_line, p.to_line)))
   SELECT n.*, a.node AS from_node, b.node AS to_node, CASE WHEN a.node IS NULL OR b.node IS NULL THEN 'NO_PLATFORM_NODE' END AS reason FROM n LEFT JOIN f a ON a.station_id = n.station_id AND a.line_id = from_line LEFT JOIN f b ON b.station_id = n.station_id AND b.line_id = to_line""")
-book.add("jn26_od_matrix", R.od_matrix, ["SELECT s_suppkey AS station_id FROM supplier WHERE s_suppkey <= 100"], "SELECT a.s_suppkey AS origin, b.s_suppkey AS destination FROM supplier a, supplier b WHERE a.s_suppkey <> b.s_suppkey AND a.s_suppkey <= 100 AND b.s_suppkey <= 100")
+book.add("jn26_od_matrix", R.od_matrix, ["SELECT s_suppkey AS station_id FROM supplier"], "SELECT a.s_suppkey AS origin, b.s_suppkey AS destination FROM supplier a, supplier b WHERE a.s_suppkey <> b.s_suppkey")
 ND = ["SELECT c_custkey AS node_id, concat('n', c_custkey % 80) AS name, concat('L', c_nationkey % 4) AS line_id FROM customer", "SELECT concat('n', s_suppkey % 60) AS name, s_suppkey AS station_id, concat('L', s_nationkey % 4) AS line_id FROM supplier"]
 book.add("jn27_assign_nodes", R.assign_nodes, ND, f"WITH n AS ({ND[0]}), s AS ({ND[1]}) SELECT node_id, station_id, coalesce(s.line_id = n.line_id, false) AS on_line FROM n LEFT JOIN s USING (name) QUALIFY row_number() OVER (PARTITION BY node_id ORDER BY CASE WHEN s.line_id = n.line_id THEN 0 ELSE 1 END, station_id NULLS LAST) = 1")
 book.add("jn27_spread", lambda d: R.spread_violations(d, 500.0).withColumn("spread", F.round("spread", 6)), ["SELECT station_id % 150 AS station_id, x, y FROM v_positions"], "WITH b AS (SELECT station_id % 150 AS station_id, sqrt(power(max(x) - min(x), 2) + power(max(y) - min(y), 2)) AS spread FROM v_positions GROUP BY 1) SELECT station_id, round(spread, 6) AS spread FROM b WHERE spread > 500")

@@ -22,7 +22,7 @@ UP = "SELECT l_returnflag AS line_id, l_suppkey % 30 AS from_station, l_partkey
 _UP = f"u AS ({UP}), p AS (SELECT line_id, least(from_station, to_station) AS a, greatest(from_station, to_station) AS b, coalesce(max(nullif(distance_m, 0)), 0) AS distance_m, count(DISTINCT nullif(distance_m, 0)) > 1 AS conflict, string_agg(DISTINCT branch, ',' ORDER BY branch) AS branches FROM u GROUP BY 1, 2, 3)"
 book.add("wn08_undirected_upsert", G.undirected_upsert, [UP], f"WITH {_UP} SELECT * FROM p")
 book.add("wn08_both_ways", lambda d: G.both_ways(G.undirected_upsert(d)), [UP], f"WITH {_UP} SELECT line_id, a AS from_station, b AS to_station, distance_m FROM p UNION ALL SELECT line_id, b, a, distance_m FROM p")
-TR = "SELECT l_suppkey AS station_id, l_linenumber AS from_line, CAST(l_partkey % 7 + 1 AS INT) AS to_line, CAST(l_quantity AS INT) AS seconds FROM lineitem WHERE l_linenumber <> l_partkey % 7 + 1 AND l_orderkey % 3 = 0"
+TR = "SELECT l_suppkey AS station_id, l_linenumber AS from_line, CAST(l_partkey % 7 + 1 AS INT) AS to_line, CAST(l_quantity AS INT) AS seconds FROM lineitem WHERE l_linenumber <> l_partkey % 7 + 1"
 book.add("wn19_direction_pairs", G.direction_pairs, [TR], f"""WITH t AS ({TR}), o AS (SELECT station_id, from_line, to_line, min(seconds) AS s FROM t GROUP BY 1, 2, 3)
   SELECT o.station_id, o.from_line, o.to_line, o.s AS forward_seconds, r.s AS reverse_seconds, coalesce(o.s <> r.s, false) AS mismatch FROM o LEFT JOIN o r ON r.station_id = o.station_id AND r.from_line = o.to_line AND r.to_line = o.from_line WHERE o.from_line < o.to_line OR r.s IS NULL""")
 book.add("wn20_insert_at", lambda d: G.insert_at(d, "Brand#11", 40, 999_999), [LINES], "SELECT p_brand AS line_id, p_partkey AS station_id, CASE WHEN p_brand = 'Brand#11' AND p_partkey >= 40 THEN p_partkey + 1 ELSE p_partkey END AS seq FROM part UNION ALL SELECT 'Brand#11', 999999, 40")
@@ -30,12 +30,12 @@ NAMED = "SELECT p_brand AS line_id, p_partkey AS station_id, p_name AS name, p_p
 NEWER = "SELECT p_brand AS line_id, p_partkey AS station_id, CASE WHEN p_partkey % 23 = 0 THEN 'new' ELSE p_name END AS name, CASE WHEN p_size < 25 THEN -p_partkey ELSE p_partkey END AS seq FROM part"
 book.add("wn21_same_neighbours", G.same_neighbours, [NAMED, NEWER], f"""WITH o AS (SELECT line_id, station_id, lag(name) OVER w AS a, lead(name) OVER w AS b FROM ({NAMED}) WINDOW w AS (PARTITION BY line_id ORDER BY seq)), n AS (SELECT line_id, station_id, lag(name) OVER w AS c, lead(name) OVER w AS d FROM ({NEWER}) WINDOW w AS (PARTITION BY line_id ORDER BY seq))
   SELECT line_id, station_id, (a IS NOT DISTINCT FROM c AND b IS NOT DISTINCT FROM d) OR (a IS NOT DISTINCT FROM d AND b IS NOT DISTINCT FROM c) AS same FROM o JOIN n USING (line_id, station_id)""")
-RIDES = "SELECT l_orderkey * 10 + l_linenumber AS edge_id, l_returnflag AS line_id, l_suppkey AS from_station, l_suppkey + l_linenumber AS to_station, CAST(l_quantity AS INT) * 4 AS seconds, CAST(l_quantity AS INT) * l_linenumber * 20 AS metres, CASE WHEN l_linestatus = 'O' THEN 'LOCAL' ELSE 'EXPRESS' END AS pattern FROM lineitem WHERE l_orderkey % 5 = 0"
+RIDES = "SELECT l_orderkey * 10 + l_linenumber AS edge_id, l_returnflag AS line_id, l_suppkey AS from_station, l_suppkey + l_linenumber AS to_station, CAST(l_quantity AS INT) * 4 AS seconds, CAST(l_quantity AS INT) * l_linenumber * 20 AS metres, CASE WHEN l_linestatus = 'O' THEN 'LOCAL' ELSE 'EXPRESS' END AS pattern FROM lineitem"
 ON = "SELECT DISTINCT l_returnflag AS line_id, l_suppkey AS station_id, l_suppkey AS seq FROM lineitem WHERE l_suppkey % 9 > 0"
 book.add("gr01_edge_audit", G.edge_audit, [RIDES, ON], f"""WITH r AS ({RIDES}), o AS ({ON}), e AS (SELECT r.*, a.seq AS s, b.seq AS t FROM r LEFT JOIN o a ON a.line_id = r.line_id AND a.station_id = from_station LEFT JOIN o b ON b.line_id = r.line_id AND b.station_id = to_station)
   SELECT edge_id, 'SPEED_OUT_OF_RANGE' AS reason FROM e WHERE seconds > 0 AND NOT (metres / seconds * 3.6::DOUBLE BETWEEN 15 AND 110) UNION ALL SELECT edge_id, 'LOCAL_OFF_LINE' FROM e WHERE pattern = 'LOCAL' AND (s IS NULL OR t IS NULL)
   UNION ALL SELECT edge_id, 'LOCAL_NOT_ADJACENT' FROM e WHERE pattern = 'LOCAL' AND abs(s - t) <> 1 UNION ALL SELECT edge_id, 'EXPRESS_ADJACENT' FROM e WHERE pattern = 'EXPRESS' AND abs(s - t) = 1""")
-SL = "SELECT DISTINCT l_returnflag || l_linestatus AS line_id, l_suppkey AS station_id FROM lineitem WHERE l_orderkey % 7 = 0"
+SL = "SELECT DISTINCT l_returnflag || l_linestatus AS line_id, l_suppkey AS station_id FROM lineitem"
 book.add("gr02_generated_transfers", G.generated_transfers, [SL], f"WITH s AS ({SL}), b AS (SELECT * FROM s WHERE line_id IN (SELECT line_id FROM s GROUP BY 1 HAVING count(*) > 1)) SELECT a.station_id, a.line_id AS from_line, b.line_id AS to_line FROM b a JOIN b ON a.station_id = b.station_id AND a.line_id <> b.line_id")
 book.add("gr03_isolated", G.isolated_nodes, ["v_nodes", "v_edges"], "SELECT node FROM v_nodes WHERE node NOT IN (SELECT from_node FROM v_edges UNION SELECT to_node FROM v_edges)")
 book.add("gr04_unreachable", G.unreachable_pairs, ["v_nodes", "v_edges"], """WITH RECURSIVE r(source, node) AS (SELECT from_node, to_node FROM v_edges UNION SELECT source, to_node FROM r JOIN v_edges ON node = from_node)

@@ -31,3 +31,20 @@ def test_edges_are_all_consecutive_stops(spark):
     assert rows(view(spark, SF, "SELECT from_node, to_node FROM v_edges")) == sorted(found)
     nodes = {r["node"] for r in view(spark, SF, "SELECT node FROM v_nodes").collect()}
     assert len(nodes) == 5 * table(spark, "supplier").count() and nodes > {n for e in found for n in e}
+
+
+def test_main_inputs(spark):
+    from railtable.plans import q_quality, q_reconcile, q_topology
+
+    n = {t: table(spark, t).count() for t in ("lineitem", "events", "supplier")}
+    for name, sql in {"gr01": q_topology.RIDES, "jn07": q_reconcile.RAWE, "jn09": q_reconcile.EE}.items():
+        assert view(spark, SF, sql).count() == n["lineitem"], name
+    assert view(spark, SF, q_topology.TR).count() == table(spark, "lineitem").where("l_linenumber <> l_partkey % 7 + 1").count()
+    assert view(spark, SF, q_topology.SL).count() == table(spark, "lineitem").select("l_returnflag", "l_linestatus", "l_suppkey").distinct().count()
+    assert view(spark, SF, q_reconcile.PB[0]).count() == table(spark, "lineitem").select("l_suppkey", "l_returnflag", "l_linestatus", "l_linenumber").distinct().count()
+    assert view(spark, SF, q_quality.FAC).count() == n["events"]
+    facilities, horizon = q_quality.QUERIES["ag10_facility_counts"](spark, SF), q_quality.QUERIES["ag25_evidence_horizon"](spark, SF)
+    assert facilities.groupBy().sum("n").first()[0] == table(spark, "events").where("event_id % 21 > 0 AND event_type IN ('click', 'view', 'purchase', 'lift')").count()
+    assert horizon.groupBy().sum("missing").first()[0] == table(spark, "events").where("event_id % 70 = 0").count()
+    od = q_reconcile.QUERIES["jn26_od_matrix"](spark, SF)
+    assert od.count() == n["supplier"] * (n["supplier"] - 1)
