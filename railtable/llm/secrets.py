@@ -18,12 +18,15 @@ from pyspark.sql import functions as F
 
 from railtable.llm.common import bounded_ids
 
-#: A candidate: a run of token characters with a digit, or a long one without.
-CANDIDATE = re.compile(r"[A-Za-z0-9_+/=.\-:@]{12,}")
+#: A candidate: a run of token characters with a digit, or a long one without. '=' is taken as padding at its end only.
+CANDIDATE = re.compile(r"[A-Za-z0-9_+/.\-@]{12,}+(?:={1,2}(?![\"'=]?[A-Za-z0-9_+/.\-@]))?")
 LONG = 24
-#: Names that stand before a credential, and the assignment between.
+#: Names that stand before a credential; in an identifier they are whole parts (client_secret, apiKey), some its end (authtoken).
 KEY_NAMES = ("token", "secret", "password", "passwd", "api_key", "apikey", "access_key", "private_key", "auth", "credential")
-ASSIGNED = re.compile(r"(?i)\b(?:" + "|".join(KEY_NAMES) + r")\b[\"']?\s*[:=]+>?\s*[\"']?$")
+KEY_PART = re.compile(r"_(?:" + "|".join(KEY_NAMES) + r"|[a-z]+(?:token|secret|password|passwd|apikey))s?\d*_")
+#: A name and the assignment behind it, and the value there: a quoted string, or a run without spaces up to the next field of a query.
+ASSIGNMENT = re.compile(r"(?<![\w.\-])([\w.\-]++)[\"'\])]{0,3}+\s*+[:=]++>?\s*+(?:(?i:bearer|basic)\s++)?")
+QUOTED, BARE = re.compile(r"([\"'`])((?:(?!\1)[^\n\\]|\\.){6,200})\1"), re.compile(r"[\"'`]?((?:(?![&;,][\w.\-]+=)\S){6,})")
 #: Bounds of what is fitted on: findings of each label, and texts and entries of the dictionary.
 FINDINGS, DICTIONARY_TEXTS, DICTIONARY_WORDS = 5000, 1000, 3000
 TREES, LEVELS, SEED = 20, 6, 11
@@ -38,6 +41,44 @@ def kind_of(c: str) -> str:
     return "d" if c.isdigit() else "u" if c.isupper() else "l" if c.isalpha() else "s"
 
 
+def is_key(name: str) -> bool:
+    """Does an identifier name a credential: GITHUB_TOKEN, clientSecret, db.password2; not tokenizer or author?"""
+    parts = re.split(r"[^a-z0-9]+", re.sub(r"(?<=[a-z0-9])(?=[A-Z])", "_", name).lower())
+    return KEY_PART.search("_" + "_".join(parts) + "_") is not None
+
+
+def candidates(text: str) -> Iterator[tuple[int, str, bool]]:
+    """(start, candidate, assigned): the values behind key names, and the other candidates beside them, in order of start."""
+    spans: list[tuple[int, str]] = []
+    end = 0
+    for m in ASSIGNMENT.finditer(text):
+        if m.end() < end or not is_key(m.group(1)):
+            continue
+        if v := QUOTED.match(text, m.end()):
+            at, value = v.start(2), v.group(2)
+        elif v := BARE.match(text, m.end()):
+            at, value = v.start(1), v.group(1).rstrip(".,;)]}>\"'`")
+            if len(value) < 6 or value[0] in "{[(":
+                continue
+        else:
+            continue
+        spans.append((at, value))
+        end = at + len(value)
+    k = 0
+    for m in CANDIDATE.finditer(text):
+        c = m.group()
+        if c[-1] == "=" and len(c) % 4:  # not the padding of base64
+            c = c.rstrip("=")
+        while k < len(spans) and spans[k][0] + len(spans[k][1]) <= m.start():
+            yield *spans[k], True
+            k += 1
+        inside = k < len(spans) and spans[k][0] < m.start() + len(c)
+        if not inside and (len(c) >= LONG or any(map(str.isdigit, c))):
+            yield m.start(), c, False
+    for at, value in spans[k:]:
+        yield at, value, True
+
+
 def features(candidate: str, before: str, after: str, path: str, dictionary: frozenset[str]) -> list[float]:
     """The numbers of FEATURES: of the candidate itself, its path, and the words on both sides."""
     n, kinds = len(candidate), "".join(map(kind_of, candidate))
@@ -73,11 +114,9 @@ def scan(docs: DataFrame, dictionary: list[str], id_col: str = "doc_id", text_co
             out: list[list] = []
             for doc, text, path in zip(batch.column(0).to_pylist(), batch.column(1), batch.column(2).to_pylist(), strict=True):
                 text = text.as_py() or ""
-                for m in CANDIDATE.finditer(text):
-                    c = m.group()
-                    if len(c) >= LONG or any(map(str.isdigit, c)):
-                        before, after = text[max(0, m.start() - 60) : m.start()], text[m.end() : m.end() + 40]
-                        out.append([doc, m.start(), c, bool(ASSIGNED.search(before)), *features(c, before, after, path or "", words)])
+                for start, c, assigned in candidates(text):
+                    before, after = text[max(0, start - 60) : start], text[start + len(c) : start + len(c) + 40]
+                    out.append([doc, start, c, assigned, *features(c, before, after, path or "", words)])
                 if len(out) > 20_000:
                     yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in out], t.type) for k, t in enumerate(shape)], schema=shape)
                     out = []
@@ -120,7 +159,9 @@ def judge(found: DataFrame, model: PipelineModel | None) -> DataFrame:
 
 def weak_labels(found: DataFrame) -> DataFrame:
     """Findings labelled by rule, where nobody has labelled any: a dense random-looking value that a key name is assigned
-    to is a secret; a value without one is not. Assigned values that do not look random stay unlabelled."""
+    to is a secret; one without a key name that does not look random, or has no letters, is not. All others (assigned but
+    not random, random but not assigned) stay unlabelled, and the forest alone judges them."""
     random = (F.col("entropy") >= 3.0) & (F.col("known") < 0.5) & (F.col("length") >= 16)
-    label = F.when(F.col("assigned") & random, 1).when(~F.col("assigned"), 0)
+    letters = F.col("candidate").rlike("[A-Za-z]")
+    label = F.when(F.col("assigned") & random, 1).when(~F.col("assigned") & ~(random & letters), 0)
     return found.withColumn("label", label).where("label IS NOT NULL")

@@ -324,6 +324,24 @@ def test_secrets(spark):
     assert secrets.judge(found, None).where("is_secret").count() > 0
 
 
+def test_secret_forms():
+    value = "04dbA9f2c7E1b8d36f50"
+    for form in ["token={}", "token: {}", "GITHUB_TOKEN={}", "AWS_SECRET_ACCESS_KEY={}", "aws_secret_access_key = {}", 'client_secret: "{}"', '{{"apiKey":"{}"}}', "https://h/p?page=1&authtoken={}&secret=x1y2z3w4", 'cfg["db.password2"] = \'{}\'', "--auth-token={}", "auth: Bearer {}"]:
+        text = "x " + form.format(value) + " y"
+        assert (text.index(value), value, True) in list(secrets.candidates(text)), form
+    assert list(secrets.candidates('password = "Tr0ub4dor&3"')) == [(12, "Tr0ub4dor&3", True)]
+    assert list(secrets.candidates("passwd: hunter2, then")) == [(8, "hunter2", True)]
+    assert [c[1:] for c in secrets.candidates("p?token=abcdef1&client_secret=uvwxyz2")] == [("abcdef1", True), ("uvwxyz2", True)]
+    for text in [f"tokenizer = {value}", f"author: {value}", f"see {value} there"]:
+        assert [c[1:] for c in secrets.candidates(text)] == [(value, False)]
+    assert [c[1] for c in secrets.candidates("x AAECAwQFBgcICQoLDA0ODw== y, SOME_LONG_NAME_12=1")] == ["AAECAwQFBgcICQoLDA0ODw==", "SOME_LONG_NAME_12"]
+
+
+def test_unassigned_random_values_are_no_negatives(spark):
+    docs = spark.createDataFrame([(1, "see 04dbA9f2c7E1b8d36f50 there"), (2, "token=04dbA9f2c7E1b8d36f50"), (3, "at 4000123412341234 or")], "doc_id long, text string")
+    assert sorted((r["doc_id"], r["label"]) for r in secrets.weak_labels(secrets.scan(docs, [])).collect()) == [(2, 1), (3, 0)]
+
+
 @data
 @pytest.mark.parametrize("name", sorted(queries.ORACLES))
 def test_oracle(spark, name):
