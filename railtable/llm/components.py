@@ -35,5 +35,7 @@ def connected_components(edges: DataFrame, rounds: int = 60) -> DataFrame:
         if now == before:
             break
         before = now
+    else:
+        raise RuntimeError(f"no fixed point after {rounds} rounds")
     own = e.select(F.col("u").alias("node"), F.col("v").alias("component"))
     return own.unionByName(own.select(F.col("component").alias("node"), "component").distinct())

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import itertools
 import tempfile
+from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -18,6 +20,12 @@ def _cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def _turns(rounds: int | None) -> Iterator[int]:
+    """Counts without end; a bound that a loop meets before its fixed point is an error, never a shorter result."""
+    yield from itertools.count() if rounds is None else range(rounds)
+    raise RuntimeError(f"no fixed point after {rounds} rounds")
+
+
 def adjacent_edges(stations: DataFrame) -> DataFrame:
     """WN-5: (line_id, station_id, seq) to edges between neighbours, in both directions."""
     w = Window.partitionBy("line_id").orderBy("seq", "station_id")
@@ -109,19 +117,18 @@ def isolated_nodes(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     return nodes.select("node").distinct().join(ends, "node", "left_anti")
 
 
-def reachable(edges: DataFrame, rounds: int = 10_000) -> DataFrame:
+def reachable(edges: DataFrame, rounds: int | None = None) -> DataFrame:
     """GR-4: all (source, node) with a directed path, the source itself left out unless on a cycle. A frontier loop: each round extends the
     pairs found last by one edge and keeps the new ones; lineage is cut each round and only their number comes back."""
     e = edges.select("from_node", "to_node").distinct()
     seen = _cut(e.select(F.col("from_node").alias("source"), F.col("to_node").alias("node")))
     frontier = seen
-    for _ in range(rounds):
+    for _ in _turns(rounds):
         nxt = frontier.join(e, F.col("node") == F.col("from_node")).select("source", F.col("to_node").alias("node")).distinct().join(seen, ["source", "node"], "left_anti")
         frontier = _cut(nxt)
         if frontier.isEmpty():
             return seen
         seen = _cut(seen.unionByName(frontier))
-    return seen
 
 
 def unreachable_pairs(nodes: DataFrame, edges: DataFrame) -> DataFrame:
@@ -131,21 +138,20 @@ def unreachable_pairs(nodes: DataFrame, edges: DataFrame) -> DataFrame:
     return pairs.join(reachable(edges), ["source", "node"], "left_anti")
 
 
-def components(edges: DataFrame, nodes: DataFrame, rounds: int = 200) -> DataFrame:
+def components(edges: DataFrame, nodes: DataFrame, rounds: int | None = None) -> DataFrame:
     """GR-5: (node, component): the smallest node reachable, directions ignored. Labels spread to neighbours and then jump to their
     label's label, so long chains take few rounds."""
     both = edges.select("from_node", "to_node").unionByName(edges.select(F.col("to_node").alias("from_node"), F.col("from_node").alias("to_node"))).distinct()
     both = _cut(both)
     labels = _cut(nodes.select("node", F.col("node").alias("component")).distinct())
-    for _ in range(rounds):
+    for _ in _turns(rounds):
         near = both.join(labels, F.col("from_node") == F.col("node")).groupBy("to_node").agg(F.min("component").alias("c"))
         step = labels.join(near, F.col("node") == F.col("to_node"), "left").select("node", F.least("component", F.coalesce("c", "component")).alias("component"), F.col("component").alias("old"))
         up = step.select(F.col("node").alias("component"), F.col("component").alias("above"))
         nxt = _cut(step.join(up, "component", "left").select("node", F.least("component", F.coalesce("above", "component")).alias("component"), "old"))
         labels = nxt.select("node", "component")
         if nxt.where("component <> old").isEmpty():
-            break
-    return labels
+            return labels
 
 
 def service_edges(stops: DataFrame) -> DataFrame:
@@ -200,17 +206,18 @@ def lineage_heads(snapshots: DataFrame) -> DataFrame:
     return snapshots.join(snapshots.select(F.col("previous_id").alias("p")).where("p IS NOT NULL").distinct(), F.col("snapshot_id") == F.col("p"), "left_anti").select("source_id", "snapshot_id")
 
 
-def ancestors(snapshots: DataFrame, used: DataFrame, rounds: int = 1000) -> DataFrame:
-    """GR-11: the used snapshots and all that lead to them: a frontier loop over the previous links."""
-    links = snapshots.select("snapshot_id", "previous_id").where("previous_id IS NOT NULL")
+def ancestors(snapshots: DataFrame, used: DataFrame, rounds: int | None = None) -> DataFrame:
+    """GR-11: the used snapshots and all that lead to them. Links are joined with themselves, so round k reaches 2^k links back and
+    rounds grow with the logarithm of the longest chain; a round that finds nothing new ends it, also on a cycle."""
+    links = _cut(snapshots.select("snapshot_id", "previous_id").where("previous_id IS NOT NULL").distinct())
     seen = _cut(used.select("snapshot_id").distinct())
-    frontier = seen
-    for _ in range(rounds):
-        frontier = _cut(frontier.join(links, "snapshot_id").select(F.col("previous_id").alias("snapshot_id")).distinct().join(seen, "snapshot_id", "left_anti"))
-        if frontier.isEmpty():
+    for _ in _turns(rounds):
+        new = _cut(seen.join(links, "snapshot_id").select(F.col("previous_id").alias("snapshot_id")).distinct().join(seen, "snapshot_id", "left_anti"))
+        if new.isEmpty():
             return seen
-        seen = _cut(seen.unionByName(frontier))
-    return seen
+        seen = _cut(seen.unionByName(new))
+        far = links.select(F.col("snapshot_id").alias("previous_id"), F.col("previous_id").alias("far"))
+        links = _cut(links.join(far, "previous_id").select("snapshot_id", F.col("far").alias("previous_id")).distinct())
 
 
 def node_degrees(edges: DataFrame, limit: int = 8) -> DataFrame:

@@ -324,6 +324,13 @@ def test_secrets(spark):
     assert secrets.judge(found, None).where("is_secret").count() > 0
 
 
+def test_unfinished_components_are_an_error(spark):
+    chain = spark.range(40).select(F.col("id").alias("a"), (F.col("id") + 1).alias("b"))
+    assert {r["component"] for r in connected_components(chain).collect()} == {0}
+    with pytest.raises(RuntimeError, match="no fixed point"):
+        connected_components(chain, 1)
+
+
 def test_secret_forms():
     value = "04dbA9f2c7E1b8d36f50"
     for form in ["token={}", "token: {}", "GITHUB_TOKEN={}", "AWS_SECRET_ACCESS_KEY={}", "aws_secret_access_key = {}", 'client_secret: "{}"', '{{"apiKey":"{}"}}', "https://h/p?page=1&authtoken={}&secret=x1y2z3w4", 'cfg["db.password2"] = \'{}\'', "--auth-token={}", "auth: Bearer {}"]:

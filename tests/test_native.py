@@ -111,6 +111,19 @@ def test_graph(spark):
     assert rows(topology.ancestors(s, s.where("snapshot_id = 2"))) == [(1,), (2,)]
 
 
+def test_loops_end_at_the_fixed_point_or_fail(spark):
+    chain = spark.range(1, 1501).select(F.col("id").alias("snapshot_id"), F.when(F.col("id") > 1, F.col("id") - 1).alias("previous_id"))
+    assert rows(topology.ancestors(chain, chain.where("snapshot_id = 1400"))) == [(k,) for k in range(1, 1401)]
+    ring = spark.createDataFrame([(1, 2), (2, 3), (3, 1), (9, 1)], "snapshot_id long, previous_id long")
+    assert rows(topology.ancestors(ring, ring.where("snapshot_id = 2"))) == [(1,), (2,), (3,)]
+    e = spark.createDataFrame([(k, k + 1) for k in range(6)], "from_node int, to_node int")
+    n = spark.createDataFrame([(k,) for k in range(7)], "node int")
+    assert topology.reachable(e).count() == 21 and rows(topology.components(e, n)) == [(k, 0) for k in range(7)]
+    for loop in (lambda: topology.ancestors(chain, chain, 0), lambda: topology.ancestors(chain, chain.where("snapshot_id = 9"), 2), lambda: topology.reachable(e, 2), lambda: topology.components(e, n, 1)):
+        with pytest.raises(RuntimeError, match="no fixed point"):
+            loop()
+
+
 def test_roster(spark):
     roster = spark.createDataFrame([(1, "서울역", ["서울(경부)"], "l1", "1호선"), (1, "서울역", None, "l4", "4호선"), (2, "시청", None, "l1", "1호선"), (3, "시청", None, "l2", "2호선")], "station_id int, name string, aliases array<string>, line_id string, line_name string")
     raw = spark.createDataFrame([(1, "서울", "4호선"), (2, "시청", "1호선"), (3, "없음", "1호선"), (4, "서울", "9호선")], "row_id int, raw_name string, raw_line string")
