@@ -17,8 +17,8 @@ from railtable.llm.common import bounded_ids, crc_mod
 VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 #: Texts of each language that piece counts are taken from (those with the smallest hashes).
 TEXTS = 1500
-#: Longest piece in bytes that is kept, and weight of the pooled distribution in each language's.
-LONGEST, POOLED = 16, 2000.0
+#: Weight of the pooled distribution in each language's.
+POOLED = 2000.0
 #: Words of up to so many bytes share one array of plain probabilities; longer ones are rescaled step by step.
 PLAIN = 40
 BLOCK = 4 << 20
@@ -28,7 +28,7 @@ _U = np.uint64
 
 def pieces(model_file: str = VOCABULARY) -> dict[bytes, list[int]]:
     """The vocabulary as bytes -> ids: the word mark is a leading space, byte pieces are their byte. Pieces with a
-    space elsewhere, control pieces and very long ones never occur in a word and are left out."""
+    space elsewhere and control pieces never occur in a word and are left out."""
     import sentencepiece
 
     sp = sentencepiece.SentencePieceProcessor(model_file=model_file)
@@ -37,7 +37,7 @@ def pieces(model_file: str = VOCABULARY) -> dict[bytes, list[int]]:
         if sp.is_control(k) or sp.is_unknown(k) or sp.is_unused(k):
             continue
         raw = bytes([int(sp.id_to_piece(k)[3:5], 16)]) if sp.is_byte(k) else sp.id_to_piece(k).replace("▁", " ").encode()
-        if raw and len(raw) <= LONGEST and b" " not in raw[1:]:
+        if raw and b" " not in raw[1:]:
             out.setdefault(raw, []).append(k)
     for b in range(256):
         out.setdefault(bytes([b]), [])
@@ -57,6 +57,7 @@ class Scorer:
 
     def __init__(self, model: Model):
         self.model = model
+        self.lengths = sorted({len(k) for k in model.keys})
         raw = b"".join(model.keys)
         off = np.concatenate([[0], np.cumsum([len(k) for k in model.keys])])
         hashes = vectext.word_hashes(np.frombuffer(raw, np.uint8), off[:-1], off[1:])
@@ -86,7 +87,7 @@ class Scorer:
     def words(self, buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
         """log P of each word in each language: the sum over all its segmentations, by the forward algorithm."""
         out = np.zeros((len(starts), len(self.model.langs)))
-        sizes = ends - starts
+        sizes, longest = ends - starts, max(self.lengths, default=0)
         sums = np.zeros(len(buf) + 1, _U)
         up, down = vectext._power(len(buf) + 1)
         np.cumsum(vectext._BYTE[buf] * up[: len(buf)], out=sums[1:], dtype=_U)
@@ -99,7 +100,7 @@ class Scorer:
                 shift = np.zeros((len(part), 1))
                 for e in range(1, n + 1):
                     total = np.zeros_like(alpha[0])
-                    for length in range(1, min(e, LONGEST) + 1):
+                    for length in (k for k in self.lengths if k <= e):
                         i = at + (e - length)
                         h = vectext.mix((sums[i + length] - sums[i]) * down[i] + _U(length))
                         p = self.find(h)
@@ -107,7 +108,7 @@ class Scorer:
                         if len(hit):
                             total[hit] += alpha[-length][hit] * self.probs[p[hit]]
                     alpha.append(total)
-                    if len(alpha) > LONGEST:
+                    if len(alpha) > longest:
                         alpha.pop(0)
                     if n > PLAIN:
                         top = total.max(axis=1, keepdims=True)

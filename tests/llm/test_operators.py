@@ -324,6 +324,17 @@ def test_secrets(spark):
     assert secrets.judge(found, None).where("is_secret").count() > 0
 
 
+def test_long_pieces_count():
+    import numpy as np
+
+    assert max(map(len, langid.pieces())) > 16
+    word = " " + "международный"
+    keys = [word.encode(), *(bytes([b]) for b in range(256))]
+    m = langid.Model(["x"], np.zeros(1), keys, np.array([[0.5]] + [[0.5 / 256]] * 256))
+    buf = np.frombuffer(keys[0], np.uint8)
+    assert math.isclose(langid.Scorer(m).words(buf, np.array([0]), np.array([len(buf)]))[0, 0], math.log(0.5 + (0.5 / 256) ** len(buf)))
+
+
 def test_unfinished_components_are_an_error(spark):
     chain = spark.range(40).select(F.col("id").alias("a"), (F.col("id") + 1).alias("b"))
     assert {r["component"] for r in connected_components(chain).collect()} == {0}
