@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -26,16 +26,22 @@ def crc_mod(doc_id: Column, n: int) -> Column:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share; only where the session names none, as in tests, one of our own."""
-    found = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None)
-    if not found:
-        found = spark.sparkContext.getCheckpointDir()
+    """The folder that driver and executors share, as the session names it. Only where all run in one process (local mode)
+    a session without one gets a folder of its own; on a cluster that would be a folder the executors do not have."""
+    found = spark.sparkContext.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
         found = tempfile.mkdtemp(prefix="corpus-")
         spark.sparkContext.setCheckpointDir(found)
     return found.rstrip("/")
 
 
+def text_key(text: Column) -> Column:
+    """Tells the texts of one id apart: rows of equal id and key are repeated rows."""
+    return F.xxhash64(F.lit(5), text)
+
+
 def cut(df: DataFrame, name: str) -> DataFrame:
     """Writes df as a Parquet table in the shared folder and reads it back: later stages do not recompute
     it, and a lost executor costs no more than the tasks after it."""
@@ -56,14 +62,19 @@ def drop_cut(df: DataFrame) -> None:
 
 
 def bounded_ids(rows: DataFrame, id_col: str, limit: int, by: list[str] | None = None) -> DataFrame:
-    """At most `limit` ids (per group of `by`), those with the smallest hashes: a sample that does not
-    depend on partitioning. The result has a proven size, so callers may broadcast it."""
-    ranked = rows.select(id_col, *(by or [])).where(F.col(id_col).isNotNull()).withColumn("_h", F.xxhash64(F.lit(17), id_col))
-    if not by:
-        return ranked.orderBy("_h", id_col).limit(limit).drop("_h")
-    groups = [r[0] for r in ranked.select(by[0]).distinct().limit(1000).collect()]
-    parts = [ranked.where(F.col(by[0]).eqNullSafe(F.lit(g))).orderBy("_h", id_col).limit(limit).drop("_h") for g in groups]
-    out = parts[0] if parts else ranked.drop("_h").limit(0)
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    """At most `limit` ids (per group of `by`), those with the smallest hashes: a sample that does not depend on
+    partitioning, and of a proven size for a bounded number of groups. Ids whose hash is far from the smallest are left
+    out before the ranking (the count of a group says where), so a group of any size sends few rows to be ranked."""
+    keys = by or []
+    ranked = rows.select(id_col, *keys).where(F.col(id_col).isNotNull()).withColumn("_h", F.xxhash64(F.lit(17), id_col))
+    counts = ranked.groupBy(*keys).agg(F.count("*").alias("_n"))
+    share = F.lit(limit + 6.0 * limit**0.5) / F.col("_n")
+    unit = F.shiftrightunsigned("_h", 11) / F.lit(float(2**53))
+    joined = ranked
+    for k in keys:
+        counts = counts.withColumnRenamed(k, f"_by_{k}")
+    same = [F.col(k).eqNullSafe(F.col(f"_by_{k}")) for k in keys]
+    joined = ranked.join(counts, same) if keys else ranked.crossJoin(counts)  # without keys the other side is one row
+    few = joined.where(unit < share).select(id_col, *keys, F.shiftrightunsigned("_h", 11).alias("_h"))
+    place = F.row_number().over(Window.partitionBy(*keys).orderBy("_h", id_col))
+    return few.withColumn("_place", place).where(F.col("_place") <= limit).drop("_h", "_place")

@@ -2,18 +2,24 @@
 
 from __future__ import annotations
 
+import json
 import math
+import warnings
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from railtable.llm.common import bounded_ids, cut
+from railtable.llm.common import bounded_ids, cut, drop_cut, text_key
 
-#: Labelled texts of each domain that the classifier is fitted on, and letter runs of PIECE characters it looks for:
-#: those whose presence tells most about the domain.
-TEXTS, WORDS, PIECE = 400, 24, 3
+#: Bound of what the classifier is fitted on: labelled texts of each domain.
+TEXTS = 400
+#: Word pieces are counted in so many hash buckets, with so much added to each count.
+BUCKETS, ADDED = 8192, 0.2
+#: Calibration: how much of the summed evidence counts, and how much of the prior is mixed in; chosen on held-out labels.
+TEMPERS, FLOORS = (0.02, 0.05, 0.1, 0.2, 0.35, 0.6, 1.0), (1e-6, 1e-4, 1e-3, 5e-3, 0.01, 0.02, 0.05)
 #: Rounds of projected gradient at most, and the largest miss of a target, as a share of all tokens, that is good enough.
-ROUNDS, MISS = 60, 1e-4
+ROUNDS, MISS = 200, 1e-4
+SPACES = "[\\x20\\x09-\\x0D]+"
 
 
 def n_tokens(text: Column) -> Column:
@@ -21,68 +27,77 @@ def n_tokens(text: Column) -> Column:
     return F.regexp_count(F.coalesce(text, F.lit("")), F.lit("[^\\x20\\x09-\\x0D]+")).cast("long")
 
 
-def _lower(text: Column) -> Column:
-    return F.lower(F.coalesce(text, F.lit("")))
+def words(rows: DataFrame) -> DataFrame:
+    """A row for each word of the lower-cased text (white space parts words), with all other columns; at least one row a text,
+    whose word may be empty."""
+    rest = [c for c in rows.columns if c != "text"]
+    return rows.select(*rest, F.explode(F.split(F.lower(F.coalesce("text", F.lit(""))), SPACES)).alias("w"))
 
 
-def _pieces(text: Column) -> Column:
-    """The distinct runs of PIECE characters of a text: its characters zipped with themselves, shifted."""
-    chars = F.split(_lower(text), "")
-    out = chars
-    for k in range(1, PIECE):
-        out = F.zip_with(out, F.slice(chars, F.lit(k + 1), F.size(chars)), lambda a, b: F.concat(a, b))
-    return F.array_distinct(out)
+def buckets(word: Column) -> list[Column]:
+    """The hash buckets of a word's first and last three characters."""
+    return [F.pmod(F.xxhash64(F.lit(k), F.substring(word, at, 3)), F.lit(BUCKETS)).cast("int") for k, at in enumerate((1, -3))]
 
 
 class Classifier:
-    """Letter runs and, for each domain, the log odds of their presence and absence: a small table of numbers."""
-
-    def __init__(self, domains: list[str], words: list[str], prior: list[float], present: list[list[float]], absent: list[list[float]]):
-        self.domains, self.words, self.prior, self.present, self.absent = domains, words, prior, present, absent
-
-    def posteriors(self, text: Column, temper: float = 1.0) -> Column:
-        """array<double>: P(domain | which of the letter runs occur). One scan of the (lower-cased) text for each, no row made of it."""
-        seen = F.array(*[F.contains(text, F.lit(w)).cast("int") for w in self.words]) if self.words else F.array().cast("array<int>")
-        logs = []
-        for d in range(len(self.domains)):
-            on, off = F.array(*map(F.lit, self.present[d] or [0.0])), F.array(*map(F.lit, self.absent[d] or [0.0]))
-            logs.append(F.aggregate(F.transform(seen, lambda s, i: F.when(s == 1, F.get(on, i)).otherwise(F.get(off, i))), F.lit(self.prior[d]), lambda a, b: a + b) * temper)  # noqa: B023
-        return F.array(*logs)
-
-
-def softmax(logs: Column) -> Column:
-    e = F.transform(logs, lambda x: F.exp(x - F.array_max(logs)))
-    return F.transform(e, lambda x: x / F.aggregate(e, F.lit(0.0), lambda a, b: a + b))
-
-
-def train(docs: DataFrame, labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", texts: int = TEXTS, words: int = WORDS) -> Classifier:
-    """Fits presence odds on `labelled` (id, domain): up to `texts` texts a domain, those with the smallest hashes; priors
-    from all labelled ids. The letter runs are those with the largest mutual information with the domain. Null domains and
-    ids teach nothing; of several labels of an id the first by name counts."""
+    """Naive Bayes over counted word pieces. `odds` has for each domain but the first its log odds against the first, by bucket;
+    `temper` scales their sum over a text, and `floor` of the prior is mixed in, so that long texts do not saturate."""
+
+    def __init__(self, domains: list[str], prior: list[float], odds: list[list[float]], temper: float = 1.0, floor: float = 1e-6):
+        self.domains, self.prior, self.odds, self.temper, self.floor = domains, prior, odds, temper, floor
+
+    def evidence(self, rows: DataFrame) -> DataFrame:
+        """`rows` (text and others) with tokens and e, the summed log odds of the domains but the first. Words are counted as rows
+        inside a task and leave it as one row a text."""
+        keys = [c for c in rows.columns if c != "text"]
+        at = rows.select(F.monotonically_increasing_id().alias("_row"), *keys, "text")
+        said = words(at).select("_row", *keys, (F.col("w") != "").cast("int").alias("one"), *[b.alias(f"_b{k}") for k, b in enumerate(buckets(F.col("w")))])
+        # one literal a domain: parsed once, when the plan is optimised
+        odds = [F.from_json(F.lit(json.dumps([round(x, 4) for x in o])), "array<double>") for o in self.odds]
+        sums = [F.sum(F.when(F.col("one") == 1, F.get(o, F.col("_b0")) + F.get(o, F.col("_b1")))) for o in odds]
+        out = said.groupBy("_row", *keys).agg(F.sum("one").cast("long").alias("tokens"), *[s.alias(f"_e{k}") for k, s in enumerate(sums)])
+        return out.select(*keys, "tokens", F.array(*[F.coalesce(f"_e{k}", F.lit(0.0)) for k in range(len(odds))]).cast("array<double>").alias("e"))
+
+    def posteriors(self, e: Column, temper: float | None = None, floor: float | None = None) -> Column:
+        """array<double>: P(domain | text) from its evidence."""
+        temper, floor = self.temper if temper is None else temper, self.floor if floor is None else floor
+        logs = [F.lit(math.log(self.prior[0])), *[F.lit(math.log(self.prior[k])) + F.get(e, F.lit(k - 1)) * F.lit(temper) for k in range(1, len(self.domains))]]
+        top = F.greatest(*logs) if len(logs) > 1 else logs[0]
+        parts = [F.exp(x - top) for x in logs]
+        total = sum(parts[1:], parts[0])
+        return F.array(*[p / total * F.lit(1.0 - floor) + F.lit(floor * self.prior[k]) for k, p in enumerate(parts)])
+
+
+def train(docs: DataFrame, labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", texts: int = TEXTS) -> Classifier:
+    """Fits on `labelled` (id, domain): piece counts from three quarters of up to `texts` texts a domain (those with the smallest
+    hashes), temper and floor by the likelihood of the other quarter's labels; priors from all labelled ids. Null domains and ids
+    teach nothing; of several labels of an id the first by name counts. Numbers by domain and bucket reach the driver, no text."""
     known = labelled.select(F.col(id_col).alias("doc_id"), F.col("domain").cast("string").alias("domain")).where("doc_id IS NOT NULL AND domain IS NOT NULL").groupBy("doc_id").agg(F.min("domain").alias("domain"))
     known = cut(known, "labelled")
-    shares = {r["domain"]: r["count"] for r in known.groupBy("domain").count().orderBy("domain").limit(1000).collect()}
-    domains = sorted(shares)
+    shares = {r["domain"]: r["count"] for r in known.groupBy("domain").count().collect()}
+    domains, every = sorted(shares), sum(shares.values())
     if not domains:
-        return Classifier([], [], [], [], [])
-    chosen = bounded_ids(known, "doc_id", texts, by=["domain"]).select("doc_id").join(known, "doc_id")
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text")).join(F.broadcast(chosen), "doc_id")
-    said = rows.select("domain", F.explode(_pieces(F.col("text"))).alias("w")).where(F.col("w").rlike(rf"^\p{{L}}{{{PIECE}}}$"))
-    counts = said.groupBy("domain", "w").count().groupBy("w").pivot("domain", domains).sum("count").na.fill(0)
-    sizes = {r["domain"]: r["count"] for r in rows.groupBy("domain").count().collect()}
-    n = {d: sizes.get(d, 0) for d in domains}
-    total = max(1, sum(n.values()))
-    p = {d: (F.col(f"`{d}`") + 0.5) / (n[d] + 1.0) for d in domains}
-    every = sum((p[d] * (n[d] / total) for d in domains[1:]), p[domains[0]] * (n[domains[0]] / total))
-    gain = F.lit(0.0)
-    for d in domains:
-        gain = gain + (n[d] / total) * (p[d] * F.log(p[d] / every) + (1 - p[d]) * F.log((1 - p[d]) / (1 - every)))
-    best = counts.where(F.length("w") > 0).select("w", gain.alias("gain"), *[p[d].alias(f"p{k}") for k, d in enumerate(domains)]).orderBy(F.desc("gain"), "w").limit(words).collect()
-    every_label = sum(shares.values())
-    return Classifier(
-        domains, [r["w"] for r in best], [math.log(shares[d] / every_label) for d in domains],
-        [[math.log(r[f"p{k}"]) for r in best] for k in range(len(domains))], [[math.log(1 - r[f"p{k}"]) for r in best] for k in range(len(domains))],
-    )
+        drop_cut(known)
+        return Classifier([], [], [])
+    part = (F.pmod(F.xxhash64(F.lit(23), "doc_id"), F.lit(4)) == 0).alias("aside")
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    rows = cut(rows.join(bounded_ids(known, "doc_id", texts, by=["domain"]), "doc_id").select("domain", part, "text"), "fitted")
+    said = words(rows.where("NOT aside").select("domain", "text")).where("w <> ''")
+    counts = [[ADDED] * BUCKETS for _ in domains]
+    for r in said.select("domain", F.explode(F.array(*buckets(F.col("w")))).alias("b")).groupBy("domain", "b").count().collect():
+        counts[domains.index(r["domain"])][r["b"]] += r["count"]
+    logs = [[math.log(x / total) for x in c] for c in counts for total in (sum(c),)]
+    model = Classifier(domains, [shares[d] / every for d in domains], [[x - y for x, y in zip(o, logs[0], strict=True)] for o in logs[1:]])
+    if len(domains) > 1:
+        seen = model.evidence(rows.where("aside AND text IS NOT NULL").select("domain", "text"))
+        own = F.array_position(F.lit(domains), F.col("domain")).cast("int")
+        grid = [(t, f) for t in TEMPERS for f in FLOORS]
+        tried = seen.agg(*[F.sum(F.log(F.element_at(model.posteriors(F.col("e"), t, f), own))) for t, f in grid]).first()
+        if tried[0] is not None:
+            model.temper, model.floor = grid[max(range(len(grid)), key=lambda k: tried[k])]
+    drop_cut(rows)
+    drop_cut(known)
+    return model
 
 
 def rates(members: DataFrame, weights: list[float], max_rate: float | None = None, rounds: int = ROUNDS, miss: float = MISS) -> tuple[DataFrame, list[list[float]], list[float]]:
@@ -91,9 +106,10 @@ def rates(members: DataFrame, weights: list[float], max_rate: float | None = Non
 
     In the metric weighed by tokens a step moves a row's rate by p . g with the same g for all rows, so a row's rate
     is a fold of max(0, rate - p . g) over the steps: nothing is stored by row. A round is one aggregation of K sums;
-    its step is one over the largest eigenvalue bound of sum(tokens * p * p), with momentum. Rounds write no table; every few steps the
+    its step is one over the largest eigenvalue bound of sum(tokens * p * p), with momentum. Every few steps the
     rates so far are cut, so that the fold stays short. With max_rate the budget is the largest that needs no higher
-    rate where memberships are pure, and rates are cut off there."""
+    rate where memberships are pure, and rates are cut off there. Where no rates meet the targets, the least squares
+    fit is returned with a warning that tells the misses; rounds that run out before either are an error."""
     k = len(weights)
     dot = lambda g: sum((F.get("p", F.lit(i)) * F.lit(float(g[i])) for i in range(1, k)), F.get("p", F.lit(0)) * F.lit(float(g[0])))
     t = F.col("tokens").cast("double")
@@ -109,12 +125,17 @@ def rates(members: DataFrame, weights: list[float], max_rate: float | None = Non
     now, steps = members.withColumn("rate", F.lit(start)), []
     if not norm or not total:
         return now, [], want
-    before, last = [0.0] * k, [0.0] * k
+    before, last, best, idle, written = [0.0] * k, [0.0] * k, math.inf, 0, None
     for step in range(rounds):
         got = now.agg(*[F.sum(t * F.get("p", F.lit(i)) * F.col("rate")) for i in range(k)]).first()
         off = [(got[i] or 0.0) - want[i] for i in range(k)]
         if max(map(abs, off)) <= miss * total:
-            break
+            return now, steps, want
+        missed = sum(o * o for o in off)
+        best, idle = (missed, 0) if missed < best * (1 - 1e-4) else (best, idle + 1)
+        if idle >= 12:
+            warnings.warn(f"no rates meet the targets; least squares misses, as shares of all tokens: {[round(o / total, 6) for o in off]}", stacklevel=2)
+            return now, steps, want
         speed = step / (step + 3.0) if sum(a * b for a, b in zip(off, last, strict=True)) <= 0 else 0.0
         g = [o / norm + speed * b for o, b in zip(off, before, strict=True)]
         before, last = g, [-x for x in off]
@@ -122,37 +143,51 @@ def rates(members: DataFrame, weights: list[float], max_rate: float | None = Non
         moved = F.greatest(F.lit(0.0), F.col("rate") - dot(g))
         now = now.withColumn("rate", moved if max_rate is None else F.least(F.lit(float(max_rate)), moved))
         if (step + 1) % 8 == 0:
-            now = cut(now, "rates")
-    return now, steps, want
-
+            now, old = cut(now, "rates"), written
+            written = now
+            if old is not None:
+                drop_cut(old)
+    raise RuntimeError(f"the rates did not converge in {rounds} rounds; misses: {off}")
 
-def mix(docs: DataFrame, labelled: DataFrame, weights: dict[str, float], id_col: str = "doc_id", text_col: str = "text", max_rate: float | None = None) -> DataFrame:
-    """One row for each row of `docs`: doc_id, tokens, domain (likeliest), posteriors (map), rate (expected copies), copies.
 
-    copies rounds the rate up or down by the id's hash, so that its expectation is the rate. Domains without a weight are
-    aimed at 0 tokens; weights of unknown domains are ignored. Null texts have no tokens; repeated rows get equal rows;
-    null ids are rounded by one common hash. Without labels every rate is 1. No rows: no rows.
-    """
+def _mixed(docs: DataFrame, labelled: DataFrame, weights: dict[str, float], id_col: str, text_col: str, max_rate: float | None) -> tuple[DataFrame, list[str]]:
+    """A row for each row of `docs`: doc_id, key (of its text), tokens, p, rate, copies; and the names of p's domains."""
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     model = train(rows, labelled.withColumnRenamed(id_col, "doc_id"), texts=TEXTS)
     aims = [float(weights.get(d, 0.0)) for d in model.domains]
+    keyed = rows.select("doc_id", text_key(F.col("text")).alias("key"), "text")
     if not any(aims):
-        now = rows.select("doc_id", n_tokens(F.col("text")).alias("tokens"), F.array(F.lit(1.0)).alias("p"), F.lit(1.0).alias("rate"))
+        now = keyed.select("doc_id", "key", n_tokens(F.col("text")).alias("tokens"), F.array(F.lit(1.0)).alias("p"), F.lit(1.0).alias("rate"))
         names = ["all"]
     else:
-        logs = rows.select("doc_id", n_tokens(F.col("text")).alias("tokens"), _lower(F.col("text")).alias("s")).select("doc_id", "tokens", model.posteriors(F.col("s")).alias("logs"))
-        members = cut(logs.select("doc_id", "tokens", softmax(F.col("logs")).alias("p")), "members")
+        members = cut(model.evidence(keyed).select("doc_id", "key", "tokens", model.posteriors(F.col("e")).alias("p")), "members")
         now, _, _ = rates(members, aims, max_rate)
         names = model.domains
-    chance = (F.pmod(F.xxhash64(F.lit(29), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), F.lit(2**40)) + 0.5) / float(2**40)
+    chance = (F.pmod(F.xxhash64(F.lit(29), F.coalesce(F.col("doc_id").cast("string"), F.lit("")), "key"), F.lit(2**40)) + 0.5) / float(2**40)
+    whole = F.floor("rate")
+    return now.select("doc_id", "key", "tokens", "p", "rate", (whole + (chance < F.col("rate") - whole).cast("int")).cast("int").alias("copies")), names
+
+
+def mix(docs: DataFrame, labelled: DataFrame, weights: dict[str, float], id_col: str = "doc_id", text_col: str = "text", max_rate: float | None = None) -> DataFrame:
+    """One row for each row of `docs`: doc_id, tokens, domain (likeliest), posteriors (map), rate (expected copies), copies.
+
+    copies rounds the rate up or down by a hash of id and text, so that its expectation is the rate. Domains without a weight are
+    aimed at 0 tokens; weights of unknown domains are ignored. Null and empty texts have no tokens and the prior as posteriors; a tie
+    of posteriors goes to the first domain by name. Repeated rows get equal rows; rows of one id with different texts, and rows with
+    a null id, get each their own. Other columns are not looked at. Without labels every rate is 1. No rows: no rows.
+    """
+    now, names = _mixed(docs, labelled, weights, id_col, text_col, max_rate)
+    listed = F.array(*map(F.lit, names))
     return now.select(
-        "doc_id", "tokens", F.get(F.array(*map(F.lit, names)), (F.array_position("p", F.array_max("p")) - 1).cast("int")).alias("domain"),
-        F.map_from_arrays(F.array(*map(F.lit, names)), F.col("p")).alias("posteriors"), "rate", (F.floor("rate") + (chance < F.col("rate") - F.floor("rate")).cast("int")).cast("int").alias("copies"),
+        "doc_id", "tokens", F.get(listed, (F.array_position("p", F.array_max("p")) - 1).cast("int")).alias("domain"),
+        F.map_from_arrays(listed, F.col("p")).alias("posteriors"), "rate", "copies",
     )
 
 
 def take(docs: DataFrame, labelled: DataFrame, weights: dict[str, float], id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of `docs`, all columns as they are, that a mix with rates up to 1 takes: none twice, each by its own rate."""
-    mixed = mix(docs, labelled, weights, id_col, text_col, max_rate=1.0)
-    gone = mixed.where("copies = 0").select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, docs[id_col].eqNullSafe(gone["_gone"]), "left_anti")
+    """The rows of `docs`, all columns as they are, that a mix with rates up to 1 takes: none twice, each by its own rate. A row is known
+    by its id and text: repeated rows go or stay together, different texts of one id (or of a null id) each on their own. No rows: no rows."""
+    mixed, _ = _mixed(docs, labelled, weights, id_col, text_col, 1.0)
+    gone = mixed.where("copies = 0").select(F.col("doc_id").alias("_gone"), F.col("key").alias("_key")).distinct()
+    same = docs[id_col].eqNullSafe(gone["_gone"]) & (text_key(docs[text_col].cast("string")) == gone["_key"])
+    return docs.join(gone, same, "left_anti")
