@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from railtable.llm import vectext
-from railtable.llm.common import cut
+from railtable.llm.common import cut, drop_cut, text_key
 from railtable.llm.components import connected_components
 
 SHINGLE, PERCENT = 5, 75
@@ -30,7 +30,7 @@ _XOR = _r.integers(0, 2**63, HASHES, dtype=_U) * _U(2) + _r.integers(0, 2, HASHE
 _MUL = _r.integers(0, 2**63, HASHES, dtype=_U) * _U(2) + _U(1)
 _FOLD = _r.integers(0, 2**63, ROWS, dtype=_U) * _U(2) + _U(1)
 
-_SIGNED = "doc_id long, n_shingles long, set_hi long, set_lo long, bands array<long>, low array<long>"
+_SIGNED = "doc_id long, key long, n_shingles long, set_hi long, set_lo long, bands array<long>, low array<long>"
 
 
 def minima(hashes: np.ndarray, edges: np.ndarray) -> np.ndarray:
@@ -55,7 +55,7 @@ def low_bits(m: np.ndarray) -> np.ndarray:
 
 def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        for i, j, hashes, edges in vectext.shingle_sets(batch.column(1), SHINGLE):
+        for i, j, hashes, edges in vectext.shingle_sets(batch.column(2), SHINGLE):
             n = np.diff(edges)
             full = np.flatnonzero(n)
             hi, lo = np.zeros(len(n), _U), np.zeros(len(n), _U)
@@ -70,12 +70,16 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(np.where(n > 0, x.shape[1], 0))]).astype(np.int32)), pa.array(x.reshape(-1).view(np.int64)))
                 for x in (keys, low)
             ]
-            yield pa.RecordBatch.from_arrays([batch.column(0).slice(i, j - i), pa.array(n), pa.array(hi.view(np.int64)), pa.array(lo.view(np.int64)), *lists], names=["doc_id", "n_shingles", "set_hi", "set_lo", "bands", "low"])
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).slice(i, j - i), batch.column(1).slice(i, j - i), pa.array(n), pa.array(hi.view(np.int64)), pa.array(lo.view(np.int64)), *lists],
+                names=["doc_id", "key", "n_shingles", "set_hi", "set_lo", "bands", "low"],
+            )
 
 
 def signatures(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """doc_id, n_shingles, a 128-bit hash of the shingle set, band keys and packed low bits, for each row."""
-    return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).mapInArrow(_sign, _SIGNED)
+    """doc_id, key (of the text), n_shingles, a 128-bit hash of the shingle set, band keys and packed low bits, for each row."""
+    text = F.col(text_col).cast("string")
+    return docs.select(F.col(id_col).cast("long").alias("doc_id"), text_key(text).alias("key"), text.alias("text")).mapInArrow(_sign, _SIGNED)
 
 
 def estimate(a: Column, b: Column) -> Column:
@@ -133,167 +137,211 @@ def confirm(pairs: DataFrame, texts: DataFrame, percent: int = PERCENT, block: i
     each with a copy of the hub's text; rows stream through sorted, so a task holds one hub's set at a time."""
     size = pairs.groupBy("a").agg(F.count("*").alias("n"))
     dealt = pairs.join(size, "a").select(F.col("a").alias("hub"), F.pmod(F.xxhash64("b"), F.ceil(F.col("n") / block)).cast("int").alias("block"), "b")
-    routes = dealt.select("hub", "block", F.lit(1).alias("role"), F.col("b").alias("doc_id")).unionByName(
-        dealt.select("hub", "block").distinct().select("hub", "block", F.lit(0).alias("role"), F.col("hub").alias("doc_id"))
+    routes = dealt.select("hub", "block", F.lit(1).alias("role"), F.col("b").alias("node")).unionByName(
+        dealt.select("hub", "block").distinct().select("hub", "block", F.lit(0).alias("role"), F.col("hub").alias("node"))
     )
-    sent = routes.join(texts, "doc_id").repartition("hub", "block").sortWithinPartitions("hub", "block", "role")
-    return sent.select("hub", "role", "doc_id", "text").mapInArrow(_confirm(percent), "a long, b long")
+    sent = routes.join(texts, "node").repartition("hub", "block").sortWithinPartitions("hub", "block", "role")
+    return sent.select("hub", "role", "node", "text").mapInArrow(_confirm(percent), "a long, b long")
+
+
+def _likely_in_block(key: int, left: list[dict], right: list[dict], least: float) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs (row of left, row of right) across components whose estimate passes, best first. A pair counts in the first band
+    that both share, and from the smaller node if both are of side 0."""
+    lanes, chance = _U(int("1" * 16, 16)), 2.0**-BITS
+    bands = [np.array([r["bands"] for r in x], np.int64) for x in (left, right)]
+    low = [np.array([r["low"] for r in x], np.int64).view(_U) for x in (left, right)]
+    ids, groups = ([np.array([r[c] for r in x], np.int64) for x in (left, right)] for c in ("node", "component"))
+    shared = bands[0][:, None, :] == bands[1][None, :, :]
+    ok = bands[0][np.arange(len(left))[:, None], shared.argmax(axis=2)] == key
+    minor = np.array([r["minor"] for r in right], bool)
+    ok &= (groups[0][:, None] != groups[1][None, :]) & (~minor[None, :] | (ids[0][:, None] < ids[1][None, :]))
+    x = low[0][:, None, :] ^ low[1][None, :, :]
+    x |= x >> _U(1)
+    x |= x >> _U(2)
+    guess = (1.0 - np.bitwise_count(x & lanes).sum(axis=2) / HASHES - chance) / (1.0 - chance)
+    a, b = np.nonzero(ok & (guess >= least))
+    order = np.argsort(-guess[a, b], kind="stable")
+    return a[order], b[order]
+
+
+def _by_block(act, names: list[str]):
+    """A mapInArrow function over rows sorted by (key, i, j, side): act(key, i, j, rows of side 0, of side 1) gives tuples of longs."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, rows, out = None, [], []
 
-def _blocks(percent: int, least: float):
-    """A mapInArrow function over rows (key, i, j, side, rep, component, minor, bands, low, text) sorted by (key, i, j, side):
-    links between the rows of side 0 and of side 1 of each group, by estimate and then on full sets."""
-    lanes = _U(int("1" * 16, 16))
-    chance = 2.0**-BITS
-
-    def links(key: int, rows: list[dict]) -> list[tuple[int, int]]:
-        left, right = ([r for r in rows if r["side"] == k] for k in (0, 1))
-        if not left or not right:
-            return []
-        bands = [np.array([r["bands"] for r in x], np.int64) for x in (left, right)]
-        low = [np.array([r["low"] for r in x], np.int64).view(_U) for x in (left, right)]
-        ids, groups = ([np.array([r[c] for r in x], np.int64) for x in (left, right)] for c in ("rep", "component"))
-        # each pair once: in the first band that both share, and from the smaller id if both are of side 0
-        shared = bands[0][:, None, :] == bands[1][None, :, :]
-        ok = bands[0][np.arange(len(left))[:, None], shared.argmax(axis=2)] == key
-        minor = np.array([r["minor"] for r in right], bool)
-        ok &= (groups[0][:, None] != groups[1][None, :]) & (~minor[None, :] | (ids[0][:, None] < ids[1][None, :]))
-        x = low[0][:, None, :] ^ low[1][None, :, :]
-        x |= x >> _U(1)
-        x |= x >> _U(2)
-        differ = np.bitwise_count(x & lanes).sum(axis=2)
-        guess = (1.0 - differ / HASHES - chance) / (1.0 - chance)
-        a, b = np.nonzero(ok & (guess >= least))
-        order = np.argsort(-guess[a, b], kind="stable")
-        need = sorted({(0, k) for k in a.tolist()} | {(1, k) for k in b.tolist()})
-        place = {at: n for n, at in enumerate(need)}
-        sets: list[np.ndarray] = []
-        for _, _, hashes, edges in vectext.shingle_sets(pa.array([(left, right)[side][k]["text"] for side, k in need], pa.string()), SHINGLE):
-            sets += [hashes[p:q].copy() for p, q in zip(edges[:-1], edges[1:], strict=True)]
-        root: dict[int, int] = {}
+        def done() -> pa.RecordBatch:
+            return pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], pa.int64()) for k in range(len(names))], names=names)
 
-        def find(c: int) -> int:
-            while root.get(c, c) != c:
-                c = root[c]
-            return c
+        def block() -> None:
+            left, right = ([r for r in rows if r["side"] == k] for k in (0, 1))
+            if left and right:
+                out.extend(act(*at, left, right))
 
-        out = []
-        for k in order.tolist():
-            u, v = int(a[k]), int(b[k])
-            gu, gv = find(int(groups[0][u])), find(int(groups[1][v]))
-            if gu != gv and similar(sets[place[0, u]], sets[place[1, v]], percent):
-                root[max(gu, gv)] = min(gu, gv)
-                out.append((int(ids[0][u]), int(ids[1][v])))
-        return out
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        at, rows = None, []
-        out: list[tuple[int, int]] = []
         for batch in batches:
             for row in batch.to_pylist():
                 here = (row["key"], row["i"], row["j"])
                 if here != at:
                     if rows:
-                        out += links(at[0], rows)
+                        block()
                     at, rows = here, []
                 rows.append(row)
-            yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], pa.int64()) for k in (0, 1)], names=["a", "b"])
+            yield done()
             out = []
         if rows:
-            out = links(at[0], rows)
-            yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], pa.int64()) for k in (0, 1)], names=["a", "b"])
+            block()
+            yield done()
 
     return run
 
 
+def _survivors(least: float):
+    def act(key: int, i: int, j: int, left: list[dict], right: list[dict]) -> list[tuple]:
+        a, b = _likely_in_block(key, left, right, least)
+        return [(key, i, j, 0, left[k]["node"]) for k in set(a.tolist())] + [(key, i, j, 1, right[k]["node"]) for k in set(b.tolist())]
+
+    return _by_block(act, ["key", "i", "j", "side", "node"])
+
+
+def _links(percent: int, least: float):
+    def act(key: int, _i: int, _j: int, left: list[dict], right: list[dict]) -> list[tuple[int, int]]:
+        sets: list[list[np.ndarray]] = []
+        for rows in (left, right):
+            mine: list[np.ndarray] = []
+            for _, _, hashes, edges in vectext.shingle_sets(pa.array([r["text"] for r in rows], pa.string()), SHINGLE):
+                mine += [hashes[p:q].copy() for p, q in zip(edges[:-1], edges[1:], strict=True)]
+            sets.append(mine)
+        root: dict[int, int] = {}
+
+        def find(c: int) -> int:
+            while root.get(c, c) != c:
+                c = root[c]
+            return c
+
+        out = []
+        for u, v in zip(*(x.tolist() for x in _likely_in_block(key, left, right, least)), strict=True):
+            gu, gv = find(left[u]["component"]), find(right[v]["component"])
+            if gu != gv and similar(sets[0][u], sets[1][v], percent):
+                root[max(gu, gv)] = min(gu, gv)
+                out.append((left[u]["node"], right[v]["node"]))
+        return out
+
+    return _by_block(act, ["a", "b"])
+
+
 def confirm_across(mixed: DataFrame, signs: DataFrame, texts: DataFrame, percent: int, least: float, block: int = 128) -> DataFrame:
     """Links across components inside large buckets, without listing their pairs.
 
-    `mixed` has (key, rep, component, minor, n, m): the rows of buckets of n rows of which m are outside the largest component. Both
-    are cut into blocks by hash, and each block of outsiders meets each block of the bucket in one group of about 2 * block rows;
-    there, estimates and then sets are compared, and a component once joined is not compared again."""
+    `mixed` has (key, node, component, minor, n, m): the rows of buckets of n rows of which m are outside the largest component. Both
+    are cut into blocks by hash, and each block of outsiders meets each block of the bucket in one group of about 2 * block rows.
+    First only signatures meet; what comes out are the rows of a block that an estimate still pairs. Only these rows meet again with
+    their texts, and sets are compared; a component once joined is not compared again."""
     parts = lambda size: F.ceil(F.col(size) / block).cast("int")
-    place = lambda size, salt: F.pmod(F.xxhash64(F.lit(salt), "rep"), parts(size)).cast("int")
+    place = lambda size, salt: F.pmod(F.xxhash64(F.lit(salt), "node"), parts(size)).cast("int")
     every = F.explode(F.sequence(F.lit(0), parts("m") - 1))
-    sides = mixed.where("minor").select("key", place("m", 1).alias("i"), F.explode(F.sequence(F.lit(0), parts("n") - 1)).alias("j"), F.lit(0).alias("side"), "rep", "component", "minor")
-    sides = sides.unionByName(mixed.select("key", every.alias("i"), place("n", 2).alias("j"), F.lit(1).alias("side"), "rep", "component", "minor"))
-    own = signs.join(texts, signs["rep"] == texts["doc_id"]).drop("doc_id")
-    sent = sides.join(own, "rep").select("key", "i", "j", "side", "rep", "component", "minor", "bands", "low", "text")
-    return sent.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "side", "rep").mapInArrow(_blocks(percent, least), "a long, b long")
+    sides = mixed.where("minor").select("key", place("m", 1).alias("i"), F.explode(F.sequence(F.lit(0), parts("n") - 1)).alias("j"), F.lit(0).alias("side"), "node", "component", "minor")
+    sides = sides.unionByName(mixed.select("key", every.alias("i"), place("n", 2).alias("j"), F.lit(1).alias("side"), "node", "component", "minor"))
+    meet = lambda d: d.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "side", "node")
+    signed = sides.join(signs, "node").select("key", "i", "j", "side", "node", "component", "minor", "bands", "low")
+    left = cut(meet(signed).mapInArrow(_survivors(least), "key long, i long, j long, side long, node long"), "survivors")
+    both = signed.join(left, ["key", "i", "j", "side", "node"]).join(texts, "node").select("key", "i", "j", "side", "node", "component", "minor", "bands", "low", "text")
+    return meet(both).mapInArrow(_links(percent, least), "a long, b long")
 
 
-def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
-    """One row for each row of `docs`: doc_id, n_shingles, component_id, kept.
+def near_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
+    """near_groups() with the key of each row's text."""
+    least = least_estimate(percent)
+    made: list[DataFrame] = []
 
-    Documents are linked where 100 * |A and B| >= percent * |A or B| for their sets of 5-word shingles; component_id
-    is the smallest id reachable. Steps: (1) sign every whole text; (2) equal sets (128-bit hash and size) become one
-    representative, combined on the map side; (3) band buckets of two or more representatives; (4) each representative is
-    tried against the best of its buckets' smallest members, by b-bit estimate, and confirmed on full sets; (5) where
-    a bucket still holds several components, one pair for each of the smaller ones; (6) every pair of a bucket across
-    components that is left, from the rows outside the bucket's largest component: listed for small buckets, compared
-    block by block for large ones. After (6) no candidate pair lies across two components untried, so groups are whole
-    although pairs inside a group are never listed.
+    def keep(df: DataFrame, name: str) -> DataFrame:
+        made.append(cut(df, name))
+        return made[-1]
 
-    Sets are compared as 64-bit shingle hashes. Null or blank texts have no set and no link; null ids take no part
-    (component_id null, kept true). Rows that share an id are one document. No rows: no rows.
-    """
-    least = least_estimate(percent)
-    signed = cut(signatures(docs, id_col, text_col), "signed")
-    reps = cut(
+    signed = keep(signatures(docs, id_col, text_col), "signed")
+    # a node is a distinct set; its number is written with it, so it stays as it is
+    reps = keep(
         signed.where("n_shingles > 0 AND doc_id IS NOT NULL").groupBy("set_hi", "set_lo", "n_shingles")
-        .agg(F.min("doc_id").alias("rep"), F.min_by(F.struct("bands", "low"), "doc_id").alias("s")).select("set_hi", "set_lo", "n_shingles", "rep", "s.bands", "s.low"),
+        .agg(F.min("doc_id").alias("rep"), F.min_by(F.struct("key", "bands", "low"), F.struct("doc_id", "key")).alias("s"))
+        .select(F.monotonically_increasing_id().alias("node"), "set_hi", "set_lo", "n_shingles", "rep", "s.key", "s.bands", "s.low"),
         "reps",
     )
-    rows = reps.select("rep", F.explode("bands").alias("key"))
-    centres = rows.groupBy("key").agg(F.min("rep").alias("centre"), F.count("*").alias("n")).where("n > 1").drop("n")
-    buckets = cut(rows.join(centres, "key").select("key", "centre", "rep"), "buckets")
-    low = reps.select("rep", "low")
-    ids = buckets.select(F.col("rep").alias("doc_id")).distinct()
-    texts = cut(docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text")).join(ids, "doc_id", "left_semi"), "texts")
+    rows = reps.select("node", F.explode("bands").alias("key"))
+    centres = rows.groupBy("key").agg(F.min("node").alias("centre"), F.count("*").alias("n")).where("n > 1").drop("n")
+    buckets = keep(rows.join(centres, "key").select("key", "centre", "node"), "buckets")
+    low = reps.select("node", "low")
+    wanted = reps.select("node", F.col("rep").alias("doc_id"), "key").join(buckets.select("node").distinct(), "node", "left_semi")
+    text = F.col(text_col).cast("string")
+    owned = docs.select(F.col(id_col).cast("long").alias("doc_id"), text_key(text).alias("key"), text.alias("text")).join(wanted, ["doc_id", "key"])
+    texts = keep(owned.groupBy("doc_id", "key", "node").agg(F.first("text").alias("text")).select("node", "text"), "texts")
 
     def likely(pairs: DataFrame) -> DataFrame:
-        x, y = low.select(F.col("rep").alias("a"), F.col("low").alias("la")), low.select(F.col("rep").alias("b"), F.col("low").alias("lb"))
+        x, y = low.select(F.col("node").alias("a"), F.col("low").alias("la")), low.select(F.col("node").alias("b"), F.col("low").alias("lb"))
         return pairs.join(x, "a").join(y, "b").select("a", "b", estimate(F.col("la"), F.col("lb")).alias("e")).where(F.col("e") >= least)
 
     def labels(edges: DataFrame) -> DataFrame:
-        found = connected_components(edges)
-        return buckets.join(found, buckets["rep"] == found["node"], "left").select("key", "rep", F.coalesce("component", "rep").alias("component"))
+        found = connected_components(edges).withColumnRenamed("node", "_node")
+        return buckets.join(found, buckets["node"] == found["_node"], "left").select("key", "node", F.coalesce("component", "node").alias("component"))
 
-    first = likely(buckets.where("centre <> rep").select(F.col("centre").alias("a"), F.col("rep").alias("b")).distinct())
-    first = cut(first.groupBy("b").agg(F.max_by("a", F.struct("e", -F.col("a"))).alias("a")).select("a", "b"), "tried")
-    links = cut(confirm(first, texts, percent), "links")
+    first = likely(buckets.where("centre <> node").select(F.col("centre").alias("a"), F.col("node").alias("b")).distinct())
+    first = keep(first.groupBy("b").agg(F.max_by("a", F.struct("e", -F.col("a"))).alias("a")).select("a", "b"), "tried")
+    links = keep(confirm(first, texts, percent), "links")
 
-    groups = labels(links).groupBy("key", "component").agg(F.count("*").alias("n"), F.min("rep").alias("rep"))
-    main = groups.groupBy("key").agg(F.count("*").alias("k"), F.max(F.struct("n", "component", "rep")).alias("m")).where("k > 1").select("key", "m.component", "m.rep")
-    main = main.select("key", F.col("component").alias("main"), F.col("rep").alias("main_rep"))
-    second = groups.join(main, "key").where("component <> main").select(F.least("rep", "main_rep").alias("a"), F.greatest("rep", "main_rep").alias("b")).distinct()
-    second = cut(likely(second.join(first, ["a", "b"], "left_anti")).select("a", "b"), "tried")
-    links = cut(links.unionByName(confirm(second, texts, percent)), "links")
+    groups = labels(links).groupBy("key", "component").agg(F.count("*").alias("n"), F.min("node").alias("node"))
+    main = groups.groupBy("key").agg(F.count("*").alias("k"), F.max(F.struct("n", "component", "node")).alias("m")).where("k > 1").select("key", F.col("m.component").alias("main"), F.col("m.node").alias("main_node"))
+    second = groups.join(main, "key").where("component <> main").select(F.least("node", "main_node").alias("a"), F.greatest("node", "main_node").alias("b")).distinct()
+    second = keep(likely(second.join(first, ["a", "b"], "left_anti")).select("a", "b"), "tried")
+    links = keep(links.unionByName(confirm(second, texts, percent)), "links")
 
-    named = cut(labels(links), "labels")
+    named = keep(labels(links), "labels")
     sizes = named.groupBy("key", "component").agg(F.count("*").alias("n"))
     mixed = sizes.groupBy("key").agg(F.count("*").alias("k"), F.sum("n").alias("n"), F.max(F.struct("n", "component")).alias("m")).where("k > 1")
     mixed = mixed.select("key", "n", (F.col("n") - F.col("m.n")).alias("m"), F.col("m.component").alias("main"))
-    mixed = cut(named.join(mixed, "key").select("key", "rep", "component", (F.col("component") != F.col("main")).alias("minor"), "n", "m"), "mixed")
+    mixed = keep(named.join(mixed, "key").select("key", "node", "component", (F.col("component") != F.col("main")).alias("minor"), "n", "m"), "mixed")
     few = mixed.where(F.col("n") <= SMALL)
-    minor = few.where("minor").select("key", F.col("rep").alias("r1"), F.col("component").alias("c1"))
-    third = minor.join(few.drop("minor", "n", "m"), "key").where("c1 <> component").select(F.least("r1", "rep").alias("a"), F.greatest("r1", "rep").alias("b")).distinct()
-    third = cut(likely(third).select("a", "b").join(first.unionByName(second), ["a", "b"], "left_anti"), "tried")
-    across = confirm_across(mixed.where(F.col("n") > SMALL), reps.select("rep", "bands", "low"), texts, percent, least)
+    minor = few.where("minor").select("key", F.col("node").alias("r1"), F.col("component").alias("c1"))
+    third = minor.join(few.drop("minor", "n", "m"), "key").where("c1 <> component").select(F.least("r1", "node").alias("a"), F.greatest("r1", "node").alias("b")).distinct()
+    third = keep(likely(third).select("a", "b").join(first.unionByName(second), ["a", "b"], "left_anti"), "tried")
+    across = confirm_across(mixed.where(F.col("n") > SMALL), reps.select("node", "bands", "low"), texts, percent, least)
     links = links.unionByName(confirm(third, texts, percent)).unionByName(across)
 
-    found = connected_components(links)
-    named = reps.select("set_hi", "set_lo", "n_shingles", "rep").join(found, F.col("rep") == F.col("node"), "left")
-    named = named.select("set_hi", "set_lo", "n_shingles", F.coalesce("component", "rep").alias("group"))
-    return (
-        signed.select("doc_id", "n_shingles", "set_hi", "set_lo").join(named, ["set_hi", "set_lo", "n_shingles"], "left")
+    found = connected_components(links).withColumnRenamed("node", "_node")
+    named = reps.select("node", "set_hi", "set_lo", "n_shingles", "rep").join(found, F.col("node") == F.col("_node"), "left")
+    named = named.select("set_hi", "set_lo", "n_shingles", "rep", F.coalesce("component", "node").alias("component"))
+    least_id = named.groupBy("component").agg(F.min("rep").alias("group"))
+    named = named.join(least_id, "component").select("set_hi", "set_lo", "n_shingles", "group")
+    out = (
+        signed.select("doc_id", "key", "n_shingles", "set_hi", "set_lo").join(named, ["set_hi", "set_lo", "n_shingles"], "left")
         .withColumn("component_id", F.when(F.col("doc_id").isNotNull(), F.coalesce("group", "doc_id")))
-        .select("doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"))
+        .select("doc_id", "key", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"))
     )
+    out = cut(out, "near")
+    for df in made:
+        drop_cut(df)
+    return out
+
+
+def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
+    """One row for each row of `docs`: doc_id, n_shingles, component_id, kept.
+
+    Documents are linked where 100 * |A and B| >= percent * |A or B| for their sets of 5-word shingles; component_id
+    is the smallest id reachable. Steps: (1) sign every whole text; (2) equal sets (128-bit hash and size) become one
+    node, combined on the map side; (3) band buckets of two or more nodes; (4) each node is
+    tried against the best of its buckets' smallest members, by b-bit estimate, and confirmed on full sets; (5) where
+    a bucket still holds several components, one pair for each of the smaller ones; (6) every pair of a bucket across
+    components that is left, from the rows outside the bucket's largest component: listed for small buckets, compared
+    block by block for large ones. After (6) no candidate pair lies across two components untried, so groups are whole
+    although pairs inside a group are never listed.
+
+    Sets are compared as 64-bit shingle hashes. Null or blank texts have no set and no link; null ids take no part
+    (component_id null, kept true). Repeated rows get equal rows. Rows that share an id but not the text are judged each by its
+    own text: one may be kept and the other not. Other columns are not looked at. No rows: no rows.
+    """
+    return near_rows(docs, id_col, text_col, percent).drop("key")
 
 
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of `docs`, with all their columns, whose document stays: the smallest id of each group. Rows with a
-    null id stay; repeated rows of a document that stays all stay (they are exact copies of one row)."""
-    gone = near_groups(docs, id_col, text_col).where(~F.col("kept")).select(F.col("doc_id").alias("_gone")).distinct()
-    return docs.join(gone, docs[id_col] == gone["_gone"], "left_anti")
+    """The rows of `docs`, with all their columns, that stay: in each group those of the smallest id. A row is known by its id and
+    its text, so of several texts under one id only those go that are near copies of a smaller id's; repeated rows go or stay
+    together. Rows with a null id, and null or blank texts, stay. No rows: no rows."""
+    gone = near_rows(docs, id_col, text_col).where(~F.col("kept")).select(F.col("doc_id").alias("_gone"), F.col("key").alias("_key")).distinct()
+    return docs.join(gone, (docs[id_col].cast("long") == gone["_gone"]) & (text_key(docs[text_col].cast("string")) == gone["_key"]), "left_anti")

@@ -9,8 +9,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 
 BLOCK = 1 << 20  # bytes of text that are worked on at once (a longer single text makes a block alone)
+LONG = 256  # bytes of a word that the sums are trusted for
 _U = np.uint64
 _rng = np.random.default_rng(20240229)
 _BYTE = _rng.integers(1, 2**63, 256, dtype=_U) * _U(2) + _U(1)
@@ -91,13 +93,17 @@ def words(data: np.ndarray, off: np.ndarray, i: int, j: int, kind: np.ndarray =
 
 
 def word_hashes(buf: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    """A mixed 64-bit hash of each word, from prefix sums of byte codes times powers of an odd base."""
+    """A mixed 64-bit hash of each word, from prefix sums of byte codes times powers of an odd base. Words of over LONG bytes, for
+    which two with equal sums could be built, are hashed by themselves."""
     if not len(starts):
         return np.zeros(0, _U)
     up, down = _power(len(buf) + 1)
     sums = np.zeros(len(buf) + 1, _U)
     np.cumsum(_BYTE[buf] * up[: len(buf)], out=sums[1:], dtype=_U)
-    return mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(_U))
+    out = mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(_U))
+    for k in np.flatnonzero(ends - starts > LONG).tolist():
+        out[k] = xxhash.xxh3_64_intdigest(buf[starts[k] : ends[k]].tobytes())
+    return out
 
 
 def window_hashes(hashes: np.ndarray, n: int) -> np.ndarray:
