@@ -8,18 +8,22 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.broadcast import Broadcast
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from railtable.llm import vectext
+from railtable.llm.common import cut
 
 WINDOW = 10
-#: Benchmark windows in one broadcast: about 100 bytes each, so 20 MB. A larger benchmark is scanned in blocks of this size.
-MOST_WINDOWS = 200_000
+#: Windows (of an item) and bytes of their words in one broadcast. A larger benchmark is scanned block by block, a block at a time
+#: on the driver and in a broadcast of its own.
+MOST_WINDOWS, MOST_BYTES = 200_000, 40_000_000
 _U = np.uint64
 
-#: One hit: words start to start + length of the document are that window of that item.
-HITS = "doc_row long, start int, length int, item_id long"
+#: One hit: the document's words start to start + length, its bytes a to b, are a window of the item.
+HITS = "row long, words long, start long, length long, a long, b long, item_id long"
 
 
 def item_windows(benchmark: DataFrame, n: int = WINDOW, id_col: str = "item_id", text_col: str = "text") -> DataFrame:
@@ -84,14 +88,18 @@ class WindowSet:
         return out
 
 
-def window_sets(windows: DataFrame, most: int = MOST_WINDOWS) -> list[WindowSet]:
-    """The benchmark as sets of at most about `most` windows each: one, unless it is larger."""
-    n = windows.count()
-    blocks = max(1, -(-n // most))
-    return [WindowSet((windows if blocks == 1 else windows.where(F.pmod("hash", F.lit(blocks)) == b)).toArrow().to_pandas()) for b in range(blocks)]
+def block_count(windows: DataFrame, most: int = MOST_WINDOWS) -> int:
+    """How many blocks keep each at most about `most` windows and MOST_BYTES bytes of words."""
+    n, size = windows.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("words")), F.lit(0))).first()
+    return max(1, -(-n // most), -(-size // MOST_BYTES))
 
 
-def _scan(sets, at: int, act):
+def window_set(windows: DataFrame, block: int = 0, blocks: int = 1) -> WindowSet:
+    """One block of the benchmark. Blocks are dealt by window and item, so a window that many items share is dealt out too."""
+    return WindowSet((windows if blocks == 1 else windows.where(F.pmod(F.xxhash64("words", "item_id"), F.lit(blocks)) == block)).toArrow().to_pandas())
+
+
+def _scan(sent: Broadcast, at: int, act):
     """A mapInArrow function: for each batch, act(batch, [(words, hits by row)]) with the texts of column `at` scanned whole."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -101,9 +109,8 @@ def _scan(sets, at: int, act):
             for i, j in vectext.blocks(off):
                 buf, starts, ends, edge = vectext.words(data, off, i, j, vectext.ALNUM)
                 found: dict[int, list] = {}
-                for one in sets.value:
-                    for row, start, length, item in one.hits(buf, starts, ends, edge):
-                        found.setdefault(row, []).append((start, length, item))
+                for row, start, length, item in sent.value.hits(buf, starts, ends, edge):
+                    found.setdefault(row, []).append((start, length, item))
                 for k in range(j - i):
                     a, b = int(edge[k]), int(edge[k + 1])
                     base = int(off[i + k] - off[i])
@@ -113,6 +120,28 @@ def _scan(sets, at: int, act):
     return run
 
 
+def hits_in_blocks(rows: DataFrame, windows: DataFrame, blocks: int) -> DataFrame:
+    """All hits (HITS) in `rows` (row, text), from one pass over the texts for each block of the benchmark; a row without hits gives
+    one with null start in the first pass. Only one block is on the driver, and in a broadcast, at a time."""
+    out = None
+    for block in range(blocks):
+        sent = rows.sparkSession.sparkContext.broadcast(window_set(windows, block, blocks))
+
+        def act(batch: pa.RecordBatch, found: list[tuple], first: bool = block == 0) -> pa.RecordBatch:
+            ids, got = batch.column(0).to_pylist(), []
+            for row, (n, hits) in zip(ids, found, strict=True):
+                got += [(row, n, s, m, a, b, item) for a, b, s, m, item in hits]
+                if first:
+                    got.append((row, n, None, None, None, None, None))
+            names = ["row", "words", "start", "length", "a", "b", "item_id"]
+            return pa.RecordBatch.from_arrays([pa.array([g[k] for g in got], pa.int64()) for k in range(7)], names=names)
+
+        one = cut(rows.select("row", "text").mapInArrow(_scan(sent, 1, act), HITS), "hits")
+        sent.destroy()
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
 def _covered(hits: list[tuple]) -> int:
     """Words inside any occurrence."""
     total = reach = 0
@@ -122,19 +151,41 @@ def _covered(hits: list[tuple]) -> int:
     return total
 
 
+def _merged(hits: DataFrame) -> DataFrame:
+    """report() of the hits of several passes, by row: words covered by a running furthest end, items as a sorted list."""
+    before = Window.partitionBy("row").orderBy("start", "length").rowsBetween(Window.unboundedPreceding, -1)
+    spans = hits.where("start IS NOT NULL").select("row", "start", "length").distinct().withColumn("reach", F.coalesce(F.max(F.col("start") + F.col("length")).over(before), F.lit(0)))
+    covered = spans.groupBy("row").agg(F.sum(F.greatest(F.lit(0), F.col("start") + F.col("length") - F.greatest("reach", "start"))).alias("n_hit"))
+    items = hits.where("start IS NOT NULL").select("row", F.col("item_id").cast("string").alias("s")).distinct().groupBy("row").agg(F.array_sort(F.collect_list("s")).alias("items"))
+    out = hits.where("start IS NULL").select("row", "words").join(covered, "row", "left").join(items, "row", "left")
+    n, listed = F.coalesce("n_hit", F.lit(0)), F.coalesce("items", F.array().cast("array<string>"))
+    return out.select(
+        "row", F.col("words").alias("n_words"), n.alias("n_hit"), F.size(listed).cast("long").alias("n_items"),
+        F.sha2(F.array_join(listed, ","), 256).alias("items_sha256"), (n > 0).alias("contaminated"),
+    )
+
+
 def report(docs: DataFrame, benchmark: DataFrame, n: int = WINDOW, id_col: str = "doc_id", text_col: str = "text", most: int = MOST_WINDOWS) -> DataFrame:
     """One row for each row of `docs`: doc_id, n_words, n_hit, n_items, items_sha256, contaminated.
 
     Words are runs of a-z, 0-9 and non-ASCII characters after lower-casing A-Z. A window is n consecutive words of an
-    item; an item of fewer words, but some, is one window. Every window of every text is looked up in the broadcast
-    set by hash and then compared word by word. A benchmark of over `most` windows is held in several sets, each of
-    bounded size. No shuffle: one pass over the texts.
-
-    Null or wordless texts: no words, no hits. Items without words never occur; an empty benchmark hits nothing.
-    Repeated rows and null ids are reported as they come. No rows: no rows.
+    item; an item of fewer words, but some, is one window. Every window of every text is looked up in a broadcast
+    set by hash and then compared word by word: one pass over the texts, without a shuffle. A benchmark of over `most` windows (or
+    MOST_BYTES bytes) is broadcast in blocks, one after the other, with a pass over the texts (written once with row numbers) for
+    each; the hits, not the texts, are then merged by row.
+
+    Null, empty or wordless texts: no words, no hits. Items without words, and null items, never occur; an empty benchmark hits
+    nothing. Of several occurrences that overlap each word counts once; repeated items count by their id. Repeated rows and null ids
+    are reported as they come, long texts whole. Other columns are not looked at. No rows: no rows.
     """
     spark = docs.sparkSession
-    sets = spark.sparkContext.broadcast(window_sets(item_windows(benchmark, n), most))
+    windows = cut(item_windows(benchmark, n), "windows")
+    blocks = block_count(windows, most)
+    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    if blocks > 1:
+        rows = cut(rows.select(F.monotonically_increasing_id().alias("row"), "doc_id", "text"), "rows")
+        return rows.select("row", "doc_id").join(_merged(hits_in_blocks(rows, windows, blocks)), "row").drop("row")
+    sent = spark.sparkContext.broadcast(window_set(windows))
 
     def act(batch: pa.RecordBatch, rows: list[tuple]) -> pa.RecordBatch:
         items = [sorted({str(h[4]) for h in hits}) for _, hits in rows]
@@ -147,32 +198,54 @@ def report(docs: DataFrame, benchmark: DataFrame, n: int = WINDOW, id_col: str =
             names=["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated"],
         )
 
-    rows = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    return rows.mapInArrow(_scan(sets, 1, act), "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean")
+    return rows.mapInArrow(_scan(sent, 1, act), "doc_id long, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean")
+
+
+def _without(text: str, spans: list[tuple[int, int]]) -> str:
+    """The text without its bytes a to b of each span."""
+    raw, out, reach = text.encode(), [], 0
+    for a, b in sorted(spans):
+        out.append(raw[reach:a] if a > reach else b"")
+        reach = max(reach, b)
+    return (b"".join(out) + raw[reach:]).decode()
 
 
 def remove(docs: DataFrame, benchmark: DataFrame, how: str = "documents", n: int = WINDOW, text_col: str = "text", most: int = MOST_WINDOWS) -> DataFrame:
     """`docs` with all its columns, decontaminated: how="documents" drops the rows with a hit; how="spans" keeps them and
-    cuts each hit from its first word to its last out of the text. Rows without a hit stay byte for byte."""
+    cuts each hit from its first word to its last out of the text. Rows without a hit stay byte for byte, null and empty texts and
+    null ids among them; each row is judged by its own text, so repeated rows fare alike. No rows: no rows. A large benchmark is
+    scanned in blocks as in report()."""
     if how not in ("documents", "spans"):
         raise ValueError(f"how: {how}")
-    sets = docs.sparkSession.sparkContext.broadcast(window_sets(item_windows(benchmark, n), most))
+    windows = cut(item_windows(benchmark, n), "windows")
+    blocks = block_count(windows, most)
     at = docs.columns.index(text_col)
+    if blocks > 1:
+        rows = cut(docs.select(F.struct(*docs.columns).alias("doc"), F.monotonically_increasing_id().alias("row"), F.col(text_col).cast("string").alias("text")), "rows")
+        hits = hits_in_blocks(rows, windows, blocks).where("start IS NOT NULL")
+        if how == "documents":
+            return rows.join(hits.select("row").distinct(), "row", "left_anti").select("doc.*")
+        spans = hits.groupBy("row").agg(F.collect_set(F.struct("a", "b")).alias("spans"))
+
+        def clear(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                texts, cuts = batch.column(0).to_pylist(), batch.column(1).to_pylist()
+                made = [t if c is None else _without(t, [(x["a"], x["b"]) for x in c]) for t, c in zip(texts, cuts, strict=True)]
+                yield pa.RecordBatch.from_arrays([pa.array(made, pa.string()), batch.column(2)], names=["text", "doc"])
+
+        out = rows.join(spans, "row", "left").select("text", "spans", "doc")
+        out = out.mapInArrow(clear, T.StructType([T.StructField("text", T.StringType()), out.schema["doc"]]))
+        return out.select(*[F.col("text").cast(docs.schema[c].dataType).alias(c) if k == at else F.col("doc")[c].alias(c) for k, c in enumerate(docs.columns)])
+    sent = docs.sparkSession.sparkContext.broadcast(window_set(windows))
 
     def act(batch: pa.RecordBatch, rows: list[tuple]) -> pa.RecordBatch:
         if how == "documents":
             return batch.filter(pa.array([not hits for _, hits in rows], pa.bool_()))
         texts = batch.column(at).to_pylist()
-        for k, (_, hits) in enumerate(rows):
-            if hits:
-                raw, out, reach = texts[k].encode(), [], 0
-                for a, b in sorted({(h[0], h[1]) for h in hits}):
-                    out.append(raw[reach:a] if a > reach else b"")
-                    reach = max(reach, b)
-                texts[k] = (b"".join(out) + raw[reach:]).decode()
+        texts = [_without(t, [(h[0], h[1]) for h in hits]) if hits else t for t, (_, hits) in zip(texts, rows, strict=True)]
         return batch.set_column(at, batch.schema.field(at).name, pa.array(texts, batch.schema.field(at).type))
 
-    return docs.mapInArrow(_scan(sets, at, act), docs.schema)
+    return docs.mapInArrow(_scan(sent, at, act), docs.schema)
 
 
 SQL = r"""

@@ -208,9 +208,18 @@ def test_decontamination(spark):
             r = got[i]
             assert (r.n_words, r.n_hit, r.n_items, r.contaminated) == (len(w), len(hit), len(found), bool(hit)), i
             assert r.items_sha256 == hashlib.sha256(",".join(sorted(map(str, found))).encode()).hexdigest()
-    assert not any(r.contaminated for r in decontam.report(decontam.remove(d, bench), bench).collect())
-    cut = decontam.remove(d, bench, how="spans")
-    assert cut.columns == d.columns and cut.count() == len(docs) and {r.doc_id: r.text for r in cut.collect()}[103] == "clean text"
+    ways = {}
+    for most in (10**6, 40):
+        left = decontam.remove(d, bench, most=most)
+        assert left.columns == d.columns and not any(r.contaminated for r in decontam.report(left, bench).collect())
+        cut = decontam.remove(d, bench, how="spans", most=most)
+        assert cut.columns == d.columns and cut.count() == len(docs) and {r.doc_id: r.text for r in cut.collect()}[103] == "clean text"
+        ways[most] = sorted(map(str, left.collect())), sorted(map(str, cut.collect()))
+    assert ways[10**6] == ways[40]
+    made = decontam.item_windows(bench).cache()
+    blocks = decontam.block_count(made, 40)
+    sizes = [sum(len(i) for _, _, _, items in decontam.window_set(made, b, blocks).by_length.values() for i in items.values()) for b in range(blocks)]
+    assert sum(sizes) == made.count() and blocks == -(-made.count() // 40) and max(sizes) < 80
     assert decontam.report(d, bench.limit(0)).where("contaminated").count() == 0 and decontam.report(d.limit(0), bench).count() == 0
 
 
