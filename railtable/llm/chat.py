@@ -123,10 +123,13 @@ def read_turns(formatted: Column) -> Column:
 
 
 def masked_text(formatted: Column, spans: Column) -> Column:
-    """All text under the loss mask, unescaped. Fixed-width code points make each span a plain slice."""
-    wide = F.encode(formatted, "UTF-32")
-    cut = lambda s: F.decode(F.substring(wide, (s["start"] * 4 + 1).cast("int"), (s["length"] * 4).cast("int")), "UTF-32")
-    return F.array_join(F.transform(spans, lambda s: unescape(cut(s))), "")
+    """All text under the loss mask, unescaped. Fixed-width code points make each span a plain slice; the text is put into that form
+    once (as the bound variable of a one-element transform), however many spans there are. Texts of over 2^29 code points do not fit."""
+    def cut(wide: Column) -> Column:
+        one = lambda s: F.decode(F.substring(wide, (s["start"] * 4 + 1).cast("int"), (s["length"] * 4).cast("int")), "UTF-32")
+        return F.array_join(F.transform(spans, lambda s: unescape(one(s))), "")
+
+    return F.get(F.transform(F.array(F.encode(formatted, "UTF-32")), cut), F.lit(0))
 
 
 def from_rows(conversations: DataFrame) -> DataFrame:
