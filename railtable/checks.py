@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import tempfile
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -50,13 +51,26 @@ def orphans(rows: DataFrame, column: str, parents: DataFrame, key: str) -> DataF
 
 
 def row_text(*columns: str) -> Column:
-    """A row's canonical text: columns in name order, null and empty told apart."""
-    return F.concat_ws("|", *[F.concat(F.lit(f"{c}="), F.coalesce(F.col(c).cast("string"), F.lit("\\N"))) for c in sorted(columns)])
+    """A row's canonical text: JSON of the columns in name order. Names and values are quoted, nulls written, nested values spelt out,
+    so different rows of one schema have different texts."""
+    return F.to_json(F.struct(*[F.col(c) for c in sorted(columns)]), {"ignoreNullFields": "false"})
 
 
 def row_hash(*columns: str) -> Column:
     return F.sha2(row_text(*columns), 256)
 
 
+def cut(df: DataFrame) -> DataFrame:
+    """Cuts the lineage in the session's checkpoint folder. Only where all run in one process (local mode) a session without one
+    gets a folder of its own; on a cluster that would be a folder the executors do not have."""
+    sc = df.sparkSession.sparkContext
+    if not sc.getCheckpointDir():
+        found = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        if not found and not sc.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
+        sc.setCheckpointDir(found or tempfile.mkdtemp(prefix="rail-"))
+    return df.checkpoint()
+
+
 def ordered(*partition: str) -> Window:
     return Window.partitionBy(*partition)

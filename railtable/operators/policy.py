@@ -22,12 +22,13 @@ def add_cadence(basis: Column, cadence: Column) -> Column:
 
 def freshness(sources: DataFrame, policy: DataFrame, at: int, skew: int = 300) -> DataFrame:
     """PL-1: sources (source_id, class_id, basis_at, provider_end, stored_expiry) with expires_at = basis + cadence, capped by the provider's
-    validity; FRESH or STALE at the instant; a reason where the basis is in the future or the stored value differs."""
+    validity; FRESH or STALE at the instant. INVALID, never FRESH, with a reason where there is no policy or basis, the cadence is malformed, the
+    basis lies in the future beyond the skew, or the stored value differs."""
     j = sources.join(policy.select("class_id", "cadence"), "class_id", "left")
     e = add_cadence(F.col("basis_at"), F.col("cadence"))
     j = j.withColumn("expires_at", F.when(e.isNotNull(), F.least(e, F.coalesce("provider_end", e))))
-    reason = first_reason([("NO_POLICY", F.col("expires_at").isNull()), ("FUTURE_BASIS", F.col("basis_at") > at + skew), ("STORED_EXPIRY_DIFFERS", F.col("stored_expiry") != F.col("expires_at"))])
-    return j.select("source_id", "expires_at", F.when(F.col("expires_at") <= at, "STALE").otherwise("FRESH").alias("state"), reason.alias("reason"))
+    reason = first_reason([("NO_BASIS", F.col("basis_at").isNull()), ("NO_POLICY", F.col("cadence").isNull()), ("BAD_CADENCE", F.col("expires_at").isNull()), ("FUTURE_BASIS", F.col("basis_at") > at + skew), ("STORED_EXPIRY_DIFFERS", F.col("stored_expiry") != F.col("expires_at"))])
+    return j.select("source_id", "expires_at", F.when(reason.isNotNull(), "INVALID").when(F.col("expires_at") <= at, "STALE").otherwise("FRESH").alias("state"), reason.alias("reason"))
 
 
 def remaining_class(snapshots: DataFrame, at: int, warn: int = 7 * DAY, critical: int = 2 * DAY) -> DataFrame:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from railtable.checks import exactly_one, violations
+from railtable.checks import cut, exactly_one, row_hash, violations
 from railtable.functions.scalars import station_name
 
 
@@ -134,12 +134,16 @@ def not_listed(found: DataFrame, allowed: DataFrame, a: str, b: str) -> DataFram
 
 
 def work_plan(stations: DataFrame, day_types: list[str], directions: list[str], done: DataFrame, size: int) -> DataFrame:
-    """JN-23: (station_id, day_type, direction) minus what is done, numbered in batches of `size`. The number is global, so it is made of
-    counts by station: no task sorts all rows."""
+    """JN-23: (station_id, day_type, direction) minus what is done, numbered in batches of `size`. The number is global: counts by station
+    are range-partitioned and summed inside each range; only the ranges' totals (a row each) are summed in one task."""
     full = stations.select("station_id").distinct().select("station_id", F.explode(F.array(*map(F.lit, day_types))).alias("day_type")).select("station_id", "day_type", F.explode(F.array(*map(F.lit, directions))).alias("direction"))
     left = full.join(done, ["station_id", "day_type", "direction"], "left_anti").withColumn("n", F.row_number().over(Window.partitionBy("station_id").orderBy("day_type", "direction")))
     counts = left.groupBy("station_id").agg(F.count("*").alias("c"))
-    before = counts.select("station_id", (F.sum("c").over(Window.orderBy("station_id")) - F.col("c")).alias("before"))
+    ranges = cut(counts.repartitionByRange("station_id").select("station_id", "c", F.spark_partition_id().alias("range")))
+    totals = ranges.groupBy("range").agg(F.sum("c").alias("t"))
+    totals = totals.select(F.collect_list(F.struct("range", "t")).alias("all")).select(F.explode(F.sort_array("all")).alias("x"), "all").select("x.range", F.aggregate(F.filter("all", lambda y: y["range"] < F.col("x.range")), F.lit(0).cast("long"), lambda a, y: a + y["t"]).alias("offset"))
+    inside = F.sum("c").over(Window.partitionBy("range").orderBy("station_id")) - F.col("c")
+    before = ranges.withColumn("inside", inside).join(totals, "range").select("station_id", (F.col("inside") + F.col("offset")).alias("before"))
     return left.join(before, "station_id").select("station_id", "day_type", "direction", F.ceil((F.col("before") + F.col("n")) / size).cast("long").alias("batch"))
 
 
@@ -202,7 +206,7 @@ def positions_by_precedence(rows: DataFrame, official: DataFrame, maps: DataFram
 def gap_evidence(gaps: DataFrame, rows: DataFrame, scope: Column) -> DataFrame:
     """JN-32: each gap (gap_id, operator, line, name): OUT_OF_SCOPE, MATCHED or UNMATCHED by source rows, their number and hash."""
     k = ["operator", "line", "name"]
-    r = rows.select(*k, F.sha2(F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in sorted(rows.columns)]), 256).alias("h"))
+    r = rows.select(*k, row_hash(*rows.columns).alias("h"))
     j = gaps.join(r, k, "left").groupBy("gap_id", *k).agg(F.count("h").alias("n_rows"), F.sha2(F.array_join(F.array_sort(F.collect_list("h")), ""), 256).alias("hash"))
     return j.select("gap_id", "n_rows", F.when(F.col("n_rows") > 0, F.col("hash")).alias("hash"), F.when(~scope, "OUT_OF_SCOPE").when(F.col("n_rows") > 0, "MATCHED").otherwise("UNMATCHED").alias("status"))
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -10,6 +11,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from railtable.checks import cut
+
 
 def near_pairs(points: DataFrame, keys: list[str], distance: float) -> DataFrame:
     """JN-13: pairs (a < b) of different ids with equal keys, nearer than `distance`: points of a cell as wide as the distance meet those of the
@@ -41,21 +44,40 @@ def box_overlaps(boxes: DataFrame, cell: float, top: int = 50) -> DataFrame:
     return j.select(F.col("a.id").alias("a"), F.col("b.id").alias("b"), (w * h).alias("area")).orderBy(F.desc("area"), "a", "b").limit(top)
 
 
-def collinear_overlaps(segments: DataFrame, angle: float = 0.5, offset: float = 3.0, separation: float = 2.0) -> DataFrame:
+def _samples(x0: str, y0: str, x1: str, y1: str, length: Column, cell: float) -> Column:
+    """Cells (cx, cy) of points along a segment, half a cell apart, ends included: each point of it is within a quarter of a cell of one."""
+    n = F.greatest(F.lit(1), F.ceil(length * 2 / cell)).cast("int")
+    at = lambda a, b, k: F.floor((F.col(a) + (F.col(b) - F.col(a)) * k / n) / cell).cast("long")
+    return F.array_distinct(F.transform(F.sequence(F.lit(0), n), lambda k: F.named_struct(F.lit("cx"), at(x0, x1, k), F.lit("cy"), at(y0, y1, k))))
+
+
+def _around(reach: Column) -> Column:
+    """Offsets (i, j) of all cells at most `reach` away in each direction."""
+    side = F.sequence(-reach, reach)
+    return F.flatten(F.transform(side, lambda i: F.transform(side, lambda j: F.named_struct(F.lit("i"), i.cast("long"), F.lit("j"), j.cast("long")))))
+
+
+def collinear_overlaps(segments: DataFrame, angle: float = 0.5, offset: float = 3.0, separation: float = 2.0, cell: float = 64.0) -> DataFrame:
     """JN-16: segments (id, line_id, x0, y0, x1, y1) of two lines whose angles differ by at most `angle` degrees, whose middles lie at most
-    `offset` off the other's line and whose projections overlap, separated by less than `separation`. Joined by bins of angle and place."""
+    `offset` off the other's line and whose projections overlap, separated by less than `separation`. Joined by bins of angle and the cells
+    that they pass: where projections overlap, a point of each lies within offset plus half the length times the sine of the
+    angle of the other, which says how many cells around one segment the other may pass."""
     dx, dy = F.col("x1") - F.col("x0"), F.col("y1") - F.col("y0")
     s = segments.select("*", F.hypot(dx, dy).alias("len"), F.pmod(F.degrees(F.atan2(dy, dx)), F.lit(180.0)).alias("ang")).where("len > 0")
     bins = int(180 / angle)
     s = s.withColumn("bin", F.floor(F.col("ang") / angle).cast("long") % bins)
-    o = s.select(*[F.col(c).alias(f"{c}_2") for c in ("id", "line_id", "x0", "y0", "x1", "y1", "len", "ang")], F.explode(F.array(*[F.pmod(F.col("bin") + k, F.lit(bins)) for k in (-1, 0, 1)])).alias("bin"))
+    here = s.withColumn("c", F.explode(_samples("x0", "y0", "x1", "y1", F.col("len"), cell))).select(*s.columns, "c.cx", "c.cy")
+    reach = F.ceil((offset + F.col("len") * math.sin(math.radians(angle)) + cell / 2) / cell).cast("int")
+    o = s.select(*[F.col(c).alias(f"{c}_2") for c in ("id", "line_id", "x0", "y0", "x1", "y1", "len", "ang")], F.explode(F.array(*[F.pmod(F.col("bin") + k, F.lit(bins)) for k in (-1, 0, 1)])).alias("bin"), _samples("x0", "y0", "x1", "y1", F.col("len"), cell).alias("cells"), _around(reach).alias("around"))
+    cells = F.array_distinct(F.flatten(F.transform("cells", lambda c: F.transform("around", lambda a: F.named_struct(F.lit("cx"), c["cx"] + a["i"], F.lit("cy"), c["cy"] + a["j"])))))
+    o = o.withColumn("c", F.explode(cells)).drop("cells", "around").select("*", "c.cx", "c.cy").drop("c")
     diff = F.abs(F.col("ang") - F.col("ang_2"))
     ux, uy = dx / F.col("len"), dy / F.col("len")
     along = lambda x, y: (F.col(x) - F.col("x0")) * ux + (F.col(y) - F.col("y0")) * uy
     off = F.abs(((F.col("x0_2") + F.col("x1_2")) / 2 - F.col("x0")) * uy - ((F.col("y0_2") + F.col("y1_2")) / 2 - F.col("y0")) * ux)
     a, b = along("x0_2", "y0_2"), along("x1_2", "y1_2")
     common = F.least(F.col("len"), F.greatest(a, b)) - F.greatest(F.lit(0.0), F.least(a, b))
-    j = s.join(o, "bin").where((F.col("id") < F.col("id_2")) & (F.col("line_id") != F.col("line_id_2")) & (F.least(diff, 180 - diff) <= angle) & (off <= offset) & (off < separation) & (common > 0))
+    j = here.join(o, ["bin", "cx", "cy"]).where((F.col("id") < F.col("id_2")) & (F.col("line_id") != F.col("line_id_2")) & (F.least(diff, 180 - diff) <= angle) & (off <= offset) & (off < separation) & (common > 0))
     return j.select(F.col("id").alias("a"), F.col("id_2").alias("b"), common.alias("overlap")).distinct()
 
 
@@ -82,10 +104,25 @@ def _to_segment() -> Column:
     return F.hypot(F.col("x") - F.col("x0") - t * dx, F.col("y") - F.col("y0") - t * dy)
 
 
-def nearest_segment(nodes: DataFrame, segments: DataFrame) -> DataFrame:
-    """JN-18: for each node (id, line_id, x, y) the distance to the nearest segment (seg_id) of its own line."""
-    j = nodes.join(segments, "line_id").withColumn("d", _to_segment())
-    return j.groupBy("id", "line_id").agg(F.min(F.struct("d", "seg_id")).alias("m")).select("id", "line_id", "m.seg_id", F.col("m.d").alias("distance"))
+def nearest_segment(nodes: DataFrame, segments: DataFrame, cell: float = 64.0, rounds: int = 48) -> DataFrame:
+    """JN-18: for each node (id, line_id, x, y) the distance to the nearest segment (seg_id) of its own line; a line without
+    segments gives none. Nodes meet the segments that pass the nine cells around them; a distance of at most three quarters of
+    a cell is final (no other segment can be nearer), and all other nodes go on to cells of twice the size. So a node meets about
+    as many segments as lie near it, and only nodes far from any meet many."""
+    lines = segments.select("line_id").distinct()
+    left = cut(nodes.join(lines, "line_id", "left_semi").select("id", "line_id", "x", "y"))
+    done = None
+    for _ in range(rounds):
+        g = segments.withColumn("c", F.explode(_samples("x0", "y0", "x1", "y1", F.hypot(F.col("x1") - F.col("x0"), F.col("y1") - F.col("y0")), cell))).select("line_id", "seg_id", "x0", "y0", "x1", "y1", "c.cx", "c.cy")
+        n = left.withColumn("o", F.explode(_around(F.lit(1)))).select("id", "line_id", "x", "y", (F.floor(F.col("x") / cell) + F.col("o.i")).alias("cx"), (F.floor(F.col("y") / cell) + F.col("o.j")).alias("cy"))
+        best = n.join(g, ["line_id", "cx", "cy"]).withColumn("d", _to_segment()).groupBy("id", "line_id", "x", "y").agg(F.min(F.struct("d", "seg_id")).alias("m"))
+        found = cut(best.where(F.col("m.d") <= 0.75 * cell).select("id", "line_id", "x", "y", "m"))
+        done = found if done is None else done.unionByName(found)
+        left = cut(left.join(found, ["id", "line_id", "x", "y"], "left_anti"))
+        if left.isEmpty():
+            return done.select("id", "line_id", "m.seg_id", F.col("m.d").alias("distance"))
+        cell *= 2
+    raise RuntimeError(f"nodes without a nearest segment after {rounds} rounds")
 
 
 def off_track(nodes: DataFrame, segments: DataFrame, tolerance: dict[str, float], other: float) -> DataFrame:
@@ -96,11 +133,15 @@ def off_track(nodes: DataFrame, segments: DataFrame, tolerance: dict[str, float]
 
 
 def snap_ends(ends: DataFrame, nodes: DataFrame, threshold: float) -> DataFrame:
-    """JN-31: track ends (track, line_id, x, y) move to the nearest node of the line within the threshold, else are reported."""
-    n = nodes.select("line_id", "id", F.col("x").alias("nx"), F.col("y").alias("ny"))
-    j = ends.join(n, "line_id", "left").withColumn("d", F.hypot(F.col("x") - F.col("nx"), F.col("y") - F.col("ny")))
-    g = j.groupBy("track", "line_id", "x", "y").agg(F.min(F.struct("d", "id", "nx", "ny")).alias("m"))
-    ok = F.coalesce(F.col("m.d") <= threshold, F.lit(False))
+    """JN-31: track ends (track, line_id, x, y) move to the nearest node of the line within the threshold, else are reported. Ends meet the
+    nodes of the nine cells of the threshold's width around them."""
+    cell = lambda c: F.floor(F.col(c) / threshold).cast("long")
+    n = nodes.select("line_id", "id", F.col("x").alias("nx"), F.col("y").alias("ny"), cell("x").alias("cx"), cell("y").alias("cy"))
+    e = ends.select("*", F.explode(_around(F.lit(1))).alias("o")).select("track", "line_id", "x", "y", (cell("x") + F.col("o.i")).alias("cx"), (cell("y") + F.col("o.j")).alias("cy"))
+    d = F.hypot(F.col("x") - F.col("nx"), F.col("y") - F.col("ny"))
+    near = e.join(n, ["line_id", "cx", "cy"]).withColumn("d", d).where(F.col("d") <= threshold).groupBy("track", "line_id", "x", "y").agg(F.min(F.struct("d", "id", "nx", "ny")).alias("m"))
+    g = ends.select("track", "line_id", "x", "y").distinct().join(near, ["track", "line_id", "x", "y"], "left")
+    ok = F.col("m").isNotNull()
     return g.select("track", F.when(ok, F.col("m.id")).alias("node"), F.when(ok, F.col("m.nx")).otherwise(F.col("x")).alias("x"), F.when(ok, F.col("m.ny")).otherwise(F.col("y")).alias("y"), ok.alias("snapped"))
 
 
@@ -117,12 +158,22 @@ def distance_quantiles(rows: DataFrame, within: float) -> DataFrame:
 
 
 def interchange_spreads(points: DataFrame) -> DataFrame:
-    """AG-19: stations on two or more lines: members and the largest distance between two of their positions. Pairs meet inside a station only."""
+    """AG-19: stations on two or more lines: members and the largest distance between two of their positions. The station's extreme points
+    (of x, y, x + y, x - y) give a distance that is reached; only positions that could be farther than that from some point of the
+    station's box meet each other, each position once."""
     n = points.groupBy("station_id").agg(F.count_distinct("line_id").alias("lines"), F.count("*").alias("members")).where("lines >= 2")
-    p = points.join(n, "station_id")
-    a, b = p.alias("a"), p.alias("b")
+    p = points.select("station_id", "x", "y").distinct()
+    ways = {"x": F.col("x"), "y": F.col("y"), "s": F.col("x") + F.col("y"), "t": F.col("x") - F.col("y")}
+    ends = [f(F.struct("x", "y"), v).alias(f"{k}{w}") for k, v in ways.items() for f, w in ((F.min_by, 0), (F.max_by, 1))]
+    box = p.groupBy("station_id").agg(*[f(c).alias(f"{c}_{w}") for c in "xy" for f, w in ((F.min, "lo"), (F.max, "hi"))], *ends)
+    gap = lambda a, b: F.hypot(F.col(f"{a}.x") - F.col(f"{b}.x"), F.col(f"{a}.y") - F.col(f"{b}.y"))
+    reached = F.greatest(*[gap(f"{k}0", f"{k}1") for k in ways])
+    box = n.join(box, "station_id").select("station_id", "lines", "members", "x_lo", "x_hi", "y_lo", "y_hi", reached.alias("reached"))
+    far = F.hypot(F.greatest(F.col("x") - F.col("x_lo"), F.col("x_hi") - F.col("x")), F.greatest(F.col("y") - F.col("y_lo"), F.col("y_hi") - F.col("y")))
+    c = p.join(box.select("station_id", "x_lo", "x_hi", "y_lo", "y_hi", "reached"), "station_id").where(far > F.col("reached")).select("station_id", "x", "y")
     d = F.hypot(F.col("a.x") - F.col("b.x"), F.col("a.y") - F.col("b.y"))
-    return a.join(b, "station_id").groupBy("station_id", F.col("a.lines").alias("lines"), F.col("a.members").alias("members")).agg(F.max(d).alias("spread"))
+    more = c.alias("a").join(c.alias("b"), "station_id").groupBy("station_id").agg(F.max(d).alias("d"))
+    return box.join(more, "station_id", "left").select("station_id", "lines", "members", F.greatest("reached", F.coalesce("d", F.lit(0.0))).alias("spread"))
 
 
 def interchange_centroids(points: DataFrame) -> DataFrame:
@@ -137,22 +188,27 @@ def interchange_centroids(points: DataFrame) -> DataFrame:
 def fill_positions(rows: DataFrame, step: int = 56) -> DataFrame:
     """WN-14: (line_id, seq, station_id, x, y) with missing points filled along the line: between neighbours by sequence, rounded; ahead of the first
     known one next - step (clamped at 0), then between it and the next; behind the last one previous + step. A filled point counts as known for those
-    after it: a fold over the line's sorted stations, each of which carries its next known point from a window."""
-    w = Window.partitionBy("line_id").orderBy("seq", "station_id").rowsBetween(Window.currentRow, Window.unboundedFollowing)
-    nxt = F.first(F.when(F.col("x").isNotNull(), F.struct("seq", "x", "y")), ignorenulls=True).over(w)
-    s = rows.withColumn("nxt", nxt).groupBy("line_id").agg(F.sort_array(F.collect_list(F.struct("seq", "station_id", "x", "y", "nxt"))).alias("s"))
+    after it, so each run (a known point and the missing ones behind it) is a fold of its own over the run's sorted stations; windows
+    number the runs and give each its next known point."""
+    w = Window.partitionBy("line_id").orderBy("seq", "station_id")
+    known = F.col("x").isNotNull()
+    run = F.count(F.when(known, 1)).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
+    nxt = F.first(F.when(known, F.struct("seq", "x", "y")), ignorenulls=True).over(w.rowsBetween(Window.currentRow, Window.unboundedFollowing))
+    s = rows.withColumns({"run": run, "nxt": nxt}).groupBy("line_id", "run").agg(F.sort_array(F.collect_list(F.struct("seq", "station_id", "x", "y", "nxt"))).alias("s"))
+    last = "struct<seq:int,x:bigint,y:bigint>"
     point = "struct<seq:int,station_id:bigint,x:bigint,y:bigint,filled:boolean>"
 
     def put(acc: Column, r: Column) -> Column:
-        prev, n = F.get(acc, F.size(acc) - 1), r["nxt"]
-        has = F.size(acc) > 0
+        prev, n = acc["prev"], r["nxt"]
+        has = prev.isNotNull()
         share = (r["seq"] - prev["seq"]) / (n["seq"] - prev["seq"])
         mid = lambda c: F.floor(prev[c] + (n[c] - prev[c]) * share + 0.5)
-        one = lambda c, d: F.when(r["x"].isNotNull(), r[c]).when(has & n.isNotNull(), mid(c)).when(has, prev[c] + d).when(n.isNotNull(), F.greatest(F.lit(0), n[c] - d)).otherwise(F.lit(0))
-        new = F.struct(r["seq"].cast("int").alias("seq"), r["station_id"].cast("long").alias("station_id"), one("x", step).cast("long").alias("x"), one("y", 0).cast("long").alias("y"), r["x"].isNull().alias("filled"))
-        return F.concat(acc, F.array(new.cast(point)))
+        one = lambda c, d: F.when(r["x"].isNotNull(), r[c]).when(has & n.isNotNull(), mid(c)).when(has, prev[c] + d).when(n.isNotNull(), F.greatest(F.lit(0), n[c] - d)).otherwise(F.lit(0)).cast("long")
+        new = F.struct(r["seq"].cast("int").alias("seq"), r["station_id"].cast("long").alias("station_id"), one("x", step).alias("x"), one("y", 0).alias("y"), r["x"].isNull().alias("filled")).cast(point)
+        return F.struct(F.struct(new["seq"].alias("seq"), new["x"].alias("x"), new["y"].alias("y")).cast(last).alias("prev"), F.concat(acc["out"], F.array(new)).alias("out"))
 
-    return s.select("line_id", F.explode(F.aggregate("s", F.array().cast(f"array<{point}>"), put)).alias("p")).select("line_id", "p.*")
+    start = F.struct(F.lit(None).cast(last).alias("prev"), F.array().cast(f"array<{point}>").alias("out"))
+    return s.select("line_id", F.explode(F.aggregate("s", start, put, lambda acc: acc["out"])).alias("p")).select("line_id", "p.*")
 
 
 def octolinear_deviation(segments: DataFrame) -> DataFrame:

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from bisect import bisect_left
+from collections.abc import Callable
+
 import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -95,43 +98,129 @@ def adjacency_violations(stops: DataFrame, topology: DataFrame) -> DataFrame:
     return pairs.join(topology.select("from_station", "to_station").distinct(), ["from_station", "to_station"], "left_anti")
 
 
-def _chain(pdf: pd.DataFrame, low: int, high: int, target: str | None, hops: dict) -> pd.DataFrame:
-    """Links each open trip to one departure at the next station; works through stations in order."""
+class _Open:
+    """The departures of one station, by time, of which the taken ones are skipped (the next open one is found by path halving)."""
+
+    def __init__(self, times: list[int], rows: list[int]):
+        self.times, self.rows = times, rows
+        self.up, self.down = list(range(len(rows) + 1)), list(range(len(rows) + 1))
+
+    @staticmethod
+    def _find(link: list[int], k: int) -> int:
+        while link[k] != k:
+            link[k] = link[link[k]]
+            k = link[k]
+        return k
+
+    def after(self, k: int) -> int:
+        """The first open place at or behind k; the number of places if there is none."""
+        return self._find(self.up, k)
+
+    def before(self, k: int) -> int:
+        """The last open place before k, or -1."""
+        return self._find(self.down, k) - 1
+
+    def take(self, k: int) -> int:
+        self.up[k], self.down[k + 1] = k + 1, k
+        return self.rows[k]
+
+    def within(self, low: int, high: int) -> tuple[int, int]:
+        """The first open place with a time of low to high, and how many there are (2: two or more); (-1, 0) without one."""
+        k = self.after(bisect_left(self.times, low))
+        if k == len(self.times) or self.times[k] > high:
+            return -1, 0
+        more = self.after(k + 1)
+        return k, 2 if more < len(self.times) and self.times[more] <= high else 1
+
+    def nearest(self, at: int, reach: int) -> tuple[int, int]:
+        """The open place nearest to a time (the earlier one of two, then the first), at most `reach` off, and how many lie in reach."""
+        first, n = self.within(at - reach, at + reach)
+        if first < 0:
+            return -1, 0
+        hi = self.after(bisect_left(self.times, at))
+        lo = self.before(bisect_left(self.times, at))
+        if hi < len(self.times) and (lo < 0 or self.times[hi] - at < at - self.times[lo]):
+            return hi, n
+        while self.before(lo) >= 0 and self.times[self.before(lo)] == self.times[lo]:
+            lo = self.before(lo)
+        return lo, n
+
+
+def _chain(pdf: pd.DataFrame, pick: Callable[[_Open, int, int], tuple[int, int]], skip: Callable[[_Open, int, int], tuple[int, int]] | None = None) -> pd.DataFrame:
+    """Links each open trip to a departure at the next station, station by station in order of time: pick(open departures, seconds,
+    station number) gives a place and how many were eligible. Where it finds none, skip() may try the station after next. Sorted once;
+    a look-up is a binary search."""
     rows = pdf.sort_values(["seq", "seconds", "event_id"]).reset_index(drop=True)
-    by_seq = {s: list(zip(g.index, g["seconds"], strict=True)) for s, g in rows.groupby("seq")}
-    trip, used, choices = {}, set(), 0
-    for i, (seq, sec) in enumerate(zip(rows["seq"], rows["seconds"], strict=True)):
-        trip.setdefault(i, int(rows["event_id"][i]))
-        want = hops.get(int(seq), None)
-        if target == "nearest":
-            want = 180 if want is None else want
-            near = sorted((abs(t - sec - want), t, j) for j, t in by_seq.get(seq + 1, ()) if j not in used and abs(t - sec - want) <= high)
-        else:
-            near = sorted((t, t, j) for j, t in by_seq.get(seq + 1, ()) if j not in used and low <= t - sec <= high)
-        choices += len(near) > 1
-        if near and (target == "nearest" or len(near) == 1):
-            j = near[0][2]
-            used.add(j)
-            trip[j] = trip[i]
-    rows["trip_id"] = [trip[i] for i in range(len(rows))]
-    rows["choices"] = choices
-    return rows[["grp", "event_id", "seq", "seconds", "trip_id", "choices"]]
-
-
-CHAINED = "grp string, event_id long, seq int, seconds int, trip_id long, choices long"
+    seqs, secs, ids, ends = (rows[c].tolist() for c in ("seq", "seconds", "event_id", "destination"))
+    listed: dict[tuple, tuple[list[int], list[int]]] = {}
+    for i, (q, t, d) in enumerate(zip(seqs, secs, ends, strict=True)):
+        times, at = listed.setdefault((q, d), ([], []))
+        times.append(t)
+        at.append(i)
+    ready = {k: _Open(*v) for k, v in listed.items()}
+    trip, choices, repaired = [-1] * len(rows), 0, [False] * len(rows)
+    for i, (q, t, d) in enumerate(zip(seqs, secs, ends, strict=True)):
+        if trip[i] < 0:
+            trip[i] = ids[i]
+        there, k, n = ready.get((q + 1, d)), -1, 0
+        if there:
+            k, n = pick(there, t, q)
+        choices += n > 1
+        far = k < 0 and n == 0 and skip is not None
+        if far and (there := ready.get((q + 2, d))):
+            k, n = skip(there, t, q)
+        if k >= 0:
+            j = there.take(k)
+            trip[j], repaired[j] = trip[i], far
+    rows["trip_id"], rows["choices"], rows["repaired"] = trip, choices, repaired
+    return rows[["grp", "event_id", "seq", "seconds", "trip_id", "choices", "repaired"]]
+
+
+CHAINED = "grp string, event_id long, seq int, seconds int, trip_id long, choices long, repaired boolean"
+
+
+def _chained(events: DataFrame, pick: Callable, skip: Callable | None = None) -> DataFrame:
+    end = F.col("destination").cast("string") if "destination" in events.columns else F.lit("")
+    rows = events.select("grp", "event_id", "seq", "seconds", F.coalesce(end, F.lit("")).alias("destination"))
+    return rows.groupBy("grp").applyInPandas(lambda pdf: _chain(pdf, pick, skip), CHAINED)
 
 
 def chain_departures(events: DataFrame, low: int = 60, high: int = 300) -> DataFrame:
-    """WN-12: per group (day and direction), each departure joins the trip whose last one, at the station before, left
-    low to high seconds earlier, if exactly one is open to it; unmatched departures start trips. `choices` counts how often
-    several were eligible. Greedy with a used set: one grouped pandas function per service day and direction (a day's
-    departures on a line, bounded by the timetable)."""
-    return events.select("grp", "event_id", "seq", "seconds").groupBy("grp").applyInPandas(lambda pdf: _chain(pdf, low, high, None, {}), CHAINED)
+    """WN-12: per group (service day, line and direction), each departure joins the trip whose last one, at the station before and with the
+    same destination (if there is such a column), left low to high seconds earlier, if exactly one is open to it; unmatched departures start
+    trips. `choices` counts how often several were eligible. Greedy with a used set: one grouped pandas function per group, whose
+    size the timetable of a day bounds; n log n in it."""
+
+    def only(there: _Open, t: int, _: int) -> tuple[int, int]:
+        k, n = there.within(t + low, t + high)
+        return (k if n == 1 else -1), n
+
+    return _chained(events, only)
+
+
+def last_stops(chained: DataFrame, durations: DataFrame) -> DataFrame:
+    """WN-12: the stop behind each trip's last departure: its time plus the topology's seconds from that station (seq, seconds) to the next."""
+    last = chained.groupBy("grp", "trip_id").agg(F.max(F.struct("seq", "seconds")).alias("l")).select("grp", "trip_id", "l.seq", "l.seconds")
+    return last.join(durations.select("seq", F.col("seconds").alias("ride")), "seq").select("grp", "trip_id", (F.col("seq") + 1).alias("seq"), (F.col("seconds") + F.col("ride")).alias("seconds"))
 
 
 def chain_nearest(events: DataFrame, within: int = 120, expected: int = 180) -> DataFrame:
-    """WN-13: as WN-12 with the departure nearest to the expected time, at most `within` seconds off."""
-    return events.select("grp", "event_id", "seq", "seconds").groupBy("grp").applyInPandas(lambda pdf: _chain(pdf, 0, within, "nearest", dict.fromkeys(pdf["seq"].astype(int), expected)), CHAINED)
+    """WN-13: as WN-12 with the departure nearest to the expected time, at most `within` seconds off. Where none is open at the next
+    station, one at the station after next, twice the expected time later, continues the trip (`repaired`: one station is missing)."""
+    return _chained(events, lambda there, t, _: there.nearest(t + expected, within), lambda there, t, _: there.nearest(t + 2 * expected, within))
+
+
+def leftovers(chained: DataFrame) -> DataFrame:
+    """WN-13: departures that no other one continues or precedes, for quarantine."""
+    n = F.count("*").over(Window.partitionBy("grp", "trip_id"))
+    return chained.withColumn("_n", n).where("_n = 1").drop("_n")
+
+
+def accounting(events: DataFrame, chained: DataFrame) -> DataFrame:
+    """WN-13: per group the departures read, those in trips and those left over; `balanced` where the last two make up the first."""
+    left = leftovers(chained).groupBy("grp").agg(F.count("*").alias("left_over"))
+    j = events.groupBy("grp").agg(F.count("*").alias("read")).join(chained.groupBy("grp").agg(F.count("*").alias("out")), "grp", "left").join(left, "grp", "left").na.fill(0, ["out", "left_over"])
+    return j.select("grp", "read", (F.col("out") - F.col("left_over")).alias("in_trips"), "left_over", (F.col("read") == F.col("out")).alias("balanced"))
 
 
 def stop_patterns(stops: DataFrame) -> DataFrame:
@@ -141,10 +230,11 @@ def stop_patterns(stops: DataFrame) -> DataFrame:
 
 
 def passed_through(stops: DataFrame, corridor: DataFrame) -> DataFrame:
-    """WN-22: stations of the corridor (station_id, seq) between a trip's first and last one where it does not stop."""
+    """WN-22: stations of the corridor (station_id, whole-numbered seq) between a trip's first and last one where it does not stop.
+    The numbers between are listed by trip, so the corridor is found by equality."""
     at = stops.join(corridor, "station_id").select("trip_id", "seq").distinct()
     ends = at.groupBy("trip_id").agg(F.min("seq").alias("lo"), F.max("seq").alias("hi"))
-    inside = ends.join(corridor, F.col("seq").between(F.col("lo"), F.col("hi"))).select("trip_id", "station_id", "seq")
+    inside = ends.select("trip_id", F.explode(F.sequence("lo", "hi")).alias("seq")).join(corridor, "seq").select("trip_id", "station_id", "seq")
     return inside.join(at, ["trip_id", "seq"], "left_anti").select("trip_id", "station_id")
 
 

@@ -3,23 +3,15 @@
 from __future__ import annotations
 
 import itertools
-import tempfile
 from collections.abc import Iterator
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from railtable.checks import cut as _cut
 from railtable.checks import violations
 
 
-def _cut(df: DataFrame) -> DataFrame:
-    """Cuts the lineage in the checkpoint folder; without one (tests) in a folder of its own."""
-    sc = df.sparkSession.sparkContext
-    if not sc.getCheckpointDir():
-        sc.setCheckpointDir(df.sparkSession.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="rail-"))
-    return df.checkpoint()
-
-
 def _turns(rounds: int | None) -> Iterator[int]:
     """Counts without end; a bound that a loop meets before its fixed point is an error, never a shorter result."""
     yield from itertools.count() if rounds is None else range(rounds)

@@ -64,11 +64,11 @@ def compare_sets(old: DataFrame, new: DataFrame) -> DataFrame:
 
 
 def identity_violations(stations: DataFrame, decisions: DataFrame) -> DataFrame:
-    """DQ-7: names of several stations (name, station_id, line_id) need a reviewed decision (name, decision, station_ids text) whose
-    ids are the actual ones."""
-    sets = stations.groupBy("name").agg(F.count_distinct("station_id").alias("n"), F.array_join(F.array_sort(F.collect_set(F.col("station_id").cast("string"))), ",").alias("actual"))
+    """DQ-7: names of several stations (name, station_id, line_id) need a reviewed decision (name, decision, station_ids array) whose
+    ids are the actual ones, in any order."""
+    sets = stations.groupBy("name").agg(F.count_distinct("station_id").alias("n"), F.array_sort(F.collect_set(F.col("station_id").cast("string"))).alias("actual"))
     j = sets.where("n > 1").join(decisions, "name", "left")
-    reason = F.when(F.col("decision").isNull(), "NO_DECISION").when(~F.col("decision").isin("MERGE", "DISTINCT"), "UNKNOWN_DECISION").when(F.col("station_ids") != F.col("actual"), "OTHER_STATIONS")
+    reason = F.when(F.col("decision").isNull(), "NO_DECISION").when(~F.col("decision").isin("MERGE", "DISTINCT"), "UNKNOWN_DECISION").when(~F.array_sort(F.array_distinct("station_ids")).eqNullSafe(F.col("actual")), "OTHER_STATIONS")
     return j.select("name", "n", reason.alias("reason")).where("reason IS NOT NULL")
 
 
@@ -78,9 +78,9 @@ def id_collisions(a: DataFrame, b: DataFrame, key: str) -> DataFrame:
 
 
 def canonical_digest(rows: DataFrame, member: str, *groups: str) -> DataFrame:
-    """DQ-9: per group the number of distinct members and the sha256 of them in order, joined by commas."""
+    """DQ-9: per group the number of distinct members and the sha256 of them in order, as a JSON array of texts."""
     s = F.array_sort(F.collect_set(F.col(member).cast("string")))
-    return rows.groupBy(*groups).agg(F.count_distinct(member).alias("n"), F.sha2(F.array_join(s, ","), 256).alias("digest"))
+    return rows.groupBy(*groups).agg(F.count_distinct(member).alias("n"), F.sha2(F.to_json(s), 256).alias("digest"))
 
 
 def field_provenance(entities: DataFrame, fields: list[str], scopes: DataFrame, overrides: DataFrame) -> DataFrame:

@@ -38,6 +38,12 @@ VIEWS: dict[str, str] = {
 }
 
 
+def canonical(*columns: str, **named: str) -> str:
+    """DuckDB SQL of a row's canonical text: compact JSON of (column or name=expression) in name order."""
+    parts = {c: c for c in columns} | named
+    return "to_json({" + ", ".join(f"'{c}': {parts[c]}" for c in sorted(parts)) + "})::VARCHAR"
+
+
 def _expand(sql: str, engine: int) -> str:
     for name, both in MACROS.items():
         sql = re.sub(rf"@{name}\(([^()]*)\)", both[engine], sql)

@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from railtable.plans.bind import Book
+from railtable.plans.bind import Book, canonical
 from railtable.sources import io as IO
 from railtable.streaming import status as ST
 
@@ -21,10 +21,9 @@ book.add("io04_range_check", IO.range_violations, ["SELECT 'p' AS pack_id, s_sup
          "SELECT 'p' AS pack_id, s_suppkey AS station_id, 'LATITUDE' AS reason FROM supplier WHERE NOT (s_acctbal / 50 BETWEEN -90 AND 90) UNION ALL SELECT 'p', s_suppkey, 'LONGITUDE' FROM supplier WHERE NOT (s_acctbal / 40 BETWEEN -180 AND 180)")
 book.add("io05_component", lambda d: IO.component(d, ["p_brand", "p_partkey"]), ["SELECT * FROM part"], "SELECT p_brand, p_partkey FROM part ORDER BY 1, 2")
 book.add("io06_export", IO.export_rows, ["SELECT p_partkey AS station_id, p_name AS name_ko, p_size AS line_sequence FROM part"], 'SELECT p_partkey AS "stationId", p_name AS "nameKo", p_size AS "lineSequence" FROM part')
-_H = "SELECT sha256(concat('row=', {0})) AS h FROM {1}"
-_L = lambda name, row, table, least: f"""SELECT '{name}' AS table_name, sum(n)::BIGINT AS n_rows, sha256(string_agg(d, '' ORDER BY b)) AS content_hash, sum(n) >= {least} AS enough FROM (SELECT ('0x' || substr(h, 1, 8))::BIGINT % 256 AS b, count(*) AS n, sha256(string_agg(h, '' ORDER BY h)) AS d FROM (SELECT sha256(concat('row=', sha256({row}))) AS h FROM {table}) GROUP BY 1)"""
+_L = lambda name, row, table, least: f"""SELECT '{name}' AS table_name, sum(n)::BIGINT AS n_rows, sha256(string_agg(d, '' ORDER BY b)) AS content_hash, sum(n) >= {least} AS enough FROM (SELECT ('0x' || substr(h, 1, 8))::BIGINT % 256 AS b, count(*) AS n, sha256(string_agg(h, '' ORDER BY h)) AS d FROM (SELECT sha256(concat('{{"row":"', sha256({row}), '"}}')) AS h FROM {table}) GROUP BY 1)"""
 book.add("io07_manifest", lambda a, b: IO.manifest({"stations": (a, 100), "lines": (b, 26)}), ["SELECT p_partkey, p_name FROM part", "SELECT n_nationkey, n_name FROM nation"],
-         _L("stations", "concat('p_name=', p_name, '|p_partkey=', p_partkey)", "part", 100) + " UNION ALL " + _L("lines", "concat('n_name=', n_name, '|n_nationkey=', n_nationkey)", "nation", 26))
+         _L("stations", canonical("p_name", "p_partkey"), "part", 100) + " UNION ALL " + _L("lines", canonical("n_name", "n_nationkey"), "nation", 26))
 book.add("io08_search_index", IO.search_index, ["SELECT p_name AS name, p_partkey AS station_id FROM part", "SELECT upper(p_name) AS alias, p_partkey AS station_id FROM part WHERE p_size % 2 = 0 UNION ALL SELECT p_type AS alias, p_partkey AS station_id FROM part"],
          r"SELECT lower(regexp_replace(p_name, '[·.\s]', '', 'g')) AS token, p_partkey AS station_id FROM part UNION SELECT lower(regexp_replace(p_type, '[·.\s]', '', 'g')), p_partkey FROM part")
 AT = 1_704_200_000

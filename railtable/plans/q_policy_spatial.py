@@ -9,11 +9,12 @@ from railtable.plans.bind import Book
 book = Book()
 QUERIES, ORACLES = book.queries, book.oracles
 AT = 1_704_200_000
-SRC = "SELECT snapshot_id AS source_id, CASE WHEN snapshot_id % 5 = 0 THEN 'd' WHEN snapshot_id % 5 = 1 THEN 's' WHEN snapshot_id % 5 = 2 THEN 'none' ELSE 'w' END AS class_id, retrieved_at AS basis_at, CASE WHEN snapshot_id % 7 = 0 THEN retrieved_at + 1000 END AS provider_end, CASE WHEN snapshot_id % 3 = 0 THEN retrieved_at END AS stored_expiry FROM v_snapshots"
-POL = "SELECT 'd' AS class_id, 'P30D' AS cadence UNION ALL SELECT 's' AS class_id, 'PT300S' AS cadence UNION ALL SELECT 'w' AS class_id, 'P7D' AS cadence"
+SRC = "SELECT snapshot_id AS source_id, CASE WHEN snapshot_id % 5 = 0 THEN 'd' WHEN snapshot_id % 5 = 1 THEN 's' WHEN snapshot_id % 5 = 2 THEN 'none' WHEN snapshot_id % 35 = 3 THEN 'bad' ELSE 'w' END AS class_id, retrieved_at AS basis_at, CASE WHEN snapshot_id % 7 = 0 THEN retrieved_at + 1000 END AS provider_end, CASE WHEN snapshot_id % 3 = 0 THEN retrieved_at END AS stored_expiry FROM v_snapshots"
+POL = "SELECT 'd' AS class_id, 'P30D' AS cadence UNION ALL SELECT 's' AS class_id, 'PT300S' AS cadence UNION ALL SELECT 'w' AS class_id, 'P7D' AS cadence UNION ALL SELECT 'bad' AS class_id, '7 days' AS cadence"
 NOW = 850_000_000
-book.add("pl01_freshness", lambda a, b: P.freshness(a, b, NOW), [SRC, POL], f"""WITH s AS ({SRC}), e AS (SELECT *, basis_at + CASE class_id WHEN 'd' THEN 2592000 WHEN 's' THEN 300 WHEN 'w' THEN 604800 END AS e FROM s), x AS (SELECT source_id, basis_at, stored_expiry, least(e, coalesce(provider_end, e)) AS expires_at, e FROM e)
-  SELECT source_id, CASE WHEN e IS NULL THEN NULLIF(expires_at, expires_at) ELSE expires_at END AS expires_at, CASE WHEN e IS NOT NULL AND expires_at <= {NOW} THEN 'STALE' ELSE 'FRESH' END AS state, CASE WHEN e IS NULL THEN 'NO_POLICY' WHEN basis_at > {NOW} + 300 THEN 'FUTURE_BASIS' WHEN stored_expiry <> expires_at THEN 'STORED_EXPIRY_DIFFERS' END AS reason FROM x""")
+book.add("pl01_freshness", lambda a, b: P.freshness(a, b, NOW), [SRC, POL], f"""WITH s AS ({SRC}), e AS (SELECT *, basis_at + CASE class_id WHEN 'd' THEN 2592000 WHEN 's' THEN 300 WHEN 'w' THEN 604800 END AS e FROM s), x AS (SELECT source_id, class_id, basis_at, stored_expiry, CASE WHEN e IS NOT NULL THEN least(e, coalesce(provider_end, e)) END AS expires_at FROM e)
+  , r AS (SELECT source_id, expires_at, CASE WHEN class_id = 'none' THEN 'NO_POLICY' WHEN class_id = 'bad' THEN 'BAD_CADENCE' WHEN basis_at > {NOW} + 300 THEN 'FUTURE_BASIS' WHEN stored_expiry <> expires_at THEN 'STORED_EXPIRY_DIFFERS' END AS reason FROM x)
+  SELECT source_id, expires_at, CASE WHEN reason IS NOT NULL THEN 'INVALID' WHEN expires_at <= {NOW} THEN 'STALE' ELSE 'FRESH' END AS state, reason FROM r""")
 book.add("pl02_remaining", lambda d: P.remaining_class(d, AT), ["v_status"], f"SELECT facility_id, seq, expires_at - {AT} AS remaining, CASE WHEN expires_at <= {AT} THEN 'EXPIRED' WHEN expires_at - {AT} <= 172800 THEN 'CRITICAL' WHEN expires_at - {AT} <= 604800 THEN 'WARNING' ELSE 'OK' END AS class, expires_at - {AT} <= 604800 AS refresh FROM v_status")
 GOV = "SELECT s_suppkey AS source_id, CASE WHEN s_suppkey % 4 > 0 THEN 'team' ELSE ' ' END AS owner, CASE WHEN s_suppkey % 3 > 0 THEN 'FRESH' ELSE 'STALE' END AS state, s_suppkey % 6 AS retention_days, CASE WHEN s_suppkey % 5 > 0 THEN 'KOGL' END AS licence, s_suppkey % 7 > 0 AS redistributable FROM supplier"
 book.add("pl03_governance", P.governance, [GOV], """WITH r AS (SELECT s_suppkey AS source_id, list_sort(list_filter([CASE WHEN s_suppkey % 4 = 0 THEN 'OWNER_MISSING' END, CASE WHEN s_suppkey % 3 = 0 THEN 'STALE' END, CASE WHEN s_suppkey % 6 = 0 THEN 'RETENTION_MISSING' END, CASE WHEN s_suppkey % 5 = 0 THEN 'LICENCE_MISSING' END, CASE WHEN s_suppkey % 7 = 0 THEN 'REDISTRIBUTION_NOT_ALLOWED' END], lambda x: x IS NOT NULL)) AS l FROM supplier)

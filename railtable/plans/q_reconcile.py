@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from railtable.operators import reconcile as R
-from railtable.plans.bind import Book
+from railtable.plans.bind import Book, canonical
 
 book = Book()
 QUERIES, ORACLES = book.queries, book.oracles
@@ -69,7 +69,7 @@ book.add("jn29_precedence", R.positions_by_precedence, PP, f"""WITH r AS ({PP[0]
   SELECT r.line_id, r.name, coalesce(o.x, a.x, CASE WHEN r.line_id NOT IN (SELECT line_id FROM o) THEN m.x END) AS x, coalesce(o.y, a.y, CASE WHEN r.line_id NOT IN (SELECT line_id FROM o) THEN m.y END) AS y,
   CASE WHEN o.x IS NOT NULL THEN 'OFFICIAL' WHEN a.x IS NOT NULL THEN 'OFFICIAL_OTHER_LINE' WHEN r.line_id NOT IN (SELECT line_id FROM o) AND m.x IS NOT NULL THEN 'MAP' END AS position_source FROM r LEFT JOIN o USING (line_id, name) LEFT JOIN a ON a.name = r.name LEFT JOIN m ON m.line_id = r.line_id AND m.name = r.name""")
 GP = ["SELECT n_nationkey AS gap_id, concat('op', n_regionkey) AS operator, 'L1' AS line, concat('n', n_nationkey) AS name FROM nation", "SELECT concat('op', c_nationkey % 5) AS operator, 'L1' AS line, concat('n', c_custkey % 40) AS name, c_custkey AS row_no FROM customer WHERE c_custkey % 3 > 0"]
-book.add("jn32_gap_evidence", lambda g, r: R.gap_evidence(g, r, F.col("operator") != "op0"), GP, f"""WITH g AS ({GP[0]}), r AS ({GP[1]}), j AS (SELECT gap_id, g.operator, count(r.row_no) AS n_rows, sha256(string_agg(sha256(concat(r.line, '|', r.name, '|', r.operator, '|', r.row_no)), '' ORDER BY sha256(concat(r.line, '|', r.name, '|', r.operator, '|', r.row_no))) FILTER (WHERE row_no IS NOT NULL)) AS hash FROM g LEFT JOIN r USING (operator, line, name) GROUP BY 1, 2)
+book.add("jn32_gap_evidence", lambda g, r: R.gap_evidence(g, r, F.col("operator") != "op0"), GP, f"""WITH g AS ({GP[0]}), r AS ({GP[1]}), j AS (SELECT gap_id, g.operator, count(r.row_no) AS n_rows, sha256(string_agg(sha256({canonical(line='r.line', name='r.name', operator='r.operator', row_no='r.row_no')}), '' ORDER BY sha256({canonical(line='r.line', name='r.name', operator='r.operator', row_no='r.row_no')})) FILTER (WHERE row_no IS NOT NULL)) AS hash FROM g LEFT JOIN r USING (operator, line, name) GROUP BY 1, 2)
   SELECT gap_id, n_rows, hash, CASE WHEN operator = 'op0' THEN 'OUT_OF_SCOPE' WHEN n_rows > 0 THEN 'MATCHED' ELSE 'UNMATCHED' END AS status FROM j""")
 CD = ["SELECT c_nationkey AS region, c_mktsegment AS domain FROM customer WHERE c_custkey % 17 = 0", "SELECT s_nationkey AS region, 'BUILDING' AS domain FROM supplier"]
 book.add("jn33_declarations", lambda a, b: R.coverage_declarations(a, b, ["region", "domain"]), CD, f"WITH d AS ({CD[0]}), s AS (SELECT DISTINCT * FROM ({CD[1]})) SELECT region, domain, 'DUPLICATE' AS reason FROM d GROUP BY 1, 2 HAVING count(*) > 1 UNION ALL (SELECT region, domain, 'UNSUPPORTED' FROM d EXCEPT SELECT region, domain, 'UNSUPPORTED' FROM s) UNION ALL (SELECT region, domain, 'MISSING' FROM s EXCEPT SELECT region, domain, 'MISSING' FROM d)")

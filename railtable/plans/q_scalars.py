@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from railtable.functions import scalars as S
-from railtable.plans.bind import Book
+from railtable.plans.bind import Book, canonical
 
 book = Book()
 QUERIES, ORACLES = book.queries, book.oracles
@@ -47,8 +47,9 @@ book.add("sc10_units", lambda d: d.select("p_partkey", S.metres(F.col("km")).cas
 book.add("sc11_station_line", lambda d: d.select("trip_id", "stop_no", S.station_line_of(F.col("node")).alias("station_line")),
          ["SELECT trip_id, stop_no, CASE WHEN station_id % 7 = 0 THEN concat(station_id, '') WHEN station_id % 7 = 1 THEN concat(station_id, '::p') ELSE concat(station_id, ':', line_id, ':up') END AS node FROM v_stops"],
          "SELECT trip_id, stop_no, CASE WHEN station_id % 7 > 1 THEN concat(station_id, ':', line_id) END AS station_line FROM v_stops")
-book.add("sc12_record_hash", lambda d: d.select("p_partkey", S.record_hash("p_partkey", "p_name", "p_brand", "p_size").alias("hash")), [PART],
-         "SELECT p_partkey, sha256(concat('p_brand=', coalesce(p_brand, '\\N'), '|p_name=', coalesce(p_name, '\\N'), '|p_partkey=', coalesce(p_partkey::VARCHAR, '\\N'), '|p_size=', coalesce(p_size::VARCHAR, '\\N'))) AS hash FROM part")
+#: Values that a joined text would confuse: separators, quotes, a written null, nulls and empties.
+ODD = "SELECT p_partkey, CASE p_partkey % 7 WHEN 0 THEN NULL WHEN 1 THEN '' WHEN 2 THEN concat(p_name, '|p_partkey=1') WHEN 3 THEN concat(chr(34), p_name, chr(92), 'N') ELSE p_name END AS p_name, CASE WHEN p_partkey % 5 > 0 THEN p_brand END AS p_brand, CASE WHEN p_partkey % 3 > 0 THEN p_size END AS p_size FROM part"
+book.add("sc12_record_hash", lambda d: d.select("p_partkey", S.record_hash("p_partkey", "p_name", "p_brand", "p_size").alias("hash")), [ODD], f"SELECT p_partkey, sha256({canonical('p_brand', 'p_name', 'p_partkey', 'p_size')}) AS hash FROM ({ODD})")
 book.add("sc13_credentials", lambda d: d.where(S.holds_credential(F.col("line"))).select("doc_id"), ["SELECT doc_id, CASE WHEN doc_id % 9 = 0 THEN concat('serviceKey=', doc_id) ELSE text END AS line FROM documents"],
          """SELECT doc_id FROM documents WHERE regexp_matches(CASE WHEN doc_id % 9 = 0 THEN concat('serviceKey=', doc_id) ELSE text END, '(?i)(serviceKey|apiKey|access[_-]?token|secret)[=:][^\\s&"'']+')""")
 book.add("sc14_search", lambda d: S.search_rows(d, "p_name", [["a", "r"], ["e", "o"]], 25, ["p_partkey"]).select("p_partkey", "p_name"), [PART],

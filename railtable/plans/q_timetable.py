@@ -40,7 +40,7 @@ book.add("wn10_wide_timetable", lambda d: T.wide_to_stops(d, ["t1", "t2", "t3"])
   SELECT *, coalesce(seq - lag(seq) OVER (PARTITION BY train ORDER BY seq) > 1, false) AS gap FROM g""")
 book.add("wn11_adjacency", T.adjacency_violations, ["v_stops", "SELECT s_suppkey AS from_station, n_nationkey AS to_station FROM supplier, nation"],
   "WITH p AS (SELECT trip_id, stop_no, station_id AS from_station, lead(station_id) OVER (PARTITION BY trip_id ORDER BY stop_no) AS to_station FROM v_stops) SELECT from_station, to_station, trip_id, stop_no FROM p WHERE to_station IS NOT NULL AND NOT EXISTS (SELECT 1 FROM supplier, nation WHERE s_suppkey = from_station AND n_nationkey = to_station)")
-CHAIN = "SELECT concat(event_type, '-', user_id % 30) AS grp, event_id, CAST(event_id % 6 AS INT) AS seq, CAST(@secs(ts) % 86400 AS INT) AS seconds FROM events"
+CHAIN = "SELECT concat(event_type, '-', user_id % 30, '-', @days(ts)) AS grp, event_id, CAST(event_id % 6 AS INT) AS seq, CAST(@secs(ts) % 86400 AS INT) AS seconds FROM events"
 book.add("wn12_chain_departures", lambda d: T.chain_departures(d, 60, 3000), [CHAIN], None)
 book.add("wn13_chain_nearest", lambda d: T.chain_nearest(d, 1200, 1800), [CHAIN], None)
 book.add("wn22_stop_patterns", T.stop_patterns, ["v_stops"], "SELECT trip_id, string_agg(station_id::VARCHAR, '>' ORDER BY stop_no) AS pattern, sha256(string_agg(station_id::VARCHAR, '>' ORDER BY stop_no)) AS pattern_hash, count(*) AS stops FROM v_stops GROUP BY trip_id")

@@ -3,7 +3,7 @@
 from pyspark.sql import functions as F
 
 from railtable.operators import versioning as V
-from railtable.plans.bind import Book
+from railtable.plans.bind import Book, canonical
 
 book = Book()
 QUERIES, ORACLES = book.queries, book.oracles
@@ -24,11 +24,11 @@ S1 = "SELECT user_id % 7 AS day, event_type AS set_name, user_id AS member FROM
 book.add("dq06_compare_sets", V.compare_sets, [S0, S1], f"""WITH a AS (SELECT DISTINCT * FROM ({S0})), b AS (SELECT DISTINCT * FROM ({S1})), d AS (SELECT *, 'R' AS side FROM (SELECT * FROM a EXCEPT SELECT * FROM b) UNION ALL SELECT *, 'A' FROM (SELECT * FROM b EXCEPT SELECT * FROM a))
   SELECT day, set_name, count(*) FILTER (WHERE side = 'R') AS removed, count(*) FILTER (WHERE side = 'A') AS added FROM d GROUP BY 1, 2""")
 NAMES = "SELECT p_name AS name, p_partkey AS station_id, p_brand AS line_id FROM part WHERE p_partkey % 4 = 0"
-DEC = "SELECT p_name AS name, max(CASE WHEN p_size % 5 = 0 THEN 'MAYBE' ELSE 'MERGE' END) AS decision, concat(min(p_partkey), '') AS station_ids FROM part WHERE p_size > 20 GROUP BY p_name"
-book.add("dq07_identity", V.identity_violations, [NAMES, DEC], f"""WITH s AS (SELECT name, count(DISTINCT station_id) AS n, string_agg(DISTINCT station_id::VARCHAR, ',' ORDER BY station_id::VARCHAR) AS actual FROM ({NAMES}) GROUP BY name HAVING count(DISTINCT station_id) > 1), d AS ({DEC}),
+DEC = "SELECT p_name AS name, max(CASE WHEN p_size % 5 = 0 THEN 'MAYBE' ELSE 'MERGE' END) AS decision, {} AS station_ids FROM part WHERE p_size > 20 GROUP BY p_name"
+book.add("dq07_identity", V.identity_violations, [NAMES, DEC.format("array_agg(CAST(p_partkey AS STRING))")], f"""WITH s AS (SELECT name, count(DISTINCT station_id) AS n, list_sort(list(DISTINCT station_id::VARCHAR)) AS actual FROM ({NAMES}) GROUP BY name HAVING count(DISTINCT station_id) > 1), d AS ({DEC.format("list_sort(list(DISTINCT p_partkey::VARCHAR))")}),
   r AS (SELECT s.name, n, CASE WHEN decision IS NULL THEN 'NO_DECISION' WHEN decision NOT IN ('MERGE', 'DISTINCT') THEN 'UNKNOWN_DECISION' WHEN station_ids <> actual THEN 'OTHER_STATIONS' END AS reason FROM s LEFT JOIN d USING (name)) SELECT * FROM r WHERE reason IS NOT NULL""")
 book.add("dq08_id_collisions", lambda a, b: V.id_collisions(a, b, "id"), ["SELECT p_partkey AS id FROM part", "SELECT s_suppkey * 3 AS id FROM supplier"], "SELECT p_partkey AS id FROM part INTERSECT SELECT s_suppkey * 3 FROM supplier")
-book.add("dq09_canonical_digest", lambda d: V.canonical_digest(d, "station_id", "line_id"), ["v_stops"], "SELECT line_id, count(DISTINCT station_id) AS n, sha256(string_agg(DISTINCT station_id::VARCHAR, ',' ORDER BY station_id::VARCHAR)) AS digest FROM v_stops GROUP BY line_id")
+book.add("dq09_canonical_digest", lambda d: V.canonical_digest(d, "station_id", "line_id"), ["v_stops"], "SELECT line_id, count(DISTINCT station_id) AS n, sha256(to_json(list_sort(list(DISTINCT station_id::VARCHAR)))::VARCHAR) AS digest FROM v_stops GROUP BY line_id")
 ENT = "SELECT p_partkey AS entity_id, concat('s', p_size % 5) AS source_id, array(p_brand, p_type) AS line_ids, CASE WHEN p_size % 3 > 0 THEN p_name END AS name, CAST(p_size AS INT) AS size FROM part"
 SC = "SELECT concat('s', n_nationkey) AS source_id, array('Brand#11', 'Brand#12', 'Brand#13', 'Brand#21') AS line_ids FROM nation WHERE n_nationkey < 6 AND n_nationkey <> 3"
 OV = "SELECT p_partkey AS entity_id, 'name' AS field, 's5' AS source_id FROM part WHERE p_partkey % 9 = 0"
@@ -39,9 +39,9 @@ book.add("dq11_scope_index", V.scope_index, [REC], """SELECT DISTINCT r AS regio
 book.add("dq12_line_operators", V.line_operators, ["SELECT n_name AS line_id, n_regionkey AS operator_id FROM nation", "SELECT n_name AS line_id, s_suppkey AS operator_id FROM nation JOIN supplier ON s_nationkey = n_nationkey WHERE s_suppkey % 2 = 0"],
   "WITH d AS (SELECT n_name AS line_id, s_suppkey AS operator_id FROM nation JOIN supplier ON s_nationkey = n_nationkey WHERE s_suppkey % 2 = 0) SELECT * FROM d UNION ALL SELECT n_name, n_regionkey FROM nation WHERE n_name NOT IN (SELECT line_id FROM d)")
 LED = "SELECT p_brand, p_partkey, p_name, p_size FROM part"
-book.add("dq13_ledger_hash", lambda d: V.ledger_hash(d, "p_brand"), [LED], """WITH h AS (SELECT p_brand, sha256(concat('p_name=', p_name, '|p_partkey=', p_partkey, '|p_size=', p_size)) AS h FROM part), b AS (SELECT p_brand, ('0x' || substr(h, 1, 8))::BIGINT % 256 AS b, count(*) AS n, sha256(string_agg(h, '' ORDER BY h)) AS d FROM h GROUP BY 1, 2)
+book.add("dq13_ledger_hash", lambda d: V.ledger_hash(d, "p_brand"), [LED], f"""WITH h AS (SELECT p_brand, sha256({canonical('p_name', 'p_partkey', 'p_size')}) AS h FROM part), b AS (SELECT p_brand, ('0x' || substr(h, 1, 8))::BIGINT % 256 AS b, count(*) AS n, sha256(string_agg(h, '' ORDER BY h)) AS d FROM h GROUP BY 1, 2)
   SELECT p_brand, sum(n)::BIGINT AS n_rows, sha256(string_agg(d, '' ORDER BY b)) AS ledger_hash FROM b GROUP BY 1""")
-book.add("dq14_inherited", V.inherited_violations, ["SELECT p_brand, p_size FROM part", "SELECT p_brand, p_size FROM part WHERE p_partkey % 11 > 0"], """WITH a AS (SELECT concat('p_brand=', p_brand, '|p_size=', p_size) AS row, count(*) AS n0, count(*) FILTER (WHERE p_partkey % 11 > 0) AS n1 FROM part GROUP BY 1) SELECT * FROM a WHERE n1 < n0""")
+book.add("dq14_inherited", V.inherited_violations, ["SELECT p_brand, p_size FROM part", "SELECT p_brand, p_size FROM part WHERE p_partkey % 11 > 0"], f"""WITH a AS (SELECT {canonical('p_brand', 'p_size')} AS row, count(*) AS n0, count(*) FILTER (WHERE p_partkey % 11 > 0) AS n1 FROM part GROUP BY 1) SELECT * FROM a WHERE n1 < n0""")
 book.add("dq15_scope_transition", lambda d: d.select("n_nationkey", V.scope_transition(F.col("a"), F.col("b"), F.col("c")).alias("class")), ["SELECT n_nationkey, CASE WHEN n_nationkey % 4 = 0 THEN filter(array(0), x -> x > 0) ELSE array(1, 2) END AS a, array(3, n_regionkey) AS b, CASE WHEN n_nationkey % 4 = 0 THEN array(n_regionkey, 3) WHEN n_nationkey % 4 = 1 THEN array(2, 1) WHEN n_nationkey % 4 = 2 THEN array(1, 2, 9) ELSE array(1, 3) END AS c FROM nation"],
   "SELECT n_nationkey, CASE n_nationkey % 4 WHEN 0 THEN 'NEW' WHEN 1 THEN 'UNCHANGED' WHEN 2 THEN 'UNDECLARED_EXTENSION' ELSE 'INVALID' END AS class FROM nation")
 K = ["SELECT p_partkey AS key FROM part WHERE p_partkey % 2 = 0", "SELECT p_partkey AS key FROM part WHERE p_partkey % 9 = 0", "SELECT p_partkey AS key FROM part WHERE p_partkey % 27 = 0", "SELECT p_partkey AS key FROM part WHERE (p_partkey % 2 = 0 OR p_partkey % 9 = 0) AND p_partkey % 13 > 0"]

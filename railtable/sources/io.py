@@ -4,11 +4,12 @@ from __future__ import annotations
 
 import re
 
-from pyspark.sql import DataFrame, SparkSession
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from railtable.checks import row_hash, violations
+from railtable.checks import duplicate_keys, row_hash, strict, violations
 from railtable.functions.scalars import station_name
 from railtable.operators.versioning import ledger_hash
 from railtable.schemas import TABLES
@@ -25,10 +26,39 @@ def explode_json(df: DataFrame, column: str, item: str) -> DataFrame:
     return df.withColumn("_j", F.from_json(column, T.StructType.fromDDL(item))).select(*[c for c in df.columns if c != column], "_j.*")
 
 
-def scan_csv(spark: SparkSession, path: str, ddl: str, encoding: str = "UTF-8") -> tuple[DataFrame, DataFrame]:
-    """IO-2: an official CSV with header: good rows, and quarantined ones (text that does not fit the columns or types)."""
+def file_encodings(spark: SparkSession, path: str) -> DataFrame:
+    """IO-2: (file, encoding) of text files: UTF-8 (with or without a byte order mark) where every line is valid, else EUC-KR. A scan of
+    lines and an aggregation by file."""
+    lines = spark.read.text(path).select(F.col("_metadata.file_path").alias("file"), F.is_valid_utf8("value").alias("ok"))
+    return lines.groupBy("file").agg(F.when(F.every("ok"), "UTF-8").otherwise("EUC-KR").alias("encoding"))
+
+
+def euc_kr(text: Column) -> Column:
+    """Text of single bytes (ISO-8859-1) to the text that these bytes are in EUC-KR, with its usual extension; a wrong byte becomes U+FFFD."""
+
+    @F.pandas_udf("string")
+    def decoded(s: pd.Series) -> pd.Series:
+        return s.map(lambda x: x.encode("latin-1").decode("cp949", "replace"), na_action="ignore")
+
+    return F.when(text.rlike(r"[^\x00-\x7F]"), decoded(text)).otherwise(text)
+
+
+def scan_csv(spark: SparkSession, path: str, ddl: str, encoding: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """IO-2: official CSV files with header: good rows, and quarantined ones (text that does not fit the columns or types). Without an
+    encoding each file is read as what file_encodings() finds; only file names reach the driver."""
     shape = T.StructType([*T.StructType.fromDDL(ddl).fields, T.StructField("_corrupt", T.StringType())])
-    df = spark.read.csv(path, header=True, schema=shape, encoding=encoding, mode="PERMISSIVE", columnNameOfCorruptRecord="_corrupt", enforceSchema=True)
+    paths: dict[str, list[str]] = {encoding: [path]} if encoding else {}
+    if not encoding:
+        for r in file_encodings(spark, path).collect():
+            paths.setdefault(r["encoding"], []).append(r["file"])
+    df = spark.createDataFrame([], shape)
+    for name, files in sorted(paths.items()):
+        # Spark does not read this charset; its bytes are told apart from the CSV's own signs, so they are read one by one and decoded after
+        korean = name == "EUC-KR"
+        one = spark.read.csv(files, header=True, schema=shape, encoding="ISO-8859-1" if korean else name, mode="PERMISSIVE", columnNameOfCorruptRecord="_corrupt", enforceSchema=True)
+        if korean:
+            one = one.select(*[euc_kr(F.col(f.name)).alias(f.name) if f.dataType == T.StringType() else F.col(f.name) for f in shape.fields])
+        df = one if len(paths) == 1 else df.unionByName(one)
     # with columns pruned the parser would skip bad fields (and it refuses a scan of the corrupt column alone): both sides read all
     touched = F.xxhash64(*[c for c in df.columns if c != "_corrupt"]) >= F.lit(-(2**63))
     return df.where(F.col("_corrupt").isNull() & touched).drop("_corrupt"), df.where(F.col("_corrupt").isNotNull() & touched).select(F.col("_corrupt").alias("line"))
@@ -85,9 +115,11 @@ def camel(name: str) -> str:
 
 
 def export_rows(df: DataFrame, table: str | None = None) -> DataFrame:
-    """IO-6: snake names to camel names; a known table with other columns is refused."""
+    """IO-6: snake names to camel names; an unknown table, other columns than the table's, and rows that share its key are refused."""
     if table is not None and (table not in TABLES or set(df.columns) != set(T.StructType.fromDDL(TABLES[table]["ddl"]).names)):
         raise ValueError(f"unknown table or columns: {table}")
+    if table is not None:
+        strict(duplicate_keys(df, *TABLES[table]["key"]), f"duplicate keys in {table}")
     return df.toDF(*map(camel, df.columns))
 
 

@@ -156,10 +156,10 @@ def test_versions(spark):
 
 def test_policy(spark):
     day = 86_400
-    s = spark.createDataFrame([("a", "m", 1706659200, None, None), ("b", "m", 1706659200, 1706659300, 1), ("c", "x", 5, None, None), ("d", "y", 2_000_000_000, None, None)], "source_id string, class_id string, basis_at long, provider_end long, stored_expiry long")
-    p = spark.createDataFrame([("m", "P1M"), ("y", "P1Y")], "class_id string, cadence string")
+    s = spark.createDataFrame([("a", "m", 1706659200, None, None), ("b", "m", 1706659200, 1706659300, 1), ("c", "x", 5, None, None), ("d", "y", 2_000_000_000, None, None), ("e", "bad", 5, None, None), ("f", "m", None, None, None), ("g", "m", 1706659200, 1706659201, None)], "source_id string, class_id string, basis_at long, provider_end long, stored_expiry long")
+    p = spark.createDataFrame([("m", "P1M"), ("y", "P1Y"), ("bad", "monthly")], "class_id string, cadence string")
     got = rows(policy.freshness(s, p, 1706659200 + 10 * day))
-    assert got == [("a", 1709164800, "FRESH", None), ("b", 1706659300, "STALE", "STORED_EXPIRY_DIFFERS"), ("c", None, "FRESH", "NO_POLICY"), ("d", 2031536000, "FRESH", "FUTURE_BASIS")]
+    assert got == [("a", 1709164800, "FRESH", None), ("b", 1706659300, "INVALID", "STORED_EXPIRY_DIFFERS"), ("c", None, "INVALID", "NO_POLICY"), ("d", 2031536000, "INVALID", "FUTURE_BASIS"), ("e", None, "INVALID", "BAD_CADENCE"), ("f", None, "INVALID", "NO_BASIS"), ("g", 1706659201, "STALE", None)]
 
 
 def test_coverage_diagnosis(spark):
@@ -203,3 +203,138 @@ def test_status_stream_equals_batch(spark, tmp_path):
             last[r.facility_id] = r
     want = {r.facility_id: r.status for r in status.status_at(df, 40_000).collect()}
     assert {k: r.status for k, r in last.items()} == want == {1: "CLOSED", 2: "UNKNOWN", 3: "AVAILABLE"}
+
+
+AWKWARD = ["x|b=y", "y", "x", "y|b=z", "\\N", "", None, 'q"', "a,b", "a=b", "{}", "null"]
+
+
+def test_row_texts_are_unambiguous(spark):
+    import itertools
+
+    pairs = list(itertools.product(AWKWARD, AWKWARD))
+    d = spark.createDataFrame([(k, a, b) for k, (a, b) in enumerate(pairs)], "k int, a string, b string")
+    assert d.select(checks.row_text("a", "b")).distinct().count() == len(pairs) and d.select(checks.row_hash("b", "a")).distinct().count() == len(pairs)
+    moved = spark.createDataFrame([(k, *pairs[(k + 1) % len(pairs)]) for k in range(len(pairs))], d.schema)
+    assert versioning.diff_table(d, moved, ["k"]).where("change = 'CHANGED'").count() == len(pairs) and versioning.diff_table(d, d.select("b", "k", "a").repartition(3), ["k"]).count() == 0
+    assert versioning.inherited_violations(d.drop("k"), d.drop("k")).count() == 0 and versioning.inherited_violations(d.drop("k"), d.drop("k").where("k > 0" if False else "a IS NOT NULL")).count() == len(AWKWARD)
+    assert versioning.divergent_keys(d.selectExpr("1 AS one", "a", "b"), ["one"]).first()["versions"] == len(pairs)
+    one, two = (spark.createDataFrame([("g", m) for m in ms], "g string, m string") for ms in (["a,b"], ["a", "b"]))
+    assert versioning.canonical_digest(one, "m", "g").first()["digest"] != versioning.canonical_digest(two, "m", "g").first()["digest"]
+    st = spark.createDataFrame([("n", "1,2", "L"), ("n", "3", "L"), ("o", "1", "L"), ("o", "2", "L")], "name string, station_id string, line_id string")
+    dec = spark.createDataFrame([("n", "MERGE", ["1", "2,3"]), ("o", "DISTINCT", ["2", "1"])], "name string, decision string, station_ids array<string>")
+    assert rows(versioning.identity_violations(st, dec)) == [("n", 2, "OTHER_STATIONS")]
+    gaps = spark.createDataFrame([(1, "o", "l", "n")], "gap_id int, operator string, line string, name string")
+    got = [reconcile.gap_evidence(gaps, spark.createDataFrame([("o", "l", "n", v)], "operator string, line string, name string, v string"), F.lit(True)).first()["hash"] for v in AWKWARD]
+    assert len(set(got)) == len(AWKWARD)
+
+
+def test_results_do_not_depend_on_order_or_partitions(spark):
+    d = spark.createDataFrame([(k % 5, f"s{k % 7}", k) for k in range(60)], "line_id int, station_id string, seq int")
+    other = d.orderBy(F.rand(3)).repartition(7).select("seq", "station_id", "line_id")
+    for f in (lambda x: versioning.ledger_hash(x, "line_id"), lambda x: versioning.canonical_digest(x, "station_id", "line_id"), lambda x: topology.adjacent_edges(x), lambda x: versioning.latest_per_key(x, "station_id", "seq", "line_id").select("line_id", "station_id", "seq")):
+        assert rows(f(d)) == rows(f(other))
+
+
+def test_official_files(spark, tmp_path):
+    (tmp_path / "csv").mkdir()
+    (tmp_path / "csv/a.csv").write_bytes("name,n\n서울,1\n시청,x\n".encode("utf-8-sig"))
+    (tmp_path / "csv/b.csv").write_bytes("name,n\n부산,2\n광주,3,4\n".encode("euc-kr"))
+    assert {r["file"][-5:]: r["encoding"] for r in io.file_encodings(spark, str(tmp_path / "csv")).collect()} == {"a.csv": "UTF-8", "b.csv": "EUC-KR"}
+    good, bad = io.scan_csv(spark, str(tmp_path / "csv"), "name string, n int")
+    assert rows(good) == [("부산", 2), ("서울", 1)] and rows(bad) == [("광주,3,4",), ("시청,x",)]
+    shape = "pack_id string, station_id string, line_id string, line_sequence int"
+    once = spark.createDataFrame([("p", "s", "l", 1), ("p", "t", "l", 1)], shape)
+    assert io.export_rows(once, "station_lines").columns == ["packId", "stationId", "lineId", "lineSequence"]
+    with pytest.raises(checks.Violation, match="duplicate keys in station_lines"):
+        io.export_rows(once.unionByName(spark.createDataFrame([("p", "s", "l", 2)], shape)), "station_lines")
+    for wrong in (once.drop("line_id"), once.withColumn("more", F.lit(1))):
+        with pytest.raises(ValueError, match="unknown table or columns"):
+            io.export_rows(wrong, "station_lines")
+
+
+def slow_chain(events, pick, skip):
+    """WN-12 and WN-13 by trying every departure."""
+    trip, used = {}, set()
+    order = sorted(events, key=lambda e: (e[2], e[3], e[1]))
+    for g, i, q, t, d in order:
+        trip.setdefault((g, i), i)
+        free = lambda n: [(e[3], k, e) for k, e in enumerate(order) if e[0] == g and e[2] == q + n and e[4] == d and e[1] not in used]  # noqa: B023, E731
+        near = pick(t, free(1))
+        if near is None and skip:
+            near = skip(t, free(2))
+        if near:
+            used.add(near[1])
+            trip[g, near[1]] = trip[g, i]
+    return trip
+
+
+def test_chaining_brute_force(spark):
+    import random
+
+    rng = random.Random(9)
+    events = [(f"d{rng.randrange(3)}", k, rng.randrange(6), rng.randrange(0, 4000, 20), rng.choice(["N", "S"])) for k in range(400)]
+    df = spark.createDataFrame(events, "grp string, event_id long, seq int, seconds int, destination string")
+
+    def only(t, free):
+        ok = [x for x in free if 60 <= x[0] - t <= 300]
+        return ok[0][2] if len(ok) == 1 else None
+
+    def nearest(want):
+        def pick(t, free):
+            ok = sorted((abs(x[0] - t - want), x[0], x[1], x[2]) for x in free if abs(x[0] - t - want) <= 120)
+            return ok[0][3] if ok else None
+        return pick
+
+    got = timetable.chain_departures(df)
+    assert {(r.grp, r.event_id): r.trip_id for r in got.collect()} == slow_chain(events, only, None)
+    near = timetable.chain_nearest(df)
+    assert {(r.grp, r.event_id): r.trip_id for r in near.collect()} == slow_chain(events, nearest(180), nearest(360)) and near.where("repaired").count() > 0
+    book = timetable.accounting(df, near).collect()
+    assert all(r.balanced and r.read == r.in_trips + r.left_over for r in book) and sum(r.left_over for r in book) == timetable.leftovers(near).count() > 0
+    ends = timetable.last_stops(got, spark.createDataFrame([(k, 100 + k) for k in range(6)], "seq int, seconds int"))
+    assert ends.count() == got.select("grp", "trip_id").distinct().count()
+
+
+def test_nearest_and_spread_brute_force(spark):
+    import math
+    import random
+
+    rng = random.Random(4)
+    segs = [(f"L{k % 3}", k, x := rng.uniform(-900, 900), y := rng.uniform(-900, 900), x + rng.uniform(-300, 300), y + rng.uniform(-300, 300)) for k in range(30)] + [("far", 99, 9e4, 9e4, 9e4, 9e4)]
+    nodes = [(k, ["L0", "L1", "L2", "far", "none"][k % 5], rng.uniform(-3000, 3000), rng.uniform(-3000, 3000)) for k in range(100)]
+
+    def dist(x, y, s):
+        dx, dy = s[4] - s[2], s[5] - s[3]
+        n = dx * dx + dy * dy
+        t = 0.0 if n == 0 else max(0.0, min(1.0, ((x - s[2]) * dx + (y - s[3]) * dy) / n))
+        return math.hypot(x - s[2] - t * dx, y - s[3] - t * dy)
+
+    got = {r.id: r.distance for r in spatial.nearest_segment(spark.createDataFrame(nodes, "id int, line_id string, x double, y double"), spark.createDataFrame(segs, "line_id string, seg_id int, x0 double, y0 double, x1 double, y1 double")).collect()}
+    want = {k: min(dist(x, y, s) for s in segs if s[0] == line) for k, line, x, y in nodes if line != "none"}
+    assert got.keys() == want.keys() and all(math.isclose(got[k], want[k], rel_tol=1e-9) for k in want)
+    pts = [(s, f"l{k % (1 if s == 3 else 2)}", rng.randrange(500), rng.randrange(500)) for s in range(4) for k in range(1 + 30 * s)]
+    spread = {r.station_id: r.spread for r in spatial.interchange_spreads(spark.createDataFrame(pts, "station_id int, line_id string, x int, y int")).collect()}
+    assert spread.keys() == {1, 2} and all(math.isclose(spread[s], max(math.dist(p[2:], q[2:]) for p in pts for q in pts if p[0] == q[0] == s)) for s in spread)
+    lines = [(k, k % 4, x := rng.uniform(0, 400), y := rng.uniform(0, 30), x + rng.uniform(20, 300), y + rng.uniform(-0.5, 0.5)) for k in range(80)]
+
+    def overlaps(a, b):
+        la, ang = math.hypot(a[4] - a[2], a[5] - a[3]), lambda s: math.degrees(math.atan2(s[5] - s[3], s[4] - s[2])) % 180
+        ux, uy = (a[4] - a[2]) / la, (a[5] - a[3]) / la
+        d = abs(ang(a) - ang(b))
+        off = abs(((b[2] + b[4]) / 2 - a[2]) * uy - ((b[3] + b[5]) / 2 - a[3]) * ux)
+        p, q = ((b[2] - a[2]) * ux + (b[3] - a[3]) * uy), ((b[4] - a[2]) * ux + (b[5] - a[3]) * uy)
+        return a[1] != b[1] and min(d, 180 - d) <= 0.5 and off < 2 and min(la, max(p, q)) - max(0, min(p, q)) > 0
+
+    pairs = spatial.collinear_overlaps(spark.createDataFrame(lines, "id int, line_id int, x0 double, y0 double, x1 double, y1 double"), cell=16.0)
+    assert rows(pairs, "a", "b") == sorted((a[0], b[0]) for a in lines for b in lines if a[0] < b[0] and overlaps(a, b))
+
+
+def test_no_nested_loop_and_no_single_task_window(spark):
+    SF = "/root/testdata/sf0.001"
+    if not __import__("os").path.isdir(SF):
+        pytest.skip("the driver's tables are not here")
+    from railtable.plans import registry
+
+    for name in ("jn13_near_pairs", "jn15_box_overlaps", "jn16_collinear", "jn17_crossings", "jn18_nearest_segment", "jn23_work_plan", "jn30_off_track", "jn31_snap_ends", "wn22_passed_through", "ag19_spreads"):
+        plan = registry.queries()[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
+        assert "NestedLoop" not in plan and "Cartesian" not in plan, name
