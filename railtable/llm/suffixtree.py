@@ -2,27 +2,31 @@
 
 from __future__ import annotations
 
+import json
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import repeat
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from railtable.llm import vectext
-from railtable.llm.common import crc_mod, cut
+from railtable.llm.common import crc_mod, cut, drop_cut
 
-#: Longest context in bytes. With the next byte it fits six bytes of a long.
-DEPTH = 5
-#: A context is kept if it makes up this share of all positions and its divergence from its suffix's prediction,
-#: weighed by that share, is worth so many bits a position. So a level has at most 1 / SHARE contexts, whatever the input.
-SHARE, GAIN = 2e-6, 1e-8
+#: Longest context in bytes. With the next byte it fits seven bytes of a long.
+DEPTH = 6
+#: A context is kept if it occurs so often, and if its own next symbols, against what its suffix predicts for them, save so many bits
+#: over all its occurrences (the divergence test). Both are absolute, so the tree grows with the corpus.
+LEAST, BITS_SAVED = 8, 12.0
 #: Weight of the suffix's distribution in a context's own: so much for each distinct next symbol seen, plus one.
 BACKOFF = 3.0
+#: (context, next) pairs of the most frequent contexts in each task's broadcast tree: about 50 MB. Deeper states beyond it are found by joins.
+HOT_PAIRS = 3_000_000
+#: Positions of the bitmap (16 MB at most) that tells which texts' contexts may be kept beyond the broadcast tree, as a power of two.
+COLD_BITS = 27
 #: Words counted by each task's broadcast table; all others are looked up by a join. 65,536 words are about 2 MB.
 HOT_WORDS = 65_536
 FOLDS, HELD_OUT = 7, 2
@@ -100,99 +104,170 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 @dataclass(frozen=True)
 class Tree:
     """For each depth k: kept contexts (sorted, the last k bytes as a long), log10 of the weight their suffix keeps, and
-    (context << 8 | next) with its log10 probability, sorted. Depth 0 has the 256 symbols."""
+    (context << 8 | next) with its log10 probability, sorted. Depth 0 has the 256 symbols. `cold` is a bitmap of the kept contexts
+    that are not among them (None: there are none)."""
 
     root: np.ndarray
     levels: list[tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]]
+    cold: np.ndarray | None = None
 
     def score(self, grams: np.ndarray) -> np.ndarray:
         """log10 P of each gram's last byte, from the longest kept suffix of its context."""
         nxt = grams & _U(255)
         out = self.root[nxt.astype(np.int64)].copy()
-        alive = np.ones(len(grams), bool)  # a kept context's suffixes are kept: the first miss ends the descent
         for k, (contexts, lost, pairs, logs) in enumerate(self.levels, 1):
             if not len(contexts):
-                break
+                continue  # a longer context may be kept without its suffix
             context = (grams >> _U(8)) & _U((1 << (8 * k)) - 1)
             at = np.minimum(np.searchsorted(contexts, context), len(contexts) - 1)
-            alive &= contexts[at] == context
-            if not alive.any():
-                break
-            pair = (context << _U(8)) | nxt
+            kept = np.flatnonzero(contexts[at] == context)
+            if not len(kept):
+                continue
+            pair = (context[kept] << _U(8)) | nxt[kept]
             where = np.minimum(np.searchsorted(pairs, pair), len(pairs) - 1)
-            seen = alive & (pairs[where] == pair)
-            out = np.where(seen, logs[where], np.where(alive, out + lost[at], out))
+            out[kept] = np.where(pairs[where] == pair, logs[where], out[kept] + lost[at[kept]])
         return out
 
+    def may_be_cold(self, grams: np.ndarray) -> np.ndarray:
+        """Could a suffix of the gram's context be kept beyond this tree?"""
+        found = np.zeros(len(grams), bool)
+        if self.cold is not None:
+            for k in range(1, DEPTH + 1):
+                at = cold_place((grams >> _U(8)) & _U((1 << (8 * k)) - 1), k)
+                found |= (self.cold[at >> 3] >> (at & 7)) & 1 > 0
+        return found
+
+
+def cold_place(contexts: np.ndarray, k: int) -> np.ndarray:
+    return (vectext.mix(contexts * _U(8) + _U(k)) >> _U(64 - COLD_BITS)).astype(np.int64)
+
 
 class Cached:
-    """Tree.score() behind a direct-mapped table: most grams of a text were scored a moment ago. A gram that is not in its
-    slot is scored by the tree and takes the slot."""
+    """Tree.score() and may_be_cold() behind a direct-mapped table: most grams of a text were looked up a moment ago. A gram that is not
+    in its slot is looked up in the tree and takes the slot."""
 
-    BITS = 20
+    BITS = 21
 
     def __init__(self, tree: Tree):
         self.tree = tree
-        self.keys, self.logs = np.full(1 << self.BITS, 2**64 - 1, _U), np.zeros(1 << self.BITS)
+        self.keys, self.logs, self.cold = np.full(1 << self.BITS, 2**64 - 1, _U), np.zeros(1 << self.BITS), np.zeros(1 << self.BITS, bool)
 
-    def score(self, grams: np.ndarray) -> np.ndarray:
+    def score(self, grams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         slot = ((grams * _U(0x9E3779B97F4A7C15)) >> _U(64 - self.BITS)).astype(np.int64)
-        out = self.logs[slot]
+        out, cold = self.logs[slot], self.cold[slot]
         miss = np.flatnonzero(self.keys[slot] != grams)
         if len(miss):
             keys, back = np.unique(grams[miss], return_inverse=True)
-            logs = self.tree.score(keys)
-            out[miss] = logs[back.reshape(-1)]
+            logs, far = self.tree.score(keys), self.tree.may_be_cold(keys)
+            out[miss], cold[miss] = logs[back.reshape(-1)], far[back.reshape(-1)]
             at = ((keys * _U(0x9E3779B97F4A7C15)) >> _U(64 - self.BITS)).astype(np.int64)
-            self.keys[at], self.logs[at] = keys, logs
-        return out
+            self.keys[at], self.logs[at], self.cold[at] = keys, logs, far
+        return out, cold
+
+
+def _low(c: Column | str, symbols: int) -> Column:
+    """The last so many bytes of a gram."""
+    return (F.col(c) if isinstance(c, str) else c).bitwiseAND(F.lit((1 << (8 * symbols)) - 1))
+
 
+def grow(counts: DataFrame, least: int = LEAST, saved: float = BITS_SAVED) -> tuple[np.ndarray, list[DataFrame]]:
+    """The tree of the counts (gram, n) of all training text: the root's 256 probabilities, and for each depth a table (context, pair,
+    m, log, lost) of its kept contexts, all grown in Spark.
 
-def grow(counts: DataFrame, share: float = SHARE, gain: float = GAIN) -> Tree:
-    """Builds the tree from the counts (gram, n) of all training text, level by level in Spark: counts of a depth's
-    (context, next) pairs are sums over the grams; contexts under `share` of the positions are dropped there, so at
-    most 1 / share of them a level reach the driver, where the divergence test runs on them."""
-    total = counts.agg(F.sum("n")).first()[0] or 0
+    Counts of a depth's (context, next) pairs are sums of the next depth's. Going down, a pair's probability is mixed with the one
+    that its suffix predicts, from the suffix's own or, where that was not kept, from a shorter one; a context is kept where
+    its symbols, weighed by their counts, gain `saved` bits by it, whether or not its suffix is kept."""
+    sums: list[DataFrame] = [counts.select(F.col("gram").alias("pair"), "n")]
+    for k in range(DEPTH - 1, -1, -1):
+        sums.insert(0, cut(sums[0].groupBy(_low("pair", k + 1).alias("pair")).agg(F.sum("n").alias("n")), "sums"))
     root = np.full(256, 1.0)
-    for gram, n in counts.groupBy((F.col("gram").bitwiseAND(F.lit(255))).alias("g")).agg(F.sum("n").alias("n")).collect():
-        root[gram] += n
+    for pair, n in sums[0].collect():
+        root[pair] += n
     root = root / root.sum()
-    tree = Tree(np.log10(root), [])
+    listed = F.from_json(F.lit(json.dumps(root.tolist())), "array<double>")
+    before, kept, used = None, [], []
     for k in range(1, DEPTH + 1):
-        pair = F.col("gram").bitwiseAND(F.lit((1 << (8 * (k + 1))) - 1))
-        sums = counts.groupBy(pair.alias("pair")).agg(F.sum("n").alias("n")).withColumn("context", F.shiftrightunsigned("pair", 8))
-        often = sums.groupBy("context").agg(F.sum("n").alias("m")).where(F.col("m") >= max(2.0, share * total))
-        got: pd.DataFrame = sums.join(often, "context").select("context", "pair", "n", "m").toArrow().to_pandas().sort_values("pair")
-        if got.empty:
+        rows = sums[k].withColumn("context", F.shiftrightunsigned("pair", 8))
+        own = rows.groupBy("context").agg(F.sum("n").alias("m"), F.count("*").alias("kinds")).where(F.col("m") >= least)
+        rows = rows.join(own, "context").withColumn("weight", F.col("kinds") * BACKOFF + 1.0)
+        if before is None:
+            rows = rows.withColumn("given", F.get(listed, _low("pair", 1).cast("int")))
+        else:
+            rows = rows.withColumn("suffix", _low("pair", k)).join(before.select(F.col("pair").alias("suffix"), F.col("p").alias("given")), "suffix").drop("suffix")
+        rows = cut(rows.withColumn("p", (F.col("n") + F.col("weight") * F.col("given")) / (F.col("m") + F.col("weight"))), "level")
+        tested = rows.groupBy("context").agg(F.sum(F.col("n") * F.log2(F.col("p") / F.col("given"))).alias("bits")).where(F.col("bits") >= saved).select("context", F.lit(True).alias("kept"))
+        judged = cut(rows.join(tested, "context", "left").select("context", "pair", "m", "kinds", "p", "given", "weight", F.coalesce("kept", F.lit(False)).alias("kept")), "judged")
+        kept.append(judged.where("kept").select("context", "pair", "m", "kinds", F.log10("p").alias("log"), F.log10(F.col("weight") / (F.col("m") + F.col("weight"))).alias("lost")))
+        before = judged.select("pair", F.when(F.col("kept"), F.col("p")).otherwise(F.col("given")).alias("p"))
+        used.append(rows)
+    for df in used + sums[:-1]:
+        drop_cut(df)
+    return np.log10(root), kept
+
+
+def hot_tree(root: np.ndarray, kept: list[DataFrame], most: int = HOT_PAIRS) -> tuple[Tree, int]:
+    """The tree of the most frequent kept contexts, with at most `most` pairs, and the count from which a context is in it. As a
+    context is at most as frequent as its suffix, what is not in it lies below what is. Only it and the bitmap of the rest reach the driver."""
+    sizes = None
+    for level in kept:
+        one = level.groupBy(F.floor(F.log2("m")).cast("int").alias("b")).agg(F.count("*").alias("pairs"))
+        sizes = one if sizes is None else sizes.unionByName(one)
+    room, floor = most, 0
+    for b, pairs in sorted(((r["b"], r["pairs"]) for r in sizes.groupBy("b").agg(F.sum("pairs").alias("pairs")).collect()), reverse=True):
+        room -= pairs
+        if room < 0:
+            floor = 1 << (b + 1)
             break
+    levels = []
+    for level in kept:
+        got = level.where(F.col("m") >= floor).select("context", "pair", "log", "lost").toArrow().to_pandas().sort_values("pair")
         context, pairs = (got[c].to_numpy(np.int64).view(_U) for c in ("context", "pair"))
-        n, m = got["n"].to_numpy(), got["m"].to_numpy()
-        # the suffix's probability: score() over the tree so far sees only its shorter contexts
-        parent = 10 ** tree.score(pairs)
-        keys, first, size = np.unique(context, return_index=True, return_counts=True)
-        weight = BACKOFF * size + 1.0
-        prob = (n + np.repeat(weight, size) * parent) / (m + np.repeat(weight, size))
-        divergence = np.add.reduceat(n / m * np.log2(prob / parent), first)
-        mass = m[first] / total
-        suffix = keys & _U((1 << (8 * (k - 1))) - 1)
-        known = np.ones(len(keys), bool) if k == 1 else np.isin(suffix, tree.levels[-1][0])
-        kept = known & (mass * divergence >= gain)
-        rows = np.repeat(kept, size)
-        tree.levels.append((keys[kept], np.log10(weight / (m[first] + weight))[kept], pairs[rows], np.log10(prob)[rows]))
-    return tree
-
-
-def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hot_words: int = HOT_WORDS) -> DataFrame:
+        keys, first = np.unique(context, return_index=True)
+        levels.append((keys, got["lost"].to_numpy(float)[first], pairs, got["log"].to_numpy(float)))
+    if not floor:
+        return Tree(root, levels), 0
+
+    def places(k: int):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                yield pa.RecordBatch.from_arrays([pa.array(np.unique(cold_place(batch.column(0).to_numpy().view(_U), k)))], names=["p"])
+
+        return run
+
+    bits = np.zeros(1 << (COLD_BITS - 3), np.uint8)
+    for k, level in enumerate(kept, 1):
+        p = level.where(F.col("m") < floor).select("context").distinct().mapInArrow(places(k), "p long")
+        # (p >> 3) is the byte and (p & 7) the bit; the map of 4 KB parts is made in Spark
+        parts = p.groupBy(F.shiftright("p", 15).alias("b")).agg(F.bitmap_construct_agg(_low("p", 2).bitwiseAND(F.lit(32767))).alias("bits"))
+        for b, part in parts.collect():  # at most 4,096 rows
+            bits[b * 4096 : (b + 1) * 4096] |= np.frombuffer(bytes(part), np.uint8)
+    return Tree(root, levels, bits), floor
+
+
+def cold_logs(grams: DataFrame, kept: list[DataFrame], floor: int) -> DataFrame:
+    """(gram, log): `grams` (gram, hot), each scored on from what the broadcast tree gives by the kept contexts beyond it. A context is a
+    row with its at most 256 next symbols, so a depth is one join."""
+    out = grams.select("gram", F.col("hot").alias("log"))
+    for k, level in enumerate(kept, 1):
+        rest = level.where(F.col("m") < floor).groupBy("context").agg(F.first("lost").alias("lost"), F.map_from_entries(F.collect_list(F.struct(_low("pair", 1).alias("s"), "log"))).alias("next"))
+        j = out.withColumn("context", _low(F.shiftrightunsigned("gram", 8), k)).join(rest, "context", "left")
+        out = j.select("gram", F.when(F.col("lost").isNull(), F.col("log")).otherwise(F.coalesce(F.try_element_at("next", _low("gram", 1)), F.col("log") + F.col("lost"))).alias("log"))
+    return out
+
+
+def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", hot_words: int = HOT_WORDS, hot_pairs: int = HOT_PAIRS) -> DataFrame:
     """One row for each row of `docs`: doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score.
 
     Tokens are the words of the lower-cased text and one end. Learned from all texts outside the held-out fold: word
     counts, and counts of all byte grams for the tree (contexts of up to DEPTH bytes, kept by a divergence test against
     their suffix and smoothed by it; every text is scored by its longest kept suffix states, so `score` is the log10
     probability of its words, one space between them, and the end). `base_score` is the add-one unigram over tokens.
-    Words beyond the most frequent `hot_words` find their counts by a join on the word, first summed by document.
+    Words beyond the most frequent `hot_words`, and states beyond the most frequent `hot_pairs` pairs of the tree, are found by joins
+    of what a document has of them, summed by document.
 
-    Null and blank texts have the end alone. A null id is in no fold: it is scored and not learned from. Repeated rows
-    get equal rows. Without training text every token is unknown (N and V are 0) and bytes are equally likely.
+    Null and blank texts have the end alone; long texts are scored whole. A null id is in no fold: it is scored and not learned from.
+    Repeated rows get equal rows, and ties of counts do not matter. Other columns are not looked at. Without training text every token is
+    unknown (N and V are 0) and bytes are equally likely. No rows: no rows.
     """
     spark = docs.sparkSession
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
@@ -205,7 +280,9 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     total, distinct = said + ends, kinds + (1 if ends else 0)
     hot = {bytes(r["word"]): r["n"] for r in words.orderBy(F.desc("n"), "word").limit(hot_words).collect()}
     whole = kinds <= hot_words
-    sent = spark.sparkContext.broadcast((hot, grow(found)))
+    root, kept = grow(found)
+    tree, floor = hot_tree(root, kept, hot_pairs)
+    sent = spark.sparkContext.broadcast((hot, tree))
     base = float(np.log10(total + distinct + (0 if total else 1)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -216,7 +293,17 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         for batch in batches:
             for i, j, tokens in _chunks(batch.column(2)):
                 g, starts = grams(tokens)
-                logs = np.add.reduceat(quick.score(g), starts[:-1])
+                one, cold = quick.score(g)
+                far_at = np.flatnonzero(cold)
+                hots = one[far_at]
+                one[far_at] = 0.0
+                logs = np.add.reduceat(one, starts[:-1])
+                beyond: list[list[dict]] = [[] for _ in tokens]
+                owner = np.searchsorted(starts, far_at, "right") - 1
+                for row in np.unique(owner).tolist():
+                    mine = owner == row
+                    keys, first, times = np.unique(g[far_at[mine]], return_index=True, return_counts=True)
+                    beyond[row] = [{"g": x, "h": h, "c": c} for x, h, c in zip(keys.view(np.int64).tolist(), hots[mine][first].tolist(), times.tolist(), strict=True)]
                 n, k, b, rest = [], [], [], []
                 for t in tokens:
                     # a known word's log10(c + 1) is positive, so 0 marks the others
@@ -232,22 +319,25 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                     [
                         batch.column(0).slice(i, j - i), batch.column(1).slice(i, j - i), pa.array(n, pa.int64()), pa.array(k, pa.int64()), pa.array(b, pa.float64()), pa.array(logs, pa.float64()),
                         pa.array(rest, pa.list_(pa.struct([("w", pa.binary()), ("c", pa.int64())]))),
+                        pa.array(beyond, pa.list_(pa.struct([("g", pa.int64()), ("h", pa.float64()), ("c", pa.int64())]))),
                     ],
-                    names=["doc_id", "held_out", "n_tokens", "n_known", "base_score", "score", "rest"],
+                    names=["doc_id", "held_out", "n_tokens", "n_known", "base_score", "score", "rest", "beyond"],
                 )
 
     kind = dict(rows.dtypes)["doc_id"]
-    shape = f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, base_score double, score double, rest array<struct<w:binary,c:bigint>>"
-    first = rows.select("doc_id", (fold == HELD_OUT).alias("held_out"), "text").mapInArrow(run, shape)
-    if whole:
-        out = first.drop("rest")
-    else:
+    shape = f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, base_score double, score double, rest array<struct<w:binary,c:bigint>>, beyond array<struct<g:bigint,h:double,c:bigint>>"
+    out = rows.select("doc_id", (fold == HELD_OUT).alias("held_out"), "text").mapInArrow(run, shape)
+    if not whole or floor:
         # row numbers are written with the rows, so they stay as they are
-        first = cut(first.withColumn("row", F.monotonically_increasing_id()), "scored")
-        rare = first.selectExpr("row", "explode(rest) AS r").select("row", F.col("r.w").alias("word"), F.col("r.c").alias("c"))
-        sums = rare.join(words, "word").groupBy("row").agg(F.sum("c").alias("more"), F.sum(F.col("c") * F.log10(F.col("n") + 1.0)).alias("far"))
-        out = first.drop("rest").join(sums, "row", "left").select(
-            "doc_id", "held_out", "n_tokens", (F.col("n_known") + F.coalesce("more", F.lit(0))).alias("n_known"),
-            (F.col("base_score") + F.coalesce("far", F.lit(0.0))).alias("base_score"), "score",
-        )
+        first = cut(out.withColumn("row", F.monotonically_increasing_id()), "scored")
+        out = first
+        if not whole:
+            rare = first.selectExpr("row", "explode(rest) AS r").select("row", F.col("r.w").alias("word"), F.col("r.c").alias("c"))
+            sums = rare.join(words, "word").groupBy("row").agg(F.sum("c").alias("more"), F.sum(F.col("c") * F.log10(F.col("n") + 1.0)).alias("far"))
+            out = out.join(sums, "row", "left").withColumns({"n_known": F.col("n_known") + F.coalesce("more", F.lit(0)), "base_score": F.col("base_score") + F.coalesce("far", F.lit(0.0))})
+        if floor:
+            said = first.selectExpr("row", "explode(beyond) AS r").select("row", F.col("r.g").alias("gram"), F.col("r.h").alias("hot"), F.col("r.c").alias("c"))
+            logs = cold_logs(said.groupBy("gram").agg(F.first("hot").alias("hot")), kept, floor)
+            sums = said.join(logs, "gram").groupBy("row").agg(F.sum(F.col("c") * F.col("log")).alias("deep"))
+            out = out.join(sums, "row", "left").withColumn("score", F.col("score") + F.coalesce("deep", F.lit(0.0)))
     return out.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(total).cast("long").alias("train_tokens"), "base_score", "score")
