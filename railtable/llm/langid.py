@@ -144,26 +144,28 @@ class Scorer:
 def train(docs: DataFrame, vocabulary: str = VOCABULARY, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", texts: int = TEXTS) -> Model:
     """Counts pieces in up to `texts` texts of each language outside the held-out fold (priors: in all of them), each
     text cut by the public tokenizer. A language's distribution is its counts plus POOLED times the distribution over
-    all languages, which is smoothed by one half a piece. Null languages, texts and ids teach nothing."""
+    all languages, which is smoothed by one half a piece. Null languages, texts and ids teach nothing; repeated rows and several texts of
+    a chosen id count each; empty texts count for the priors alone. Without rows nothing is learned."""
     import sentencepiece
 
     vocab = pieces(vocabulary)
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang"))
     rows = rows.where((crc_mod(F.col("doc_id"), FOLDS) != HELD_OUT) & F.col("lang").isNotNull() & F.col("text").isNotNull())
-    shares = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(1000).collect()}
+    shares = {r["lang"]: r["count"] for r in rows.groupBy("lang").count().collect()}
     langs = sorted(shares)
-    chosen = bounded_ids(rows, "doc_id", texts, by=["lang"]) if langs else rows.select("doc_id").limit(0)
-    ids = chosen.select("doc_id").distinct()
+    ids = bounded_ids(rows, "doc_id", texts, by=["lang"]).select("doc_id").distinct()
+    # executors get the vocabulary with the job, not from a path of theirs
+    sent = docs.sparkSession.sparkContext.broadcast(sentencepiece.SentencePieceProcessor(model_file=vocabulary).serialized_model_proto())
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        sp = sentencepiece.SentencePieceProcessor(model_file=vocabulary)
+        sp = sentencepiece.SentencePieceProcessor(model_proto=sent.value)
         for batch in batches:
             got = []
             for lang, text in zip(batch.column(0).to_pylist(), pc.utf8_lower(batch.column(1)).to_pylist(), strict=True):
                 got += [(lang, k, n) for k, n in zip(*(x.tolist() for x in np.unique(np.asarray(sp.encode(text, num_threads=1), np.int64), return_counts=True)), strict=True)]
             yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in got], t) for k, t in ((0, pa.string()), (1, pa.int64()), (2, pa.int64()))], names=["lang", "piece", "n"])
 
-    counted = rows.join(F.broadcast(ids), "doc_id").select("lang", "text").mapInArrow(cut, "lang string, piece long, n long").groupBy("lang", "piece").agg(F.sum("n").alias("n")).toArrow().to_pandas()
+    counted = rows.join(ids, "doc_id").select("lang", "text").mapInArrow(cut, "lang string, piece long, n long").groupBy("lang", "piece").agg(F.sum("n").alias("n")).toArrow().to_pandas()
     keys = sorted(vocab)
     place = {k: i for i, key in enumerate(keys) for k in vocab[key]}
     counts = np.zeros((len(keys), len(langs)))

@@ -102,11 +102,11 @@ def train(docs: DataFrame, labelled: DataFrame, id_col: str = "doc_id", text_col
 
 def rates(members: DataFrame, weights: list[float], max_rate: float | None = None, rounds: int = ROUNDS, miss: float = MISS) -> tuple[DataFrame, list[list[float]], list[float]]:
     """Fits the nonnegative rate of each row of `members` (tokens, p array<double>) so that sum(rate * tokens * p) meets the
-    weights times a budget, from rate 1 for all, by projected gradient on the squared misses.
+    weights times a budget, from rate 1 for all, by projected gradient on the squared misses, each weighed by the size of its domain.
 
     In the metric weighed by tokens a step moves a row's rate by p . g with the same g for all rows, so a row's rate
     is a fold of max(0, rate - p . g) over the steps: nothing is stored by row. A round is one aggregation of K sums;
-    its step is one over the largest eigenvalue bound of sum(tokens * p * p), with momentum. Every few steps the
+    a domain's step is one over its row of sum(tokens * p * p), so that small domains move as fast as large ones, with momentum. Every few steps the
     rates so far are cut, so that the fold stays short. With max_rate the budget is the largest that needs no higher
     rate where memberships are pure, and rates are cut off there. Where no rates meet the targets, the least squares
     fit is returned with a warning that tells the misses; rounds that run out before either are an error."""
@@ -115,7 +115,7 @@ def rates(members: DataFrame, weights: list[float], max_rate: float | None = Non
     t = F.col("tokens").cast("double")
     first = members.agg(*[F.sum(t * F.get("p", F.lit(i))) for i in range(k)], *[F.sum(t * F.get("p", F.lit(i)) * F.get("p", F.lit(j))) for i in range(k) for j in range(k)]).first()
     have, gram = [x or 0.0 for x in first[:k]], [[first[k + i * k + j] or 0.0 for j in range(k)] for i in range(k)]
-    total, norm = sum(have), max((sum(map(abs, row)) for row in gram), default=0.0)
+    total, norm = sum(have), [sum(map(abs, row)) for row in gram]
     scale = sum(weights) or 1.0
     budget = total
     if max_rate is not None:
@@ -123,7 +123,7 @@ def rates(members: DataFrame, weights: list[float], max_rate: float | None = Non
     want = [budget * w / scale for w in weights]
     start = 1.0 if max_rate is None else min(1.0, max_rate)
     now, steps = members.withColumn("rate", F.lit(start)), []
-    if not norm or not total:
+    if not any(norm) or not total:
         return now, [], want
     before, last, best, idle, written = [0.0] * k, [0.0] * k, math.inf, 0, None
     for step in range(rounds):
@@ -137,7 +137,7 @@ def rates(members: DataFrame, weights: list[float], max_rate: float | None = Non
             warnings.warn(f"no rates meet the targets; least squares misses, as shares of all tokens: {[round(o / total, 6) for o in off]}", stacklevel=2)
             return now, steps, want
         speed = step / (step + 3.0) if sum(a * b for a, b in zip(off, last, strict=True)) <= 0 else 0.0
-        g = [o / norm + speed * b for o, b in zip(off, before, strict=True)]
+        g = [(o / n if n else 0.0) + speed * b for o, n, b in zip(off, norm, before, strict=True)]
         before, last = g, [-x for x in off]
         steps.append(g)
         moved = F.greatest(F.lit(0.0), F.col("rate") - dot(g))

@@ -19,9 +19,9 @@ from railtable.llm.common import bounded_ids, crc_mod
 PIECE = 2048
 LEVEL = 3
 DICTIONARY = 112_640
-#: Bounds of what is fitted on: labelled texts of each class for the dictionaries, pieces of each of them, and
-#: labelled texts for the calibration. The scores themselves are of all texts, whole.
-DICTIONARY_TEXTS, PIECES, CALIBRATION_TEXTS = 3000, 4, 6000
+#: Bounds of what is fitted on: labelled texts of each class for the dictionaries, pieces of each class (from all along those
+#: texts, those with the smallest hashes), and labelled texts for the calibration. The scores themselves are of all texts, whole.
+DICTIONARY_TEXTS, PIECES, CALIBRATION_TEXTS = 3000, 12_000, 6000
 THRESHOLD = 0.3
 FOLDS, HELD_OUT = 5, 0
 
@@ -87,24 +87,26 @@ def _features(texts: pa.Array, compressors: list[zstandard.ZstdCompressor]) -> n
 
 
 def _dictionary(pieces: list[bytes]) -> bytes:
-    """A trained dictionary; where there are too few pieces to train one, their own bytes."""
+    """A trained dictionary; where there are too few pieces to train one, as many of them whole as fit."""
     try:
         return zstandard.train_dictionary(min(DICTIONARY, max(1024, sum(map(len, pieces)) // 8)), pieces).as_bytes()
     except zstandard.ZstdError:
-        return b"".join(pieces)[:DICTIONARY]
+        sizes = np.cumsum([len(p) for p in pieces])
+        return b"".join(pieces[: max(1, int(np.searchsorted(sizes, DICTIONARY, "right")))])
 
 
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality") -> Model:
     """Fits on labelled rows outside the held-out fold. The dictionaries come from up to DICTIONARY_TEXTS texts of each
-    class (up to PIECES pieces of each), the calibration from up to CALIBRATION_TEXTS others, those with the smallest
-    hashes: at most 50 MB of pieces and a few numbers a text reach the driver. Null labels and ids are left out; of
-    several labels of an id the smallest counts. With one class only the score is a constant: that class's label."""
+    class (up to PIECES pieces of them), the calibration from up to CALIBRATION_TEXTS others, those with the smallest
+    hashes: at most 50 MB of pieces and a few numbers a text reach the driver. Null labels and ids, and null texts, are left out; of
+    several labels of an id the smallest counts; repeated rows of an id teach as often as they stand there. With one class only the
+    score is a constant: that class's label; without labels it is 1."""
     spark = docs.sparkSession
     known = labels.select(F.col(id_col).alias("doc_id"), F.col(label_col).cast("int").alias("y")).where("doc_id IS NOT NULL AND y IN (0, 1)")
     known = known.where(crc_mod(F.col("doc_id"), FOLDS) != HELD_OUT).groupBy("doc_id").agg(F.min("y").alias("y"))
     half = F.pmod(F.xxhash64(F.lit(3), "doc_id"), F.lit(2))
     for_dictionary = bounded_ids(known.where(half == 0), "doc_id", DICTIONARY_TEXTS, by=["y"])
-    for_curve = known.where(half == 1).orderBy(F.xxhash64(F.lit(17), "doc_id"), "doc_id").limit(CALIBRATION_TEXTS)
+    for_curve = known.where(half == 1).join(bounded_ids(known.where(half == 1), "doc_id", CALIBRATION_TEXTS), "doc_id", "left_semi")
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text")).where("text IS NOT NULL")
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -112,13 +114,12 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
             out = []
             for y, t in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 raw = t.as_buffer()
-                n = max(1, -(-raw.size // PIECE))
-                for k in range(min(PIECES, n)):
-                    at = (k * n // min(PIECES, n)) * PIECE
-                    out.append((y, raw[at : at + PIECE].to_pybytes()))
+                out += [(y, raw[at : at + PIECE].to_pybytes()) for at in range(0, max(1, raw.size), PIECE)]
             yield pa.RecordBatch.from_arrays([pa.array([y for y, _ in out], pa.int32()), pa.array([p for _, p in out], pa.binary())], names=["y", "piece"])
 
-    pieces = rows.join(F.broadcast(for_dictionary), "doc_id").select("y", "text").mapInArrow(cut, "y int, piece binary").toArrow().to_pandas().sort_values(["y", "piece"])
+    every = rows.join(for_dictionary, "doc_id").select("y", "text").mapInArrow(cut, "y int, piece binary")
+    few = [every.where(F.col("y") == y).orderBy(F.xxhash64("piece"), "piece").limit(PIECES) for y in (0, 1)]
+    pieces = few[0].unionByName(few[1]).toArrow().to_pandas().sort_values(["y", "piece"])
     good, bad = ([bytes(p) for p in pieces["piece"][pieces["y"] == y]] for y in (1, 0))
     if not good or not bad:
         return Model(b"", b"", constant=0.0 if bad else 1.0)
@@ -131,7 +132,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
             x = _features(batch.column(1), c)
             yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(x[:, k]) for k in range(3))], names=["y", "a", "b", "c"])
 
-    got: pd.DataFrame = rows.join(F.broadcast(for_curve), "doc_id").select("y", "text").mapInArrow(measure, "y int, a double, b double, c double").toArrow().to_pandas().sort_values(["y", "a", "b", "c"])
+    got: pd.DataFrame = rows.join(for_curve, "doc_id").select("y", "text").mapInArrow(measure, "y int, a double, b double, c double").toArrow().to_pandas().sort_values(["y", "a", "b", "c"])
     if got["y"].nunique() < 2:
         return Model(draft.good, draft.bad, constant=1.0)
     return Model(draft.good, draft.bad, *_fit(got[["a", "b", "c"]].to_numpy(), got["y"].to_numpy(float)))
@@ -155,7 +156,8 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
 
 
 def keep_good(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
-    """The rows of `docs`, all columns untouched, whose text scores THRESHOLD or more. No shuffle."""
+    """The rows of `docs`, all columns untouched, whose text scores THRESHOLD or more. Null texts count as empty; each row is judged by its
+    own text, whatever its id, so repeated rows go or stay together. No shuffle; no rows: no rows."""
     sent = docs.sparkSession.sparkContext.broadcast(model)
     at = docs.columns.index(text_col)
 

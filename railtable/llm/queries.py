@@ -35,7 +35,7 @@ def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All findings of all documents; no table of labelled findings is given, so a rule labels those to learn from."""
     docs = table(spark, sf_dir, "documents")
     found = cut(secrets.scan(docs, secrets.common_words(docs), path_col="source"), "found")
-    return secrets.judge(found, secrets.train(secrets.weak_labels(found)))
+    return secrets.judge(found, secrets.train(secrets.weak_labels(found), inputs=secrets.OWN))
 
 
 #: Shares of tokens that a mix of the four languages aims at.

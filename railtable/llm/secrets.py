@@ -16,8 +16,6 @@ from pyspark.ml.pipeline import Pipeline
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from railtable.llm.common import bounded_ids
-
 #: A candidate: a run of token characters with a digit, or a long one without. '=' is taken as padding at its end only.
 CANDIDATE = re.compile(r"[A-Za-z0-9_+/.\-@]{12,}+(?:={1,2}(?![\"'=]?[A-Za-z0-9_+/.\-@]))?")
 LONG = 24
@@ -27,13 +25,21 @@ KEY_PART = re.compile(r"_(?:" + "|".join(KEY_NAMES) + r"|[a-z]+(?:token|secret|p
 #: A name and the assignment behind it, and the value there: a quoted string, or a run without spaces up to the next field of a query.
 ASSIGNMENT = re.compile(r"(?<![\w.\-])([\w.\-]++)[\"'\])]{0,3}+\s*+[:=]++>?\s*+(?:(?i:bearer|basic)\s++)?")
 QUOTED, BARE = re.compile(r"([\"'`])((?:(?!\1)[^\n\\]|\\.){6,200})\1"), re.compile(r"[\"'`]?((?:(?![&;,][\w.\-]+=)\S){6,})")
-#: Bounds of what is fitted on: findings of each label, and texts and entries of the dictionary.
-FINDINGS, DICTIONARY_TEXTS, DICTIONARY_WORDS = 5000, 1000, 3000
+#: A block that is a secret as a whole, in the form that OpenSSL writes.
+PRIVATE_KEY = re.compile(r"-----BEGIN [A-Z ]*PRIVATE KEY-----[A-Za-z0-9+/=\s:,\-]*?-----END [A-Z ]*PRIVATE KEY-----")
+#: Forms that issuers document for their keys; fixed values.
+ISSUED_FORMS = r"^(?:A(?:KIA|SIA)[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36,}|glpat-[\w\-]{20,}|xox[abprs]-[\w\-]{10,}|AIza[\w\-]{35}|[sr]k_(?:live|test)_[A-Za-z0-9]{16,}|eyJ[\w\-]+\.eyJ[\w\-]+\.[\w\-]+|-----BEGIN [A-Z ]*PRIVATE KEY-----[\s\S]*)$"
+#: Kinds of values that are public by their form: numbers, dates and versions, mail addresses, web addresses, plain names and paths of words.
+PUBLIC_FORMS = r"^(?:[\d.,:/+\-]+|[\w.+\-]+@[\w\-]+(?:\.[\w\-]+)+|(?i:https?:|www\.).*|/*[A-Za-z]+(?:[-_/.@+]+[A-Za-z]+)*/*[.\-]*\d{0,4}[.\-]*)$"
+#: Bound of what is fitted on: findings of each label. The dictionary is the most frequent words of all texts, so many.
+FINDINGS, DICTIONARY_WORDS = 5000, 20_000
 TREES, LEVELS, SEED = 20, 6, 11
 FEATURES = [
     "length", "entropy", "digits", "uppers", "hexes", "symbols", "distinct", "switches", "runs", "known",
     "path_depth", "path_test", "path_docs", "before_key", "before_sign", "quoted", "before_length", "after_length",
 ]
+#: Features that say nothing about key names beside a candidate: what a forest learns from where key names made the labels.
+OWN = [f for f in FEATURES if f not in ("before_key", "before_sign")]
 FOUND = "doc_id long, start int, candidate string, assigned boolean, " + ", ".join(f"{f} double" for f in FEATURES)
 
 
@@ -48,8 +54,10 @@ def is_key(name: str) -> bool:
 
 
 def candidates(text: str) -> Iterator[tuple[int, str, bool]]:
-    """(start, candidate, assigned): the values behind key names, and the other candidates beside them, in order of start."""
-    spans: list[tuple[int, str]] = []
+    """(start, candidate, assigned): private key blocks and the values behind key names, and the other candidates beside them, in order
+    of start."""
+    spans: list[tuple[int, str]] = [(m.start(), m.group()) for m in PRIVATE_KEY.finditer(text)] if "PRIVATE KEY-----" in text else []
+    blocks = [(at, at + len(b)) for at, b in spans]
     end = 0
     for m in ASSIGNMENT.finditer(text):
         if m.end() < end or not is_key(m.group(1)):
@@ -62,8 +70,11 @@ def candidates(text: str) -> Iterator[tuple[int, str, bool]]:
                 continue
         else:
             continue
+        if any(a < at + len(value) and at < b for a, b in blocks):
+            continue
         spans.append((at, value))
         end = at + len(value)
+    spans.sort()
     k = 0
     for m in CANDIDATE.finditer(text):
         c = m.group()
@@ -126,30 +137,30 @@ def scan(docs: DataFrame, dictionary: list[str], id_col: str = "doc_id", text_co
     return docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), path.alias("path")).mapInArrow(run, FOUND)
 
 
-def common_words(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", texts: int = DICTIONARY_TEXTS, words: int = DICTIONARY_WORDS) -> list[str]:
-    """The dictionary: the most frequent lower-case words of 3 to 12 letters in up to `texts` texts (smallest hashes)."""
-    ids = bounded_ids(docs, id_col, texts)
-    rows = docs.select(F.col(id_col), F.lower(F.col(text_col).cast("string")).alias("text")).join(F.broadcast(ids), id_col)
-    said = rows.select(F.explode(F.expr("regexp_extract_all(text, '\\\\b[a-z]{3,12}\\\\b', 0)")).alias("w"))
+def common_words(docs: DataFrame, text_col: str = "text", words: int = DICTIONARY_WORDS) -> list[str]:
+    """The dictionary: the most frequent lower-case words of 3 to 12 letters of all texts; of equally frequent ones the first by name."""
+    said = docs.select(F.explode(F.split(F.lower(F.col(text_col).cast("string")), "[^a-z]+")).alias("w")).where(F.length("w").between(3, 12))
     return [r["w"] for r in said.groupBy("w").count().orderBy(F.desc("count"), "w").limit(words).collect()]
 
 
-def train(findings: DataFrame, most: int = FINDINGS) -> PipelineModel | None:
-    """Fits the forest on labelled findings (FEATURES and label 0 or 1), up to `most` of each label, those with the
-    smallest hashes. None where a label has no finding."""
-    names = ["label", *FEATURES]
+def train(findings: DataFrame, most: int = FINDINGS, inputs: list[str] | None = None) -> PipelineModel | None:
+    """Fits the forest on labelled findings (what scan() returns and label 0 or 1; null labels are left out), up to `most` of each label,
+    those with the smallest hashes; equal findings count each. `inputs`: the features it may look at (all). None where a label has no
+    finding."""
+    inputs = inputs or FEATURES
+    names = ["label", *inputs]
     part = [findings.where(F.col("label") == y).select(*names, F.xxhash64(*FEATURES, "candidate", "doc_id", "start").alias("_h")).orderBy("_h").limit(most).drop("_h") for y in (0, 1)]
     rows = part[0].unionByName(part[1]).withColumn("label", F.col("label").cast("double")).repartition(8, "length")
     got = {r["label"]: r["count"] for r in rows.groupBy("label").count().collect()}
     if len(got) < 2:
         return None
     forest = RandomForestClassifier(featuresCol="v", labelCol="label", numTrees=TREES, maxDepth=LEVELS, seed=SEED)
-    return Pipeline(stages=[VectorAssembler(inputCols=FEATURES, outputCol="v"), forest]).fit(rows)
+    return Pipeline(stages=[VectorAssembler(inputCols=inputs, outputCol="v"), forest]).fit(rows)
 
 
 def judge(found: DataFrame, model: PipelineModel | None) -> DataFrame:
-    """doc_id, start, candidate, score (the forest's share for a secret), is_secret (0.5 or more). Without a model, the
-    assignment of a key name decides."""
+    """One row for each finding: doc_id, start, candidate, score (the forest's share for a secret), is_secret (0.5 or more). Without a model,
+    the assignment of a key name decides. Findings of null ids and repeated findings are judged as they come; no findings: no rows."""
     if model is None:
         out = found.withColumn("score", F.col("assigned").cast("double"))
     else:
@@ -158,10 +169,10 @@ def judge(found: DataFrame, model: PipelineModel | None) -> DataFrame:
 
 
 def weak_labels(found: DataFrame) -> DataFrame:
-    """Findings labelled by rule, where nobody has labelled any: a dense random-looking value that a key name is assigned
-    to is a secret; one without a key name that does not look random, or has no letters, is not. All others (assigned but
-    not random, random but not assigned) stay unlabelled, and the forest alone judges them."""
-    random = (F.col("entropy") >= 3.0) & (F.col("known") < 0.5) & (F.col("length") >= 16)
-    letters = F.col("candidate").rlike("[A-Za-z]")
-    label = F.when(F.col("assigned") & random, 1).when(~F.col("assigned") & ~(random & letters), 0)
+    """Findings labelled by what stands around them or by their form, where nobody has labelled any: a value that a key name is assigned
+    to, or that has an issuer's form, is a secret; one without either and of a public form is not. All others (random but not assigned, or
+    assigned and of a public form) stay unlabelled, and the forest alone judges them. Train on these labels with inputs=OWN, which hold
+    none of these rules."""
+    public, issued = F.col("candidate").rlike(PUBLIC_FORMS), F.col("candidate").rlike(ISSUED_FORMS)
+    label = F.when(issued | (F.col("assigned") & ~public), 1).when(~F.col("assigned") & public, 0)
     return found.withColumn("label", label).where("label IS NOT NULL")
