@@ -19,6 +19,8 @@ BUCKETS, ADDED = 8192, 0.2
 TEMPERS, FLOORS = (0.02, 0.05, 0.1, 0.2, 0.35, 0.6, 1.0), (1e-6, 1e-4, 1e-3, 5e-3, 0.01, 0.02, 0.05)
 #: Rounds of projected gradient at most, and the largest miss of a target, as a share of all tokens, that is good enough.
 ROUNDS, MISS = 200, 1e-4
+#: Totals that hardly move over so many rounds are those of the least squares fit.
+STILL = 10
 SPACES = "[\\x20\\x09-\\x0D]+"
 
 
@@ -125,15 +127,14 @@ def rates(members: DataFrame, weights: list[float], max_rate: float | None = Non
     now, steps = members.withColumn("rate", F.lit(start)), []
     if not any(norm) or not total:
         return now, [], want
-    before, last, best, idle, written = [0.0] * k, [0.0] * k, math.inf, 0, None
+    before, last, seen, written = [0.0] * k, [0.0] * k, [], None
     for step in range(rounds):
         got = now.agg(*[F.sum(t * F.get("p", F.lit(i)) * F.col("rate")) for i in range(k)]).first()
         off = [(got[i] or 0.0) - want[i] for i in range(k)]
         if max(map(abs, off)) <= miss * total:
             return now, steps, want
-        missed = sum(o * o for o in off)
-        best, idle = (missed, 0) if missed < best * (1 - 1e-4) else (best, idle + 1)
-        if idle >= 12:
+        seen.append(off)
+        if step >= STILL and max(abs(a - b) for a, b in zip(off, seen[-1 - STILL], strict=True)) <= 0.2 * miss * total:
             warnings.warn(f"no rates meet the targets; least squares misses, as shares of all tokens: {[round(o / total, 6) for o in off]}", stacklevel=2)
             return now, steps, want
         speed = step / (step + 3.0) if sum(a * b for a, b in zip(off, last, strict=True)) <= 0 else 0.0
