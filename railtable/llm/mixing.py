@@ -55,19 +55,19 @@ class Classifier:
         at = rows.select(F.monotonically_increasing_id().alias("_row"), *keys, "text")
         said = words(at).select("_row", *keys, (F.col("w") != "").cast("int").alias("one"), *[b.alias(f"_b{k}") for k, b in enumerate(buckets(F.col("w")))])
         # one literal a domain: parsed once, when the plan is optimised
-        odds = [F.from_json(F.lit(json.dumps([round(x, 4) for x in o])), "array<double>") for o in self.odds]
+        odds = [F.from_json(F.lit(json.dumps([round(x, 3) for x in o])), "array<double>") for o in self.odds]
         sums = [F.sum(F.when(F.col("one") == 1, F.get(o, F.col("_b0")) + F.get(o, F.col("_b1")))) for o in odds]
         out = said.groupBy("_row", *keys).agg(F.sum("one").cast("long").alias("tokens"), *[s.alias(f"_e{k}") for k, s in enumerate(sums)])
         return out.select(*keys, "tokens", F.array(*[F.coalesce(f"_e{k}", F.lit(0.0)) for k in range(len(odds))]).cast("array<double>").alias("e"))
 
-    def posteriors(self, e: Column, temper: float | None = None, floor: float | None = None) -> Column:
-        """array<double>: P(domain | text) from its evidence."""
-        temper, floor = self.temper if temper is None else temper, self.floor if floor is None else floor
-        logs = [F.lit(math.log(self.prior[0])), *[F.lit(math.log(self.prior[k])) + F.get(e, F.lit(k - 1)) * F.lit(temper) for k in range(1, len(self.domains))]]
-        top = F.greatest(*logs) if len(logs) > 1 else logs[0]
-        parts = [F.exp(x - top) for x in logs]
-        total = sum(parts[1:], parts[0])
-        return F.array(*[p / total * F.lit(1.0 - floor) + F.lit(floor * self.prior[k]) for k, p in enumerate(parts)])
+    def posteriors(self, e: Column) -> Column:
+        """array<double>: P(domain | text) from its evidence. Each step's array is bound once (a one-element transform)."""
+        prior = F.array(*[F.lit(p) for p in self.prior])
+        scaled = F.transform(F.concat(F.array(F.lit(0.0)), e), lambda x, k: F.log(F.get(prior, k)) + x * F.lit(self.temper))
+        once = lambda a, f: F.get(F.transform(F.array(a), f), F.lit(0))
+        parts = once(scaled, lambda logs: once(F.array_max(logs), lambda top: F.transform(logs, lambda x: F.exp(x - top))))
+        shares = once(parts, lambda q: once(F.aggregate(q, F.lit(0.0), lambda a, b: a + b), lambda total: F.transform(q, lambda x: x / total)))
+        return F.transform(shares, lambda x, k: x * F.lit(1.0 - self.floor) + F.lit(self.floor) * F.get(prior, k))
 
 
 def train(docs: DataFrame, labelled: DataFrame, id_col: str = "doc_id", text_col: str = "text", texts: int = TEXTS) -> Classifier:
@@ -83,7 +83,7 @@ def train(docs: DataFrame, labelled: DataFrame, id_col: str = "doc_id", text_col
         return Classifier([], [], [])
     part = (F.pmod(F.xxhash64(F.lit(23), "doc_id"), F.lit(4)) == 0).alias("aside")
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    rows = cut(rows.join(bounded_ids(known, "doc_id", texts, by=["domain"]), "doc_id").select("domain", part, "text"), "fitted")
+    rows = cut(rows.join(F.broadcast(bounded_ids(known, "doc_id", texts, by=["domain"])), "doc_id").select("domain", part, "text"), "fitted")
     said = words(rows.where("NOT aside").select("domain", "text")).where("w <> ''")
     counts = [[ADDED] * BUCKETS for _ in domains]
     for r in said.select("domain", F.explode(F.array(*buckets(F.col("w")))).alias("b")).groupBy("domain", "b").count().collect():
@@ -92,11 +92,20 @@ def train(docs: DataFrame, labelled: DataFrame, id_col: str = "doc_id", text_col
     model = Classifier(domains, [shares[d] / every for d in domains], [[x - y for x, y in zip(o, logs[0], strict=True)] for o in logs[1:]])
     if len(domains) > 1:
         seen = model.evidence(rows.where("aside AND text IS NOT NULL").select("domain", "text"))
-        own = F.array_position(F.lit(domains), F.col("domain")).cast("int")
-        grid = [(t, f) for t in TEMPERS for f in FLOORS]
-        tried = seen.agg(*[F.sum(F.log(F.element_at(model.posteriors(F.col("e"), t, f), own))) for t, f in grid]).first()
-        if tried[0] is not None:
-            model.temper, model.floor = grid[max(range(len(grid)), key=lambda k: tried[k])]
+        # the evidence of a quarter of the bounded sample: K - 1 numbers a text
+        held = [(domains.index(r["domain"]), [0.0, *r["e"]]) for r in seen.select("domain", "e").collect()]
+
+        def likelihood(temper: float, floor: float) -> float:
+            total = 0.0
+            for own, e in held:
+                logs = [math.log(p) + x * temper for p, x in zip(model.prior, e, strict=True)]
+                top = max(logs)
+                parts = [math.exp(x - top) for x in logs]
+                total += math.log((1.0 - floor) * parts[own] / sum(parts) + floor * model.prior[own])
+            return total
+
+        if held:
+            model.temper, model.floor = max(((t, f) for t in TEMPERS for f in FLOORS), key=lambda x: likelihood(*x))
     drop_cut(rows)
     drop_cut(known)
     return model

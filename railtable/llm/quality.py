@@ -117,7 +117,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
                 out += [(y, raw[at : at + PIECE].to_pybytes()) for at in range(0, max(1, raw.size), PIECE)]
             yield pa.RecordBatch.from_arrays([pa.array([y for y, _ in out], pa.int32()), pa.array([p for _, p in out], pa.binary())], names=["y", "piece"])
 
-    every = rows.join(for_dictionary, "doc_id").select("y", "text").mapInArrow(cut, "y int, piece binary")
+    every = rows.join(F.broadcast(for_dictionary), "doc_id").select("y", "text").mapInArrow(cut, "y int, piece binary")
     few = [every.where(F.col("y") == y).orderBy(F.xxhash64("piece"), "piece").limit(PIECES) for y in (0, 1)]
     pieces = few[0].unionByName(few[1]).toArrow().to_pandas().sort_values(["y", "piece"])
     good, bad = ([bytes(p) for p in pieces["piece"][pieces["y"] == y]] for y in (1, 0))
@@ -132,7 +132,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
             x = _features(batch.column(1), c)
             yield pa.RecordBatch.from_arrays([batch.column(0), *(pa.array(x[:, k]) for k in range(3))], names=["y", "a", "b", "c"])
 
-    got: pd.DataFrame = rows.join(for_curve, "doc_id").select("y", "text").mapInArrow(measure, "y int, a double, b double, c double").toArrow().to_pandas().sort_values(["y", "a", "b", "c"])
+    got: pd.DataFrame = rows.join(F.broadcast(for_curve), "doc_id").select("y", "text").mapInArrow(measure, "y int, a double, b double, c double").toArrow().to_pandas().sort_values(["y", "a", "b", "c"])
     if got["y"].nunique() < 2:
         return Model(draft.good, draft.bad, constant=1.0)
     return Model(draft.good, draft.bad, *_fit(got[["a", "b", "c"]].to_numpy(), got["y"].to_numpy(float)))
