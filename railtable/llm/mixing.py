@@ -21,6 +21,8 @@ TEMPERS, FLOORS = (0.02, 0.05, 0.1, 0.2, 0.35, 0.6, 1.0), (1e-6, 1e-4, 1e-3, 5e-
 ROUNDS, MISS = 200, 1e-4
 #: Totals that hardly move over so many rounds are those of the least squares fit.
 STILL = 10
+#: With a highest rate the budget is so much smaller than pure memberships would allow: mixed ones reach a little less.
+SLACK = 0.005
 SPACES = "[\\x20\\x09-\\x0D]+"
 
 
@@ -119,7 +121,7 @@ def rates(members: DataFrame, weights: list[float], max_rate: float | None = Non
     is a fold of max(0, rate - p . g) over the steps: nothing is stored by row. A round is one aggregation of K sums;
     a domain's step is one over its row of sum(tokens * p * p), so that small domains move as fast as large ones, with momentum. Every few steps the
     rates so far are cut, so that the fold stays short. With max_rate the budget is the largest that needs no higher
-    rate where memberships are pure, and rates are cut off there. Where no rates meet the targets, the least squares
+    rate where memberships are pure, less SLACK, and rates are cut off there. Where no rates meet the targets, the least squares
     fit is returned with a warning that tells the misses; rounds that run out before either are an error."""
     k = len(weights)
     dot = lambda g: sum((F.get("p", F.lit(i)) * F.lit(float(g[i])) for i in range(1, k)), F.get("p", F.lit(0)) * F.lit(float(g[0])))
@@ -130,7 +132,7 @@ def rates(members: DataFrame, weights: list[float], max_rate: float | None = Non
     scale = sum(weights) or 1.0
     budget = total
     if max_rate is not None:
-        budget = min([total * max_rate] + [max_rate * have[i] / (weights[i] / scale) for i in range(k) if weights[i] > 0])
+        budget = (1.0 - SLACK) * min([total * max_rate] + [max_rate * have[i] / (weights[i] / scale) for i in range(k) if weights[i] > 0])
     want = [budget * w / scale for w in weights]
     start = 1.0 if max_rate is None else min(1.0, max_rate)
     now, steps = members.withColumn("rate", F.lit(start)), []
