@@ -144,23 +144,30 @@ def confirm(pairs: DataFrame, texts: DataFrame, percent: int = PERCENT, block: i
     return sent.select("hub", "role", "node", "text").mapInArrow(_confirm(percent), "a long, b long")
 
 
-def _likely_in_block(key: int, left: list[dict], right: list[dict], least: float) -> tuple[np.ndarray, np.ndarray]:
+def _likely_in_block(key: int, left: list[dict], right: list[dict], least: float, strip: int = 128) -> tuple[np.ndarray, np.ndarray]:
     """Pairs (row of left, row of right) across components whose estimate passes, best first. A pair counts in the first band
-    that both share, and from the smaller node if both are of side 0."""
+    that both share, and from the smaller node if both are of side 0. Looks at `strip` rows of left at a time."""
     lanes, chance = _U(int("1" * 16, 16)), 2.0**-BITS
     bands = [np.array([r["bands"] for r in x], np.int64) for x in (left, right)]
     low = [np.array([r["low"] for r in x], np.int64).view(_U) for x in (left, right)]
     ids, groups = ([np.array([r[c] for r in x], np.int64) for x in (left, right)] for c in ("node", "component"))
-    shared = bands[0][:, None, :] == bands[1][None, :, :]
-    ok = bands[0][np.arange(len(left))[:, None], shared.argmax(axis=2)] == key
     minor = np.array([r["minor"] for r in right], bool)
-    ok &= (groups[0][:, None] != groups[1][None, :]) & (~minor[None, :] | (ids[0][:, None] < ids[1][None, :]))
-    x = low[0][:, None, :] ^ low[1][None, :, :]
-    x |= x >> _U(1)
-    x |= x >> _U(2)
-    guess = (1.0 - np.bitwise_count(x & lanes).sum(axis=2) / HASHES - chance) / (1.0 - chance)
-    a, b = np.nonzero(ok & (guess >= least))
-    order = np.argsort(-guess[a, b], kind="stable")
+    found: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
+    for at in range(0, len(left), strip):
+        rows = slice(at, at + strip)
+        shared = bands[0][rows, None, :] == bands[1][None, :, :]
+        here = bands[0][rows]
+        ok = here[np.arange(len(here))[:, None], shared.argmax(axis=2)] == key
+        ok &= (groups[0][rows, None] != groups[1][None, :]) & (~minor[None, :] | (ids[0][rows, None] < ids[1][None, :]))
+        a, b = np.nonzero(ok)
+        x = low[0][rows][a] ^ low[1][b]
+        x |= x >> _U(1)
+        x |= x >> _U(2)
+        guess = (1.0 - np.bitwise_count(x & lanes).sum(axis=1) / HASHES - chance) / (1.0 - chance)
+        passed = guess >= least
+        found.append((a[passed] + at, b[passed], guess[passed]))
+    a, b, guess = (np.concatenate(x) for x in zip(*found, strict=True))
+    order = np.argsort(-guess, kind="stable")
     return a[order], b[order]
 
 
@@ -196,9 +203,10 @@ def _by_block(act, names: list[str]):
 
 
 def _survivors(least: float):
-    def act(key: int, i: int, j: int, left: list[dict], right: list[dict]) -> list[tuple]:
+    def act(key: int, _i: int, _j: int, left: list[dict], right: list[dict]) -> set[tuple]:
         a, b = _likely_in_block(key, left, right, least)
-        return [(key, i, j, 0, left[k]["node"]) for k in set(a.tolist())] + [(key, i, j, 1, right[k]["node"]) for k in set(b.tolist())]
+        met = [(left[u], right[v]) for u, v in zip(a.tolist(), b.tolist(), strict=True)]
+        return {(key, u["fine"], v["fine"], side, (u, v)[side]["node"]) for u, v in met for side in (0, 1)}
 
     return _by_block(act, ["key", "i", "j", "side", "node"])
 
@@ -229,23 +237,30 @@ def _links(percent: int, least: float):
     return _by_block(act, ["a", "b"])
 
 
-def confirm_across(mixed: DataFrame, signs: DataFrame, texts: DataFrame, percent: int, least: float, block: int = 128) -> DataFrame:
+def confirm_across(mixed: DataFrame, signs: DataFrame, texts: DataFrame, percent: int, least: float, block: int = 1024, fine: int = 256, shingles: int = 2_000_000) -> DataFrame:
     """Links across components inside large buckets, without listing their pairs.
 
     `mixed` has (key, node, component, minor, n, m): the rows of buckets of n rows of which m are outside the largest component. Both
     are cut into blocks by hash, and each block of outsiders meets each block of the bucket in one group of about 2 * block rows.
-    First only signatures meet; what comes out are the rows of a block that an estimate still pairs. Only these rows meet again with
-    their texts, and sets are compared; a component once joined is not compared again."""
+    First only signatures meet. Their estimate says which rows meet again with their texts, in blocks of about `fine` rows or
+    `shingles` shingles, whichever is less; there sets are compared, and a component once joined is not compared again. Rows are
+    joined with signatures before they are dealt out, so a join gives each row of a bucket once."""
     parts = lambda size: F.ceil(F.col(size) / block).cast("int")
-    place = lambda size, salt: F.pmod(F.xxhash64(F.lit(salt), "node"), parts(size)).cast("int")
-    every = F.explode(F.sequence(F.lit(0), parts("m") - 1))
-    sides = mixed.where("minor").select("key", place("m", 1).alias("i"), F.explode(F.sequence(F.lit(0), parts("n") - 1)).alias("j"), F.lit(0).alias("side"), "node", "component", "minor")
-    sides = sides.unionByName(mixed.select("key", every.alias("i"), place("n", 2).alias("j"), F.lit(1).alias("side"), "node", "component", "minor"))
+    place = lambda count, salt: F.pmod(F.xxhash64(F.lit(salt), "node"), count).cast("int")
+    finer = lambda size, weight: F.ceil(F.greatest(F.col(size) / fine, F.col(weight) / shingles)).cast("int")
+    signed = mixed.join(signs, "node")
+    weights = signed.groupBy("key").agg(F.sum("n_shingles").alias("w"), F.sum(F.when(F.col("minor"), F.col("n_shingles"))).alias("v"))
+    sized = mixed.join(weights, "key").join(signs.drop("n_shingles"), "node")
+    own = lambda i, j, side, at: (i.alias("i"), j.alias("j"), F.lit(side).alias("side"), at.alias("fine"))
+    row = ["key", "node", "component", "minor", "bands", "low"]
+    every = lambda size: F.explode(F.sequence(F.lit(0), parts(size) - 1))
+    sides = sized.where("minor").select(*row, *own(place(parts("m"), 1), every("n"), 0, place(finer("m", "v"), 3)))
+    sides = sides.unionByName(sized.select(*row, *own(every("m"), place(parts("n"), 2), 1, place(finer("n", "w"), 4))))
     meet = lambda d: d.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "side", "node")
-    signed = sides.join(signs, "node").select("key", "i", "j", "side", "node", "component", "minor", "bands", "low")
-    left = cut(meet(signed).mapInArrow(_survivors(least), "key long, i long, j long, side long, node long"), "survivors")
-    both = signed.join(left, ["key", "i", "j", "side", "node"]).join(texts, "node").select("key", "i", "j", "side", "node", "component", "minor", "bands", "low", "text")
-    return meet(both).mapInArrow(_links(percent, least), "a long, b long")
+    left = meet(sides).mapInArrow(_survivors(least), "key long, i long, j long, side long, node long")
+    left = cut(left.distinct(), "survivors")
+    both = left.join(mixed.select("key", "node", "component", "minor"), ["key", "node"]).join(signs.drop("n_shingles"), "node").join(texts, "node")
+    return meet(both.select("key", "i", "j", "side", "node", "component", "minor", "bands", "low", "text")).mapInArrow(_links(percent, least), "a long, b long")
 
 
 def near_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = PERCENT) -> DataFrame:
@@ -301,7 +316,7 @@ def near_rows(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", p
     minor = few.where("minor").select("key", F.col("node").alias("r1"), F.col("component").alias("c1"))
     third = minor.join(few.drop("minor", "n", "m"), "key").where("c1 <> component").select(F.least("r1", "node").alias("a"), F.greatest("r1", "node").alias("b")).distinct()
     third = keep(likely(third).select("a", "b").join(first.unionByName(second), ["a", "b"], "left_anti"), "tried")
-    across = confirm_across(mixed.where(F.col("n") > SMALL), reps.select("node", "bands", "low"), texts, percent, least)
+    across = confirm_across(mixed.where(F.col("n") > SMALL), reps.select("node", "n_shingles", "bands", "low"), texts, percent, least)
     links = links.unionByName(confirm(third, texts, percent)).unionByName(across)
 
     found = connected_components(links).withColumnRenamed("node", "_node")
