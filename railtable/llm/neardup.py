@@ -248,18 +248,18 @@ def confirm_across(mixed: DataFrame, signs: DataFrame, texts: DataFrame, percent
     parts = lambda size: F.ceil(F.col(size) / block).cast("int")
     place = lambda count, salt: F.pmod(F.xxhash64(F.lit(salt), "node"), count).cast("int")
     finer = lambda size, weight: F.ceil(F.greatest(F.col(size) / fine, F.col(weight) / shingles)).cast("int")
-    signed = mixed.join(signs, "node")
+    signed = cut(mixed.join(signs, "node"), "meeting")
     weights = signed.groupBy("key").agg(F.sum("n_shingles").alias("w"), F.sum(F.when(F.col("minor"), F.col("n_shingles"))).alias("v"))
-    sized = mixed.join(weights, "key").join(signs.drop("n_shingles"), "node")
-    own = lambda i, j, side, at: (i.alias("i"), j.alias("j"), F.lit(side).alias("side"), at.alias("fine"))
+    every = lambda size, at: F.transform(F.sequence(F.lit(0), parts(size) - 1), at)
+    at = lambda i, j, side, finely: F.struct(i.alias("i"), j.alias("j"), F.lit(side).alias("side"), finely.alias("fine"))
+    outside = every("n", lambda j: at(place(parts("m"), 1), j, 0, place(finer("m", "v"), 3)))
+    whole = every("m", lambda i: at(i, place(parts("n"), 2), 1, place(finer("n", "w"), 4)))
     row = ["key", "node", "component", "minor", "bands", "low"]
-    every = lambda size: F.explode(F.sequence(F.lit(0), parts(size) - 1))
-    sides = sized.where("minor").select(*row, *own(place(parts("m"), 1), every("n"), 0, place(finer("m", "v"), 3)))
-    sides = sides.unionByName(sized.select(*row, *own(every("m"), place(parts("n"), 2), 1, place(finer("n", "w"), 4))))
+    sides = signed.join(weights, "key").select(*row, F.explode(F.when(F.col("minor"), F.concat(outside, whole)).otherwise(whole)).alias("at")).select(*row, "at.*")
     meet = lambda d: d.repartition("key", "i", "j").sortWithinPartitions("key", "i", "j", "side", "node")
     left = meet(sides).mapInArrow(_survivors(least), "key long, i long, j long, side long, node long")
     left = cut(left.distinct(), "survivors")
-    both = left.join(mixed.select("key", "node", "component", "minor"), ["key", "node"]).join(signs.drop("n_shingles"), "node").join(texts, "node")
+    both = left.join(signed.select(*row), ["key", "node"]).join(texts, "node")
     return meet(both.select("key", "i", "j", "side", "node", "component", "minor", "bands", "low", "text")).mapInArrow(_links(percent, least), "a long, b long")
 
 
