@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from railtable.llm import bpe, chat, decontam, exactdedup, langid, mixing, neardup, quality, secrets, sharding, suffixtree
+from railtable.llm import bpe, chat, decontam, exactdedup, langid, mixing, neardup, quality, secrets, sharding, suffixtree, whitening
 from railtable.llm.common import cut, table
 
 
@@ -69,6 +69,11 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exactdedup.exact_groups(table(spark, sf_dir, "documents"))
 
 
+def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    return whitening.report(rows, whitening.with_identity_error(rows, whitening.fit(rows)))
+
+
 def op13_bpe_backtracking(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digest(bpe.decode(bpe.encode(table(spark, sf_dir, "documents"))))
 
@@ -84,6 +89,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_sharding": op8_sharding,
     "op9_suffix_tree_scoring": op9_suffix_tree_scoring,
     "op10_exact_dedup": op10_exact_dedup,
+    "op12_embedding_whitening": op12_embedding_whitening,
     "op13_bpe_backtracking": op13_bpe_backtracking,
 }
 ORACLES: dict[str, str] = {"op1_chat_formatting": chat.SQL, "op4_benchmark_decontamination": decontam.SQL, "op8_sharding": sharding.SQL, "op10_exact_dedup": exactdedup.SQL}
