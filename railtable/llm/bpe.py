@@ -205,9 +205,7 @@ def encode(docs: DataFrame, vocabulary: str | None = None, id_col: str = "doc_id
                 found = list(map(memo.__getitem__, raw.split()))
                 got.append(np.concatenate(found) if found else np.zeros(0, np.int32))
                 size += len(raw)
-                if len(memo) > PIECES or memo.size > PIECE_BYTES:
-                    memo.clear()
-                    memo.size = 0
+                memo.forget(PIECES, PIECE_BYTES)
                 if size > BATCH or k == len(batch) - 1:
                     edges = np.concatenate([[0], np.cumsum([len(x) for x in got])]).astype(np.int32)
                     ids = pa.ListArray.from_arrays(pa.array(edges), pa.array(np.concatenate(got)))

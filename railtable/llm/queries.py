@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from railtable.llm import bpe, chat, decontam, exactdedup, langid, mixing, neardup, quality, secrets, sharding, suffixtree, whitening
+from railtable.llm import bpe, chat, crosstoken, decontam, exactdedup, langid, mixing, neardup, quality, secrets, sharding, suffixtree, whitening
 from railtable.llm.common import cut, table
 
 
@@ -69,6 +69,10 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exactdedup.exact_groups(table(spark, sf_dir, "documents"))
 
 
+def op11_cross_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return crosstoken.with_scores(crosstoken.digest(crosstoken.align(table(spark, sf_dir, "documents"))))
+
+
 def op12_embedding_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "embeddings")
     return whitening.report(rows, whitening.with_identity_error(rows, whitening.fit(rows)))
@@ -89,6 +93,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_sharding": op8_sharding,
     "op9_suffix_tree_scoring": op9_suffix_tree_scoring,
     "op10_exact_dedup": op10_exact_dedup,
+    "op11_cross_tokenizer_alignment": op11_cross_tokenizer_alignment,
     "op12_embedding_whitening": op12_embedding_whitening,
     "op13_bpe_backtracking": op13_bpe_backtracking,
 }

@@ -27,13 +27,19 @@ def sent_bytes(spark: SparkSession, path: str) -> Broadcast:
 
 
 class Memo(dict):
-    """A dictionary that makes what it lacks and counts the bytes of its keys, so that its owner can empty it at a bound."""
+    """A dictionary that makes what it lacks and weighs its keys (by their length), so that its owner can empty it at a bound."""
 
-    def __init__(self, make):
+    def __init__(self, make, weigh=len):
         super().__init__()
-        self.make, self.size = make, 0
+        self.make, self.weigh, self.size = make, weigh, 0
 
     def __missing__(self, key):
         got = self[key] = self.make(key)
-        self.size += len(key)
+        self.size += self.weigh(key)
         return got
+
+    def forget(self, entries: int, size: int) -> None:
+        """Empties it beyond either bound."""
+        if len(self) > entries or self.size > size:
+            self.clear()
+            self.size = 0
