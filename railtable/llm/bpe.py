@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import json
 import re
+from array import array
 from collections.abc import Iterator
 
 import ahocorasick
@@ -24,8 +25,8 @@ from pyspark.sql import functions as F
 from railtable.llm.vocab import Memo, sent_bytes, vocabulary_file
 
 VOCABULARY = "word_bpe_49k.json"
-#: Pieces, and bytes of them, that a task remembers before it starts anew; pairs of tokens likewise.
-PIECES, PIECE_BYTES, PAIRS = 150_000, 4 << 20, 500_000
+#: Pieces and words, and bytes of them, that a task remembers before it starts anew; pairs of tokens likewise.
+PIECES, PIECE_BYTES, PAIRS = 500_000, 8 << 20, 500_000
 #: Bytes of text, or token ids, that make up one batch of results.
 BATCH = 4 << 20
 LAST = 0x1000  # added to the code of a word's last symbol, which has tokens of its own
@@ -60,6 +61,9 @@ class Bpe:
             self.born[z], self.left[z], self.right[z] = rank, x, y
             self.merged[x, y] = rank
         self.fits: dict[tuple[int, int], bool] = {}
+        self.words = Memo(lambda word: array("i", self.encode_symbols(self.word(word))).tobytes())
+        self.pieces = Memo(self.encode_piece)
+        self.ascii_words = self._ascii_words(json.loads(spec))
         self._find_tokens()
         self._offset_table(size)
 
@@ -73,13 +77,29 @@ class Bpe:
     def word(self, word: str) -> str:
         return word[:-1] + chr(ord(word[-1]) + LAST) if self.end else word
 
+    @staticmethod
+    def _ascii_words(spec: dict):
+        """How a file of the usual form (compose, white space, lower case; one split pattern, byte level) cuts a piece of printable ASCII into words,
+        without the library; None for other files."""
+        import regex
+
+        parts = (spec["normalizer"] or {}).get("normalizers", [])
+        splits = (spec["pre_tokenizer"] or {}).get("pretokenizers", [])
+        if [x["type"] for x in parts] != ["NFC", "Replace", "Lowercase"] or parts[1]["pattern"] != {"Regex": "\\s+"} or [x["type"] for x in splits] != ["Split", "ByteLevel"]:
+            return None
+        if splits[0]["behavior"] != "Removed" or not splits[0]["invert"] or splits[1]["add_prefix_space"] or splits[1]["use_regex"]:
+            return None
+        find = regex.compile(splits[0]["pattern"]["Regex"]).findall
+        printable = re.compile(b"[!-~]+").fullmatch
+        return lambda piece: find(piece.lower().decode()) if printable(piece) else None
+
     def _find_tokens(self) -> None:
         """The automaton of the tokens that the merges make of their own symbols, and for each of them its longest shorter prefix."""
         made = [False] * len(self.born)
         for z in sorted(self.ids.values(), key=self.born.__getitem__):
             r = self.born[z]
             made[z] = r < 0 or made[self.left[z]] and made[self.right[z]] and self.apart(self.left[z], self.right[z], r, r)
-        by_symbols = {self.spelled(t): i for t, i in self.ids.items() if made[i]}
+        self.whole = by_symbols = {self.spelled(t): i for t, i in self.ids.items() if made[i]}
         self.find = ahocorasick.Automaton()
         self.length, self.shorter = [0] * len(self.born), [-1] * len(self.born)
         for s, i in by_symbols.items():
@@ -115,46 +135,50 @@ class Bpe:
 
     def encode_symbols(self, symbols: str) -> list[int]:
         """Token ids of one word's symbols, as the merges give them."""
-        longest = [-1] * len(symbols)
+        whole = self.whole.get(symbols)
+        if whole is not None:
+            return [whole]
+        longest, length, shorter = [-1] * (len(symbols) + 1), self.length, self.shorter
         for end, token in self.find.iter(symbols):
-            longest[end + 1 - self.length[token]] = token  # matches come by their ends, so the longest of a start comes last
-        if longest and self.length[longest[0]] == len(symbols):
-            return [longest[0]]
+            longest[end + 1 - length[token]] = token  # matches come by their ends, so the longest of a start comes last
         out: list[int] = []
         dead = bytearray(len(symbols) + 1)
-        at, token = 0, longest[0] if longest else -1
-        while at < len(symbols):
+        fits, end, last = self.fits, len(symbols), -1
+        at, token = 0, longest[0]
+        while at < end:
             if token < 0:  # nothing fits here: give the place up and shorten the token before it
                 if not out:
                     raise ValueError("the vocabulary lacks a byte")
                 dead[at] = 1
-                token = out.pop()
-                at -= self.length[token]
-                token = self.shorter[token]
-            elif not dead[at + self.length[token]] and (not out or self.compatible(out[-1], token)):
+                at -= length[last]
+                token = shorter[out.pop()]
+                last = out[-1] if out else -1
+                continue
+            to = at + length[token]
+            if not dead[to] and (last < 0 or (self.compatible(last, token) if (fit := fits.get((last, token))) is None else fit)):
                 out.append(token)
-                at += self.length[token]
-                token = longest[at] if at < len(symbols) else -1
+                at, last, token = to, token, longest[to]
             else:
-                token = self.shorter[token]
+                token = shorter[token]
         return out
 
-    def encode_piece(self, piece: bytes) -> list[int]:
-        """Token ids of a piece without ASCII white space. Added tokens are looked for in the raw text; what is between them is normalised and
+    def encode_piece(self, piece: bytes) -> bytes:
+        """Token ids (int32) of a piece without ASCII white space. Added tokens are looked for in the raw text; what is between them is normalised and
         split into words as the file says."""
-        if self.end and piece.isalpha():  # ASCII letters alone: a single word that only needs lower case
-            return self.encode_symbols(self.word(piece.lower().decode()))
-        out: list[int] = []
-        for part in self.cut(piece):
+        out: list[bytes] = []
+        for part in self.cut(piece) if b"<" in piece or not self.ascii_words else (piece,):
             if part in self.added:
-                out.append(self.added[part])
+                out.append(np.int32(self.added[part]).tobytes())
             elif part:
-                text = part.decode()
-                if self.lib.normalizer is not None:
-                    text = self.lib.normalizer.normalize_str(text)
-                for word, _ in self.lib.pre_tokenizer.pre_tokenize_str(text):
-                    out += self.encode_symbols(self.word(word))
-        return out
+                words = self.ascii_words(part) if self.ascii_words else None
+                if words is None:
+                    text = part.decode()
+                    if self.lib.normalizer is not None:
+                        text = self.lib.normalizer.normalize_str(text)
+                    words = [word for word, _ in self.lib.pre_tokenizer.pre_tokenize_str(text)]
+                out += map(self.words.__getitem__, words)
+        self.words.forget(PIECES // 2, PIECE_BYTES)
+        return b"".join(out)
 
     def _offset_table(self, size: int) -> None:
         """All tokens' texts, each with the blank that follows it, in one array of bytes, and where each begins."""
@@ -197,13 +221,12 @@ def encode(docs: DataFrame, vocabulary: str | None = None, id_col: str = "doc_id
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = _bpe(sent.value)
-        memo = Memo(lambda piece: np.array(bpe.encode_piece(piece), np.int32))
+        memo = bpe.pieces
         for batch in batches:
             begun, got, size = 0, [], 0
             for k, text in enumerate(batch.column(1)):
                 raw = text.as_buffer().to_pybytes() if text.is_valid else b""
-                found = list(map(memo.__getitem__, raw.split()))
-                got.append(np.concatenate(found) if found else np.zeros(0, np.int32))
+                got.append(np.frombuffer(b"".join(map(memo.__getitem__, raw.split())), np.int32))
                 size += len(raw)
                 memo.forget(PIECES, PIECE_BYTES)
                 if size > BATCH or k == len(batch) - 1:
