@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from railtable.checks import cut
+from railtable.operators.ordered import BLOCK, after, along, before, coming, known, running
 
 
 def near_pairs(points: DataFrame, keys: list[str], distance: float) -> DataFrame:
@@ -185,30 +186,34 @@ def interchange_centroids(points: DataFrame) -> DataFrame:
     return p.where("lines >= 2 AND (cx <> x OR cy <> y)").select("station_id", "line_id", "x", "y", "cx", "cy")
 
 
-def fill_positions(rows: DataFrame, step: int = 56) -> DataFrame:
+def fill_positions(rows: DataFrame, step: int = 56, block: int = BLOCK) -> DataFrame:
     """WN-14: (line_id, seq, station_id, x, y) with missing points filled along the line: between neighbours by sequence, rounded; ahead of the first
-    known one next - step (clamped at 0), then between it and the next; behind the last one previous + step. A filled point counts as known for those
-    after it, so each run (a known point and the missing ones behind it) is a fold of its own over the run's sorted stations; windows
-    number the runs and give each its next known point."""
-    w = Window.partitionBy("line_id").orderBy("seq", "station_id")
-    known = F.col("x").isNotNull()
-    run = F.count(F.when(known, 1)).over(w.rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    nxt = F.first(F.when(known, F.struct("seq", "x", "y")), ignorenulls=True).over(w.rowsBetween(Window.currentRow, Window.unboundedFollowing))
-    s = rows.withColumns({"run": run, "nxt": nxt}).groupBy("line_id", "run").agg(F.sort_array(F.collect_list(F.struct("seq", "station_id", "x", "y", "nxt"))).alias("s"))
-    last = "struct<seq:int,x:bigint,y:bigint>"
+    known one next - step (clamped at 0), then between it and the next; behind the last one previous + step each; a line without any begins at (0, 0). A filled
+    point counts as known for those after it, and rounding makes each depend on the one before: so a gap (the missing points before a known one) is a fold
+    of its own, over the gap's sorted stations. What is known before and behind comes from `along`, so no task holds a line, only gaps."""
+    order = ["seq", "station_id"]
+    s = along(rows.select("line_id", "seq", "station_id", F.col("x").cast("long").alias("x"), F.col("y").cast("long").alias("y")), ["line_id"], order, {"_r": running(F.lit(1))}, block)
+    here = F.when(F.col("x").isNotNull(), F.struct("seq", "x", "y", "_r"))
+    s = along(s, ["line_id"], order, {"prev": known(here), "nxt": coming(here)}, block)
+    behind = F.col("_r") - F.coalesce(F.col("prev._r"), F.lit(1))
+    one = lambda c, by: F.when(F.col("x").isNotNull(), F.col(c)).otherwise(F.coalesce(F.col(f"prev.{c}"), F.lit(0)) + by * behind).cast("long")
+    kind = [F.col("seq").cast("int").alias("seq"), F.col("station_id").cast("long").alias("station_id")]
+    plain = s.where("x IS NOT NULL OR nxt IS NULL").select("line_id", *kind, one("x", step).alias("x"), one("y", 0).alias("y"), F.col("x").isNull().alias("filled"))
+    gaps = s.where("x IS NULL AND nxt IS NOT NULL").groupBy("line_id", F.col("nxt._r").alias("gap")).agg(F.first("prev").alias("prev"), F.first("nxt").alias("nxt"), F.sort_array(F.collect_list(F.struct("seq", "station_id"))).alias("s"))
+    last = "struct<seq:bigint,x:bigint,y:bigint>"
     point = "struct<seq:int,station_id:bigint,x:bigint,y:bigint,filled:boolean>"
 
     def put(acc: Column, r: Column) -> Column:
-        prev, n = acc["prev"], r["nxt"]
-        has = prev.isNotNull()
-        share = (r["seq"] - prev["seq"]) / (n["seq"] - prev["seq"])
-        mid = lambda c: F.floor(prev[c] + (n[c] - prev[c]) * share + 0.5)
-        one = lambda c, d: F.when(r["x"].isNotNull(), r[c]).when(has & n.isNotNull(), mid(c)).when(has, prev[c] + d).when(n.isNotNull(), F.greatest(F.lit(0), n[c] - d)).otherwise(F.lit(0)).cast("long")
-        new = F.struct(r["seq"].cast("int").alias("seq"), r["station_id"].cast("long").alias("station_id"), one("x", step).alias("x"), one("y", 0).alias("y"), r["x"].isNull().alias("filled")).cast(point)
+        was, n = acc["prev"], F.col("nxt")
+        share = (r["seq"] - was["seq"]) / (n["seq"] - was["seq"])
+        at = lambda c, d: F.when(was.isNotNull(), F.floor(was[c] + (n[c] - was[c]) * share + 0.5)).otherwise(F.greatest(F.lit(0), n[c] - d)).cast("long")
+        new = F.struct(r["seq"].cast("int").alias("seq"), r["station_id"].cast("long").alias("station_id"), at("x", step).alias("x"), at("y", 0).alias("y"), F.lit(True).alias("filled")).cast(point)
         return F.struct(F.struct(new["seq"].alias("seq"), new["x"].alias("x"), new["y"].alias("y")).cast(last).alias("prev"), F.concat(acc["out"], F.array(new)).alias("out"))
 
-    start = F.struct(F.lit(None).cast(last).alias("prev"), F.array().cast(f"array<{point}>").alias("out"))
-    return s.select("line_id", F.explode(F.aggregate("s", start, put, lambda acc: acc["out"])).alias("p")).select("line_id", "p.*")
+    first = F.when(F.col("prev").isNotNull(), F.struct("prev.seq", "prev.x", "prev.y")).cast(last)
+    start = F.struct(first.alias("prev"), F.array().cast(f"array<{point}>").alias("out"))
+    filled = gaps.select("line_id", F.explode(F.aggregate("s", start, put, lambda acc: acc["out"])).alias("p")).select("line_id", "p.*")
+    return plain.unionByName(filled)
 
 
 def octolinear_deviation(segments: DataFrame) -> DataFrame:
@@ -218,22 +223,26 @@ def octolinear_deviation(segments: DataFrame) -> DataFrame:
     return segments.select("id", F.round(ang, 6).alias("angle"), F.round(F.least(m, 45 - m), 6).alias("deviation"))
 
 
-def label_offsets(rows: DataFrame, distance: int = 18) -> DataFrame:
+def _with_neighbours(rows: DataFrame, block: int) -> DataFrame:
+    """Positions with those of the station before (px, py) and of the next one (nx, ny) on the line."""
+    steps = {"px": before("x"), "py": before("y"), "nx": after("x"), "ny": after("y")}
+    return along(rows.select("line_id", "station_id", "seq", "x", "y"), ["line_id"], ["seq", "station_id"], steps, block)
+
+
+def label_offsets(rows: DataFrame, distance: int = 18, block: int = BLOCK) -> DataFrame:
     """WN-25: a label goes to the side across the direction to the next (else previous) node of the line: above or below flat runs, right of steep ones."""
-    w = Window.partitionBy("line_id").orderBy("seq", "station_id")
-    dx = F.coalesce(F.lead("x").over(w) - F.col("x"), F.col("x") - F.lag("x").over(w), F.lit(0))
-    dy = F.coalesce(F.lead("y").over(w) - F.col("y"), F.col("y") - F.lag("y").over(w), F.lit(0))
-    d = rows.select("line_id", "station_id", dx.alias("dx"), dy.alias("dy"))
+    s = _with_neighbours(rows, block)
+    dx = F.coalesce(F.col("nx") - F.col("x"), F.col("x") - F.col("px"), F.lit(0))
+    dy = F.coalesce(F.col("ny") - F.col("y"), F.col("y") - F.col("py"), F.lit(0))
+    d = s.select("line_id", "station_id", dx.alias("dx"), dy.alias("dy"))
     flat = F.abs("dx") >= F.abs("dy")
     return d.select("line_id", "station_id", F.when(flat, 0).otherwise(distance).alias("off_x"), F.when(~flat, 0).when(F.col("dx") >= 0, -distance).otherwise(distance).alias("off_y"))
 
 
-def half_paths(rows: DataFrame) -> DataFrame:
+def half_paths(rows: DataFrame, block: int = BLOCK) -> DataFrame:
     """WN-28: per station of a line the path text towards the previous and the next station."""
-    w = Window.partitionBy("line_id").orderBy("seq", "station_id")
-    to = lambda x, y: F.concat_ws(" ", F.lit("M"), F.col("x").cast("string"), F.col("y").cast("string"), F.lit("L"), x.cast("string"), y.cast("string"))
-    px, py, nx, ny = F.lag("x").over(w), F.lag("y").over(w), F.lead("x").over(w), F.lead("y").over(w)
-    return rows.select("line_id", "station_id", F.when(px.isNotNull(), to(px, py)).alias("to_previous"), F.when(nx.isNotNull(), to(nx, ny)).alias("to_next"))
+    to = lambda x, y: F.when(F.col(x).isNotNull(), F.concat_ws(" ", F.lit("M"), F.col("x").cast("string"), F.col("y").cast("string"), F.lit("L"), F.col(x).cast("string"), F.col(y).cast("string")))
+    return _with_neighbours(rows, block).select("line_id", "station_id", to("px", "py").alias("to_previous"), to("nx", "ny").alias("to_next"))
 
 
 def simplify_points(pts: np.ndarray, eps: float) -> np.ndarray:

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from railtable.checks import cut as _cut
 from railtable.checks import violations
+from railtable.operators.ordered import BLOCK, after, along, before, running
 
 
 def _turns(rounds: int | None) -> Iterator[int]:
@@ -18,34 +19,78 @@ def _turns(rounds: int | None) -> Iterator[int]:
     raise RuntimeError(f"no fixed point after {rounds} rounds")
 
 
-def adjacent_edges(stations: DataFrame) -> DataFrame:
-    """WN-5: (line_id, station_id, seq) to edges between neighbours, in both directions."""
-    w = Window.partitionBy("line_id").orderBy("seq", "station_id")
-    one = stations.select("line_id", F.col("station_id").alias("from_station"), F.lead("station_id").over(w).alias("to_station")).where("to_station IS NOT NULL")
+def adjacent_edges(stations: DataFrame, block: int = BLOCK) -> DataFrame:
+    """WN-5: (line_id, station_id, seq) to edges between neighbours, in both directions. A line longer than `block` is walked in ranges."""
+    one = along(stations.select("line_id", "station_id", "seq"), ["line_id"], ["seq", "station_id"], {"to_station": after("station_id")}, block)
+    one = one.where("to_station IS NOT NULL").select("line_id", F.col("station_id").alias("from_station"), "to_station")
     return one.unionByName(one.select("line_id", F.col("to_station").alias("from_station"), F.col("from_station").alias("to_station")))
 
 
-def edges_from_distances(rows: DataFrame) -> DataFrame:
+def edges_from_distances(rows: DataFrame, block: int = BLOCK) -> DataFrame:
     """WN-6: rows (line_id, seq, station_id, forward_m to the next, backward_m from the next, is_depot) to edges both ways;
     depots are set aside first; reason ASYMMETRIC where the two distances differ."""
-    w = Window.partitionBy("line_id").orderBy("seq")
-    s = rows.where("NOT is_depot").select("line_id", "station_id", F.lead("station_id").over(w).alias("next"), "forward_m", "backward_m").where("next IS NOT NULL")
+    s = along(rows.where("NOT is_depot"), ["line_id"], ["seq"], {"next": after("station_id")}, block).where("next IS NOT NULL")
     way = lambda a, b, m: F.struct(F.col(a).alias("from_station"), F.col(b).alias("to_station"), F.col(m).alias("distance_m"))
     reason = F.when(F.col("forward_m") != F.col("backward_m"), "ASYMMETRIC")
     return s.select("line_id", F.explode(F.array(way("station_id", "next", "forward_m"), way("next", "station_id", "backward_m"))).alias("e"), reason.alias("reason")).select("line_id", "e.*", "reason")
 
 
-def branch_segments(rows: DataFrame) -> DataFrame:
-    """WN-7: (line_id, pos, station_id): a new segment begins where a station already seen on the line appears again."""
-    first = F.min("pos").over(Window.partitionBy("line_id", "station_id"))
-    w = Window.partitionBy("line_id").orderBy("pos")
-    return rows.withColumn("again", (F.col("pos") > first).cast("int")).withColumn("segment", F.sum("again").over(w.rowsBetween(Window.unboundedPreceding, 0)).cast("long")).drop("again")
-
-
-def segment_edges(segments: DataFrame) -> DataFrame:
-    """WN-7: edges between consecutive stations of one segment; an unknown (null) distance gives none."""
-    w = Window.partitionBy("line_id", "segment").orderBy("pos")
-    return segments.select("line_id", "segment", F.col("station_id").alias("from_station"), F.lead("station_id").over(w).alias("to_station"), F.lead("distance_m").over(w).alias("distance_m")).where("to_station IS NOT NULL AND distance_m IS NOT NULL")
+def branch_segments(rows: DataFrame, operator: str | None = None, block: int = BLOCK) -> DataFrame:
+    """WN-7: (line_id, pos, station_id): a new segment begins where a station already seen on the line appears again (a list that starts anew
+    does so with its first station). With `operator`, a column, a segment also ends where it changes, and what was seen before that counts no more."""
+    keys = ["line_id"]
+    if operator:
+        changed = lambda d: (F.col("_was").isNotNull() & ~F.col("_was.v").eqNullSafe(F.col(operator))).cast("int")
+        rows = along(rows, keys, ["pos"], {"_was": before(F.struct(F.col(operator).alias("v")))}, block)
+        rows = along(rows.withColumn("_border", changed(rows)), keys, ["pos"], {"_run": running("_border")}, block).drop("_was", "_border")
+        keys = ["line_id", "_run"]
+    def least(d: DataFrame, name: str, *by: str) -> DataFrame:
+        """d with the smallest pos of the rows that are equal in `by`, nulls among them."""
+        d = d.withColumn("_same", F.struct(*by))
+        return d.join(d.groupBy("_same").agg(F.min("pos").alias(name)), "_same").drop("_same")
+
+    marked = least(rows, "_first", *keys, "station_id")
+    begins = (F.col("pos") > F.col("_first")).cast("int")
+    if operator:
+        marked = least(marked, "_head", *keys)
+        begins = F.greatest(begins, (F.col("pos") == F.col("_head")).cast("int"))
+    out = along(marked.withColumn("_again", begins), ["line_id"], ["pos"], {"segment": running("_again")}, block)
+    out = out.withColumn("segment", F.col("segment").cast("long") - (1 if operator else 0))
+    return out.drop("_first", "_again", "_head", "_run")
+
+
+def segment_edges(segments: DataFrame, trailing: str | None = None, close: bool = False, block: int = BLOCK) -> DataFrame:
+    """WN-7: edges between consecutive stations of one segment, with the second one's distance to the station before it; where that is not known (null; with
+    `trailing` also 0 or less) the first one's `trailing` distance to its next station, if the list has such a column. Without a distance there is
+    no edge. `close`: a segment of three or more also gets an edge from its last station to its first one, of the first one's own distance."""
+    keys = ["line_id", "segment"]
+    steps = {"to_station": after("station_id"), "to_distance": after("distance_m")}
+    s = along(segments, keys, ["pos"], steps, block)
+    known = lambda c: F.when(F.col(c) > 0, F.col(c))
+    metres = F.coalesce(known("to_distance"), known(trailing)) if trailing else F.col("to_distance")
+    out = s.where("to_station IS NOT NULL").select(*keys, F.col("station_id").alias("from_station"), "to_station", metres.alias("distance_m")).where("distance_m IS NOT NULL")
+    if close:
+        place = F.struct("pos", "station_id", "distance_m")
+        ends = segments.groupBy(*keys).agg(F.count("*").alias("n"), F.min(place).alias("a"), F.max(place).alias("z")).where("n >= 3 AND a.distance_m > 0")
+        out = out.unionByName(ends.select(*keys, F.col("z.station_id").alias("from_station"), F.col("a.station_id").alias("to_station"), F.col("a.distance_m").alias("distance_m")))
+    return out
+
+
+def splice_edges(rows: DataFrame, splices: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """WN-7: explicit edges. splices: (line_id, from_station, to_station, anchor_station, use_trailing): an edge of the anchor's distance_m, or its
+    trailing_m. Gives (edges: line_id, from_station, to_station, distance_m; violations: the splice and STATION_MISSING or DISTANCE_MISSING).
+    Where a station stands several times on its line its first row (by pos) counts."""
+    first = rows.groupBy("line_id", "station_id").agg(F.min_by(F.struct("distance_m", "trailing_m"), "pos").alias("r"))
+    at = lambda name: first.select("line_id", F.col("station_id").alias(name), F.col("r").alias(f"_{name}"))
+    s = splices
+    for name in ("from_station", "to_station", "anchor_station"):
+        s = s.join(at(name), ["line_id", name], "left")
+    metres = F.when(F.col("use_trailing"), F.col("_anchor_station.trailing_m")).otherwise(F.col("_anchor_station.distance_m"))
+    s = s.withColumn("distance_m", F.when(metres > 0, metres))
+    names = ["line_id", "from_station", "to_station"]
+    missing = F.col("_from_station").isNull() | F.col("_to_station").isNull()
+    reason = F.when(missing, "STATION_MISSING").when(F.col("distance_m").isNull(), "DISTANCE_MISSING")
+    return s.where(reason.isNull()).select(*names, "distance_m"), s.where(reason.isNotNull()).select(*names, reason.alias("reason"))
 
 
 def undirected_upsert(edges: DataFrame) -> DataFrame:
@@ -75,10 +120,9 @@ def insert_at(stations: DataFrame, line: str, at: int, new_id: int) -> DataFrame
     return stations.select("line_id", F.col("station_id").cast("long").alias("station_id"), F.when(later, F.col("seq") + 1).otherwise(F.col("seq")).alias("seq")).unionByName(new)
 
 
-def same_neighbours(old: DataFrame, new: DataFrame) -> DataFrame:
+def same_neighbours(old: DataFrame, new: DataFrame, block: int = BLOCK) -> DataFrame:
     """WN-21: stations (line_id, station_id, name, seq) of both versions: are the names before and after equal, in either direction?"""
-    w = Window.partitionBy("line_id").orderBy("seq")
-    side = lambda d, p: d.select("line_id", "station_id", F.lag("name").over(w).alias(f"{p}0"), F.lead("name").over(w).alias(f"{p}1"))
+    side = lambda d, p: along(d, ["line_id"], ["seq"], {f"{p}0": before("name"), f"{p}1": after("name")}, block).select("line_id", "station_id", f"{p}0", f"{p}1")
     j = side(old, "o").join(side(new, "n"), ["line_id", "station_id"])
     eq = lambda a, b: F.col(a).eqNullSafe(F.col(b))
     return j.select("line_id", "station_id", ((eq("o0", "n0") & eq("o1", "n1")) | (eq("o0", "n1") & eq("o1", "n0"))).alias("same"))
@@ -217,8 +261,8 @@ def node_degrees(edges: DataFrame, limit: int = 8) -> DataFrame:
     return edges.select(F.explode(F.array("from_node", "to_node")).alias("node")).groupBy("node").agg(F.count("*").alias("degree")).withColumn("over", F.col("degree") > limit)
 
 
-def physical_graph(positions: DataFrame) -> tuple[DataFrame, DataFrame]:
+def physical_graph(positions: DataFrame, block: int = BLOCK) -> tuple[DataFrame, DataFrame]:
     """GR-13: nodes at the mean of their line positions; one undirected edge per adjacent pair with the lines on it."""
     nodes = positions.groupBy("station_id").agg(F.avg("x").alias("x"), F.avg("y").alias("y"))
-    e = adjacent_edges(positions).where("from_station < to_station")
+    e = adjacent_edges(positions, block).where("from_station < to_station")
     return nodes, e.groupBy("from_station", "to_station").agg(F.array_join(F.array_sort(F.collect_set("line_id")), ",").alias("lines"))
