@@ -13,36 +13,108 @@ from pyspark.sql import types as T
 
 from railtable.checks import cut
 from railtable.operators.ordered import BLOCK, after, along, before, coming, known, running
+from railtable.operators.topology import components
 
 
-def near_pairs(points: DataFrame, keys: list[str], distance: float) -> DataFrame:
+#: Rows of one cell that may meet the other side's in one task.
+CROWD = 4096
+
+
+def meet(p: DataFrame, q: DataFrame, on: list[str], crowd: int = CROWD) -> DataFrame:
+    """The inner join of p and q on the cell columns `on`. A cell in which p has more than `crowd` rows is dealt out: its rows of p to shares of about that
+    size, by hash, each of which meets a copy of the cell's rows of q. Cells of at most `crowd` rows are joined as they are."""
+    crowded = cut(p.groupBy(*on).agg(F.count("*").alias("_n")).where(F.col("_n") > crowd).select(*on, F.ceil(F.col("_n") / crowd).cast("int").alias("_shares")))
+    if crowded.isEmpty():
+        return p.join(q, on)
+    shares = F.coalesce("_shares", F.lit(1))
+    own = p.join(crowded, on, "left").withColumn("_share", F.pmod(F.xxhash64(*[c for c in p.columns if c not in on]), shares).cast("int")).drop("_shares")
+    every = q.join(crowded, on, "left").withColumn("_share", F.explode(F.sequence(F.lit(0), shares - 1))).drop("_shares")
+    return own.join(every, [*on, "_share"]).drop("_share")
+
+
+def near_pairs(points: DataFrame, keys: list[str], distance: float, crowd: int = CROWD) -> DataFrame:
     """JN-13: pairs (a < b) of different ids with equal keys, nearer than `distance`: points of a cell as wide as the distance meet those of the
-    cell and half of its neighbours, so each pair meets once and the join is on (keys, cell)."""
+    cell and half of its neighbours, so each pair meets once and the join is on (keys, cell). Crowded cells are dealt out (`meet`)."""
     cell = lambda c: F.floor(F.col(c) / distance).cast("long")
     p = points.select(*keys, "id", "x", "y", cell("x").alias("cx"), cell("y").alias("cy"))
     around = F.array(*[F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i, j in ((0, 0), (0, 1), (1, -1), (1, 0), (1, 1))])
     q = p.select(*keys, "id", "x", "y", F.explode(around).alias("o"), "cx", "cy").select(*keys, F.col("id").alias("id2"), F.col("x").alias("x2"), F.col("y").alias("y2"), (F.col("cx") + F.col("o.i")).alias("cx"), (F.col("cy") + F.col("o.j")).alias("cy"), ((F.col("o.i") == 0) & (F.col("o.j") == 0)).alias("own"))
     d = F.hypot(F.col("x") - F.col("x2"), F.col("y") - F.col("y2"))
-    j = p.join(q, [*keys, "cx", "cy"]).where((F.col("id") != F.col("id2")) & (~F.col("own") | (F.col("id") < F.col("id2")))).withColumn("distance", d).where(F.col("distance") < distance)
+    j = meet(p, q, [*keys, "cx", "cy"], crowd).where((F.col("id") != F.col("id2")) & (~F.col("own") | (F.col("id") < F.col("id2")))).withColumn("distance", d).where(F.col("distance") < distance)
     return j.select(*keys, F.least("id", "id2").alias("a"), F.greatest("id", "id2").alias("b"), "distance")
 
 
+def dense_hubs(stations: DataFrame, distance: float = 26.0) -> DataFrame:
+    """GR-5: stations (station_id, x, y) that chains of steps shorter than `distance` connect: (station_id, hub), hub being the smallest id of two or more.
+
+    Cells are so small that all points of one are near each other; they unite without being listed. Two cells are linked if their nearest two points are near
+    enough: the extreme points of both (in eight directions) tell at once for most pairs of cells; for the others only points remain that the other cell's box is near to, and of these,
+    for each x (or, for cells of one row, each y), the one that lies farthest towards the other cell: any other of that x is farther from all its points. Then the
+    components of the cells are found. A null id or coordinate is in no hub; equal positions are near each other; the positions of one id belong together."""
+    side = distance / math.sqrt(2) * (1 - 1e-9)
+    p = stations.where("station_id IS NOT NULL AND x IS NOT NULL AND y IS NOT NULL").select("station_id", F.col("x").cast("double").alias("x"), F.col("y").cast("double").alias("y"))
+    p = cut(p.withColumns({"cx": F.floor(F.col("x") / side).cast("long"), "cy": F.floor(F.col("y") / side).cast("long")}))
+    ways = {"w": F.col("x"), "s": F.col("y"), "u": F.col("x") + F.col("y"), "v": F.col("x") - F.col("y")}
+    ends = [f(F.struct("x", "y"), F.struct(v, F.col("x"))).alias(f"{k}{n}") for k, v in ways.items() for f, n in ((F.min_by, 0), (F.max_by, 1))]
+    cells = cut(p.groupBy("cx", "cy").agg(F.min("station_id").alias("least"), *ends).select("cx", "cy", "least", F.array_distinct(F.array(*(f"{k}{n}" for k in ways for n in (0, 1)))).alias("ends"), F.col("w0.x").alias("x0"), F.col("w1.x").alias("x1"), F.col("s0.y").alias("y0"), F.col("s1.y").alias("y1")))
+    offsets = [(i, j) for i in range(3) for j in range(-2, 3) if (i, j) > (0, 0)]
+    moved = cells.select(*(F.col(c).alias(f"{c}_2") for c in cells.columns), F.explode(F.array(*(F.struct(F.lit(i).alias("i"), F.lit(j).alias("j")) for i, j in offsets))).alias("o"))
+    moved = moved.select("*", (F.col("cx_2") - F.col("o.i")).alias("cx"), (F.col("cy_2") - F.col("o.j")).alias("cy"))
+    apart = lambda a0, a1, b0, b1: F.greatest(F.lit(0.0), b0 - a1, a0 - b1)
+    gap = F.hypot(*(apart(*(F.col(f"{c}{k}") for k in ("0", "1", "0_2", "1_2"))) for c in "xy"))
+    pairs = cells.join(moved, ["cx", "cy"]).where(gap < distance)
+    near = lambda a, b: F.hypot(a["x"] - b["x"], a["y"] - b["y"]) < distance
+    at_once = F.exists("ends", lambda a: F.exists("ends_2", lambda b: near(a, b)))
+    box = lambda t: F.struct(*(F.col(f"{c}{k}{t}").alias(f"{c}{k}") for c in "xy" for k in "01"))
+    pairs = cut(pairs.select("cx", "cy", "least", "least_2", F.col("o.i").alias("i"), F.col("o.j").alias("j"), at_once.alias("sure"), box("").alias("box"), box("_2").alias("box_2")))
+    open_ = pairs.where("NOT sure")
+
+    def edge(own: str, i: int, other: str) -> DataFrame:
+        """The points of one side's cells that may be the nearest to the other cell; i is 1 for the cell ahead, -1 for the one behind."""
+        at = open_.select((F.col("cx") + (F.col("i") if own else 0)).alias("cx"), (F.col("cy") + (F.col("j") if own else 0)).alias("cy"), "least", "least_2", F.col("i").alias("i"), F.col("j").alias("j"), F.col(f"box{other}").alias("b"))
+        q = p.join(at, ["cx", "cy"])
+        far = F.hypot(apart(F.col("x"), F.col("x"), F.col("b.x0"), F.col("b.x1")), apart(F.col("y"), F.col("y"), F.col("b.y0"), F.col("b.y1")))
+        q = q.where(far < distance)
+        row = F.col("j") == 0
+        fixed, towards = F.when(row, F.col("y")).otherwise(F.col("x")), F.when(row, i * F.col("i") * F.col("x")).otherwise(i * F.signum("j") * F.col("y"))
+        return q.groupBy("least", "least_2", fixed.alias("fixed")).agg(F.max_by(F.struct("x", "y"), towards).alias("p" + own)).drop("fixed")
+
+    met = edge("", 1, "_2").join(edge("_2", -1, ""), ["least", "least_2"]).where(near(F.col("p"), F.col("p_2"))).select("least", "least_2")
+    links = pairs.where("sure").select("least", "least_2").unionByName(met).distinct().select(F.col("least").alias("from_node"), F.col("least_2").alias("to_node"))
+    found = components(links, cells.select(F.col("least").alias("node")))
+    hubs = p.join(cells.select("cx", "cy", "least"), ["cx", "cy"]).join(found, F.col("least") == F.col("node")).select("station_id", F.col("component").alias("hub"))
+    several = hubs.groupBy("hub").agg(F.count_distinct("station_id").alias("n")).where("n >= 2").select("hub")
+    return hubs.join(several, "hub", "left_semi").select("station_id", "hub").distinct()
+
+
 def merge_suspects(stations: DataFrame, distance: float = 60.0) -> DataFrame:
     """JN-14: pairs of equal normalised name and different id nearer than the distance: a near-pair join inside each name."""
     return near_pairs(stations, ["name"], distance)
 
 
-def box_overlaps(boxes: DataFrame, cell: float, top: int = 50) -> DataFrame:
-    """JN-15: pairs of label boxes (id, x0, y0, x1, y1) of different stations with a positive common area; the worst `top`. A box is put into
-    every cell it touches; a pair counts in the cell of its common corner only."""
-    seq = lambda a, b: F.sequence(F.floor(F.col(a) / cell).cast("long"), F.floor(F.col(b) / cell).cast("long"))
-    c = boxes.select("*", F.explode(seq("x0", "x1")).alias("cx")).select("*", F.explode(seq("y0", "y1")).alias("cy"))
-    a, b = c.alias("a"), c.alias("b")
-    left, low = F.greatest("a.x0", "b.x0"), F.greatest("a.y0", "b.y0")
-    w, h = F.least("a.x1", "b.x1") - left, F.least("a.y1", "b.y1") - low
-    j = a.join(b, (F.col("a.cx") == F.col("b.cx")) & (F.col("a.cy") == F.col("b.cy")) & (F.col("a.id") < F.col("b.id")))
-    j = j.where((w > 0) & (h > 0) & (F.floor(left / cell) == F.col("a.cx")) & (F.floor(low / cell) == F.col("a.cy")))
-    return j.select(F.col("a.id").alias("a"), F.col("b.id").alias("b"), (w * h).alias("area")).orderBy(F.desc("area"), "a", "b").limit(top)
+def box_overlaps(boxes: DataFrame, cell: float, top: int = 50, crowd: int = CROWD) -> DataFrame:
+    """JN-15: pairs of label boxes (id, x0, y0, x1, y1) of different stations with a positive common area; the worst `top`. A box belongs to the level
+    of its size, whose cells (`cell` times a power of two) are no smaller than it, and lies in at most four of them. It meets the boxes of its own level and of all
+    larger ones in their cells, so a box of any size gives few rows; a pair counts in the cell of its common corner only. Crowded cells are dealt out (`meet`)."""
+    size = F.greatest(F.col("x1") - F.col("x0"), F.col("y1") - F.col("y0"))
+    level = F.greatest(F.lit(0), F.ceil(F.log2(size / cell))).cast("int")
+    b = boxes.where("x1 > x0 AND y1 > y0").select("id", "x0", "y0", "x1", "y1").withColumn("level", level)
+    levels = sorted(r[0] for r in b.select("level").distinct().collect())  # powers of two: a few dozen at most
+
+    def at(lv: Column) -> DataFrame:
+        d = b.withColumn("lv", lv)
+        width = F.pow(F.lit(2.0), F.col("lv")) * cell
+        seq = lambda lo, hi: F.sequence(F.floor(F.col(lo) / width).cast("long"), F.floor(F.col(hi) / width).cast("long"))
+        return d.withColumn("cx", F.explode(seq("x0", "x1"))).withColumn("cy", F.explode(seq("y0", "y1"))).withColumn("width", width)
+
+    home = at(F.col("level"))
+    above = F.filter(F.array(*map(F.lit, levels)), lambda x: x >= F.col("level")) if levels else F.array().cast("array<int>")
+    probe = at(F.explode(above)).select("lv", "cx", "cy", *(F.col(c).alias(f"{c}_2") for c in ("id", "x0", "y0", "x1", "y1", "level")))
+    left, low = F.greatest("x0", "x0_2"), F.greatest("y0", "y0_2")
+    w, h = F.least("x1", "x1_2") - left, F.least("y1", "y1_2") - low
+    j = meet(home, probe, ["lv", "cx", "cy"], crowd).where((F.col("id") != F.col("id_2")) & ((F.col("level") > F.col("level_2")) | (F.col("id") < F.col("id_2"))))
+    j = j.where((w > 0) & (h > 0) & (F.floor(left / F.col("width")) == F.col("cx")) & (F.floor(low / F.col("width")) == F.col("cy")))
+    return j.select(F.least("id", "id_2").alias("a"), F.greatest("id", "id_2").alias("b"), (w * h).alias("area")).orderBy(F.desc("area"), "a", "b").limit(top)
 
 
 def _samples(x0: str, y0: str, x1: str, y1: str, length: Column, cell: float) -> Column:
@@ -82,20 +154,76 @@ def collinear_overlaps(segments: DataFrame, angle: float = 0.5, offset: float =
     return j.select(F.col("id").alias("a"), F.col("id_2").alias("b"), common.alias("overlap")).distinct()
 
 
-def crossings(segments: DataFrame, cell: float) -> DataFrame:
-    """JN-17: proper crossings of segments (id, track, x0, y0, x1, y1) of different tracks without a shared end, joined by the cells of
-    their bounding boxes; orientation tests decide."""
-    seq = lambda a, b: F.sequence(F.floor(F.least(a, b) / cell).cast("long"), F.floor(F.greatest(a, b) / cell).cast("long"))
-    c = segments.select("*", F.explode(seq("x0", "x1")).alias("cx")).select("*", F.explode(seq("y0", "y1")).alias("cy"))
-    a, b = c.alias("a"), c.alias("b")
-    g = lambda t, n: F.col(f"{t}.{n}")
+def _passed(cell: float) -> Column:
+    """Cells (cx, cy) that a segment passes: column by column, the rows between where it enters and leaves, so their number grows with its length."""
+    x0, x1, y0, y1 = (F.col(c).cast("double") for c in ("x0", "x1", "y0", "y1"))
+    lo, hi, tiny = F.least(x0, x1), F.greatest(x0, x1), 1e-9
+    y = lambda x: F.when(x1 == x0, y0).otherwise(y0 + (y1 - y0) * (x - x0) / F.nullif(x1 - x0, F.lit(0.0)))
+
+    def column(cx: Column) -> Column:
+        a, b = F.greatest(lo, cx * cell), F.least(hi, (cx + 1) * cell)
+        ya, yb = F.when(x0 == x1, y0).otherwise(y(a)), F.when(x0 == x1, y1).otherwise(y(b))
+        rows = F.sequence(F.floor(F.least(ya, yb) / cell - tiny).cast("long"), F.floor(F.greatest(ya, yb) / cell + tiny).cast("long"))
+        return F.transform(rows, lambda cy: F.struct(cx.alias("cx"), cy.alias("cy")))
+
+    columns = F.sequence(F.floor(lo / cell - tiny).cast("long"), F.floor(hi / cell + tiny).cast("long"))
+    return F.flatten(F.transform(columns, column))
+
+
+def crossing_points(segments: DataFrame, cell: float, crowd: int = CROWD) -> DataFrame:
+    """JN-17: proper crossings of segments (id, track, x0, y0, x1, y1) of different tracks without a shared end (nearer than 1e-6), and where:
+    (a, b, track_a, track_b, x, y), a < b. Segments meet in the cells that both pass; orientation tests decide. Crowded cells are dealt out (`meet`)."""
+    names = ["id", "track", "x0", "y0", "x1", "y1"]
+    c = segments.select(*names, F.explode(_passed(cell)).alias("c")).select(*names, "c.cx", "c.cy")
+    other = c.select("cx", "cy", *(F.col(n).alias(f"{n}_2") for n in names))
+    v = {f"{n}{t}": F.col(f"{n}{t}").cast("double") for n in ("x0", "y0", "x1", "y1") for t in ("", "_2")}
 
     def turn(t: str, px: Column, py: Column) -> Column:
-        return F.signum((g(t, "x1") - g(t, "x0")) * (py - g(t, "y0")) - (g(t, "y1") - g(t, "y0")) * (px - g(t, "x0")))
+        return (v[f"x1{t}"] - v[f"x0{t}"]) * (py - v[f"y0{t}"]) - (v[f"y1{t}"] - v[f"y0{t}"]) * (px - v[f"x0{t}"])
+
+    d1, d2 = turn("_2", v["x0"], v["y0"]), turn("_2", v["x1"], v["y1"])
+    d3, d4 = turn("", v["x0_2"], v["y0_2"]), turn("", v["x1_2"], v["y1_2"])
+    shared = F.lit(False)
+    for i in "01":
+        for j in "01":
+            shared = shared | (F.hypot(v[f"x{i}"] - v[f"x{j}_2"], v[f"y{i}"] - v[f"y{j}_2"]) < 1e-6)
+    j = meet(c, other, ["cx", "cy"], crowd).where((F.col("id") < F.col("id_2")) & (F.col("track") != F.col("track_2")))
+    j = j.where((F.signum(d1) * F.signum(d2) < 0) & (F.signum(d3) * F.signum(d4) < 0) & ~shared)
+    t = d1 / (d1 - d2)
+    at = lambda c: (v[f"{c}0"] + t * (v[f"{c}1"] - v[f"{c}0"])).alias(c)
+    return j.select(F.col("id").alias("a"), F.col("id_2").alias("b"), F.col("track").alias("track_a"), F.col("track_2").alias("track_b"), at("x"), at("y")).dropDuplicates(["a", "b"])
 
-    crossing = (turn("a", g("b", "x0"), g("b", "y0")) * turn("a", g("b", "x1"), g("b", "y1")) < 0) & (turn("b", g("a", "x0"), g("a", "y0")) * turn("b", g("a", "x1"), g("a", "y1")) < 0)
-    j = a.join(b, (g("a", "cx") == g("b", "cx")) & (g("a", "cy") == g("b", "cy")) & (g("a", "id") < g("b", "id")) & (g("a", "track") != g("b", "track"))).where(crossing)
-    return j.select(g("a", "id").alias("a"), g("b", "id").alias("b")).distinct()
+
+def crossings(segments: DataFrame, cell: float) -> DataFrame:
+    """JN-17: the pairs of segments that cross (see `crossing_points`)."""
+    return crossing_points(segments, cell).select("a", "b")
+
+
+def nearest_within(points: DataFrame, keys: list[str], targets: DataFrame, radius: float, crowd: int = CROWD) -> DataFrame:
+    """Points (keys, x, y) with the distance to the nearest of `targets` (x, y) if that is under `radius`, else null. Cells as wide as the radius, so a point meets
+    the targets of nine cells; each target's cell is asked once, and crowded cells are dealt out."""
+    cell = lambda c: F.floor(F.col(c) / radius).cast("long")
+    p = points.select(*keys, "x", "y").withColumn("o", F.explode(_around(F.lit(1)))).select(*keys, "x", "y", (cell("x") + F.col("o.i")).alias("cx"), (cell("y") + F.col("o.j")).alias("cy"))
+    t = targets.select(F.col("x").alias("tx"), F.col("y").alias("ty"), cell("x").alias("cx"), cell("y").alias("cy")).distinct()
+    d = F.hypot(F.col("x") - F.col("tx"), F.col("y") - F.col("ty"))
+    best = meet(p, t, ["cx", "cy"], crowd).withColumn("d", d).where(F.col("d") < radius).groupBy(*keys).agg(F.min("d").alias("nearest"))
+    return points.join(best, keys, "left")
+
+
+def classify_crossings(segments: DataFrame, centres: DataFrame, allowed: DataFrame, cell: float, knot: float, cover: float = 17.0, tolerance: float = 50.0, crowd: int = CROWD) -> DataFrame:
+    """JN-17: crossings (a, b, x, y) with a class by the nearest cluster centre (x, y): COVERED nearer than `cover`, VISIBLE nearer than `knot`, else FREE;
+    a free one is ALLOWED where the allow-list (line_a, line_b, x, y, radius; the lines in either order, no radius: `tolerance`) names its two lines within the radius.
+    segments also have line_id; a null line is on no list. Segments that share an end do not cross."""
+    found = cut(crossing_points(segments, cell, crowd))
+    near = nearest_within(found, ["a", "b"], centres, max(knot, cover), crowd)
+    line = lambda t: segments.select(F.col("id").alias(t), F.col("line_id").alias(f"line_{t}"))
+    near = near.join(line("a"), "a").join(line("b"), "b")
+    pair = lambda a, b: [F.least(a, b).alias("l0"), F.greatest(a, b).alias("l1")]
+    listed = allowed.where("line_a IS NOT NULL AND line_b IS NOT NULL").select(*pair("line_a", "line_b"), F.col("x").alias("px"), F.col("y").alias("py"), F.coalesce("radius", F.lit(tolerance)).alias("r"))
+    free = near.where(F.col("nearest").isNull() & F.col("line_a").isNotNull() & F.col("line_b").isNotNull()).select("a", "b", "x", "y", *pair("line_a", "line_b"))
+    ok = free.join(listed, ["l0", "l1"]).where(F.hypot(F.col("x") - F.col("px"), F.col("y") - F.col("py")) <= F.col("r")).select("a", "b", F.lit(True).alias("ok")).distinct()
+    kind = F.when(F.col("nearest") < cover, "COVERED").when(F.col("nearest") < knot, "VISIBLE").when(F.col("ok"), "ALLOWED").otherwise("FREE")
+    return near.join(ok, ["a", "b"], "left").select("a", "b", "x", "y", kind.alias("class"))
 
 
 def _to_segment() -> Column:

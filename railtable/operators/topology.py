@@ -226,17 +226,77 @@ def remap_conflicts(id_map: DataFrame) -> DataFrame:
 
 
 def lineage(snapshots: DataFrame) -> DataFrame:
-    """GR-10: per source: violations of a lineage chain (several roots, fork, unknown previous, time that does not increase)."""
-    prev = snapshots.select(F.col("snapshot_id").alias("previous_id"), F.col("retrieved_at").alias("before"), F.col("source_id").alias("prev_source"))
-    s = snapshots.join(prev, "previous_id", "left")
-    s = s.withColumn("children", F.when(F.col("previous_id").isNotNull(), F.count("*").over(Window.partitionBy("source_id", "previous_id"))).otherwise(F.lit(1)))
-    s = s.withColumn("roots", F.sum(F.col("previous_id").isNull().cast("int")).over(Window.partitionBy("source_id")))
+    """GR-10: per source: violations of a lineage chain (an id twice, several roots, fork, unknown previous, time that does not increase). An id that several
+    rows have is named once, as DUPLICATE_ID; for the rest its first row (by time) stands for it."""
+    rows = snapshots.select("snapshot_id", "source_id", "previous_id", "retrieved_at")
+    one = rows.groupBy("snapshot_id").agg(F.count("*").alias("n"), F.min(F.struct("retrieved_at", "source_id", "previous_id")).alias("r"))
+    rows = one.select("snapshot_id", "r.source_id", "r.previous_id", "r.retrieved_at", "n")
+    prev = rows.select(F.col("snapshot_id").alias("previous_id"), F.col("retrieved_at").alias("before"), F.col("source_id").alias("prev_source"))
+    s = rows.join(prev, "previous_id", "left")
+    children = rows.where("previous_id IS NOT NULL").groupBy("source_id", "previous_id").agg(F.count("*").alias("children"))
+    roots = rows.groupBy("source_id").agg(F.count_if(F.col("previous_id").isNull()).alias("roots"))
+    s = s.join(children, ["source_id", "previous_id"], "left").join(roots, "source_id", "left")
     return violations(s, {
-        "SEVERAL_ROOTS": (F.col("roots") != 1) & F.col("previous_id").isNull(), "FORK": F.col("children") > 1, "UNKNOWN_PREVIOUS": F.col("previous_id").isNotNull() & F.col("prev_source").isNull(),
+        "DUPLICATE_ID": F.col("n") > 1, "SEVERAL_ROOTS": (F.col("roots") > 1) & F.col("previous_id").isNull(), "FORK": F.col("children") > 1,
+        "UNKNOWN_PREVIOUS": F.col("previous_id").isNotNull() & F.col("prev_source").isNull(),
         "OTHER_SOURCE": F.col("prev_source") != F.col("source_id"), "TIME_NOT_INCREASING": F.col("before") >= F.col("retrieved_at"),
     }).select("source_id", "snapshot_id", "reason")
 
 
+def ranked(links: DataFrame, rounds: int | None = None) -> DataFrame:
+    """Each node of a parent table (node, parent; a null parent, or one that is no node, ends a chain) with the end that it leads to and its distance:
+    (node, top, distance), both null for nodes on a cycle or behind one. Pointer doubling: every open node takes over its pointer's pointer and adds the distances, so
+    round k settles all nodes nearer than 2^k to their end. While an open node leads to an end, some open node is so near that the next round settles it; a round
+    that settles none has met cycles alone and ends the loop. Node ids are unique."""
+    known = links.select(F.col("node").alias("parent"), F.lit(True).alias("_is"))
+    first = links.select("node", "parent").join(known, "parent", "left")
+    up = F.when(F.col("_is"), F.col("parent")).otherwise(F.col("node"))
+    state = _cut(first.select("node", up.alias("top"), F.col("_is").isNotNull().cast("long").alias("distance"), F.col("_is").isNotNull().alias("open")))
+    left = state.where("open").count()
+    for _ in _turns(rounds):
+        if not left:
+            break
+        via = state.select(F.col("node").alias("top"), F.col("top").alias("_top"), F.col("distance").alias("_more"), F.col("open").alias("_open"))
+        moved = state.where("open").join(via, "top").select("node", F.col("_top").alias("top"), (F.col("distance") + F.col("_more")).alias("distance"), F.col("_open").alias("open"))
+        state = _cut(state.where("NOT open").unionByName(moved))
+        now = state.where("open").count()
+        if now == left:
+            break
+        left = now
+    return state.select("node", F.when(~F.col("open"), F.col("top")).alias("top"), F.when(~F.col("open"), F.col("distance")).alias("distance"))
+
+
+def lineage_chain(snapshots: DataFrame) -> DataFrame:
+    """GR-10: the ordered chain: (source_id, snapshot_id, position, status). Position counts from the source's root, which has 0; status is ON_CHAIN, or
+    DISCONNECTED (what it leads to has an unknown previous snapshot or one of another source; position null) or CYCLE. At a fork both branches have positions
+    (`lineage` names the fork). Rows of an id that comes twice give one row."""
+    one = snapshots.groupBy("snapshot_id").agg(F.min(F.struct("retrieved_at", "source_id", "previous_id")).alias("r")).select("snapshot_id", "r.source_id", "r.previous_id")
+    owner = one.select(F.col("snapshot_id").alias("previous_id"), F.col("source_id").alias("_owner"))
+    linked = one.join(owner, "previous_id", "left").select("snapshot_id", "source_id", F.col("previous_id").isNull().alias("root"), F.when(F.col("_owner") == F.col("source_id"), F.col("previous_id")).alias("parent"))
+    linked = _cut(linked)
+    found = ranked(linked.select(F.col("snapshot_id").alias("node"), "parent"))
+    tops = linked.where("root").select(F.col("snapshot_id").alias("top"), F.lit(True).alias("_root"))
+    out = linked.join(found, F.col("snapshot_id") == F.col("node")).join(tops, "top", "left")
+    status = F.when(F.col("top").isNull(), "CYCLE").when(F.col("_root"), "ON_CHAIN").otherwise("DISCONNECTED")
+    return out.select("source_id", "snapshot_id", F.when(F.col("_root"), F.col("distance")).alias("position"), status.alias("status"))
+
+
+def sources_without_root(snapshots: DataFrame) -> DataFrame:
+    """GR-10: sources of which no snapshot is without a previous one."""
+    return snapshots.groupBy("source_id").agg(F.count_if(F.col("previous_id").isNull()).alias("roots")).where("roots = 0").select("source_id")
+
+
+def stored_diffs(changes: DataFrame, snapshots: DataFrame, stored: DataFrame) -> DataFrame:
+    """GR-10: stored diffs (snapshot_id and DQ-5's columns) against the ones worked out (`changes`): DIFF_MISSING where a snapshot with a previous one has none,
+    DIFF_DIFFERS, ROOT_HAS_DIFF where one without a previous snapshot has one."""
+    values = [c for c in changes.columns if c != "snapshot_id"]
+    s = stored.select("snapshot_id", F.struct(*values).alias("_stored"))
+    made = changes.select("snapshot_id", F.struct(*values).alias("_made")).join(s, "snapshot_id", "left")
+    bad = violations(made, {"DIFF_MISSING": F.col("_stored").isNull(), "DIFF_DIFFERS": F.col("_stored") != F.col("_made")}).select("snapshot_id", "reason")
+    roots = snapshots.where("previous_id IS NULL").select("snapshot_id").join(s, "snapshot_id").select("snapshot_id", F.lit("ROOT_HAS_DIFF").alias("reason"))
+    return bad.unionByName(roots)
+
+
 def lineage_heads(snapshots: DataFrame) -> DataFrame:
     """GR-10: snapshots that no other names as its previous one."""
     return snapshots.join(snapshots.select(F.col("previous_id").alias("p")).where("p IS NOT NULL").distinct(), F.col("snapshot_id") == F.col("p"), "left_anti").select("source_id", "snapshot_id")

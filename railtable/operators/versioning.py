@@ -47,12 +47,18 @@ def unequal_within(old: DataFrame, new: DataFrame, keys: list[str], values: list
 
 
 def snapshot_changes(snapshots: DataFrame) -> DataFrame:
-    """DQ-5: each snapshot against its previous one: flags raw_changed, schema_changed, rows_changed, the delta, and CHANGED or NO_CHANGE."""
-    p = snapshots.select(F.col("snapshot_id").alias("previous_id"), F.col("raw_mark").alias("raw0"), F.col("schema_mark").alias("schema0"), F.col("row_count").alias("rows0"))
+    """DQ-5: each snapshot against its previous one: whether the marks of the raw data, the schema and the request and the source's own time changed, the differences
+    of rows and of coverage, and CHANGED or NO_CHANGE. Two nulls are equal marks; a null count has no difference, and a null on one side is a change."""
+    marks = {"raw_mark": "raw_changed", "schema_mark": "schema_changed", "request_mark": "request_changed", "source_time": "source_time_changed"}
+    counts = {"row_count": "row_delta", "coverage_count": "coverage_delta"}
+    p = snapshots.select(F.col("snapshot_id").alias("previous_id"), *(F.col(c).alias(f"{c}_0") for c in (*marks, *counts)))
     j = snapshots.join(p, "previous_id")
-    flags = [(F.col("raw_mark") != F.col("raw0")).alias("raw_changed"), (F.col("schema_mark") != F.col("schema0")).alias("schema_changed"), (F.col("row_count") != F.col("rows0")).alias("rows_changed")]
-    out = j.select("snapshot_id", *flags, (F.col("row_count") - F.col("rows0")).alias("row_delta"))
-    return out.withColumn("status", F.when(F.col("raw_changed") | F.col("schema_changed") | F.col("rows_changed"), "CHANGED").otherwise("NO_CHANGE"))
+    flags = [(~F.col(c).eqNullSafe(F.col(f"{c}_0"))).alias(n) for c, n in marks.items()]
+    deltas = [(F.col(c) - F.col(f"{c}_0")).alias(n) for c, n in counts.items()]
+    changed = F.lit(False)
+    for c in (*marks, *counts):
+        changed = changed | ~F.col(c).eqNullSafe(F.col(f"{c}_0"))
+    return j.select("snapshot_id", *flags, *deltas, F.when(changed, "CHANGED").otherwise("NO_CHANGE").alias("status"))
 
 
 def compare_sets(old: DataFrame, new: DataFrame) -> DataFrame:

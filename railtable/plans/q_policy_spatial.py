@@ -45,6 +45,18 @@ book.add("jn16_collinear", S.collinear_overlaps, [CO], f"WITH s AS ({CO}) SELECT
 XS = "SELECT station_id AS id, line_id AS track, x AS x0, y AS y0, x + (station_id * 37) % 301 - 150 AS x1, y + (station_id * 53) % 301 - 150 AS y1 FROM v_positions"
 book.add("jn17_crossings", lambda d: S.crossings(d, 160.0), [XS], f"""WITH s AS ({XS}) SELECT a.id AS a, b.id AS b FROM s a JOIN s b ON a.id < b.id AND a.track <> b.track WHERE sign((a.x1 - a.x0) * (b.y0 - a.y0) - (a.y1 - a.y0) * (b.x0 - a.x0)) * sign((a.x1 - a.x0) * (b.y1 - a.y0) - (a.y1 - a.y0) * (b.x1 - a.x0)) < 0
   AND sign((b.x1 - b.x0) * (a.y0 - b.y0) - (b.y1 - b.y0) * (a.x0 - b.x0)) * sign((b.x1 - b.x0) * (a.y1 - b.y0) - (b.y1 - b.y0) * (a.x1 - b.x0)) < 0""")
+XL = XS.replace("line_id AS track", "line_id AS track, line_id")
+CE = "SELECT CAST(x + 7 AS DOUBLE) AS x, CAST(y - 5 AS DOUBLE) AS y FROM v_positions"
+AL = "SELECT station_id % 10 AS line_a, (station_id * 7 + 3) % 10 AS line_b, CAST(x AS DOUBLE) AS x, CAST(y AS DOUBLE) AS y, CASE WHEN station_id % 3 > 0 THEN 400.0 END AS radius FROM v_positions"
+_X = f"""s AS ({XL}), c AS (SELECT a.id AS a, b.id AS b, a.line_id AS la, b.line_id AS lb, a.x0, a.y0, a.x1, a.y1, ((b.x1 - b.x0) * (a.y0 - b.y0) - (b.y1 - b.y0) * (a.x0 - b.x0))::DOUBLE AS d1, ((b.x1 - b.x0) * (a.y1 - b.y0) - (b.y1 - b.y0) * (a.x1 - b.x0))::DOUBLE AS d2,
+  ((a.x1 - a.x0) * (b.y0 - a.y0) - (a.y1 - a.y0) * (b.x0 - a.x0))::DOUBLE AS d3, ((a.x1 - a.x0) * (b.y1 - a.y0) - (a.y1 - a.y0) * (b.x1 - a.x0))::DOUBLE AS d4 FROM s a JOIN s b ON a.id < b.id AND a.track <> b.track
+  AND greatest(least(a.x0, a.x1), least(b.x0, b.x1)) <= least(greatest(a.x0, a.x1), greatest(b.x0, b.x1))),
+  xs AS (SELECT a, b, la, lb, x0 + d1 / (d1 - d2) * (x1 - x0) AS x, y0 + d1 / (d1 - d2) * (y1 - y0) AS y FROM c WHERE sign(d1) * sign(d2) < 0 AND sign(d3) * sign(d4) < 0), e AS ({CE}), l AS ({AL}),
+  n AS (SELECT xs.*, (SELECT min(sqrt(power(xs.x - e.x, 2) + power(xs.y - e.y, 2))) FROM e) AS d, EXISTS (SELECT 1 FROM l WHERE ((line_a = la AND line_b = lb) OR (line_a = lb AND line_b = la)) AND sqrt(power(xs.x - l.x, 2) + power(xs.y - l.y, 2)) <= coalesce(radius, 50)) AS ok FROM xs)"""
+book.add("jn17_classes", lambda s, c, a: S.classify_crossings(s, c, a, 160.0, 60.0).withColumns({"x": F.round("x", 4), "y": F.round("y", 4)}), [XL, CE, AL], f"WITH {_X} SELECT a, b, round(x, 4) AS x, round(y, 4) AS y, CASE WHEN d < 17 THEN 'COVERED' WHEN d < 60 THEN 'VISIBLE' WHEN ok THEN 'ALLOWED' ELSE 'FREE' END AS class FROM n")
+HUB = "SELECT station_id, CAST(x AS DOUBLE) AS x, CAST(y AS DOUBLE) AS y FROM v_positions"
+book.add("gr05_dense_hubs", lambda d: S.dense_hubs(d, 60.0), [HUB], """WITH RECURSIVE e AS (SELECT a.station_id AS a, b.station_id AS b FROM v_positions a JOIN v_positions b ON abs(a.x - b.x) < 60 AND a.station_id <> b.station_id AND sqrt(power(a.x - b.x, 2) + power(a.y - b.y, 2)) < 60),
+  r(station_id, c) AS (SELECT a, a FROM e UNION SELECT b, c FROM r JOIN e ON station_id = a) SELECT station_id, min(c) AS hub FROM r GROUP BY station_id""")
 SG = "SELECT line_id, station_id AS seg_id, x AS x0, y AS y0, x + 100 AS x1, y + station_id % 50 AS y1 FROM v_positions WHERE station_id % 3 = 0"
 NO = "SELECT station_id AS id, line_id, x, y, CASE WHEN station_id % 5 = 0 THEN 'interchange' ELSE 'stop' END AS role FROM v_positions WHERE station_id % 3 > 0"
 _NS = f"""g AS ({SG}), n AS ({NO}), t AS (SELECT n.*, seg_id, x0, y0, x1 - x0 AS dx, y1 - y0 AS dy, greatest(0.0::DOUBLE, least(1.0::DOUBLE, ((x - x0) * (x1 - x0) + (y - y0) * (y1 - y0))::DOUBLE / ((x1 - x0) * (x1 - x0) + (y1 - y0) * (y1 - y0)))) AS u FROM n JOIN g USING (line_id)),

@@ -18,6 +18,16 @@ _LIST = f"l AS ({LIST}), g AS (SELECT *, (pos > min(pos) OVER (PARTITION BY line
 book.add("wn07_branch_segments", G.branch_segments, [LIST], f"WITH {_LIST} SELECT * FROM s")
 book.add("wn07_segment_edges", lambda d: G.segment_edges(G.branch_segments(d)), [LIST], f"""WITH {_LIST}, e AS (SELECT line_id, segment, station_id AS from_station, lead(station_id) OVER w AS to_station, lead(distance_m) OVER w AS distance_m FROM s WINDOW w AS (PARTITION BY line_id, segment ORDER BY pos))
   SELECT * FROM e WHERE to_station IS NOT NULL AND distance_m IS NOT NULL""")
+RUNS = "SELECT p_brand AS line_id, p_partkey AS pos, p_size AS station_id, CASE WHEN p_size % 6 > 0 THEN p_size * 90 END AS distance_m, CASE WHEN p_size % 4 > 0 THEN p_size * 80 END AS trailing_m, CASE WHEN p_partkey % 400 < 250 THEN 'one' ELSE 'two' END AS operator FROM part"
+_RUNS = f"""l AS ({RUNS}), b AS (SELECT *, coalesce((operator <> lag(operator) OVER (PARTITION BY line_id ORDER BY pos))::INT, 0) AS border FROM l), u AS (SELECT *, sum(border) OVER (PARTITION BY line_id ORDER BY pos) AS run FROM b),
+  g AS (SELECT *, (pos > min(pos) OVER (PARTITION BY line_id, run, station_id) OR (border = 1))::INT AS again FROM u), s AS (SELECT line_id, pos, station_id, distance_m, trailing_m, operator, sum(again) OVER (PARTITION BY line_id ORDER BY pos)::BIGINT AS segment FROM g)"""
+book.add("wn07_operator_segments", lambda d: G.branch_segments(d, "operator"), [RUNS], f"WITH {_RUNS} SELECT * FROM s")
+book.add("wn07_operator_edges", lambda d: G.segment_edges(G.branch_segments(d, "operator"), "trailing_m", close=True), [RUNS], f"""WITH {_RUNS}, e AS (SELECT line_id, segment, station_id AS from_station, lead(station_id) OVER w AS to_station, coalesce(CASE WHEN lead(distance_m) OVER w > 0 THEN lead(distance_m) OVER w END, CASE WHEN trailing_m > 0 THEN trailing_m END) AS distance_m FROM s WINDOW w AS (PARTITION BY line_id, segment ORDER BY pos))
+  SELECT * FROM e WHERE to_station IS NOT NULL AND distance_m IS NOT NULL UNION ALL SELECT line_id, segment, max_by(station_id, pos), min_by(station_id, pos), arg_min_null(distance_m, pos) FROM s GROUP BY 1, 2 HAVING count(*) >= 3 AND arg_min_null(distance_m, pos) > 0""")
+SPL = "SELECT DISTINCT p_brand AS line_id, p_size AS from_station, p_size % 13 + 40 AS to_station, p_size % 30 + 1 AS anchor_station, p_size % 2 = 0 AS use_trailing FROM part"
+_SPL = f"WITH l AS ({RUNS}), f AS (SELECT line_id, station_id, arg_min_null(distance_m, pos) AS d, arg_min_null(trailing_m, pos) AS t FROM l GROUP BY 1, 2), j AS (SELECT s.line_id, from_station, to_station, b.station_id AS there, c.d, c.t, use_trailing, CASE WHEN use_trailing THEN c.t ELSE c.d END AS metres FROM ({SPL}) s LEFT JOIN f b ON b.line_id = s.line_id AND b.station_id = to_station LEFT JOIN f c ON c.line_id = s.line_id AND c.station_id = anchor_station)"
+book.add("wn07_splices", lambda d, s: G.splice_edges(d, s)[0], [RUNS, SPL], f"{_SPL} SELECT line_id, from_station, to_station, metres AS distance_m FROM j WHERE there IS NOT NULL AND metres > 0")
+book.add("wn07_splice_violations", lambda d, s: G.splice_edges(d, s)[1], [RUNS, SPL], f"{_SPL} SELECT line_id, from_station, to_station, CASE WHEN there IS NULL THEN 'STATION_MISSING' ELSE 'DISTANCE_MISSING' END AS reason FROM j WHERE there IS NULL OR metres IS NULL OR metres <= 0")
 UP = "SELECT l_returnflag AS line_id, l_suppkey % 30 AS from_station, l_partkey % 30 AS to_station, CASE WHEN l_linenumber % 3 = 0 THEN 0 ELSE l_linenumber * 100 END AS distance_m, l_linestatus AS branch FROM lineitem"
 _UP = f"u AS ({UP}), p AS (SELECT line_id, least(from_station, to_station) AS a, greatest(from_station, to_station) AS b, coalesce(max(nullif(distance_m, 0)), 0) AS distance_m, count(DISTINCT nullif(distance_m, 0)) > 1 AS conflict, string_agg(DISTINCT branch, ',' ORDER BY branch) AS branches FROM u GROUP BY 1, 2, 3)"
 book.add("wn08_undirected_upsert", G.undirected_upsert, [UP], f"WITH {_UP} SELECT * FROM p")
@@ -54,6 +64,11 @@ book.add("gr10_lineage", G.lineage, [SNAP], f"""WITH s AS ({SNAP}), j AS (SELECT
   SELECT source_id, snapshot_id, 'SEVERAL_ROOTS' AS reason FROM j WHERE roots <> 1 AND previous_id IS NULL UNION ALL SELECT source_id, snapshot_id, 'FORK' FROM j WHERE children > 1 UNION ALL SELECT source_id, snapshot_id, 'UNKNOWN_PREVIOUS' FROM j WHERE previous_id IS NOT NULL AND ps IS NULL
   UNION ALL SELECT source_id, snapshot_id, 'OTHER_SOURCE' FROM j WHERE ps <> source_id UNION ALL SELECT source_id, snapshot_id, 'TIME_NOT_INCREASING' FROM j WHERE before >= retrieved_at""")
 book.add("gr10_heads", G.lineage_heads, ["v_snapshots"], "SELECT source_id, snapshot_id FROM v_snapshots WHERE snapshot_id NOT IN (SELECT previous_id FROM v_snapshots WHERE previous_id IS NOT NULL)")
+RINGS = "SELECT snapshot_id, source_id, CASE WHEN snapshot_id % 29 = 0 THEN lead(snapshot_id) OVER (PARTITION BY source_id ORDER BY retrieved_at, snapshot_id) WHEN snapshot_id % 17 = 0 THEN -snapshot_id ELSE previous_id END AS previous_id, retrieved_at FROM v_snapshots"
+book.add("gr10_chain", G.lineage_chain, [RINGS], f"""WITH RECURSIVE s AS ({RINGS}), l AS (SELECT s.*, p.snapshot_id AS parent FROM s LEFT JOIN s p ON p.snapshot_id = s.previous_id AND p.source_id = s.source_id),
+  r(snapshot_id, pos, root) AS (SELECT snapshot_id, 0::BIGINT, previous_id IS NULL FROM l WHERE parent IS NULL UNION ALL SELECT l.snapshot_id, pos + 1, root FROM r JOIN l ON l.parent = r.snapshot_id)
+  SELECT l.source_id, l.snapshot_id, CASE WHEN root THEN pos END AS position, CASE WHEN pos IS NULL THEN 'CYCLE' WHEN root THEN 'ON_CHAIN' ELSE 'DISCONNECTED' END AS status FROM l LEFT JOIN r USING (snapshot_id)""")
+book.add("gr10_without_root", G.sources_without_root, [RINGS], f"SELECT source_id FROM ({RINGS}) GROUP BY 1 HAVING count(*) FILTER (WHERE previous_id IS NULL) = 0")
 book.add("gr11_ancestors", G.ancestors, ["v_snapshots", "SELECT snapshot_id FROM v_snapshots WHERE snapshot_id % 101 = 0"], "WITH RECURSIVE r(snapshot_id) AS (SELECT snapshot_id FROM v_snapshots WHERE snapshot_id % 101 = 0 UNION SELECT previous_id FROM r JOIN v_snapshots USING (snapshot_id) WHERE previous_id IS NOT NULL) SELECT snapshot_id FROM r")
 book.add("gr12_degrees", G.node_degrees, ["v_edges"], "SELECT node, count(*) AS degree, count(*) > 8 AS over FROM (SELECT from_node AS node FROM v_edges UNION ALL SELECT to_node FROM v_edges) GROUP BY node")
 POS = "SELECT station_id % 200 AS station_id, concat('L', line_id) AS line_id, x, y, station_id AS seq FROM v_positions"

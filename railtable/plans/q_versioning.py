@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from railtable.operators import topology as G
 from railtable.operators import versioning as V
 from railtable.plans.bind import Book, canonical
 
@@ -17,8 +18,16 @@ P1 = "SELECT station_id, line_id, x + station_id % 9 AS x, y FROM v_positions WH
 book.add("dq03_diff_positions", lambda a, b: V.diff_positions(a, b, 3.0, 50).withColumn("moved", F.round("moved", 6)), [P0, P1], f"""WITH a AS ({P0}), b AS ({P1}), j AS (SELECT coalesce(a.line_id, b.line_id) AS line_id, coalesce(a.station_id, b.station_id) AS station_id, CASE WHEN a.station_id IS NULL THEN 'ADDED' WHEN b.station_id IS NULL THEN 'REMOVED' WHEN abs(b.x - a.x) > 3 THEN 'MOVED' END AS change, abs(b.x - a.x)::DOUBLE AS moved FROM a FULL JOIN b ON a.station_id = b.station_id AND a.line_id = b.line_id),
   m AS (SELECT * FROM j WHERE change = 'MOVED' ORDER BY moved DESC, line_id, station_id LIMIT 50) SELECT * FROM j WHERE change IN ('ADDED', 'REMOVED') UNION ALL SELECT * FROM m""")
 book.add("dq04_unequal_within", lambda a, b: V.unequal_within(a, b, ["station_id"], ["x", "y"], 2.0), [P0, P1], "SELECT station_id FROM v_positions WHERE (station_id % 29 = 0) <> (station_id % 31 = 0) OR (station_id % 29 > 0 AND station_id % 31 > 0 AND station_id % 9 > 2)")
-book.add("dq05_snapshot_changes", V.snapshot_changes, ["v_snapshots"], """WITH j AS (SELECT s.snapshot_id, s.raw_mark <> p.raw_mark AS raw_changed, s.schema_mark <> p.schema_mark AS schema_changed, s.row_count <> p.row_count AS rows_changed, s.row_count - p.row_count AS row_delta FROM v_snapshots s JOIN v_snapshots p ON p.snapshot_id = s.previous_id)
-  SELECT *, CASE WHEN raw_changed OR schema_changed OR rows_changed THEN 'CHANGED' ELSE 'NO_CHANGE' END AS status FROM j""")
+SNAP5 = "SELECT snapshot_id, source_id, previous_id, retrieved_at, raw_mark, schema_mark, row_count, CASE WHEN row_count % 5 > 0 THEN raw_mark END AS request_mark, CASE WHEN row_count % 4 > 0 THEN retrieved_at - row_count % 7 END AS source_time, row_count % 50 AS coverage_count FROM v_snapshots"
+DIFF5 = f"""SELECT s.snapshot_id, s.raw_mark IS DISTINCT FROM p.raw_mark AS raw_changed, s.schema_mark IS DISTINCT FROM p.schema_mark AS schema_changed, s.request_mark IS DISTINCT FROM p.request_mark AS request_changed,
+  s.source_time IS DISTINCT FROM p.source_time AS source_time_changed, s.row_count - p.row_count AS row_delta, s.coverage_count - p.coverage_count AS coverage_delta,
+  CASE WHEN s.raw_mark IS DISTINCT FROM p.raw_mark OR s.schema_mark IS DISTINCT FROM p.schema_mark OR s.request_mark IS DISTINCT FROM p.request_mark OR s.source_time IS DISTINCT FROM p.source_time OR s.row_count IS DISTINCT FROM p.row_count OR s.coverage_count IS DISTINCT FROM p.coverage_count THEN 'CHANGED' ELSE 'NO_CHANGE' END AS status
+  FROM ({SNAP5}) AS s JOIN ({SNAP5}) AS p ON p.snapshot_id = s.previous_id"""
+book.add("dq05_snapshot_changes", V.snapshot_changes, [SNAP5], DIFF5)
+STORED = f"""SELECT snapshot_id, raw_changed, schema_changed, request_changed, source_time_changed, CASE WHEN snapshot_id % 31 = 0 THEN row_delta + 1 ELSE row_delta END AS row_delta, coverage_delta, status FROM ({DIFF5}) AS d WHERE snapshot_id % 37 > 0
+  UNION ALL SELECT snapshot_id, false AS raw_changed, false AS schema_changed, false AS request_changed, false AS source_time_changed, CAST(0 AS BIGINT) AS row_delta, CAST(0 AS BIGINT) AS coverage_delta, 'NO_CHANGE' AS status FROM v_snapshots WHERE previous_id IS NULL AND snapshot_id % 41 = 0"""
+book.add("gr10_stored_diffs", lambda s, d: G.stored_diffs(V.snapshot_changes(s), s, d), [SNAP5, STORED], """SELECT snapshot_id, CASE WHEN snapshot_id % 37 = 0 THEN 'DIFF_MISSING' ELSE 'DIFF_DIFFERS' END AS reason FROM v_snapshots WHERE previous_id IS NOT NULL AND (snapshot_id % 37 = 0 OR snapshot_id % 31 = 0)
+  UNION ALL SELECT snapshot_id, 'ROOT_HAS_DIFF' FROM v_snapshots WHERE previous_id IS NULL AND snapshot_id % 41 = 0""")
 S0 = "SELECT user_id % 7 AS day, event_type AS set_name, user_id AS member FROM events WHERE event_id % 3 > 0"
 S1 = "SELECT user_id % 7 AS day, event_type AS set_name, user_id AS member FROM events WHERE event_id % 5 > 2"
 book.add("dq06_compare_sets", V.compare_sets, [S0, S1], f"""WITH a AS (SELECT DISTINCT * FROM ({S0})), b AS (SELECT DISTINCT * FROM ({S1})), d AS (SELECT *, 'R' AS side FROM (SELECT * FROM a EXCEPT SELECT * FROM b) UNION ALL SELECT *, 'A' FROM (SELECT * FROM b EXCEPT SELECT * FROM a))

@@ -338,3 +338,20 @@ def test_no_nested_loop_and_no_single_task_window(spark):
     for name in ("jn13_near_pairs", "jn15_box_overlaps", "jn16_collinear", "jn17_crossings", "jn18_nearest_segment", "jn23_work_plan", "jn30_off_track", "jn31_snap_ends", "wn22_passed_through", "ag19_spreads"):
         plan = registry.queries()[name](spark, SF)._jdf.queryExecution().executedPlan().toString()
         assert "NestedLoop" not in plan and "Cartesian" not in plan, name
+
+
+def test_lineage_chain(spark):
+    n = 100_000
+    chain = spark.range(n).select(F.col("id").alias("snapshot_id"), F.lit("s").alias("source_id"), F.when(F.col("id") > 0, F.col("id") - 1).alias("previous_id"), F.col("id").alias("retrieved_at"))
+    got = topology.lineage_chain(chain)
+    assert got.where("position <> snapshot_id OR status <> 'ON_CHAIN'").count() == 0 and got.count() == n
+    links = chain.where("snapshot_id < 1000").select(F.col("snapshot_id").alias("node"), F.col("previous_id").alias("parent"))
+    with pytest.raises(RuntimeError, match="no fixed point"):
+        topology.ranked(links, 9)
+    assert topology.ranked(links, 12).where("top = 0 AND distance = node").count() == 1000
+    odd = spark.createDataFrame([(1, "s", None, 1), (2, "s", 1, 2), (3, "s", 2, 3), (3, "s", 2, 3), (4, "s", 9, 4), (5, "s", 4, 5), (6, "s", 7, 6), (7, "s", 6, 7), (8, "s", 7, 8), (9, "t", None, 1), (10, "u", 10, 1)], "snapshot_id int, source_id string, previous_id int, retrieved_at int")
+    assert rows(topology.lineage_chain(odd), "snapshot_id", "position", "status") == [
+        (1, 0, "ON_CHAIN"), (2, 1, "ON_CHAIN"), (3, 2, "ON_CHAIN"), (4, None, "DISCONNECTED"), (5, None, "DISCONNECTED"), (6, None, "CYCLE"), (7, None, "CYCLE"), (8, None, "CYCLE"), (9, 0, "ON_CHAIN"), (10, None, "CYCLE")
+    ]
+    assert [tuple(r) for r in topology.lineage(odd).where("snapshot_id = 3").collect()] == [("s", 3, "DUPLICATE_ID")]
+    assert rows(topology.sources_without_root(odd)) == [("u",)] and topology.lineage_chain(odd.limit(0)).count() == 0
