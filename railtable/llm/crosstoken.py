@@ -10,21 +10,26 @@ Between two anchors lies a window of token ids; how its tokens overlap depends o
 
 from __future__ import annotations
 
+import gc
+import itertools
 import json
 import re
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from railtable.llm.bpe import Bpe
 from railtable.llm.common import cut
-from railtable.llm.vocab import Memo, sent_bytes, vocabulary_file
+from railtable.llm.vocab import sent_bytes, vocabulary_file
 
 BYTE_BPE, PIECES = "byte_bpe_50k.json", "piece_bpe_32k.model"
-#: Pieces and windows, and characters or ids of them, that a task remembers before it starts anew.
-REMEMBERED, REMEMBERED_SIZE = 120_000, 2 << 20
+#: Pieces and windows, and links of windows, that a task remembers before it starts anew.
+REMEMBERED, REMEMBERED_LINKS = 400_000, 4 << 20
 #: Id pairs whose counts are broadcast: 17 bytes each, 17 MB in all; the counts of further pairs are joined.
 BROADCAST_PAIRS = 1_000_000
 #: Bytes of text that make up one batch of results.
@@ -32,11 +37,16 @@ BATCH = 2 << 20
 SHIFT = 20  # a pair of ids is one long: a * 2^20 + b
 #: A space behind a character that is not white space, where both tokenizers begin a token.
 _ODD = re.compile(r"\s ")
+_PRINTABLE = re.compile("[ -~]+").fullmatch
+#: How byte-level files cut text into words where they name no pattern of their own (fixed value).
+_WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 _CUT = re.compile(r"(?<=\S)(?= )")
 
 
 class Pair:
-    """Both tokenizers, the bytes of their tokens, and what is remembered of pieces and windows."""
+    """Both tokenizers, the bytes of their tokens, and what is remembered of pieces and windows.
+
+    A window's results stand in lists, at a number that its ids are remembered by; a piece is remembered as the numbers of its windows."""
 
     def __init__(self, spec_a: bytes, spec_b: bytes):
         import sentencepiece
@@ -55,7 +65,28 @@ class Pair:
         self.bytes_b = [bytes([int(t[3:5], 16)]) if self.b.is_byte(k) else t.replace("▁", " ").encode() for k, t in enumerate(names)]
         #: No piece has a word mark behind another character: then pieces of text can be tokenised by themselves.
         self.separable = not any("▁" in t.lstrip("▁") for t in names)
-        self.pieces, self.windows = Memo(self._piece), Memo(self._window, lambda key: len(key[0]) + len(key[1]))
+        self.sizes = [np.array(list(map(len, x)), np.int64) for x in (self.bytes_a, self.bytes_b)]
+        self.flat = [np.frombuffer(b"".join(x), np.uint8) for x in (self.bytes_a, self.bytes_b)]
+        self.begins = [np.cumsum(x) - x for x in self.sizes]
+        self.space = [np.array([t[:1] == b" " for t in x], bool) for x in (self.bytes_a, self.bytes_b)]
+        self.quick = self._quick(spec_a)
+        #: Each id as text with each mark that may follow it: the id's place in the table is 3 * id + the mark's.
+        marked = [f"{i}{m}".encode() for i in range(max(len(self.bytes_a), len(self.bytes_b))) for m in ",|;"]
+        self.marked, self.marked_size = np.frombuffer(b"".join(marked), np.uint8), np.array(list(map(len, marked)), np.int64)
+        self.marked_begin = np.cumsum(self.marked_size) - self.marked_size
+        self.pieces: dict[str, tuple[int, ...] | None] = {}
+        self.forget()
+
+    def forget(self) -> None:
+        """Empties what is remembered; numbers of windows given out before mean nothing any more."""
+        self.pieces.clear()
+        self.windows: dict[tuple[tuple[int, ...], tuple[int, ...]], int] = {}
+        self.texts: list[str] = []
+        self.counts = array("q")  # tokens of A, of B, groups and links of each window
+        self.links = array("q")
+
+    def full(self) -> bool:
+        return len(self.windows) > REMEMBERED or len(self.pieces) > REMEMBERED or len(self.links) > REMEMBERED_LINKS
 
     def tokens(self, text: str) -> tuple[list[int], list[int]]:
         """Ids of A and B of a text that begins with a space, tokenised as it stands (B puts that space back)."""
@@ -69,36 +100,128 @@ class Pair:
             return _CUT.split(" " + text)
         return [" " + x for x in text.split(" ")] if text[-1:] != " " else _CUT.split(" " + text)
 
-    def _joined(self, ids_a: list[int], ids_b: list[int]) -> tuple[bytes, bytes]:
-        return b"".join(map(self.bytes_a.__getitem__, ids_a)), b"".join(map(self.bytes_b.__getitem__, ids_b))
-
-    def _piece(self, piece: str) -> tuple | None:
-        """(ids of A, ids of B) of a piece, or None if their bytes are not the piece's."""
-        ids_a, ids_b = self.tokens(piece)
-        return (ids_a, ids_b) if self._joined(ids_a, ids_b) == (raw := piece.encode(), raw) else None
-
-    def text(self, text: str) -> tuple[list[int], list[int], list[tuple[int, int]]] | None:
-        """All ids of A and of B of a whole text, and how many of each its pieces have; None if the joined bytes of either are not those of " " + text
-        (then some piece's are not, or they differ in length and make up for each other, which the whole text decides)."""
-        parts = list(map(self.pieces.__getitem__, self.split(text)))
-        if None in parts:
-            ids_a, ids_b = self.tokens(" " + text)
-            return (ids_a, ids_b) if self._joined(ids_a, ids_b) == (raw := (" " + text).encode(), raw) else None
-        return [i for a, _ in parts for i in a], [i for _, b in parts for i in b]
-
-    def _window(self, key: tuple[tuple[int, ...], tuple[int, ...]]) -> tuple[str, int, list[int]]:
-        """Of a window's ids: its groups as text, how many, and its links as packed pairs."""
-        ids_a, ids_b = key
-        ends_a, ends_b = np.cumsum([len(self.bytes_a[i]) for i in ids_a]).tolist(), np.cumsum([len(self.bytes_b[i]) for i in ids_b]).tolist()
-        groups, links, i, j, first_i, first_j = [], [], 0, 0, 0, 0
-        while i < len(ids_a) and j < len(ids_b):
-            links.append(ids_a[i] << SHIFT | ids_b[j])
-            end_a, end_b = ends_a[i], ends_b[j]
-            i, j = i + (end_a <= end_b), j + (end_b <= end_a)
-            if end_a == end_b:
-                groups.append(f"{','.join(map(str, ids_a[first_i:i]))}|{','.join(map(str, ids_b[first_j:j]))}")
-                first_i, first_j = i, j
-        return ";".join(groups), len(groups), links
+    def tokens_a(self, pieces: list[str]) -> list[list[int]]:
+        """A's ids of each piece. Pieces of printable ASCII go through `quick`, which gives the same ids, where there is one."""
+        if self.quick is None:
+            return [x.ids for x in self.a.encode_batch_fast(pieces, add_special_tokens=False)]
+        out = [self.quick(x) if _PRINTABLE(x) else None for x in pieces]
+        rest = [k for k, x in enumerate(out) if x is None]
+        for k, x in zip(rest, self.a.encode_batch_fast([pieces[k] for k in rest], add_special_tokens=False), strict=True):
+            out[k] = x.ids
+        return out
+
+    def _quick(self, spec: bytes):
+        """A's encoder for printable ASCII by ranks, if the file's ids are in the order of its merges and the merges make every token of its own bytes (so that a word
+        which is a token is that token)."""
+        import tiktoken
+
+        own = Bpe(spec)
+        base = sum(r < 0 for r in (own.born[i] for i in own.ids.values()))
+        if any(own.born[i] != max(-1, i - base) or not own.length[i] for i in own.ids.values()):
+            return None
+        ranks = {self.bytes_a[i]: i for i in own.ids.values()}
+        return tiktoken.Encoding("a", pat_str=_WORDS, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+
+    def learn(self, pieces: list[str]) -> None:
+        """Tokenises pieces that are not remembered, verifies that the joined bytes of both are theirs (None for those whose are not), cuts them at their anchors
+        and aligns the windows that are new."""
+        ids = [self.tokens_a(pieces), self.b.encode([x[1:] for x in pieces], num_threads=1)]
+        raw = [x.encode() for x in pieces]
+        edge = np.concatenate([[0], np.cumsum(list(map(len, raw)))])
+        whole = np.frombuffer(b"".join(raw), np.uint8)
+        fine = np.ones(len(pieces), bool)
+        for side in (0, 1):
+            flat, edges = _flat(ids[side])
+            total = np.concatenate([[0], np.cumsum(self.sizes[side][flat])])[edges]
+            fine &= np.diff(total) == np.diff(edge)
+            if (total == edge).all():  # all as long as they should be: compared in one go
+                wrong = np.concatenate([[0], np.cumsum(_gather(self.flat[side], self.begins[side][flat], self.sizes[side][flat]) != whole)])
+                fine &= np.diff(wrong[edge]) == 0
+            else:
+                table = (self.bytes_a, self.bytes_b)[side]
+                fine &= np.array([b"".join(map(table.__getitem__, x)) == r for x, r in zip(ids[side], raw, strict=True)])
+        keys: list[list[tuple]] = []
+        for piece, a, b, ok in zip(pieces, *ids, fine.tolist(), strict=True):
+            if not ok:
+                self.pieces[piece] = None
+                keys.append([])
+            elif " " in piece[1:]:
+                keys.append(self.cut(a, b))
+            else:
+                keys.append([(tuple(a), tuple(b))])
+        self.align([k for x in keys for k in x])
+        for piece, own in zip(pieces, keys, strict=True):
+            if own:
+                self.pieces[piece] = tuple(map(self.windows.__getitem__, own))
+
+    def remember(self, texts: list[str]) -> None:
+        """Learns what the pieces of some texts need."""
+        new = {x for t in texts for x in self.split(t)}.difference(self.pieces)
+        if new:
+            self.learn(list(new))
+
+    def text(self, text: str) -> list[int]:
+        """The windows of a whole text whose pieces are remembered; none if the joined bytes of either tokenizer are not those of " " + text. Where a
+        piece's are not, the whole text decides, since pieces could make up for each other."""
+        found = list(map(self.pieces.__getitem__, self.split(text)))
+        if None not in found:
+            return list(itertools.chain.from_iterable(found))
+        ids_a, ids_b = self.tokens(" " + text)
+        raw = (" " + text).encode()
+        if b"".join(map(self.bytes_a.__getitem__, ids_a)) != raw or b"".join(map(self.bytes_b.__getitem__, ids_b)) != raw:
+            return []
+        keys = self.cut(ids_a, ids_b)
+        self.align(keys)
+        return list(map(self.windows.__getitem__, keys))
+
+    def cut(self, ids_a: list[int], ids_b: list[int]) -> list[tuple[tuple[int, ...], tuple[int, ...]]]:
+        """Windows (ids of A, ids of B) of tokens of the same bytes, cut at their anchors: places where a token of both ends and the next of both begins
+        with a space."""
+        a, b = np.array(ids_a, np.int64), np.array(ids_b, np.int64)
+        _, i, j = np.intersect1d(np.cumsum(self.sizes[0][a]), np.cumsum(self.sizes[1][b]), assume_unique=True, return_indices=True)
+        i, j = i[:-1] + 1, j[:-1] + 1  # the tokens behind each shared end but the last
+        anchor = self.space[0][a[i]] & self.space[1][b[j]]
+        at_a, at_b = [0, *i[anchor].tolist(), len(ids_a)], [0, *j[anchor].tolist(), len(ids_b)]
+        return [(tuple(ids_a[p:q]), tuple(ids_b[r:s])) for p, q, r, s in zip(at_a[:-1], at_a[1:], at_b[:-1], at_b[1:], strict=True)]
+
+    def align(self, keys: list[tuple[tuple[int, ...], tuple[int, ...]]]) -> None:
+        """Aligns those windows that are not remembered by their ids, all at once: they stand one after another, with the same bytes in A and in B. Between two neighbouring
+        ends (of either) lies the overlap of one token of A with one of B, and each overlap is such a stretch: these are the links; where both end, a group does."""
+        new = list(dict.fromkeys(k for k in keys if k not in self.windows))
+        if not new:
+            return
+        (a, edge_a), (b, edge_b) = _flat([k[0] for k in new]), _flat([k[1] for k in new])
+        end_a, end_b = np.cumsum(self.sizes[0][a]), np.cumsum(self.sizes[1][b])
+        ends = np.union1d(end_a, end_b)
+        links = a[np.searchsorted(end_a, ends)] << SHIFT | b[np.searchsorted(end_b, ends)]
+        last = end_a[edge_a[1:] - 1]
+        shared = np.intersect1d(end_a, end_b, assume_unique=True)
+        link_edge, group_edge = np.searchsorted(ends, np.concatenate([[0], last]), "right"), np.searchsorted(shared, np.concatenate([[0], last]), "right")
+        # the text: group by group the ids of A, then those of B; a comma, a bar or a semicolon behind each
+        group = np.concatenate([2 * np.searchsorted(shared, end_a), 2 * np.searchsorted(shared, end_b) + 1])
+        mark = np.concatenate([np.isin(end_a, shared, assume_unique=True) * 1, np.isin(end_b, shared, assume_unique=True) * 2])
+        order = np.argsort(group, kind="stable")
+        cell = (3 * np.concatenate([a, b]) + mark)[order]
+        size = self.marked_size[cell]
+        text = _gather(self.marked, self.marked_begin[cell], size).tobytes().decode()
+        stops = np.concatenate([[0], np.cumsum(size)])[edge_a + edge_b].tolist()
+        first = len(self.texts)
+        self.texts += [text[p : q - 1] for p, q in zip(stops[:-1], stops[1:], strict=True)]
+        self.counts.frombytes(np.stack([np.diff(edge_a), np.diff(edge_b), np.diff(group_edge), np.diff(link_edge)], axis=1).astype(np.int64).tobytes())
+        self.links.frombytes(links.tobytes())
+        self.windows.update(zip(new, range(first, first + len(new)), strict=True))
+
+
+def _flat(lists: list) -> tuple[np.ndarray, np.ndarray]:
+    """The numbers of all lists, and where each list begins and ends."""
+    edges = np.concatenate([[0], np.cumsum(np.fromiter(map(len, lists), np.int64, len(lists)))])
+    return np.fromiter(itertools.chain.from_iterable(lists), np.int64, int(edges[-1])), edges
+
+
+def _gather(table: np.ndarray, begin: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The runs table[begin:begin + size], one after another."""
+    to = np.concatenate([[0], np.cumsum(size)])
+    return table[np.repeat(begin - to[:-1], size) + np.arange(to[-1])]
 
 
 def _byte_level() -> dict[str, int]:
@@ -108,36 +231,15 @@ def _byte_level() -> dict[str, int]:
     return {chr(b): b for b in shown} | {chr(256 + k): b for k, b in enumerate(hidden)}
 
 
-class Tables:
-    """For both vocabularies as arrays: bytes of each token, and whether it begins with a space."""
-
-    def __init__(self, pair: Pair):
-        self.size = [np.array([len(t) for t in x], np.int64) for x in (pair.bytes_a, pair.bytes_b)]
-        self.space = [np.array([t[:1] == b" " for t in x], bool) for x in (pair.bytes_a, pair.bytes_b)]
-
-    def cuts(self, ids_a: np.ndarray, ids_b: np.ndarray, edges_a: np.ndarray, edges_b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Where windows begin and end among the tokens of A and of B: at each text's edges and at each anchor within. The texts' tokens
-        stand one after another, with the same bytes in A and in B, so one offset says where both are."""
-        end_a, end_b = np.cumsum(self.size[0][ids_a]), np.cumsum(self.size[1][ids_b])
-        _, i, j = np.intersect1d(end_a, end_b, assume_unique=True, return_indices=True)
-        i, j = i + 1, j + 1  # the tokens behind a shared end
-        inside = (i < len(ids_a)) & (j < len(ids_b))
-        i, j = i[inside], j[inside]
-        anchor = self.space[0][ids_a[i]] & self.space[1][ids_b[j]]
-        at_a, at_b = np.union1d(i[anchor], edges_a), np.union1d(j[anchor], edges_b)
-        return at_a, at_b
-
-
-_made: dict[int, tuple[Pair, Tables]] = {}
+_made: dict[int, Pair] = {}
 
 
-def _pair(spec_a: bytes, spec_b: bytes) -> tuple[Pair, Tables]:
+def _pair(spec_a: bytes, spec_b: bytes) -> Pair:
     """Both tokenizers, made once a worker."""
     key = hash((spec_a, spec_b))
     if key not in _made:
         _made.clear()
-        pair = Pair(spec_a, spec_b)
-        _made[key] = pair, Tables(pair)
+        _made[key] = Pair(spec_a, spec_b)
     return _made[key]
 
 
@@ -152,47 +254,44 @@ def align(docs: DataFrame, byte_bpe: str | None = None, pieces: str | None = Non
     sent = [sent_bytes(spark, byte_bpe or vocabulary_file(spark, BYTE_BPE)), sent_bytes(spark, pieces or vocabulary_file(spark, PIECES))]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        pair, tables = _pair(sent[0].value, sent[1].value)
+        gc.disable()  # what is remembered holds no cycles, and searching it for some takes a fifth of the time
+        pair = _pair(sent[0].value, sent[1].value)
         for batch in batches:
-            begun, got, size = 0, [], 0
-            for k, text in enumerate(batch.column(1)):
-                found = text.as_py()
-                size += len(found or "")
-                got.append(pair.text(found) if found else None)
-                pair.pieces.forget(REMEMBERED, REMEMBERED_SIZE)
-                if size > BATCH or k == len(batch) - 1:
-                    yield _aligned(pair, tables, batch.column(0).slice(begun, len(got)), got)
-                    begun, got, size = k + 1, [], 0
+            texts = batch.column(1)
+            size = np.cumsum([0, *(x or 0 for x in pc.binary_length(texts).to_pylist())])
+            i = 0
+            while i < len(batch):
+                j = max(i + 1, int(np.searchsorted(size, size[i] + BATCH, "right")) - 1)
+                some = [t or "" for t in texts.slice(i, j - i).to_pylist()]
+                pair.remember([t for t in some if t])
+                yield _aligned(pair, batch.column(0).slice(i, j - i), [pair.text(t) if t else [] for t in some])
+                if pair.full():
+                    pair.forget()
+                i = j
+        gc.enable()
 
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     return rows.mapInArrow(run, f"doc_id {dict(rows.dtypes)['doc_id']}, n_a long, n_b long, n_groups long, n_links long, groups string, pairs array<long>, counts array<long>")
 
 
-def _aligned(pair: Pair, tables: Tables, ids: pa.Array, tokens: list[tuple[list[int], list[int]] | None]) -> pa.RecordBatch:
-    """The rows of some texts' tokens."""
-    n_a, n_b = (np.array([len(t[s]) if t else 0 for t in tokens], np.int64) for s in (0, 1))
-    edges_a, edges_b = np.concatenate([[0], np.cumsum(n_a)]), np.concatenate([[0], np.cumsum(n_b)])
-    flat_a, flat_b = ([i for t in tokens if t for i in t[s]] for s in (0, 1))
-    at_a, at_b = tables.cuts(np.array(flat_a, np.int64), np.array(flat_b, np.int64), edges_a, edges_b)
-    a, b = at_a.tolist(), at_b.tolist()
-    look = pair.windows.__getitem__
-    windows = [look((tuple(flat_a[p:q]), tuple(flat_b[r:s]))) for p, q, r, s in zip(a[:-1], a[1:], b[:-1], b[1:], strict=True)]
-    pair.windows.forget(REMEMBERED, REMEMBERED_SIZE)
-    texts, groups = [w[0] for w in windows], np.concatenate([[0], np.cumsum([w[1] for w in windows])]).astype(np.int64)
-    sizes = np.concatenate([[0], np.cumsum([len(w[2]) for w in windows])]).astype(np.int64)
-    links = np.fromiter((x for w in windows for x in w[2]), np.int64, int(sizes[-1]))
-    of = np.searchsorted(at_a, edges_a)  # each text's first window
-    pairs, counts, edge = [], [], [0]
-    for p, q in zip(sizes[of[:-1]].tolist(), sizes[of[1:]].tolist(), strict=True):
-        x, n = np.unique(links[p:q], return_counts=True)
-        pairs.append(x)
-        counts.append(n)
-        edge.append(edge[-1] + len(x))
-    edge_ = pa.array(np.array(edge, np.int32))
-    joined = [";".join(texts[p:q]) for p, q in zip(of[:-1].tolist(), of[1:].tolist(), strict=True)]
+def _aligned(pair: Pair, ids: pa.Array, windows: list[list[int]]) -> pa.RecordBatch:
+    """The rows of some texts' windows."""
+    counts = np.frombuffer(pair.counts, np.int64).reshape(-1, 4) if pair.counts else np.zeros((0, 4), np.int64)
+    at = np.concatenate([[0], np.cumsum(counts[:, 3])])
+    links = np.frombuffer(pair.links, np.int64)
+    flat = np.fromiter(itertools.chain.from_iterable(windows), np.int64)
+    edges = np.concatenate([[0], np.cumsum([len(w) for w in windows])]).astype(np.int64)
+    totals = np.concatenate([np.zeros((1, 4), np.int64), np.cumsum(counts[flat], axis=0)])[edges]
+    n_a, n_b, n_groups, n_links = np.diff(totals, axis=0).T
+    spread = _gather(links, at[flat], counts[flat, 3])
+    ends = totals[:, 3].tolist()
+    found = [np.unique(spread[p:q], return_counts=True) for p, q in zip(ends[:-1], ends[1:], strict=True)]
+    edge = pa.array(np.concatenate([[0], np.cumsum([len(x) for x, _ in found])]).astype(np.int32))
+    lists = [pa.ListArray.from_arrays(edge, pa.array(np.concatenate([x[k] for x in found]).astype(np.int64))) for k in (0, 1)]
+    joined = [";".join(map(pair.texts.__getitem__, w)) for w in windows]
+    del counts, links  # the arrays that they look at are to grow again
     return pa.RecordBatch.from_arrays(
-        [ids, pa.array(n_a), pa.array(n_b), pa.array(groups[of[1:]] - groups[of[:-1]]), pa.array(sizes[of[1:]] - sizes[of[:-1]]), pa.array(joined, pa.string())]
-        + [pa.ListArray.from_arrays(edge_, pa.array(np.concatenate(x).astype(np.int64))) for x in (pairs, counts)],
+        [ids, pa.array(n_a), pa.array(n_b), pa.array(n_groups), pa.array(n_links), pa.array(joined, pa.string()), *lists],
         names=["doc_id", "n_a", "n_b", "n_groups", "n_links", "groups", "pairs", "counts"],
     )
 
