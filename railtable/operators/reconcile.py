@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from railtable.checks import cut, exactly_one, row_hash, violations
 from railtable.functions.scalars import station_name
+from railtable.operators.hulls import farthest
 
 
 def match_roster(rows: DataFrame, roster: DataFrame) -> DataFrame:
@@ -175,10 +176,42 @@ def assign_nodes(nodes: DataFrame, stations: DataFrame) -> DataFrame:
     return c.withColumn("_n", F.row_number().over(rank)).where("_n = 1").select("node_id", "station_id", F.coalesce(F.col("s_line") == F.col("line_id"), F.lit(False)).alias("on_line"))
 
 
-def spread_violations(assigned: DataFrame, limit: float) -> DataFrame:
-    """JN-27: stations whose nodes (x, y) lie farther apart than the limit: the diagonal of their bounding box."""
-    b = assigned.groupBy("station_id").agg(F.hypot(F.max("x") - F.min("x"), F.max("y") - F.min("y")).alias("spread"))
-    return b.where(F.col("spread") > limit)
+def node_candidates(nodes: DataFrame, labels: DataFrame, stations: DataFrame, region: str) -> DataFrame:
+    """JN-27: which stations a map's nodes (node_id, name, line_id, by_line, x, y) stand for: (station_id, source, node_id, x, y), and nodes without one as rows of a
+    null station. The only station of the name; where several have it: with `by_line` the one (the smallest id) on the node's line and no other, else all of them that are on a
+    line of the region, since they are one place. A node with `by_line` but no line fits none. Labels (name, x, y) do the same for stations that have no marker; they stand behind all nodes.
+    stations: (station_id, name, line_id, region), a row for each line. A null name fits none."""
+    named = stations.groupBy("name", "station_id").agg(F.collect_set("line_id").alias("lines"), F.max((F.col("region") == region).cast("int")).alias("here"))
+    alone = named.groupBy("name").agg(F.count("*").alias("n"))
+    named = named.join(alone, "name")
+    marks = nodes.select("node_id", "name", "line_id", "by_line", "x", "y", F.lit("NODE").alias("source"))
+    texts = labels.select(F.lit(None).cast(dict(nodes.dtypes)["node_id"]).alias("node_id"), "name", F.lit(None).cast(dict(nodes.dtypes)["line_id"]).alias("line_id"), F.lit(False).alias("by_line"), "x", "y", F.lit("LABEL").alias("source"))
+    j = marks.unionByName(texts).join(named, "name", "left")
+    on_line = F.coalesce(F.array_contains("lines", F.col("line_id")), F.lit(False))
+    told = F.col("by_line")
+    fits = F.when(told & F.col("line_id").isNull(), F.lit(False)).otherwise((F.col("n") == 1) | F.when(told, on_line).otherwise(F.col("here") == 1))
+    j = j.withColumn("fit", F.when(fits, F.col("station_id")))
+    key = ["source", "node_id", "name", "x", "y"]
+    one = j.where((F.col("n") > 1) & told).groupBy(*key).agg(F.min("fit").alias("station_id"))
+    rest = j.where(~F.coalesce((F.col("n") > 1) & told, F.lit(False))).select(*key, F.col("fit").alias("station_id"))
+    found = one.unionByName(rest)
+    some = found.groupBy(*key).agg(F.max("station_id").alias("any"))
+    nothing = some.where("any IS NULL AND source = 'NODE'").select(*key, F.col("any").alias("station_id"))
+    return found.where("station_id IS NOT NULL").unionByName(nothing).select("station_id", "source", "node_id", "x", "y")
+
+
+def first_candidates(candidates: DataFrame) -> DataFrame:
+    """JN-27: each station's first candidate: nodes by id, then labels (of several labels, the smallest x and y)."""
+    order = F.struct((F.col("source") == "LABEL").alias("late"), "node_id", "x", "y")
+    return candidates.where("station_id IS NOT NULL").groupBy("station_id").agg(F.min(order).alias("m")).select("station_id", F.when(F.col("m.late"), "LABEL").otherwise("NODE").alias("source"), "m.node_id", "m.x", "m.y")
+
+
+def spread_violations(assigned: DataFrame, limit: float, exempt: DataFrame | None = None) -> DataFrame:
+    """JN-27: stations two of whose nodes (x, y) lie farther apart than the limit, or than their own limit in `exempt` (station_id, max_spread)."""
+    b = farthest(assigned, "station_id")
+    if exempt is None:
+        return b.where(F.col("spread") > limit)
+    return b.join(exempt, "station_id", "left").where(F.col("spread") > F.coalesce("max_spread", F.lit(limit))).select("station_id", "spread")
 
 
 def reconcile_catalog(catalog: DataFrame, assigned: DataFrame, exceptions: DataFrame) -> DataFrame:

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from railtable.checks import cut
+from railtable.operators.hulls import farthest
 from railtable.operators.ordered import BLOCK, after, along, before, coming, known, running
 from railtable.operators.topology import components
 
@@ -286,23 +287,45 @@ def distance_quantiles(rows: DataFrame, within: float) -> DataFrame:
     return rows.groupBy("line_id").agg(F.round(F.percentile("distance", 0.5), 6).alias("p50"), F.round(F.percentile("distance", 0.9), 6).alias("p90"), F.round(F.avg((F.col("distance") <= within).cast("double")), 6).alias("share"))
 
 
+def octolinear_shares(segments: DataFrame, tolerance: float = 0.5) -> DataFrame:
+    """AG-18: by region the segments (id, region, x0, y0, x1, y1) of some length, and the share of those within `tolerance` degrees of a multiple of 45."""
+    d = segments.where("x0 <> x1 OR y0 <> y1")
+    near = octolinear_deviation(d.select("*", F.struct("id", "region").alias("_k")).drop("id").withColumnRenamed("_k", "id")).select("id.region", "deviation")
+    return near.groupBy("region").agg(F.count("*").alias("segments"), F.round(F.avg((F.col("deviation") <= tolerance).cast("double")), 6).alias("share"))
+
+
 def interchange_spreads(points: DataFrame) -> DataFrame:
-    """AG-19: stations on two or more lines: members and the largest distance between two of their positions. The station's extreme points
-    (of x, y, x + y, x - y) give a distance that is reached; only positions that could be farther than that from some point of the
-    station's box meet each other, each position once."""
+    """AG-19: stations on two or more lines: members and the largest distance between two of their positions."""
     n = points.groupBy("station_id").agg(F.count_distinct("line_id").alias("lines"), F.count("*").alias("members")).where("lines >= 2")
-    p = points.select("station_id", "x", "y").distinct()
-    ways = {"x": F.col("x"), "y": F.col("y"), "s": F.col("x") + F.col("y"), "t": F.col("x") - F.col("y")}
-    ends = [f(F.struct("x", "y"), v).alias(f"{k}{w}") for k, v in ways.items() for f, w in ((F.min_by, 0), (F.max_by, 1))]
-    box = p.groupBy("station_id").agg(*[f(c).alias(f"{c}_{w}") for c in "xy" for f, w in ((F.min, "lo"), (F.max, "hi"))], *ends)
-    gap = lambda a, b: F.hypot(F.col(f"{a}.x") - F.col(f"{b}.x"), F.col(f"{a}.y") - F.col(f"{b}.y"))
-    reached = F.greatest(*[gap(f"{k}0", f"{k}1") for k in ways])
-    box = n.join(box, "station_id").select("station_id", "lines", "members", "x_lo", "x_hi", "y_lo", "y_hi", reached.alias("reached"))
-    far = F.hypot(F.greatest(F.col("x") - F.col("x_lo"), F.col("x_hi") - F.col("x")), F.greatest(F.col("y") - F.col("y_lo"), F.col("y_hi") - F.col("y")))
-    c = p.join(box.select("station_id", "x_lo", "x_hi", "y_lo", "y_hi", "reached"), "station_id").where(far > F.col("reached")).select("station_id", "x", "y")
-    d = F.hypot(F.col("a.x") - F.col("b.x"), F.col("a.y") - F.col("b.y"))
-    more = c.alias("a").join(c.alias("b"), "station_id").groupBy("station_id").agg(F.max(d).alias("d"))
-    return box.join(more, "station_id", "left").select("station_id", "lines", "members", F.greatest("reached", F.coalesce("d", F.lit(0.0))).alias("spread"))
+    return n.join(farthest(points.join(n.select("station_id"), "station_id", "left_semi"), "station_id"), "station_id")
+
+
+def nearest_ranks(rows: DataFrame, key: str, value: str, shares: dict[str, float], block: int = BLOCK) -> DataFrame:
+    """For each key the nearest-rank quantiles of `value`, nulls left out: the value at place ceil(share * n). Places are numbered by an ordered scan, so a key of
+    any number of different values is in no one task."""
+    known_ = rows.where(F.col(value).isNotNull()).select(key, value)
+    placed = along(known_, [key], [value], {"_place": running(F.lit(1))}, block)
+    n = known_.groupBy(F.col(key).alias("_key")).agg(F.count("*").alias("_n"))
+    j = placed.join(n, F.col(key).eqNullSafe(F.col("_key")))
+    at = lambda q: F.max(F.when(F.col("_place") == F.greatest(F.lit(1), F.ceil(F.col("_n") * q - 1e-9)), F.col(value)))
+    return j.groupBy(key).agg(*(at(q).alias(name) for name, q in shares.items()))
+
+
+def span_targets(spreads: DataFrame, block: int = BLOCK) -> DataFrame:
+    """AG-19: the p90 of `spread` by number of lines: (lines, target)."""
+    return nearest_ranks(spreads, "lines", "spread", {"target": 0.9}, block)
+
+
+def displacement_tiers(spreads: DataFrame, targets: DataFrame, extreme: float = 35.0, split: float = 60.0) -> DataFrame:
+    """AG-19: for each interchange (station_id, lines, spread) the target spread of its number of lines (else that of 5 lines, else 56), the displacement, half of what the
+    spread is above it, its tier (mild under 4, mid under 20, large under `extreme`, else extreme), whether it is to converge, and whether the group is suspected to be two stations (a
+    spread above `split`). targets are few: a row for each number of lines."""
+    five = targets.where("lines = 5").agg(F.max("target").alias("five"))
+    j = spreads.join(targets.select("lines", "target"), "lines", "left").crossJoin(five)  # one row
+    target = F.coalesce("target", "five", F.lit(56.0))
+    moved = F.greatest(F.lit(0.0), (F.col("spread") - target) / 2)
+    tier = F.when(moved < 4, "mild").when(moved < 20, "mid").when(moved < extreme, "large").otherwise("extreme")
+    return j.select("station_id", "lines", "spread", target.alias("target"), moved.alias("displacement"), tier.alias("tier"), (F.col("spread") > target).alias("converge"), (F.col("spread") > split).alias("suspect_split"))
 
 
 def interchange_centroids(points: DataFrame) -> DataFrame:

@@ -72,6 +72,12 @@ book.add("ag17_spacing", S.spacing_stats, [LE], f"SELECT line_id, quantile_disc(
 book.add("ag18_quantiles", lambda d: S.distance_quantiles(d, 300.0), ["SELECT line_id, CAST(abs(x) AS DOUBLE) AS distance FROM v_positions"], "SELECT line_id, round(quantile_cont(abs(x)::DOUBLE, 0.5), 6) AS p50, round(quantile_cont(abs(x)::DOUBLE, 0.9), 6) AS p90, round(avg((abs(x) <= 300)::INT::DOUBLE), 6) AS share FROM v_positions GROUP BY 1")
 IC = "SELECT station_id % 120 AS station_id, line_id, x, y FROM v_positions"
 book.add("ag19_spreads", lambda d: S.interchange_spreads(d).withColumn("spread", F.round("spread", 6)), [IC], f"WITH p AS ({IC}), n AS (SELECT station_id, count(DISTINCT line_id) AS lines, count(*) AS members FROM p GROUP BY 1 HAVING count(DISTINCT line_id) >= 2) SELECT n.*, (SELECT round(max(sqrt(power(a.x - b.x, 2) + power(a.y - b.y, 2))), 6) FROM p a JOIN p b ON a.station_id = b.station_id WHERE a.station_id = n.station_id) AS spread FROM n")
+_IC = f"p AS ({IC}), n AS (SELECT station_id, count(DISTINCT line_id) AS lines FROM p GROUP BY 1 HAVING count(DISTINCT line_id) >= 2), g AS (SELECT n.*, (SELECT max(sqrt(power(a.x - b.x, 2) + power(a.y - b.y, 2))) FROM p a JOIN p b ON a.station_id = b.station_id WHERE a.station_id = n.station_id) AS spread FROM n), t AS (SELECT lines, quantile_disc(spread, 0.9) AS target FROM g GROUP BY 1)"
+book.add("ag19_targets", lambda d: S.span_targets(S.interchange_spreads(d)).withColumn("target", F.round("target", 6)), [IC], f"WITH {_IC} SELECT lines, round(target, 6) AS target FROM t")
+book.add("ag19_tiers", lambda d: S.displacement_tiers(S.interchange_spreads(d), S.span_targets(S.interchange_spreads(d.where("line_id < 7")))).withColumns({c: F.round(c, 6) for c in ("spread", "target", "displacement")}), [IC], f"""WITH {_IC}, q AS (SELECT * FROM p WHERE line_id < 7), h AS (SELECT station_id, count(DISTINCT line_id) AS lines, (SELECT max(sqrt(power(a.x - b.x, 2) + power(a.y - b.y, 2))) FROM q a JOIN q b ON a.station_id = b.station_id WHERE a.station_id = q.station_id) AS spread FROM q GROUP BY station_id HAVING count(DISTINCT line_id) >= 2),
+  u AS (SELECT lines, quantile_disc(spread, 0.9) AS target FROM h GROUP BY 1), j AS (SELECT g.*, coalesce(u.target, (SELECT target FROM u WHERE lines = 5), 56) AS t2 FROM g LEFT JOIN u USING (lines)), d AS (SELECT *, greatest(0, (spread - t2) / 2) AS m FROM j)
+  SELECT station_id, lines, round(spread, 6) AS spread, round(t2, 6) AS target, round(m, 6) AS displacement, CASE WHEN m < 4 THEN 'mild' WHEN m < 20 THEN 'mid' WHEN m < 35 THEN 'large' ELSE 'extreme' END AS tier, spread > t2 AS converge, spread > 60 AS suspect_split FROM d""")
+book.add("ag18_octolinear", lambda d: S.octolinear_shares(d, 5.0), [XS.replace("line_id AS track", "line_id % 4 AS region")], f"WITH a AS (SELECT track % 4 AS region, degrees(atan2(y1 - y0, x1 - x0)) AS d FROM ({XS}) WHERE x0 <> x1 OR y0 <> y1), b AS (SELECT region, CASE WHEN d < 0 THEN d + 360 ELSE d END % 45 AS g FROM a) SELECT region, count(*) AS segments, round(avg((round(least(g, 45 - g), 6) <= 5)::INT::DOUBLE), 6) AS share FROM b GROUP BY 1")
 book.add("ag20_centroids", S.interchange_centroids, [IC], f"WITH p AS ({IC}), c AS (SELECT station_id, floor(avg(x) + 0.5)::BIGINT AS cx, floor(avg(y) + 0.5)::BIGINT AS cy FROM p GROUP BY 1 HAVING count(DISTINCT line_id) >= 2) SELECT p.*, cx, cy FROM p JOIN c USING (station_id) WHERE cx <> x OR cy <> y")
 FP = "SELECT line_id, CAST(station_id AS INT) AS seq, station_id, CASE WHEN station_id % 3 = 0 THEN x + 3000 END AS x, CASE WHEN station_id % 3 = 0 THEN y + 3000 END AS y FROM v_positions"
 book.add("wn14_fill_positions", S.fill_positions, [FP], None)

@@ -61,7 +61,20 @@ book.add("jn25_pathway_baseline", R.pathway_baseline, PB, f"""WITH p AS ({PB[0]}
 book.add("jn26_od_matrix", R.od_matrix, ["SELECT s_suppkey AS station_id FROM supplier"], "SELECT a.s_suppkey AS origin, b.s_suppkey AS destination FROM supplier a, supplier b WHERE a.s_suppkey <> b.s_suppkey")
 ND = ["SELECT c_custkey AS node_id, concat('n', c_custkey % 80) AS name, concat('L', c_nationkey % 4) AS line_id FROM customer", "SELECT concat('n', s_suppkey % 60) AS name, s_suppkey AS station_id, concat('L', s_nationkey % 4) AS line_id FROM supplier"]
 book.add("jn27_assign_nodes", R.assign_nodes, ND, f"WITH n AS ({ND[0]}), s AS ({ND[1]}) SELECT node_id, station_id, coalesce(s.line_id = n.line_id, false) AS on_line FROM n LEFT JOIN s USING (name) QUALIFY row_number() OVER (PARTITION BY node_id ORDER BY CASE WHEN s.line_id = n.line_id THEN 0 ELSE 1 END, station_id NULLS LAST) = 1")
-book.add("jn27_spread", lambda d: R.spread_violations(d, 500.0).withColumn("spread", F.round("spread", 6)), ["SELECT station_id % 150 AS station_id, x, y FROM v_positions"], "WITH b AS (SELECT station_id % 150 AS station_id, sqrt(power(max(x) - min(x), 2) + power(max(y) - min(y), 2)) AS spread FROM v_positions GROUP BY 1) SELECT station_id, round(spread, 6) AS spread FROM b WHERE spread > 500")
+SPR = "SELECT station_id % 150 AS station_id, x, y FROM v_positions"
+EXM = "SELECT s_suppkey AS station_id, CAST(s_suppkey % 40 * 100 AS DOUBLE) AS max_spread FROM supplier WHERE s_suppkey % 3 = 0"
+_SPR = f"WITH p AS ({SPR}), b AS (SELECT a.station_id, max(sqrt(power(a.x - b.x, 2) + power(a.y - b.y, 2))) AS spread FROM p a JOIN p b ON a.station_id = b.station_id GROUP BY 1)"
+book.add("jn27_spread", lambda d: R.spread_violations(d, 500.0).withColumn("spread", F.round("spread", 6)), [SPR], f"{_SPR} SELECT station_id, round(spread, 6) AS spread FROM b WHERE spread > 500")
+book.add("jn27_spread_exempt", lambda d, e: R.spread_violations(d, 500.0, e).withColumn("spread", F.round("spread", 6)), [SPR, EXM], f"{_SPR} SELECT b.station_id, round(spread, 6) AS spread FROM b LEFT JOIN ({EXM}) e USING (station_id) WHERE spread > coalesce(max_spread, 500)")
+MN = "SELECT c_custkey AS node_id, concat('n', c_custkey % 70) AS name, CASE WHEN c_custkey % 9 > 0 THEN concat('L', c_nationkey % 4) END AS line_id, c_custkey % 5 = 0 AS by_line, c_custkey * 7 % 900 AS x, c_custkey * 13 % 700 AS y FROM customer"
+ML = "SELECT concat('n', p_partkey % 90) AS name, p_partkey * 3 % 900 AS x, p_partkey * 5 % 700 AS y FROM part"
+MS_ = "SELECT s_suppkey AS station_id, concat('n', s_suppkey % 60) AS name, concat('L', s_nationkey % 4) AS line_id, CASE WHEN s_suppkey % 3 = 0 THEN 'here' ELSE 'there' END AS region FROM supplier UNION ALL SELECT s_suppkey AS station_id, concat('n', s_suppkey % 60) AS name, concat('L', s_suppkey % 7) AS line_id, 'there' AS region FROM supplier UNION ALL SELECT -1 - n_nationkey AS station_id, concat('n', n_nationkey + 60) AS name, 'L1' AS line_id, 'there' AS region FROM nation"
+_MN = f"""WITH n AS ({MN}), l AS ({ML}), s AS ({MS_}), g AS (SELECT name, station_id, list(line_id) AS lines, max((region = 'here')::INT) AS here, count(*) OVER (PARTITION BY name) AS k FROM s GROUP BY 1, 2),
+  m AS (SELECT node_id, name, line_id, by_line, x, y, 'NODE' AS source FROM n UNION ALL SELECT NULL, name, NULL, false, x, y, 'LABEL' FROM l),
+  f AS (SELECT m.*, station_id, k FROM m LEFT JOIN g ON g.name = m.name AND NOT (by_line AND line_id IS NULL) AND (k = 1 OR CASE WHEN by_line THEN list_contains(lines, line_id) ELSE here = 1 END)),
+  c AS (SELECT DISTINCT CASE WHEN by_line AND k > 1 THEN min(station_id) OVER (PARTITION BY source, node_id, name, x, y) ELSE station_id END AS station_id, source, node_id, x, y, name FROM f WHERE station_id IS NOT NULL OR source = 'NODE')"""
+book.add("jn27_candidates", lambda n, l, s: R.node_candidates(n, l, s, "here").distinct(), [MN, ML, MS_], f"{_MN} SELECT DISTINCT station_id, source, node_id, x, y FROM c")
+book.add("jn27_assignments", lambda n, l, s: R.first_candidates(R.node_candidates(n, l, s, "here")), [MN, ML, MS_], f"{_MN} SELECT station_id, source, node_id, x, y FROM c WHERE station_id IS NOT NULL QUALIFY row_number() OVER (PARTITION BY station_id ORDER BY source = 'LABEL', node_id, x, y) = 1")
 RC = ["SELECT p_partkey AS station_id, p_brand AS line_id FROM part WHERE p_partkey % 7 > 0", "SELECT p_partkey AS station_id, p_brand AS line_id FROM part WHERE p_partkey % 5 > 0", "SELECT p_partkey AS station_id, p_brand AS line_id FROM part WHERE p_size < 10"]
 book.add("jn28_reconcile", R.reconcile_catalog, RC, "SELECT p_partkey AS station_id, p_brand AS line_id, CASE WHEN p_partkey % 5 = 0 THEN 'UNASSIGNED' ELSE 'ORPHAN' END AS reason FROM part WHERE (p_partkey % 7 > 0) <> (p_partkey % 5 > 0) AND p_size >= 10")
 PP = ["SELECT p_brand AS line_id, p_partkey AS name FROM part", "SELECT p_brand AS line_id, p_partkey AS name, p_size AS x, 1 AS y FROM part WHERE p_partkey % 3 = 0 AND p_size < 30 AND p_brand < 'Brand#30' UNION ALL SELECT 'other' AS line_id, p_partkey AS name, 7 AS x, 2 AS y FROM part WHERE p_partkey % 11 = 0", "SELECT p_brand AS line_id, p_partkey AS name, 9 AS x, 3 AS y FROM part WHERE p_partkey % 2 = 0"]

@@ -7,7 +7,7 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
-from railtable.operators import spatial
+from railtable.operators import hulls, spatial
 
 
 def clusters(points, distance):
@@ -117,3 +117,35 @@ def test_boxes_of_all_sizes(spark):
 def test_long_segments_pass_few_cells(spark):
     d = spark.createDataFrame([(0.0, 0.0, 1000.0, 1000.0), (0.0, 0.0, 0.0, 1000.0), (5.0, 5.0, 5.0, 5.0)], "x0 double, y0 double, x1 double, y1 double")
     assert all(n < 4000 for n in (r[0] for r in d.select(F.size(spatial._passed(1.0))).collect()))
+
+
+def test_farthest(spark):
+    """Small groups, clouds, rings (all positions on the hull), lines, single and equal positions, against all pairs."""
+    rng = random.Random(9)
+    points = [("four", 0.0, 1.5), ("four", 3.0, 1.5), ("four", 1.5, 0.0), ("four", 1.5, 3.0), ("one", 5.0, 5.0), ("same", 1.0, 1.0), ("same", 1.0, 1.0), ("same", None, 2.0)]
+    points += [("ring", math.cos(a) * 100, math.sin(a) * 100) for a in (rng.uniform(0, 7) for _ in range(900))]
+    points += [("oval", math.cos(a) * 100, math.sin(a) * 99) for a in (rng.uniform(0, 7) for _ in range(300))]
+    points += [("cloud", rng.gauss(0, 9), rng.gauss(0, 9)) for _ in range(700)] + [("line", 2.0 * k, 3.0 * k) for k in range(200)] + [("box", float(rng.randrange(12)), float(rng.randrange(12))) for _ in range(400)]
+    want = {}
+    for k in {p[0] for p in points}:
+        own = [(x, y) for g, x, y in points if g == k and x is not None]
+        want[k] = max(math.hypot(a - c, b - d) for a, b in own for c, d in own)
+    got = {r.g: r.spread for r in hulls.farthest(spark.createDataFrame(points, "g string, x double, y double").repartition(6), "g").collect()}
+    assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-9 for k in want) and want["four"] == 3.0
+
+
+def test_ranks_and_tiers(spark):
+    rng = random.Random(10)
+    data = [(rng.choice([2, 3]), float(rng.randrange(500))) for _ in range(2000)] + [(4, 1.0), (4, None), (9, None)]
+    df = spark.createDataFrame(data, "lines int, spread double")
+    for block in (100, 10**6):
+        got = {r.lines: r.target for r in spatial.span_targets(df, block).collect()}
+        for k in (2, 3, 4):
+            own = sorted(s for n, s in data if n == k and s is not None)
+            assert got[k] == own[math.ceil(0.9 * len(own)) - 1]
+        assert 9 not in got
+    spreads = spark.createDataFrame([(1, 2, 50.0), (2, 2, 70.0), (3, 7, 60.0), (4, 2, 300.0)], "station_id int, lines int, spread double")
+    targets = spark.createDataFrame([(2, 55.0)], "lines int, target double")
+    assert rows(spatial.displacement_tiers(spreads, targets), "station_id", "target", "displacement", "tier", "converge", "suspect_split") == [
+        (1, 55.0, 0.0, "mild", False, False), (2, 55.0, 7.5, "mid", True, True), (3, 56.0, 2.0, "mild", True, False), (4, 55.0, 122.5, "extreme", True, True)
+    ]
