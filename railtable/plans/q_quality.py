@@ -22,7 +22,7 @@ FAC = "SELECT CASE WHEN event_id % 21 > 0 THEN user_id END AS station_id, event_
 TYPES = ["click", "view", "purchase", "lift"]
 _TY = ", ".join(f"('{t}')" for t in TYPES)
 book.add("ag10_facility_counts", lambda d: Q.facility_counts(d, TYPES), [FAC], f"WITH f AS (SELECT * FROM ({FAC}) WHERE station_id IS NOT NULL), c AS (SELECT station_id, t, (SELECT count(*) FROM f x WHERE x.station_id = s.station_id AND facility_type = t) AS n FROM (SELECT DISTINCT station_id FROM f) s, (VALUES {_TY}) v(t)) SELECT station_id, t AS facility_type, n, CASE WHEN n > 0 THEN 'EXISTS' ELSE 'NOT_EXISTS' END AS existence FROM c")
-F2 = "SELECT user_id % 60 AS station_id, event_type AS facility_type, event_id % 9 AS detail FROM events WHERE user_id % 4 > 0 OR event_type = 'view'"
+F2 = "SELECT CASE WHEN user_id % 4 > 0 OR event_type = 'view' THEN user_id % 60 ELSE user_id % 60 + 60 END AS station_id, event_type AS facility_type, event_id % 9 AS detail FROM events"
 book.add("ag11_numbered_facilities", lambda d: Q.numbered_facilities(d, TYPES, ["station_id", "facility_type", "detail"]), [F2], f"""WITH f AS ({F2}), d AS (SELECT DISTINCT station_id, facility_type, sha256({canonical('detail', 'facility_type', 'station_id')}) AS h FROM f), n AS (SELECT station_id, facility_type, (row_number() OVER (PARTITION BY station_id, facility_type ORDER BY h))::INT AS no, h FROM d)
   SELECT * FROM n UNION ALL SELECT station_id, t, 0, NULL FROM (SELECT DISTINCT station_id FROM f) s, (VALUES {_TY}) v(t) WHERE NOT EXISTS (SELECT 1 FROM n WHERE n.station_id = s.station_id AND facility_type = t)""")
 ST = ["SELECT s_suppkey AS station_id FROM supplier", "SELECT user_id AS station_id, CASE WHEN user_id % 7 = 0 THEN NULL WHEN event_id % 60 = 0 THEN false ELSE true END AS operational FROM events WHERE user_id % 3 > 0"]

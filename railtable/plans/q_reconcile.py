@@ -20,7 +20,7 @@ book.add("jn02_partition_tuples", R.partition_tuples, [TUP, MAP, STA], f"""WITH
   s AS (SELECT line_id, name, count(DISTINCT station_id) AS k, min(station_id) AS sid FROM ({STA}) GROUP BY 1, 2), j AS (SELECT t.*, lines, k, sid, CASE WHEN t.name = '' THEN 'NAME_MISSING' WHEN lines IS NULL THEN 'LINE_UNMAPPED' WHEN lines > 1 THEN 'LINE_AMBIGUOUS' WHEN k IS NULL THEN 'STATION_NOT_ON_LINE' WHEN k > 1 THEN 'STATION_AMBIGUOUS' END AS reason
   FROM t LEFT JOIN m USING (operator, line) LEFT JOIN s ON s.line_id = m.line_id AND s.name = t.name)
   SELECT operator, line, name, n_rows, CASE WHEN reason IS NULL THEN 'JOINED' WHEN reason LIKE '%AMBIGUOUS' THEN 'AMBIGUOUS' ELSE 'UNMATCHED' END AS status, reason, CASE WHEN reason IS NULL THEN sid END AS station_id FROM j""")
-MK = ["SELECT p_partkey AS row_id, p_name AS name, p_size * 7 AS code FROM part WHERE p_partkey % 2 = 0", "SELECT p_name AS name, p_partkey AS station_id FROM part WHERE p_partkey % 40 = 1", "SELECT s_suppkey AS code, s_suppkey AS station_id FROM supplier", "SELECT p_partkey AS row_id, p_partkey AS station_id FROM part WHERE p_partkey % 26 = 0"]
+MK = ["SELECT p_partkey AS row_id, p_name AS name, p_size * 7 AS code FROM part", "SELECT p_name AS name, p_partkey AS station_id FROM part WHERE p_partkey % 40 = 1", "SELECT s_suppkey AS code, s_suppkey AS station_id FROM supplier", "SELECT p_partkey AS row_id, p_partkey AS station_id FROM part WHERE p_partkey % 26 = 0"]
 _MK = f"r AS ({MK[0]}), c AS (SELECT row_id, station_id FROM r JOIN ({MK[1]}) USING (name) UNION SELECT row_id, station_id FROM r JOIN ({MK[2]}) USING (code) UNION {MK[3]}), m AS (SELECT row_id, count(c.station_id) AS n_candidates, CASE WHEN count(c.station_id) = 1 THEN min(c.station_id) END AS station_id, CASE count(c.station_id) WHEN 0 THEN 'unmatched' WHEN 1 THEN 'matched' ELSE 'ambiguous' END AS match_status FROM r LEFT JOIN c USING (row_id) GROUP BY row_id)"
 book.add("jn03_multi_key", R.multi_key_match, MK, f"WITH {_MK} SELECT * FROM m")
 book.add("jn03_never_covered", lambda a, b, c, d, e: R.never_covered(e, R.multi_key_match(a, b, c, d)), [*MK, "SELECT s_suppkey AS station_id FROM supplier"], f"WITH {_MK} SELECT s_suppkey AS station_id FROM supplier WHERE s_suppkey NOT IN (SELECT station_id FROM m WHERE match_status = 'matched')")
@@ -47,8 +47,8 @@ AE = "SELECT event_id AS edge_id, CASE event_id % 3 WHEN 0 THEN 'ENTRY' WHEN 1 T
 EV = "SELECT event_id AS edge_id, CASE user_id % 3 WHEN 0 THEN 'OPERATION' WHEN 1 THEN 'MAINTENANCE_NOTICE' ELSE 'FEED_SEARCH' END AS kind FROM events"
 book.add("jn19_access_gate", R.accessibility_gate, [AE, EV], """SELECT event_id AS edge_id, CASE event_id % 4 WHEN 0 THEN 'LACKS_OPERATION' WHEN 1 THEN 'LACKS_MAINTENANCE_NOTICE' WHEN 2 THEN 'LACKS_FEED_SEARCH' ELSE 'STATUS_UNPROVEN' END AS reason FROM events WHERE event_id % 3 < 2 AND (event_id % 4 = 3 OR event_id % 4 <> user_id % 3)""")
 LN = lambda cond: f"SELECT p_brand AS line_id, p_name AS name, p_partkey AS station_id FROM part WHERE {cond}"
-book.add("jn20_missing_stations", R.missing_stations, [LN("p_partkey % 2 = 0"), LN("p_size % 4 = 0"), LN("p_partkey % 50 = 0"), LN("p_size % 9 = 0")], "SELECT DISTINCT p_brand AS line_id, p_name AS name FROM part WHERE p_partkey % 2 = 0 EXCEPT SELECT p_brand, p_name FROM part WHERE p_size % 4 = 0 OR p_partkey % 50 = 0 OR p_size % 9 = 0")
-book.add("jn20_name_collisions", R.name_collisions, [LN("p_partkey >= 0")], f"SELECT p_brand AS line_id, {_N.format('p_name')} AS key, count(DISTINCT p_partkey) AS n FROM part GROUP BY 1, 2 HAVING n > 1")
+book.add("jn20_missing_stations", R.missing_stations, [LN("TRUE"), LN("p_size % 4 = 0"), LN("p_partkey % 50 = 0"), LN("p_size % 9 = 0")], "SELECT DISTINCT p_brand AS line_id, p_name AS name FROM part EXCEPT SELECT p_brand, p_name FROM part WHERE p_size % 4 = 0 OR p_partkey % 50 = 0 OR p_size % 9 = 0")
+book.add("jn20_name_collisions", R.name_collisions, [LN("TRUE")], f"SELECT p_brand AS line_id, {_N.format('p_name')} AS key, count(DISTINCT p_partkey) AS n FROM part GROUP BY 1, 2 HAVING n > 1")
 book.add("jn21_rename_check", R.rename_check, ["SELECT concat('n', s_suppkey) AS old_name, concat('n', s_suppkey + 3) AS new_name FROM supplier", "SELECT concat('n', s_suppkey) AS name FROM supplier WHERE s_suppkey % 5 < 2"], """WITH r AS (SELECT concat('n', s_suppkey) AS old_name, concat('n', s_suppkey + 3) AS new_name FROM supplier), t AS (SELECT concat('n', s_suppkey) AS name FROM supplier WHERE s_suppkey % 5 < 2), f AS (SELECT *, old_name IN (SELECT name FROM t) AS o, new_name IN (SELECT name FROM t) AS n FROM r)
   SELECT old_name, new_name, CASE WHEN n AND NOT o THEN 'ADOPTED' WHEN o AND NOT n THEN 'STALE' WHEN o THEN 'BOTH' ELSE 'NEITHER' END AS status FROM f""")
 book.add("jn22_allow_list", lambda a, b: R.not_listed(a, b, "from_node", "to_node"), ["v_edges", "SELECT to_node AS from_node, from_node AS to_node FROM v_edges WHERE from_node % 3 = 0"], "SELECT * FROM v_edges e WHERE NOT EXISTS (SELECT 1 FROM v_edges a WHERE a.from_node % 3 = 0 AND least(a.from_node, a.to_node) = least(e.from_node, e.to_node) AND greatest(a.from_node, a.to_node) = greatest(e.from_node, e.to_node))")
@@ -84,6 +84,7 @@ book.add("jn29_precedence", R.positions_by_precedence, PP, f"""WITH r AS ({PP[0]
 GP = ["SELECT n_nationkey AS gap_id, concat('op', n_regionkey) AS operator, 'L1' AS line, concat('n', n_nationkey) AS name FROM nation", "SELECT concat('op', c_nationkey % 5) AS operator, 'L1' AS line, concat('n', c_custkey % 40) AS name, c_custkey AS row_no FROM customer WHERE c_custkey % 3 > 0"]
 book.add("jn32_gap_evidence", lambda g, r: R.gap_evidence(g, r, F.col("operator") != "op0"), GP, f"""WITH g AS ({GP[0]}), r AS ({GP[1]}), j AS (SELECT gap_id, g.operator, count(r.row_no) AS n_rows, sha256(string_agg(sha256({canonical(line='r.line', name='r.name', operator='r.operator', row_no='r.row_no')}), '' ORDER BY sha256({canonical(line='r.line', name='r.name', operator='r.operator', row_no='r.row_no')})) FILTER (WHERE row_no IS NOT NULL)) AS hash FROM g LEFT JOIN r USING (operator, line, name) GROUP BY 1, 2)
   SELECT gap_id, n_rows, hash, CASE WHEN operator = 'op0' THEN 'OUT_OF_SCOPE' WHEN n_rows > 0 THEN 'MATCHED' ELSE 'UNMATCHED' END AS status FROM j""")
-CD = ["SELECT c_nationkey AS region, c_mktsegment AS domain FROM customer WHERE c_custkey % 17 = 0", "SELECT s_nationkey AS region, 'BUILDING' AS domain FROM supplier"]
+CD = ["SELECT CASE WHEN c_custkey % 17 = 0 THEN c_nationkey ELSE c_custkey + 100 END AS region, c_mktsegment AS domain FROM customer", "SELECT s_nationkey AS region, 'BUILDING' AS domain FROM supplier"]
 book.add("jn33_declarations", lambda a, b: R.coverage_declarations(a, b, ["region", "domain"]), CD, f"WITH d AS ({CD[0]}), s AS (SELECT DISTINCT * FROM ({CD[1]})) SELECT region, domain, 'DUPLICATE' AS reason FROM d GROUP BY 1, 2 HAVING count(*) > 1 UNION ALL (SELECT region, domain, 'UNSUPPORTED' FROM d EXCEPT SELECT region, domain, 'UNSUPPORTED' FROM s) UNION ALL (SELECT region, domain, 'MISSING' FROM s EXCEPT SELECT region, domain, 'MISSING' FROM d)")
-book.add("jn34_scope_equality", lambda a, b: R.scope_equality({"roster": a, "queried": b}, ["id"]), ["SELECT p_size AS id FROM part WHERE p_partkey % 2 = 0", "SELECT p_size AS id FROM part WHERE p_partkey % 3 = 0"], "(SELECT p_size AS id, 'roster' AS has, 'queried' AS lacks FROM part WHERE p_partkey % 2 = 0 EXCEPT ALL SELECT p_size, 'roster', 'queried' FROM part WHERE p_partkey % 3 = 0) UNION ALL (SELECT p_size, 'queried', 'roster' FROM part WHERE p_partkey % 3 = 0 EXCEPT ALL SELECT p_size, 'queried', 'roster' FROM part WHERE p_partkey % 2 = 0)")
+SCOPES = ["SELECT CASE WHEN p_partkey % 2 = 0 THEN p_size ELSE p_size + 20 END AS id FROM part", "SELECT CASE WHEN p_partkey % 3 = 0 THEN p_size ELSE p_size + 35 END AS id FROM part"]
+book.add("jn34_scope_equality", lambda a, b: R.scope_equality({"roster": a, "queried": b}, ["id"]), SCOPES, "(SELECT id, 'roster' AS has, 'queried' AS lacks FROM ({0}) EXCEPT ALL SELECT id, 'roster', 'queried' FROM ({1})) UNION ALL (SELECT id, 'queried', 'roster' FROM ({1}) EXCEPT ALL SELECT id, 'queried', 'roster' FROM ({0}))".format(*SCOPES))

@@ -44,11 +44,12 @@ CHAIN = "SELECT concat(event_type, '-', user_id % 30, '-', @days(ts)) AS grp, ev
 book.add("wn12_chain_departures", lambda d: T.chain_departures(d, 60, 3000), [CHAIN], None)
 book.add("wn13_chain_nearest", lambda d: T.chain_nearest(d, 1200, 1800), [CHAIN], None)
 book.add("wn22_stop_patterns", T.stop_patterns, ["v_stops"], "SELECT trip_id, string_agg(station_id::VARCHAR, '>' ORDER BY stop_no) AS pattern, sha256(string_agg(station_id::VARCHAR, '>' ORDER BY stop_no)) AS pattern_hash, count(*) AS stops FROM v_stops GROUP BY trip_id")
-book.add("wn22_passed_through", T.passed_through, ["v_stops", "SELECT s_suppkey AS station_id, s_suppkey AS seq FROM supplier WHERE s_suppkey < 30"],
-  """WITH a AS (SELECT DISTINCT trip_id, station_id AS seq FROM v_stops JOIN supplier ON s_suppkey = station_id WHERE station_id < 30), e AS (SELECT trip_id, min(seq) AS lo, max(seq) AS hi FROM a GROUP BY trip_id)
-  SELECT trip_id, s_suppkey AS station_id FROM e JOIN supplier ON s_suppkey BETWEEN lo AND hi AND s_suppkey < 30 WHERE NOT EXISTS (SELECT 1 FROM a WHERE a.trip_id = e.trip_id AND a.seq = s_suppkey)""")
-book.add("wn24_run_lines", lambda d: T.run_lines(d, "L0"), ["SELECT trip_id, stop_no, array('L0', 'L1', 'L2') AS line_ids FROM v_stops WHERE station_id % 3 = 0 UNION ALL SELECT trip_id, stop_no, array('L1', 'L3') AS line_ids FROM v_stops WHERE station_id % 3 > 0 AND station_id % 7 > 0 UNION ALL SELECT trip_id, stop_no, array('L2', 'L3') AS line_ids FROM v_stops WHERE station_id % 21 = 7"],
-  """WITH k AS (SELECT trip_id, bool_or(station_id % 3 = 0) AS a, bool_or(station_id % 3 > 0 AND station_id % 7 > 0) AS b, bool_or(station_id % 21 = 7) AS c FROM v_stops WHERE station_id % 3 = 0 OR station_id % 7 > 0 OR station_id % 21 = 7 GROUP BY trip_id),
+CORRIDOR = "SELECT s_suppkey AS station_id, CAST(row_number() OVER (PARTITION BY s_nationkey ORDER BY s_suppkey) AS INT) AS seq FROM supplier WHERE s_nationkey = 3"  # a line through one nation
+book.add("wn22_passed_through", T.passed_through, ["v_stops", CORRIDOR],
+  f"""WITH c AS ({CORRIDOR}), a AS (SELECT DISTINCT trip_id, seq FROM v_stops JOIN c USING (station_id)), e AS (SELECT trip_id, min(seq) AS lo, max(seq) AS hi FROM a GROUP BY trip_id)
+  SELECT trip_id, station_id FROM e JOIN c ON seq BETWEEN lo AND hi WHERE NOT EXISTS (SELECT 1 FROM a WHERE a.trip_id = e.trip_id AND a.seq = c.seq)""")
+book.add("wn24_run_lines", lambda d: T.run_lines(d, "L0"), ["SELECT trip_id, stop_no, array('L0', 'L1', 'L2') AS line_ids FROM v_stops WHERE station_id % 3 = 0 UNION ALL SELECT trip_id, stop_no, array('L1', 'L3') AS line_ids FROM v_stops WHERE station_id % 3 > 0 AND station_id % 7 > 0 UNION ALL SELECT trip_id, stop_no, array('L2', 'L3') AS line_ids FROM v_stops WHERE station_id % 3 > 0 AND station_id % 7 = 0"],
+  """WITH k AS (SELECT trip_id, bool_or(station_id % 3 = 0) AS a, bool_or(station_id % 3 > 0 AND station_id % 7 > 0) AS b, bool_or(station_id % 3 > 0 AND station_id % 7 = 0) AS c FROM v_stops GROUP BY trip_id),
   m AS (SELECT trip_id, list_filter(['L0', 'L1', 'L2', 'L3'], lambda x: (NOT a OR x IN ('L0', 'L1', 'L2')) AND (NOT b OR x IN ('L1', 'L3')) AND (NOT c OR x IN ('L2', 'L3'))) AS l FROM k)
   SELECT trip_id, CASE WHEN list_contains(l, 'L0') THEN 'L0' WHEN len(l) = 1 THEN l[1] END AS line_id, CASE WHEN list_contains(l, 'L0') OR len(l) = 1 THEN NULL WHEN len(l) = 0 THEN 'NO_COMMON_LINE' ELSE 'SEVERAL_LINES' END AS reason FROM m""")
 OD = "SELECT a.trip_id AS train, a.station_id AS origin, a.stop_no AS origin_seq, a.departure AS departs, b.station_id AS destination, b.stop_no AS destination_seq, b.departure + CASE WHEN a.station_id % 29 = 0 THEN 1 ELSE 0 END AS arrives FROM v_stops AS a JOIN v_stops AS b ON a.trip_id = b.trip_id AND a.stop_no < b.stop_no WHERE a.station_id % 41 > 0"
@@ -62,7 +63,7 @@ book.add("jn10_ride_consistency", lambda s, e: T.ride_consistency(T.segment_time
   SELECT coalesce(seg.from_station, e.from_station) AS from_station, coalesce(seg.to_station, e.to_station) AS to_station, coalesce(seg.line_id, e.line_id) AS line_id, median_seconds, duration_seconds,
   CASE WHEN median_seconds IS NULL THEN 'EDGE_ONLY' WHEN duration_seconds IS NULL THEN 'TIMETABLE_ONLY' WHEN abs(median_seconds - duration_seconds) > 60 AND abs(median_seconds - duration_seconds) > duration_seconds * 0.25 THEN 'VIOLATION' ELSE 'MATCHED' END AS status
   FROM seg FULL JOIN e ON seg.from_station = e.from_station AND seg.to_station = e.to_station AND seg.line_id = e.line_id""")
-QUOTES = "SELECT a.s_suppkey AS origin, b.s_suppkey AS destination, 1250 + 100 * ((a.s_suppkey + b.s_suppkey) % 9) AS fare FROM supplier AS a JOIN supplier AS b ON (a.s_suppkey * 7 + b.s_suppkey) % 13 = 1"
+QUOTES = "SELECT DISTINCT a.s_suppkey AS origin, b.s_suppkey AS destination, 1250 + 100 * ((a.s_suppkey + b.s_suppkey) % 9) AS fare FROM (SELECT DISTINCT trip_id AS t, station_id AS s_suppkey, stop_no FROM v_stops) AS a JOIN (SELECT trip_id AS t, station_id AS s_suppkey, stop_no FROM v_stops) AS b ON a.t = b.t AND b.stop_no BETWEEN a.stop_no - 1 AND a.stop_no + 2 AND a.s_suppkey <> b.s_suppkey"
 book.add("jn11_attach_fares", T.attach_fares, ["v_stops", QUOTES], f"""WITH q AS ({QUOTES}), f AS (SELECT trip_id, station_id, min(stop_no) AS no FROM v_stops GROUP BY ALL)
   SELECT o.trip_id, origin, destination, fare FROM q JOIN f o ON o.station_id = origin JOIN f d ON d.station_id = destination AND d.trip_id = o.trip_id WHERE d.no > o.no""")
 ITIN = "SELECT trip_id, min(station_id) AS origin, max(station_id) AS destination, min(departure) AS departs, max(departure) AS arrives FROM v_stops GROUP BY trip_id"

@@ -58,7 +58,8 @@ book.add("gr07_bidirectional", G.expand_bidirectional, ["SELECT from_node, to_no
 book.add("gr08_replace_edges", lambda e, n: G.replace_edges(e, "A", n), [RIDES, "SELECT CAST(-n_nationkey - 1 AS BIGINT) AS edge_id, 'A' AS line_id, CAST(n_nationkey AS BIGINT) AS from_station, CAST(n_regionkey AS BIGINT) AS to_station, 60 AS seconds, 900 AS metres, 'LOCAL' AS pattern FROM nation"],
   f"SELECT * FROM ({RIDES}) WHERE NOT (line_id = 'A' AND pattern = 'LOCAL') UNION ALL SELECT -n_nationkey - 1, 'A', n_nationkey, n_regionkey, 60, 900, 'LOCAL' FROM nation")
 book.add("gr09_remap_ids", lambda e, m: G.remap_ids(e, m, "from_node", "to_node"), ["v_edges", "SELECT node AS old_id, node + 100 AS new_id FROM v_nodes WHERE node % 6 = 0"], "SELECT CASE WHEN from_node % 6 = 0 THEN from_node + 100 ELSE from_node END AS from_node, CASE WHEN to_node % 6 = 0 THEN to_node + 100 ELSE to_node END AS to_node FROM v_edges")
-book.add("gr09_remap_conflicts", G.remap_conflicts, ["SELECT p_size AS old_id, p_partkey % 60 + 40 AS new_id FROM part WHERE p_partkey % 11 = 0"], "WITH m AS (SELECT p_size AS old_id, p_partkey % 60 + 40 AS new_id FROM part WHERE p_partkey % 11 = 0) SELECT old_id, 'TWO_TARGETS' AS reason FROM m GROUP BY 1 HAVING count(DISTINCT new_id) > 1 UNION ALL SELECT DISTINCT old_id, 'IS_TARGET' FROM m WHERE old_id IN (SELECT new_id FROM m)")
+IDS = "SELECT CASE WHEN p_partkey % 11 = 0 THEN p_size ELSE p_partkey + 1000 END AS old_id, CASE WHEN p_partkey % 11 = 0 THEN p_partkey % 60 + 40 ELSE p_partkey % 700 + 1200 END AS new_id FROM part"
+book.add("gr09_remap_conflicts", G.remap_conflicts, [IDS], f"WITH m AS ({IDS}) SELECT old_id, 'TWO_TARGETS' AS reason FROM m GROUP BY 1 HAVING count(DISTINCT new_id) > 1 UNION ALL SELECT DISTINCT old_id, 'IS_TARGET' FROM m WHERE old_id IN (SELECT new_id FROM m)")
 SNAP = "SELECT snapshot_id, source_id, CASE WHEN snapshot_id % 13 = 0 THEN NULL WHEN snapshot_id % 17 = 0 THEN -snapshot_id ELSE previous_id END AS previous_id, retrieved_at - CASE WHEN snapshot_id % 19 = 0 THEN 900000000 ELSE 0 END AS retrieved_at FROM v_snapshots"
 book.add("gr10_lineage", G.lineage, [SNAP], f"""WITH s AS ({SNAP}), j AS (SELECT s.*, p.retrieved_at AS before, p.source_id AS ps, CASE WHEN s.previous_id IS NULL THEN 1 ELSE count(*) OVER (PARTITION BY s.source_id, s.previous_id) END AS children, sum((s.previous_id IS NULL)::INT) OVER (PARTITION BY s.source_id) AS roots FROM s LEFT JOIN s p ON p.snapshot_id = s.previous_id)
   SELECT source_id, snapshot_id, 'SEVERAL_ROOTS' AS reason FROM j WHERE roots <> 1 AND previous_id IS NULL UNION ALL SELECT source_id, snapshot_id, 'FORK' FROM j WHERE children > 1 UNION ALL SELECT source_id, snapshot_id, 'UNKNOWN_PREVIOUS' FROM j WHERE previous_id IS NOT NULL AND ps IS NULL

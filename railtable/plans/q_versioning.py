@@ -32,7 +32,7 @@ S0 = "SELECT user_id % 7 AS day, event_type AS set_name, user_id AS member FROM
 S1 = "SELECT user_id % 7 AS day, event_type AS set_name, user_id AS member FROM events WHERE event_id % 5 > 2"
 book.add("dq06_compare_sets", V.compare_sets, [S0, S1], f"""WITH a AS (SELECT DISTINCT * FROM ({S0})), b AS (SELECT DISTINCT * FROM ({S1})), d AS (SELECT *, 'R' AS side FROM (SELECT * FROM a EXCEPT SELECT * FROM b) UNION ALL SELECT *, 'A' FROM (SELECT * FROM b EXCEPT SELECT * FROM a))
   SELECT day, set_name, count(*) FILTER (WHERE side = 'R') AS removed, count(*) FILTER (WHERE side = 'A') AS added FROM d GROUP BY 1, 2""")
-NAMES = "SELECT p_name AS name, p_partkey AS station_id, p_brand AS line_id FROM part WHERE p_partkey % 4 = 0"
+NAMES = "SELECT p_name AS name, p_partkey AS station_id, p_brand AS line_id FROM part"
 DEC = "SELECT p_name AS name, max(CASE WHEN p_size % 5 = 0 THEN 'MAYBE' ELSE 'MERGE' END) AS decision, {} AS station_ids FROM part WHERE p_size > 20 GROUP BY p_name"
 book.add("dq07_identity", V.identity_violations, [NAMES, DEC.format("array_agg(CAST(p_partkey AS STRING))")], f"""WITH s AS (SELECT name, count(DISTINCT station_id) AS n, list_sort(list(DISTINCT station_id::VARCHAR)) AS actual FROM ({NAMES}) GROUP BY name HAVING count(DISTINCT station_id) > 1), d AS ({DEC.format("list_sort(list(DISTINCT p_partkey::VARCHAR))")}),
   r AS (SELECT s.name, n, CASE WHEN decision IS NULL THEN 'NO_DECISION' WHEN decision NOT IN ('MERGE', 'DISTINCT') THEN 'UNKNOWN_DECISION' WHEN station_ids <> actual THEN 'OTHER_STATIONS' END AS reason FROM s LEFT JOIN d USING (name)) SELECT * FROM r WHERE reason IS NOT NULL""")

@@ -48,3 +48,28 @@ def test_main_inputs(spark):
     assert horizon.groupBy().sum("missing").first()[0] == table(spark, "events").where("event_id % 70 = 0").count()
     od = q_reconcile.QUERIES["jn26_od_matrix"](spark, SF)
     assert od.count() == n["supplier"] * (n["supplier"] - 1)
+
+
+#: First inputs that leave out rows since that is their part: one of two versions (dq*, jn28), a source's list that lacks stations (jn05) or pairs (wn26), raw objects that
+#: lack some (pl04), a selection (pl10), nodes or ends beside the segments or nodes of the other input (jn18, jn30, jn31), transfers between two lines (wn19), branches of a union that reads all (wn24).
+PARTS = set("dq01_diff_table dq02_diff_by_line dq03_diff_positions dq04_unequal_within dq06_compare_sets dq16_transition_check jn05_ordinal jn18_nearest_segment jn28_reconcile jn30_off_track jn31_snap_ends pl04_purge_plan pl10_select_snapshots wn19_direction_pairs wn24_run_lines wn26_trips_from_pairs".split())
+
+
+def test_first_inputs_are_not_thinned():
+    """No first input leaves rows out by a remainder or a bound on numbers, but for those named above."""
+    import re
+
+    from railtable.plans import registry
+
+    thin = re.compile(r"(?i)\bwhere\b[^()]*(key|id|size|linenumber)\s*(%|<|>=?\s*\d)")
+    for name, run in registry.queries().items():
+        held = dict(zip(run.__code__.co_freevars, run.__closure__ or (), strict=False))
+        first = held["sqls"].cell_contents[0] if "sqls" in held and held["sqls"].cell_contents else ""
+        assert name in PARTS or not thin.search(re.sub(r"(?is)case .*? end", "", first)), name
+
+
+def test_all_stops_are_in_a_branch(spark):
+    from railtable.plans import q_timetable
+
+    got = q_timetable.QUERIES["wn24_run_lines"](spark, SF)
+    assert got.count() == view(spark, SF, "SELECT DISTINCT trip_id FROM v_stops").count()
