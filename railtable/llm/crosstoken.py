@@ -29,11 +29,12 @@ from railtable.llm.vocab import sent_bytes, vocabulary_file
 
 BYTE_BPE, PIECES = "byte_bpe_50k.json", "piece_bpe_32k.model"
 #: Pieces and windows, and links of windows, that a task remembers before it starts anew.
-REMEMBERED, REMEMBERED_LINKS = 400_000, 4 << 20
+REMEMBERED, REMEMBERED_LINKS = 300_000, 4 << 20
 #: Id pairs whose counts are broadcast: 17 bytes each, 17 MB in all; the counts of further pairs are joined.
 BROADCAST_PAIRS = 1_000_000
 #: Bytes of text that make up one batch of results.
 BATCH = 2 << 20
+_BAR = b"\xff\xff"
 SHIFT = 20  # a pair of ids is one long: a * 2^20 + b
 #: A space behind a character that is not white space, where both tokenizers begin a token.
 _ODD = re.compile(r"\s ")
@@ -48,7 +49,7 @@ class Pair:
 
     A window's results stand in lists, at a number that its ids are remembered by; a piece is remembered as the numbers of its windows."""
 
-    def __init__(self, spec_a: bytes, spec_b: bytes):
+    def __init__(self, spec_a: bytes, spec_b: bytes, quick: bool = False):
         import sentencepiece
         from tokenizers import Tokenizer
 
@@ -69,18 +70,20 @@ class Pair:
         self.flat = [np.frombuffer(b"".join(x), np.uint8) for x in (self.bytes_a, self.bytes_b)]
         self.begins = [np.cumsum(x) - x for x in self.sizes]
         self.space = [np.array([t[:1] == b" " for t in x], bool) for x in (self.bytes_a, self.bytes_b)]
-        self.quick = self._quick(spec_a)
+        self.quick = self._by_ranks() if quick else None
         #: Each id as text with each mark that may follow it: the id's place in the table is 3 * id + the mark's.
         marked = [f"{i}{m}".encode() for i in range(max(len(self.bytes_a), len(self.bytes_b))) for m in ",|;"]
         self.marked, self.marked_size = np.frombuffer(b"".join(marked), np.uint8), np.array(list(map(len, marked)), np.int64)
         self.marked_begin = np.cumsum(self.marked_size) - self.marked_size
-        self.pieces: dict[str, tuple[int, ...] | None] = {}
+        if max(len(self.bytes_a), len(self.bytes_b)) > 0xFFFF:
+            raise ValueError("ids have to fit two bytes")
+        self.pieces: dict[str, int | tuple[int, ...] | None] = {}  # the number of its window, or of several
         self.forget()
 
     def forget(self) -> None:
         """Empties what is remembered; numbers of windows given out before mean nothing any more."""
         self.pieces.clear()
-        self.windows: dict[tuple[tuple[int, ...], tuple[int, ...]], int] = {}
+        self.windows: dict[bytes, int] = {}
         self.texts: list[str] = []
         self.counts = array("q")  # tokens of A, of B, groups and links of each window
         self.links = array("q")
@@ -110,16 +113,11 @@ class Pair:
             out[k] = x.ids
         return out
 
-    def _quick(self, spec: bytes):
-        """A's encoder for printable ASCII by ranks, if the file's ids are in the order of its merges and the merges make every token of its own bytes (so that a word
-        which is a token is that token)."""
+    def _by_ranks(self):
+        """A's encoder for printable ASCII where `in_merge_order` says that ranks give the same."""
         import tiktoken
 
-        own = Bpe(spec)
-        base = sum(r < 0 for r in (own.born[i] for i in own.ids.values()))
-        if any(own.born[i] != max(-1, i - base) or not own.length[i] for i in own.ids.values()):
-            return None
-        ranks = {self.bytes_a[i]: i for i in own.ids.values()}
+        ranks = {self.bytes_a[i]: i for t, i in self.a.get_vocab(with_added_tokens=False).items()}
         return tiktoken.Encoding("a", pat_str=_WORDS, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
 
     def learn(self, pieces: list[str]) -> None:
@@ -130,8 +128,9 @@ class Pair:
         edge = np.concatenate([[0], np.cumsum(list(map(len, raw)))])
         whole = np.frombuffer(b"".join(raw), np.uint8)
         fine = np.ones(len(pieces), bool)
+        flats = [_flat(x) for x in ids]
         for side in (0, 1):
-            flat, edges = _flat(ids[side])
+            flat, edges = flats[side]
             total = np.concatenate([[0], np.cumsum(self.sizes[side][flat])])[edges]
             fine &= np.diff(total) == np.diff(edge)
             if (total == edge).all():  # all as long as they should be: compared in one go
@@ -140,32 +139,36 @@ class Pair:
             else:
                 table = (self.bytes_a, self.bytes_b)[side]
                 fine &= np.array([b"".join(map(table.__getitem__, x)) == r for x, r in zip(ids[side], raw, strict=True)])
-        keys: list[list[tuple]] = []
-        for piece, a, b, ok in zip(pieces, *ids, fine.tolist(), strict=True):
-            if not ok:
-                self.pieces[piece] = None
-                keys.append([])
-            elif " " in piece[1:]:
-                keys.append(self.cut(a, b))
+        packed = [(x.astype("<u2").tobytes(), (2 * e).tolist()) for x, e in flats]
+        (a, p), (b, r) = packed
+        plain: list[bytes] = [a[i:j] + _BAR + b[k:m] for i, j, k, m in zip(p[:-1], p[1:], r[:-1], r[1:], strict=True)]
+        odd = {k: self.cut(ids[0][k], ids[1][k]) if fine[k] else None for k in np.flatnonzero(~fine | np.array([" " in x[1:] for x in pieces])).tolist()}
+        self.align([key for k, key in enumerate(plain) if k not in odd] + [key for x in odd.values() if x for key in x])
+        number = self.windows.__getitem__
+        for k, piece in enumerate(pieces):
+            if k not in odd:
+                self.pieces[piece] = number(plain[k])
             else:
-                keys.append([(tuple(a), tuple(b))])
-        self.align([k for x in keys for k in x])
-        for piece, own in zip(pieces, keys, strict=True):
-            if own:
-                self.pieces[piece] = tuple(map(self.windows.__getitem__, own))
-
-    def remember(self, texts: list[str]) -> None:
-        """Learns what the pieces of some texts need."""
-        new = {x for t in texts for x in self.split(t)}.difference(self.pieces)
-        if new:
+                own = odd[k]
+                self.pieces[piece] = None if own is None else tuple(map(number, own))
+
+    def texts_of(self, texts: list[str]) -> list[list[int]]:
+        """The windows of each whole text; none if the joined bytes of either tokenizer are not those of " " + text. Pieces that are not remembered are learned first, all at once.
+        Where a piece's bytes are not the tokens', the whole text decides, since pieces could make up for each other."""
+        parts = [self.split(t) if t else [] for t in texts]
+        if new := set(itertools.chain.from_iterable(parts)).difference(self.pieces):
             self.learn(list(new))
+        look, out = self.pieces.__getitem__, []
+        for text, own in zip(texts, parts, strict=True):
+            found = list(map(look, own))
+            if None in found:
+                found = self._whole(text)
+            elif tuple in set(map(type, found)):
+                found = [n for x in found for n in (x if type(x) is tuple else (x,))]
+            out.append(found)
+        return out
 
-    def text(self, text: str) -> list[int]:
-        """The windows of a whole text whose pieces are remembered; none if the joined bytes of either tokenizer are not those of " " + text. Where a
-        piece's are not, the whole text decides, since pieces could make up for each other."""
-        found = list(map(self.pieces.__getitem__, self.split(text)))
-        if None not in found:
-            return list(itertools.chain.from_iterable(found))
+    def _whole(self, text: str) -> list[int]:
         ids_a, ids_b = self.tokens(" " + text)
         raw = (" " + text).encode()
         if b"".join(map(self.bytes_a.__getitem__, ids_a)) != raw or b"".join(map(self.bytes_b.__getitem__, ids_b)) != raw:
@@ -174,23 +177,28 @@ class Pair:
         self.align(keys)
         return list(map(self.windows.__getitem__, keys))
 
-    def cut(self, ids_a: list[int], ids_b: list[int]) -> list[tuple[tuple[int, ...], tuple[int, ...]]]:
-        """Windows (ids of A, ids of B) of tokens of the same bytes, cut at their anchors: places where a token of both ends and the next of both begins
+    def cut(self, ids_a: list[int], ids_b: list[int]) -> list[bytes]:
+        """Windows of tokens of the same bytes, cut at their anchors: places where a token of both ends and the next of both begins
         with a space."""
         a, b = np.array(ids_a, np.int64), np.array(ids_b, np.int64)
         _, i, j = np.intersect1d(np.cumsum(self.sizes[0][a]), np.cumsum(self.sizes[1][b]), assume_unique=True, return_indices=True)
         i, j = i[:-1] + 1, j[:-1] + 1  # the tokens behind each shared end but the last
         anchor = self.space[0][a[i]] & self.space[1][b[j]]
         at_a, at_b = [0, *i[anchor].tolist(), len(ids_a)], [0, *j[anchor].tolist(), len(ids_b)]
-        return [(tuple(ids_a[p:q]), tuple(ids_b[r:s])) for p, q, r, s in zip(at_a[:-1], at_a[1:], at_b[:-1], at_b[1:], strict=True)]
+        return [window_key(ids_a[p:q], ids_b[r:s]) for p, q, r, s in zip(at_a[:-1], at_a[1:], at_b[:-1], at_b[1:], strict=True)]
 
-    def align(self, keys: list[tuple[tuple[int, ...], tuple[int, ...]]]) -> None:
+    def align(self, keys: list[bytes]) -> None:
         """Aligns those windows that are not remembered by their ids, all at once: they stand one after another, with the same bytes in A and in B. Between two neighbouring
         ends (of either) lies the overlap of one token of A with one of B, and each overlap is such a stretch: these are the links; where both end, a group does."""
         new = list(dict.fromkeys(k for k in keys if k not in self.windows))
         if not new:
             return
-        (a, edge_a), (b, edge_b) = _flat([k[0] for k in new]), _flat([k[1] for k in new])
+        ids = np.frombuffer(b"".join(new), "<u2").astype(np.int64)
+        size = np.fromiter(map(len, new), np.int64, len(new)) // 2
+        bar, edge, at = np.flatnonzero(ids == 0xFFFF), np.concatenate([[0], np.cumsum(size)]), np.arange(len(ids))
+        a, b = ids[at < np.repeat(bar, size)], ids[at > np.repeat(bar, size)]
+        edge_a = np.concatenate([[0], np.cumsum(bar - edge[:-1])])
+        edge_b = np.concatenate([[0], np.cumsum(edge[1:] - bar - 1)])
         end_a, end_b = np.cumsum(self.sizes[0][a]), np.cumsum(self.sizes[1][b])
         ends = np.union1d(end_a, end_b)
         links = a[np.searchsorted(end_a, ends)] << SHIFT | b[np.searchsorted(end_b, ends)]
@@ -212,6 +220,11 @@ class Pair:
         self.windows.update(zip(new, range(first, first + len(new)), strict=True))
 
 
+def window_key(ids_a: list[int], ids_b: list[int]) -> bytes:
+    """The ids of A and of B as one key, two bytes each, with a bar (no id) between them."""
+    return np.array(ids_a, "<u2").tobytes() + _BAR + np.array(ids_b, "<u2").tobytes()
+
+
 def _flat(lists: list) -> tuple[np.ndarray, np.ndarray]:
     """The numbers of all lists, and where each list begins and ends."""
     edges = np.concatenate([[0], np.cumsum(np.fromiter(map(len, lists), np.int64, len(lists)))])
@@ -231,15 +244,23 @@ def _byte_level() -> dict[str, int]:
     return {chr(b): b for b in shown} | {chr(256 + k): b for k, b in enumerate(hidden)}
 
 
+def in_merge_order(spec: bytes) -> bool:
+    """Are the file's ids in the order of its merges, and do the merges make every token of its own bytes? Then encoding by ranks, where a word that is a token is that
+    token, gives the merges' ids."""
+    own = Bpe(spec)
+    base = sum(own.born[i] < 0 for i in own.ids.values())
+    return all(own.born[i] == max(-1, i - base) and own.length[i] for i in own.ids.values())
+
+
 _made: dict[int, Pair] = {}
 
 
-def _pair(spec_a: bytes, spec_b: bytes) -> Pair:
+def _pair(spec_a: bytes, spec_b: bytes, quick: bool) -> Pair:
     """Both tokenizers, made once a worker."""
     key = hash((spec_a, spec_b))
     if key not in _made:
         _made.clear()
-        _made[key] = Pair(spec_a, spec_b)
+        _made[key] = Pair(spec_a, spec_b, quick)
     return _made[key]
 
 
@@ -253,9 +274,11 @@ def align(docs: DataFrame, byte_bpe: str | None = None, pieces: str | None = Non
     spark = docs.sparkSession
     sent = [sent_bytes(spark, byte_bpe or vocabulary_file(spark, BYTE_BPE)), sent_bytes(spark, pieces or vocabulary_file(spark, PIECES))]
 
+    quick = in_merge_order(sent[0].value)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         gc.disable()  # what is remembered holds no cycles, and searching it for some takes a fifth of the time
-        pair = _pair(sent[0].value, sent[1].value)
+        pair = _pair(sent[0].value, sent[1].value, quick)
         for batch in batches:
             texts = batch.column(1)
             size = np.cumsum([0, *(x or 0 for x in pc.binary_length(texts).to_pylist())])
@@ -263,8 +286,7 @@ def align(docs: DataFrame, byte_bpe: str | None = None, pieces: str | None = Non
             while i < len(batch):
                 j = max(i + 1, int(np.searchsorted(size, size[i] + BATCH, "right")) - 1)
                 some = [t or "" for t in texts.slice(i, j - i).to_pylist()]
-                pair.remember([t for t in some if t])
-                yield _aligned(pair, batch.column(0).slice(i, j - i), [pair.text(t) if t else [] for t in some])
+                yield _aligned(pair, batch.column(0).slice(i, j - i), pair.texts_of(some))
                 if pair.full():
                     pair.forget()
                 i = j

@@ -5,6 +5,7 @@ import os
 import random
 from collections import Counter
 
+import numpy as np
 import pytest
 from conftest import rows
 
@@ -24,7 +25,9 @@ def pair(spark):
     for f in (crosstoken.BYTE_BPE, crosstoken.PIECES):
         with open(vocabulary_file(spark, f), "rb") as x:
             out.append(x.read())
-    return crosstoken.Pair(*out)
+    made = crosstoken.Pair(*out)
+    made.specs = out
+    return made
 
 
 def brute(pair, texts):
@@ -91,13 +94,14 @@ def test_query(spark, pair):
 
 def test_pieces_make_whole_texts(pair):
     """Tokens of the pieces are those of the whole text, and windows are remembered by their ids."""
-    for t in ODD:
-        if t:
-            pair.remember([t])
-        if t and (got := pair.text(t)):
-            ids = {n: k for k, n in pair.windows.items()}
-            assert tuple([i for n in got for i in ids[n][s]] for s in (0, 1)) == pair.tokens(" " + t)
-            assert "".join(pair.split(t)) == " " + t
+    quick = crosstoken.Pair(*pair.specs, crosstoken.in_merge_order(pair.specs[0]))
+    assert quick.quick is not None
+    for own in (pair, quick):
+        for t, got in zip(ODD, own.texts_of([t or "" for t in ODD]), strict=True):
+            if got:
+                ids = {n: [np.frombuffer(x, "<u2").tolist() for x in (k[: 2 * c], k[2 * c + 2 :])] for k, n in own.windows.items() for c in [own.counts[4 * n]]}
+                assert tuple([i for n in got for i in ids[n][s]] for s in (0, 1)) == own.tokens(" " + t)
+                assert "".join(own.split(t)) == " " + t
     size = len(pair.texts)
     again = next(iter(pair.windows))
     pair.align([again, again])
