@@ -3,9 +3,10 @@
 from __future__ import annotations
 
 from bisect import bisect_left
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from itertools import groupby
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -146,19 +147,18 @@ class _Open:
         return lo, n
 
 
-def _chain(pdf: pd.DataFrame, pick: Callable[[_Open, int, int], tuple[int, int]], skip: Callable[[_Open, int, int], tuple[int, int]] | None = None) -> pd.DataFrame:
-    """Links each open trip to a departure at the next station, station by station in order of time: pick(open departures, seconds,
-    station number) gives a place and how many were eligible. Where it finds none, skip() may try the station after next. Sorted once;
-    a look-up is a binary search."""
-    rows = pdf.sort_values(["seq", "seconds", "event_id"]).reset_index(drop=True)
-    seqs, secs, ids, ends = (rows[c].tolist() for c in ("seq", "seconds", "event_id", "destination"))
+def _chain(seqs: list[int], secs: list[int], ids: list[int], ends: list[str], pick: Callable[[_Open, int, int], tuple[int, int]], skip: Callable[[_Open, int, int], tuple[int, int]] | None = None) -> tuple[list[int], list[int], list[bool]]:
+    """Of one group's departures, sorted by station, time and id: the trip of each, how many choices there had been by then, and whether it was reached past a missing station.
+    Links each open trip to a departure at the next station, station by station in order of time: pick(open departures, seconds,
+    station number) gives a place and how many were eligible. Where it finds none, skip() may try the station after next.
+    A look-up is a binary search."""
     listed: dict[tuple, tuple[list[int], list[int]]] = {}
     for i, (q, t, d) in enumerate(zip(seqs, secs, ends, strict=True)):
         times, at = listed.setdefault((q, d), ([], []))
         times.append(t)
         at.append(i)
     ready = {k: _Open(*v) for k, v in listed.items()}
-    trip, choices, repaired = [-1] * len(rows), 0, [False] * len(rows)
+    trip, choices, repaired = [-1] * len(ids), 0, [False] * len(ids)
     for i, (q, t, d) in enumerate(zip(seqs, secs, ends, strict=True)):
         if trip[i] < 0:
             trip[i] = ids[i]
@@ -172,23 +172,53 @@ def _chain(pdf: pd.DataFrame, pick: Callable[[_Open, int, int], tuple[int, int]]
         if k >= 0:
             j = there.take(k)
             trip[j], repaired[j] = trip[i], far
-    rows["trip_id"], rows["choices"], rows["repaired"] = trip, choices, repaired
-    return rows[["grp", "event_id", "seq", "seconds", "trip_id", "choices", "repaired"]]
+    return trip, [choices] * len(ids), repaired
 
 
 CHAINED = "grp string, event_id long, seq int, seconds int, trip_id long, choices long, repaired boolean"
 
 
 def _chained(events: DataFrame, pick: Callable, skip: Callable | None = None) -> DataFrame:
+    """Groups stand one after another in sorted partitions; a task holds one group at a time, however many small ones it works off."""
     end = F.col("destination").cast("string") if "destination" in events.columns else F.lit("")
-    rows = events.select("grp", "event_id", "seq", "seconds", F.coalesce(end, F.lit("")).alias("destination"))
-    return rows.groupBy("grp").applyInPandas(lambda pdf: _chain(pdf, pick, skip), CHAINED)
+    rows = events.select("grp", F.col("seq").cast("int").alias("seq"), F.col("seconds").cast("int").alias("seconds"), F.col("event_id").cast("long").alias("event_id"), F.coalesce(end, F.lit("")).alias("destination"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[list] = [[] for _ in range(5)]
+
+        def close(n: int) -> pa.RecordBatch:
+            """The first n held rows, which are whole groups."""
+            grp, seqs, secs, ids, ends = (c[:n] for c in held)
+            out: list[list] = [[], [], []]
+            i = 0
+            for _, own in groupby(grp):
+                j = i + sum(1 for _ in own)
+                for to, got in zip(out, _chain(seqs[i:j], secs[i:j], ids[i:j], ends[i:j], pick, skip), strict=True):
+                    to += got
+                i = j
+            for c in held:
+                del c[:n]
+            types = [pa.string(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.bool_()]
+            return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip((grp, ids, seqs, secs, *out), types, strict=True)], names=["grp", "event_id", "seq", "seconds", "trip_id", "choices", "repaired"])
+
+        for batch in batches:
+            for c, new in zip(held, batch.columns, strict=True):
+                c += new.to_pylist()
+            whole = len(held[0])
+            while whole and held[0][whole - 1] == held[0][-1]:  # the last group may go on
+                whole -= 1
+            if whole:
+                yield close(whole)
+        if held[0]:
+            yield close(len(held[0]))
+
+    return rows.repartition("grp").sortWithinPartitions("grp", "seq", "seconds", "event_id").mapInArrow(run, CHAINED)
 
 
 def chain_departures(events: DataFrame, low: int = 60, high: int = 300) -> DataFrame:
     """WN-12: per group (service day, line and direction), each departure joins the trip whose last one, at the station before and with the
     same destination (if there is such a column), left low to high seconds earlier, if exactly one is open to it; unmatched departures start
-    trips. `choices` counts how often several were eligible. Greedy with a used set: one grouped pandas function per group, whose
+    trips. `choices` counts how often several were eligible. Greedy with a used set, one group at a time, whose
     size the timetable of a day bounds; n log n in it."""
 
     def only(there: _Open, t: int, _: int) -> tuple[int, int]:

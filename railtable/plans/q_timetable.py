@@ -43,6 +43,11 @@ book.add("wn11_adjacency", T.adjacency_violations, ["v_stops", "SELECT s_suppkey
 CHAIN = "SELECT concat(event_type, '-', user_id % 30, '-', @days(ts)) AS grp, event_id, CAST(event_id % 6 AS INT) AS seq, CAST(@secs(ts) % 86400 AS INT) AS seconds FROM events"
 book.add("wn12_chain_departures", lambda d: T.chain_departures(d, 60, 3000), [CHAIN], None)
 book.add("wn13_chain_nearest", lambda d: T.chain_nearest(d, 1200, 1800), [CHAIN], None)
+CHAINED = CHAIN.replace(" FROM events", ", concat('to', user_id % 2) AS destination FROM events")
+RIDES_ = "SELECT CAST(r_regionkey + 1 AS INT) AS seq, 60 + r_regionkey * 30 AS seconds FROM region"
+book.add("wn12_last_stops", lambda d, r: T.last_stops(T.chain_departures(d, 60, 3000), r), [CHAINED, RIDES_], None)
+book.add("wn13_leftovers", lambda d: T.leftovers(T.chain_nearest(d, 1200, 1800)), [CHAINED], None)
+book.add("wn13_accounting", lambda d: T.accounting(d, T.chain_nearest(d, 1200, 1800)), [CHAINED], None)
 book.add("wn22_stop_patterns", T.stop_patterns, ["v_stops"], "SELECT trip_id, string_agg(station_id::VARCHAR, '>' ORDER BY stop_no) AS pattern, sha256(string_agg(station_id::VARCHAR, '>' ORDER BY stop_no)) AS pattern_hash, count(*) AS stops FROM v_stops GROUP BY trip_id")
 CORRIDOR = "SELECT s_suppkey AS station_id, CAST(row_number() OVER (PARTITION BY s_nationkey ORDER BY s_suppkey) AS INT) AS seq FROM supplier WHERE s_nationkey = 3"  # a line through one nation
 book.add("wn22_passed_through", T.passed_through, ["v_stops", CORRIDOR],
