@@ -19,8 +19,8 @@ VOCABULARY = "/opt/tokenizers/piece_bpe_32k.model"
 TEXTS = 1500
 #: Weight of the pooled distribution in each language's.
 POOLED = 2000.0
-#: Words of up to so many bytes share one array of plain probabilities; longer ones are rescaled step by step.
-PLAIN = 40
+#: Words of up to so many bytes share one array of plain probabilities, each byte of which is far above 1e-18; longer ones are rescaled step by step.
+PLAIN = 16
 BLOCK = 4 << 20
 FOLDS, HELD_OUT = 4, 2
 _U = np.uint64
