@@ -211,6 +211,28 @@ def _survivors(least: float):
     return _by_block(act, ["key", "i", "j", "side", "node"])
 
 
+def shared_sizes(left: list[np.ndarray], right: list[np.ndarray], columns: int = 8192) -> np.ndarray:
+    """Sizes of the intersections of each set of `left` with each of `right` (sorted distinct hashes). Hashes that both sides have are the columns of two
+    0/1 matrices, whose product they are; `columns` of them at a time."""
+    out = np.zeros((len(left), len(right)), np.float32)
+    if not left or not right:
+        return out.astype(np.int64)
+    flat = [np.concatenate(x) for x in (left, right)]
+    row = [np.repeat(np.arange(len(x)), [len(s) for s in x]) for x in (left, right)]
+    both = np.intersect1d(*flat)
+    at = [np.minimum(np.searchsorted(both, f), max(0, len(both) - 1)) for f in flat]
+    hit = [both[k] == f if len(both) else np.zeros(len(f), bool) for k, f in zip(at, flat, strict=True)]
+    for first in range(0, len(both), columns):
+        sides = []
+        for k in (0, 1):
+            own = hit[k] & (at[k] >= first) & (at[k] < first + columns)
+            m = np.zeros((len((left, right)[k]), min(columns, len(both) - first)), np.float32)
+            m[row[k][own], at[k][own] - first] = 1
+            sides.append(m)
+        out += sides[0] @ sides[1].T
+    return np.rint(out).astype(np.int64)
+
+
 def _links(percent: int, least: float):
     def act(key: int, _i: int, _j: int, left: list[dict], right: list[dict]) -> list[tuple[int, int]]:
         sets: list[list[np.ndarray]] = []
@@ -219,6 +241,10 @@ def _links(percent: int, least: float):
             for _, _, hashes, edges in vectext.shingle_sets(pa.array([r["text"] for r in rows], pa.string()), SHINGLE):
                 mine += [hashes[p:q].copy() for p, q in zip(edges[:-1], edges[1:], strict=True)]
             sets.append(mine)
+        u, v = _likely_in_block(key, left, right, least)
+        both = shared_sizes(*sets)[u, v]
+        sizes = [np.array([len(x) for x in side], np.int64) for side in sets]
+        linked = 100 * both >= percent * (sizes[0][u] + sizes[1][v] - both)
         root: dict[int, int] = {}
 
         def find(c: int) -> int:
@@ -227,11 +253,11 @@ def _links(percent: int, least: float):
             return c
 
         out = []
-        for u, v in zip(*(x.tolist() for x in _likely_in_block(key, left, right, least)), strict=True):
-            gu, gv = find(left[u]["component"]), find(right[v]["component"])
-            if gu != gv and similar(sets[0][u], sets[1][v], percent):
-                root[max(gu, gv)] = min(gu, gv)
-                out.append((left[u]["node"], right[v]["node"]))
+        for a, b in zip(u[linked].tolist(), v[linked].tolist(), strict=True):  # of links between the same components one is enough
+            ga, gb = find(left[a]["component"]), find(right[b]["component"])
+            if ga != gb:
+                root[max(ga, gb)] = min(ga, gb)
+                out.append((left[a]["node"], right[b]["node"]))
         return out
 
     return _by_block(act, ["a", "b"])
