@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from railtable.llm import bpe, chat, crosstoken, decontam, exactdedup, langid, mixing, neardup, quality, secrets, sharding, suffixtree, whitening
+from railtable.llm import bpe, chat, crosstoken, decontam, exactdedup, langid, mixing, neardup, planted, quality, secrets, sharding, suffixtree, whitening
 from railtable.llm.common import cut, table
 
 
@@ -32,10 +32,12 @@ def op4_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
 
 
 def op5_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All findings of all documents; no table of labelled findings is given, so a rule labels those to learn from."""
+    """All findings of all documents, judged by a forest that has learned from values planted in copies of a bounded sample of them: no table of labelled findings is given."""
     docs = table(spark, sf_dir, "documents")
-    found = cut(secrets.scan(docs, secrets.common_words(docs), path_col="source"), "found")
-    return secrets.judge(found, secrets.train(secrets.weak_labels(found), inputs=secrets.OWN))
+    words = secrets.common_words(docs)
+    plants = cut(planted.planted(docs, path_col="source"), "plants")
+    examples = cut(planted.labelled(secrets.scan(plants, words, path_col="path"), plants), "examples")
+    return secrets.judge(secrets.scan(docs, words, path_col="source"), secrets.train(examples))
 
 
 #: Shares of tokens that a mix of the four languages aims at.

@@ -20,13 +20,16 @@ from pyspark.sql import functions as F
 CANDIDATE = re.compile(r"[A-Za-z0-9_+/.\-@]{12,}+(?:={1,2}(?![\"'=]?[A-Za-z0-9_+/.\-@]))?")
 LONG = 24
 #: Names that stand before a credential; in an identifier they are whole parts (client_secret, apiKey), some its end (authtoken).
-KEY_NAMES = ("token", "secret", "password", "passwd", "api_key", "apikey", "access_key", "private_key", "auth", "credential")
+KEY_NAMES = (
+    "token", "secret", "password", "passwd", "passphrase", "pwd", "pass", "psk", "api_key", "apikey", "access_key", "private_key", "secret_key", "signing_key",
+    "encryption_key", "session_key", "account_key", "client_key", "auth", "credential",
+)
 KEY_PART = re.compile(r"_(?:" + "|".join(KEY_NAMES) + r"|[a-z]+(?:token|secret|password|passwd|apikey))s?\d*_")
 #: A name and the assignment behind it, and the value there: a quoted string, or a run without spaces up to the next field of a query.
 ASSIGNMENT = re.compile(r"(?<![\w.\-])([\w.\-]++)[\"'\])]{0,3}+\s*+[:=]++>?\s*+(?:(?i:bearer|basic)\s++)?")
-QUOTED, BARE = re.compile(r"([\"'`])((?:(?!\1)[^\n\\]|\\.){6,200})\1"), re.compile(r"[\"'`]?((?:(?![&;,][\w.\-]+=)\S){6,})")
-#: A block that is a secret as a whole, in the form that OpenSSL writes.
-PRIVATE_KEY = re.compile(r"-----BEGIN [A-Z ]*PRIVATE KEY-----[A-Za-z0-9+/=\s:,\-]*?-----END [A-Z ]*PRIVATE KEY-----")
+QUOTED, BARE = re.compile(r"([\"'`])((?:(?!\1)[^\n\\]|\\.){6,}+)\1"), re.compile(r"[\"'`]?((?:(?![&;,][\w.\-]+=)\S){6,})")
+#: A block that is a secret as a whole, in the form that OpenSSL writes; without its end as far as its lines of base64 go.
+PRIVATE_KEY = re.compile(r"-----BEGIN [A-Z ]*PRIVATE KEY-----(?:[A-Za-z0-9+/=\s:,\-]*?-----END [A-Z ]*PRIVATE KEY-----|(?:\s*+[A-Za-z0-9+/=]{16,}+)++)")
 #: Forms that issuers document for their keys; fixed values.
 ISSUED_FORMS = r"^(?:A(?:KIA|SIA)[0-9A-Z]{16}|gh[pousr]_[A-Za-z0-9]{36,}|glpat-[\w\-]{20,}|xox[abprs]-[\w\-]{10,}|AIza[\w\-]{35}|[sr]k_(?:live|test)_[A-Za-z0-9]{16,}|eyJ[\w\-]+\.eyJ[\w\-]+\.[\w\-]+|-----BEGIN [A-Z ]*PRIVATE KEY-----[\s\S]*)$"
 #: Kinds of values that are public by their form: numbers, dates and versions, mail addresses, web addresses, plain names and paths of words.
