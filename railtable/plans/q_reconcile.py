@@ -2,6 +2,7 @@
 
 from pyspark.sql import functions as F
 
+from railtable.operators import digests as D
 from railtable.operators import reconcile as R
 from railtable.plans.bind import Book, canonical
 
@@ -59,6 +60,20 @@ PB = ["SELECT DISTINCT l_suppkey AS station_id, l_returnflag AS from_line, l_lin
 book.add("jn25_pathway_baseline", R.pathway_baseline, PB, f"""WITH p AS ({PB[0]}), x AS ({PB[1]}), f AS ({PB[2]}), n AS (SELECT * FROM p WHERE NOT EXISTS (SELECT 1 FROM x WHERE x.station_id = p.station_id AND least(x.from_line, x.to_line) = least(p.from_line, p.to_line) AND greatest(x.from_line, x.to_line) = greatest(p.from_line, p.to_line)))
   SELECT n.*, a.node AS from_node, b.node AS to_node, CASE WHEN a.node IS NULL OR b.node IS NULL THEN 'NO_PLATFORM_NODE' END AS reason FROM n LEFT JOIN f a ON a.station_id = n.station_id AND a.line_id = from_line LEFT JOIN f b ON b.station_id = n.station_id AND b.line_id = to_line""")
 book.add("jn26_od_matrix", R.od_matrix, ["SELECT s_suppkey AS station_id FROM supplier"], "SELECT a.s_suppkey AS origin, b.s_suppkey AS destination FROM supplier a, supplier b WHERE a.s_suppkey <> b.s_suppkey")
+SUP = "SELECT s_suppkey AS station_id FROM supplier"
+
+
+def _tree(name: str, source: str, text: str, fan: int = 1000) -> str:
+    """CTEs of a hash tree over one set, of up to fan ** 3 texts; name_r holds n and digest."""
+    level = lambda n, of: f"{name}_{n} AS (SELECT k // {fan} AS k, sha256(string_agg(h, '' ORDER BY k)) AS h, sum(n)::BIGINT AS n FROM {name}_{of} GROUP BY 1)"
+    return f"""{name}_0 AS (SELECT row_number() OVER (ORDER BY t) - 1 AS k, sha256(t) AS h, 1 AS n FROM (SELECT {text} AS t FROM {source})), {level(1, 0)}, {level(2, 1)}, {level(3, 2)},
+  {name}_r AS (SELECT n, h AS digest FROM (SELECT * FROM {name}_1 WHERE (SELECT count(*) FROM {name}_1) = 1 UNION ALL SELECT * FROM {name}_2 WHERE (SELECT count(*) FROM {name}_1) > 1 AND (SELECT count(*) FROM {name}_2) = 1 UNION ALL SELECT * FROM {name}_3 WHERE (SELECT count(*) FROM {name}_2) > 1))"""
+
+
+_OD = "(SELECT a.s_suppkey AS o, b.s_suppkey AS d FROM supplier a, supplier b WHERE a.s_suppkey <> b.s_suppkey)"
+book.add("jn26_od_digests", lambda d: D.od_digests(R.od_matrix(d), d), [SUP], f"""WITH {_tree("s", "supplier", "to_json([s_suppkey::VARCHAR])::VARCHAR")}, {_tree("p", _OD, "to_json([o::VARCHAR, d::VARCHAR])::VARCHAR")}
+  SELECT s_r.n AS stations, s_r.n * (s_r.n - 1) AS expected, p_r.n AS pairs, s_r.n * (s_r.n - 1) = p_r.n AS complete, s_r.digest AS station_digest, p_r.digest AS pair_digest FROM s_r, p_r""")
+book.add("dq09_tree_digest", lambda d: D.tree_digest(d, [], F.to_json(F.array("trip_id", F.col("stop_no").cast("string"), F.col("station_id").cast("string")))), ["v_stops"], f"""WITH {_tree("t", "v_stops", "to_json([trip_id, stop_no::VARCHAR, station_id::VARCHAR])::VARCHAR")} SELECT * FROM t_r""")
 ND = ["SELECT c_custkey AS node_id, concat('n', c_custkey % 80) AS name, concat('L', c_nationkey % 4) AS line_id FROM customer", "SELECT concat('n', s_suppkey % 60) AS name, s_suppkey AS station_id, concat('L', s_nationkey % 4) AS line_id FROM supplier"]
 book.add("jn27_assign_nodes", R.assign_nodes, ND, f"WITH n AS ({ND[0]}), s AS ({ND[1]}) SELECT node_id, station_id, coalesce(s.line_id = n.line_id, false) AS on_line FROM n LEFT JOIN s USING (name) QUALIFY row_number() OVER (PARTITION BY node_id ORDER BY CASE WHEN s.line_id = n.line_id THEN 0 ELSE 1 END, station_id NULLS LAST) = 1")
 SPR = "SELECT station_id % 150 AS station_id, x, y FROM v_positions"
