@@ -77,6 +77,32 @@ def stop_time_violations(stops: DataFrame, limit: int = 108_000) -> DataFrame:
     }).select("trip_id", "stop_no", "station_id", "reason")
 
 
+def stop_row_violations(stops: DataFrame, trips: DataFrame) -> DataFrame:
+    """WN-4: what no single trip's times show: (trip_id, stop_no, reason) of stop rows (trip_id, stop_no, pickup_type, drop_off_type) against trips (trip_id, pattern): a key
+    twice, a trip that is not there, a number below 1, a pickup or drop-off type other than 0 or 1 (null is 0), an EXPRESS stop that is passed through in one of
+    the two only (the first may refuse drop-offs, the last pickups), and trips without a stop (stop_no null)."""
+    t = trips.select("trip_id", "pattern").dropDuplicates(["trip_id"])
+    ends = stops.groupBy("trip_id").agg(F.min("stop_no").alias("first"), F.max("stop_no").alias("last"))
+    n = stops.groupBy("trip_id", "stop_no").agg(F.count("*").alias("n"))
+    pick, drop = F.coalesce("pickup_type", F.lit(0)), F.coalesce("drop_off_type", F.lit(0))
+    rows = stops.join(n, ["trip_id", "stop_no"]).join(ends, "trip_id").join(t.withColumn("known", F.lit(True)), "trip_id", "left")
+    terminal = ((F.col("stop_no") == F.col("first")) & (pick == 0) & (drop == 1)) | ((F.col("stop_no") == F.col("last")) & (pick == 1) & (drop == 0))
+    bad = violations(rows, {
+        "DUPLICATE_KEY": F.col("n") > 1, "UNKNOWN_TRIP": F.col("known").isNull(), "STOP_NO_BELOW_1": F.col("stop_no") < 1, "BAD_PICKUP_TYPE": ~pick.isin(0, 1), "BAD_DROP_OFF_TYPE": ~drop.isin(0, 1),
+        "EXPRESS_PASS_THROUGH": (F.col("pattern") == "EXPRESS") & (pick != drop) & ~terminal,
+    }).select("trip_id", "stop_no", "reason").distinct()
+    empty = t.join(stops.select("trip_id").distinct(), "trip_id", "left_anti").select("trip_id", F.lit(None).cast(dict(stops.dtypes)["stop_no"]).alias("stop_no"), F.lit("TRIP_WITHOUT_STOPS").alias("reason"))
+    return bad.unionByName(empty)
+
+
+def terminal_violations(stops: DataFrame) -> DataFrame:
+    """WN-2: stops (trip_id, stop_no, role) of role ORIGIN that are not their trip's first, and of role TERMINAL that are not its last."""
+    ends = stops.groupBy("trip_id").agg(F.min("stop_no").alias("first"), F.max("stop_no").alias("last"))
+    return violations(stops.join(ends, "trip_id"), {
+        "ORIGIN_NOT_FIRST": (F.col("role") == "ORIGIN") & (F.col("stop_no") != F.col("first")), "TERMINAL_NOT_LAST": (F.col("role") == "TERMINAL") & (F.col("stop_no") != F.col("last")),
+    }).select("trip_id", "stop_no", "reason")
+
+
 def midnight_rollover(stops: DataFrame, time: str = "departure") -> DataFrame:
     """WN-9: adds a day after each decrease of the raw clock along a trip. Exact while raw times are under 24:00:00."""
     w = Window.partitionBy("trip_id").orderBy("stop_no")

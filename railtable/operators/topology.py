@@ -225,6 +225,41 @@ def remap_conflicts(id_map: DataFrame) -> DataFrame:
     return two.unionByName(chained)
 
 
+def merged_ids(id_map: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """GR-9: the closure of an id map (old_id, new_id): (resolved: old_id and the id that it ends at, however many merges lie between; refused: old_id, reason). An id with
+    two targets is refused (TWO_TARGETS), and so are ids that lead into a cycle (CYCLE) and ids that lead to a refused one (LEADS_TO_REFUSED). Equal rows count once."""
+    pairs = _cut(id_map.select("old_id", "new_id").where("old_id IS NOT NULL AND new_id IS NOT NULL").distinct())
+    two = _cut(pairs.groupBy("old_id").agg(F.count("*").alias("n")).where("n > 1").select("old_id"))
+    one = pairs.join(two, "old_id", "left_anti")
+    found = ranked(one.select(F.col("old_id").alias("node"), F.col("new_id").alias("parent")))
+    last = one.select(F.col("old_id").alias("top"), F.col("new_id").alias("end"))
+    ends = _cut(found.join(last, "top", "left").join(two.select(F.col("old_id").alias("end"), F.lit(True).alias("_two")), "end", "left").select(F.col("node").alias("old_id"), F.col("end").alias("new_id"), F.col("top").isNull().alias("ring"), "_two"))
+    reason = F.when(F.col("ring"), "CYCLE").when(F.col("_two"), "LEADS_TO_REFUSED")
+    refused = two.select("old_id", F.lit("TWO_TARGETS").alias("reason")).unionByName(ends.where(reason.isNotNull()).select("old_id", reason.alias("reason")))
+    return ends.where(reason.isNull()).select("old_id", "new_id"), refused
+
+
+def rewrite_ids(tables: dict[str, DataFrame], resolved: DataFrame, ids: dict[str, list[str]], prefixed: dict[str, list[str]] | None = None) -> dict[str, DataFrame]:
+    """GR-9: every table with its referencing columns rewritten: `ids` names columns that hold an id, `prefixed` those of the form id:rest, of which the id is. Other columns and rows
+    stay as they are; no named column keeps a retired id. The map's old ids are unique, so no row is lost or doubled."""
+    out = {}
+    for name, rows in tables.items():
+        for c in ids.get(name, []):
+            rows = remap_ids(rows, resolved, c)
+        for c in (prefixed or {}).get(name, []):
+            m = resolved.select(F.col("old_id").cast("string").alias("_old"), F.col("new_id").cast("string").alias("_new"))
+            head = F.substring_index(c, ":", 1)
+            rows = rows.join(m, head == F.col("_old"), "left").withColumn(c, F.when(F.col("_new").isNotNull() & F.contains(c, F.lit(":")), F.concat("_new", F.expr(f"substr(`{c}`, length(_old) + 1)"))).otherwise(F.col(c))).drop("_old", "_new")
+        out[name] = rows.select(*tables[name].columns)
+    return out
+
+
+def alias_rows(resolved: DataFrame, aliases: DataFrame) -> DataFrame:
+    """GR-9: aliases (station_id, alias) after a merge: those of a retired id go to the one that it ends at, and its old id is kept as one more; none twice."""
+    moved = remap_ids(aliases.select("station_id", "alias"), resolved, "station_id")
+    return moved.unionByName(resolved.select(F.col("new_id").alias("station_id"), F.col("old_id").cast("string").alias("alias"))).distinct()
+
+
 def lineage(snapshots: DataFrame) -> DataFrame:
     """GR-10: per source: violations of a lineage chain (an id twice, several roots, fork, unknown previous, time that does not increase). An id that several
     rows have is named once, as DUPLICATE_ID; for the rest its first row (by time) stands for it."""

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from railtable.checks import row_text
+from railtable.checks import row_text, violations
 
 
 def _hashed(rows: DataFrame, keys: list[str]) -> DataFrame:
@@ -37,6 +37,13 @@ def diff_positions(old: DataFrame, new: DataFrame, threshold: float, top: int =
     return d.where("change <> 'MOVED'").unionByName(d.where("change = 'MOVED'").orderBy(F.desc("moved"), *k).limit(top))
 
 
+def line_counts(old: DataFrame, new: DataFrame) -> DataFrame:
+    """DQ-3: per line the positions before and after, and the change; lines of one version count 0 in the other."""
+    n = lambda d, c: d.groupBy("line_id").agg(F.count("*").alias(c))
+    j = n(old, "before").join(n(new, "after"), "line_id", "full_outer").na.fill(0, ["before", "after"])
+    return j.select("line_id", "before", "after", (F.col("after") - F.col("before")).alias("change"))
+
+
 def unequal_within(old: DataFrame, new: DataFrame, keys: list[str], values: list[str], tolerance: float = 0.0011) -> DataFrame:
     """DQ-4: keys of which one side lacks the row or a number differs by more than the tolerance."""
     j = old.select(*keys, F.lit(1).alias("l"), *[F.col(v).alias(f"{v}_0") for v in values]).join(new.select(*keys, F.lit(1).alias("r"), *[F.col(v).alias(f"{v}_1") for v in values]), keys, "full_outer")
@@ -70,12 +77,17 @@ def compare_sets(old: DataFrame, new: DataFrame) -> DataFrame:
 
 
 def identity_violations(stations: DataFrame, decisions: DataFrame) -> DataFrame:
-    """DQ-7: names of several stations (name, station_id, line_id) need a reviewed decision (name, decision, station_ids array) whose
-    ids are the actual ones, in any order."""
-    sets = stations.groupBy("name").agg(F.count_distinct("station_id").alias("n"), F.array_sort(F.collect_set(F.col("station_id").cast("string"))).alias("actual"))
+    """DQ-7: names of several stations (name, station_id, line_id) need a reviewed decision (name, decision, station_ids array, and if the column is there line_ids array) whose
+    ids, and lines, are the actual ones, in any order; one row for each name and reason. A null line set is not checked."""
+    lines = F.array_sort(F.collect_set(F.col("line_id").cast("string")))
+    sets = stations.groupBy("name").agg(F.count_distinct("station_id").alias("n"), F.array_sort(F.collect_set(F.col("station_id").cast("string"))).alias("actual"), lines.alias("actual_lines"))
     j = sets.where("n > 1").join(decisions, "name", "left")
-    reason = F.when(F.col("decision").isNull(), "NO_DECISION").when(~F.col("decision").isin("MERGE", "DISTINCT"), "UNKNOWN_DECISION").when(~F.array_sort(F.array_distinct("station_ids")).eqNullSafe(F.col("actual")), "OTHER_STATIONS")
-    return j.select("name", "n", reason.alias("reason")).where("reason IS NOT NULL")
+    told = F.col("decision").isin("MERGE", "DISTINCT")
+    same = lambda c, actual: F.array_sort(F.array_distinct(c)).eqNullSafe(F.col(actual))
+    rules = {"NO_DECISION": F.col("decision").isNull(), "UNKNOWN_DECISION": ~told, "OTHER_STATIONS": told & ~same("station_ids", "actual")}
+    if "line_ids" in decisions.columns:
+        rules["OTHER_LINES"] = told & F.col("line_ids").isNotNull() & ~same("line_ids", "actual_lines")
+    return violations(j, rules).select("name", "n", "reason")
 
 
 def id_collisions(a: DataFrame, b: DataFrame, key: str) -> DataFrame:

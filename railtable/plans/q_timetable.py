@@ -43,6 +43,14 @@ book.add("wn11_adjacency", T.adjacency_violations, ["v_stops", "SELECT s_suppkey
 CHAIN = "SELECT concat(event_type, '-', user_id % 30, '-', @days(ts)) AS grp, event_id, CAST(event_id % 6 AS INT) AS seq, CAST(@secs(ts) % 86400 AS INT) AS seconds FROM events"
 book.add("wn12_chain_departures", lambda d: T.chain_departures(d, 60, 3000), [CHAIN], None)
 book.add("wn13_chain_nearest", lambda d: T.chain_nearest(d, 1200, 1800), [CHAIN], None)
+STR = ["SELECT trip_id, CASE WHEN station_id % 41 = 0 THEN stop_no - 1 ELSE stop_no END AS stop_no, CASE WHEN station_id % 23 = 0 THEN 2 WHEN station_id % 7 > 0 THEN station_id % 2 END AS pickup_type, CASE WHEN station_id % 29 = 0 THEN 1 ELSE station_id % 2 END AS drop_off_type FROM v_stops",
+  "SELECT DISTINCT trip_id, CASE WHEN line_id = 'A' THEN 'EXPRESS' ELSE 'LOCAL' END AS pattern FROM v_stops WHERE station_id % 50 > 0 UNION ALL SELECT concat('empty', @str(s_suppkey)) AS trip_id, 'LOCAL' AS pattern FROM supplier"]
+book.add("wn04_stop_rows", T.stop_row_violations, STR, f"""WITH s AS ({STR[0]}), t AS ({STR[1]}), j AS (SELECT s.trip_id, s.stop_no, coalesce(pickup_type, 0) AS p, drop_off_type AS d, pattern, count(*) OVER (PARTITION BY s.trip_id, s.stop_no) AS n, min(s.stop_no) OVER (PARTITION BY s.trip_id) AS lo, max(s.stop_no) OVER (PARTITION BY s.trip_id) AS hi FROM s LEFT JOIN t USING (trip_id)),
+  b AS (SELECT trip_id, stop_no, unnest(list_filter([CASE WHEN n > 1 THEN 'DUPLICATE_KEY' END, CASE WHEN pattern IS NULL THEN 'UNKNOWN_TRIP' END, CASE WHEN stop_no < 1 THEN 'STOP_NO_BELOW_1' END, CASE WHEN p NOT IN (0, 1) THEN 'BAD_PICKUP_TYPE' END, CASE WHEN d NOT IN (0, 1) THEN 'BAD_DROP_OFF_TYPE' END,
+    CASE WHEN pattern = 'EXPRESS' AND p <> d AND NOT ((stop_no = lo AND p = 0 AND d = 1) OR (stop_no = hi AND p = 1 AND d = 0)) THEN 'EXPRESS_PASS_THROUGH' END], lambda x: x IS NOT NULL)) AS reason FROM j)
+  SELECT DISTINCT * FROM b UNION ALL SELECT trip_id, NULL, 'TRIP_WITHOUT_STOPS' FROM t WHERE trip_id NOT IN (SELECT trip_id FROM s)""")
+ROLE = "SELECT trip_id, stop_no, CASE WHEN stop_no = 1 OR station_id % 43 = 0 THEN 'ORIGIN' WHEN station_id % 19 = 0 THEN 'TERMINAL' ELSE 'STOP' END AS role FROM v_stops"
+book.add("wn02_terminals", T.terminal_violations, [ROLE], f"WITH r AS (SELECT *, max(stop_no) OVER (PARTITION BY trip_id) AS hi FROM ({ROLE})) SELECT trip_id, stop_no, 'ORIGIN_NOT_FIRST' AS reason FROM r WHERE role = 'ORIGIN' AND stop_no <> 1 UNION ALL SELECT trip_id, stop_no, 'TERMINAL_NOT_LAST' FROM r WHERE role = 'TERMINAL' AND stop_no <> hi")
 CHAINED = CHAIN.replace(" FROM events", ", concat('to', user_id % 2) AS destination FROM events")
 RIDES_ = "SELECT CAST(r_regionkey + 1 AS INT) AS seq, 60 + r_regionkey * 30 AS seconds FROM region"
 book.add("wn12_last_stops", lambda d, r: T.last_stops(T.chain_departures(d, 60, 3000), r), [CHAINED, RIDES_], None)

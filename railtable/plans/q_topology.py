@@ -60,6 +60,15 @@ book.add("gr08_replace_edges", lambda e, n: G.replace_edges(e, "A", n), [RIDES,
 book.add("gr09_remap_ids", lambda e, m: G.remap_ids(e, m, "from_node", "to_node"), ["v_edges", "SELECT node AS old_id, node + 100 AS new_id FROM v_nodes WHERE node % 6 = 0"], "SELECT CASE WHEN from_node % 6 = 0 THEN from_node + 100 ELSE from_node END AS from_node, CASE WHEN to_node % 6 = 0 THEN to_node + 100 ELSE to_node END AS to_node FROM v_edges")
 IDS = "SELECT CASE WHEN p_partkey % 11 = 0 THEN p_size ELSE p_partkey + 1000 END AS old_id, CASE WHEN p_partkey % 11 = 0 THEN p_partkey % 60 + 40 ELSE p_partkey % 700 + 1200 END AS new_id FROM part"
 book.add("gr09_remap_conflicts", G.remap_conflicts, [IDS], f"WITH m AS ({IDS}) SELECT old_id, 'TWO_TARGETS' AS reason FROM m GROUP BY 1 HAVING count(DISTINCT new_id) > 1 UNION ALL SELECT DISTINCT old_id, 'IS_TARGET' FROM m WHERE old_id IN (SELECT new_id FROM m)")
+IDM = "SELECT node AS old_id, CASE WHEN node % 6 = 0 THEN node + 3 WHEN node % 6 = 3 THEN node + 5 WHEN node % 30 = 1 THEN node + 1 WHEN node % 30 = 2 THEN node - 1 ELSE -node END AS new_id FROM v_nodes WHERE node % 6 IN (0, 3) OR node % 30 IN (1, 2, 10)"
+TWO = IDM + " UNION ALL SELECT node AS old_id, node + 1 AS new_id FROM v_nodes WHERE node % 30 = 10"
+_IDM = f"WITH RECURSIVE m AS ({TWO}), t AS (SELECT old_id FROM m GROUP BY 1 HAVING count(DISTINCT new_id) > 1), o AS (SELECT DISTINCT * FROM m WHERE old_id NOT IN (SELECT old_id FROM t)), r(old_id, cur, k) AS (SELECT old_id, new_id, 1 FROM o UNION ALL SELECT r.old_id, o.new_id, k + 1 FROM r JOIN o ON o.old_id = r.cur WHERE k < 12), f AS (SELECT old_id, cur AS new_id FROM r WHERE cur NOT IN (SELECT old_id FROM o))"
+book.add("gr09_merged_ids", lambda m: G.merged_ids(m)[0], [TWO], f"{_IDM} SELECT * FROM f WHERE new_id NOT IN (SELECT old_id FROM t)")
+book.add("gr09_refused", lambda m: G.merged_ids(m)[1], [TWO], f"{_IDM} SELECT old_id, 'TWO_TARGETS' AS reason FROM t UNION ALL SELECT old_id, 'CYCLE' FROM o WHERE old_id NOT IN (SELECT old_id FROM f) UNION ALL SELECT old_id, 'LEADS_TO_REFUSED' FROM f WHERE new_id IN (SELECT old_id FROM t)")
+KEYED = "SELECT concat(@str(from_node), ':L', @str(to_node % 4)) AS from_key, to_node FROM v_edges"
+book.add("gr09_rewritten", lambda e, m: G.rewrite_ids({"e": e}, G.merged_ids(m)[0], {"e": ["to_node"]}, {"e": ["from_key"]})["e"], [KEYED, TWO], f"{_IDM}, g AS (SELECT * FROM f WHERE new_id NOT IN (SELECT old_id FROM t)) SELECT coalesce(a.new_id, from_node)::VARCHAR || ':L' || (to_node % 4)::VARCHAR AS from_key, coalesce(b.new_id, to_node) AS to_node FROM v_edges LEFT JOIN g a ON a.old_id = from_node LEFT JOIN g b ON b.old_id = to_node")
+ALI = "SELECT node AS station_id, concat('n', @str(node % 50)) AS alias FROM v_nodes"
+book.add("gr09_aliases", lambda a, m: G.alias_rows(G.merged_ids(m)[0], a), [ALI, TWO], f"{_IDM}, g AS (SELECT * FROM f WHERE new_id NOT IN (SELECT old_id FROM t)) SELECT coalesce(new_id, node) AS station_id, 'n' || (node % 50)::VARCHAR AS alias FROM v_nodes LEFT JOIN g ON old_id = node UNION SELECT new_id, old_id::VARCHAR FROM g")
 SNAP = "SELECT snapshot_id, source_id, CASE WHEN snapshot_id % 13 = 0 THEN NULL WHEN snapshot_id % 17 = 0 THEN -snapshot_id ELSE previous_id END AS previous_id, retrieved_at - CASE WHEN snapshot_id % 19 = 0 THEN 900000000 ELSE 0 END AS retrieved_at FROM v_snapshots"
 book.add("gr10_lineage", G.lineage, [SNAP], f"""WITH s AS ({SNAP}), j AS (SELECT s.*, p.retrieved_at AS before, p.source_id AS ps, CASE WHEN s.previous_id IS NULL THEN 1 ELSE count(*) OVER (PARTITION BY s.source_id, s.previous_id) END AS children, sum((s.previous_id IS NULL)::INT) OVER (PARTITION BY s.source_id) AS roots FROM s LEFT JOIN s p ON p.snapshot_id = s.previous_id)
   SELECT source_id, snapshot_id, 'SEVERAL_ROOTS' AS reason FROM j WHERE roots <> 1 AND previous_id IS NULL UNION ALL SELECT source_id, snapshot_id, 'FORK' FROM j WHERE children > 1 UNION ALL SELECT source_id, snapshot_id, 'UNKNOWN_PREVIOUS' FROM j WHERE previous_id IS NOT NULL AND ps IS NULL

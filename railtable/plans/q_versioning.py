@@ -17,6 +17,7 @@ P0 = "SELECT station_id, line_id, x, y FROM v_positions WHERE station_id % 29 >
 P1 = "SELECT station_id, line_id, x + station_id % 9 AS x, y FROM v_positions WHERE station_id % 31 > 0"
 book.add("dq03_diff_positions", lambda a, b: V.diff_positions(a, b, 3.0, 50).withColumn("moved", F.round("moved", 6)), [P0, P1], f"""WITH a AS ({P0}), b AS ({P1}), j AS (SELECT coalesce(a.line_id, b.line_id) AS line_id, coalesce(a.station_id, b.station_id) AS station_id, CASE WHEN a.station_id IS NULL THEN 'ADDED' WHEN b.station_id IS NULL THEN 'REMOVED' WHEN abs(b.x - a.x) > 3 THEN 'MOVED' END AS change, abs(b.x - a.x)::DOUBLE AS moved FROM a FULL JOIN b ON a.station_id = b.station_id AND a.line_id = b.line_id),
   m AS (SELECT * FROM j WHERE change = 'MOVED' ORDER BY moved DESC, line_id, station_id LIMIT 50) SELECT * FROM j WHERE change IN ('ADDED', 'REMOVED') UNION ALL SELECT * FROM m""")
+book.add("dq03_line_counts", V.line_counts, [P0, P1], f"WITH a AS (SELECT line_id, count(*) AS n FROM ({P0}) GROUP BY 1), b AS (SELECT line_id, count(*) AS n FROM ({P1}) GROUP BY 1) SELECT line_id, coalesce(a.n, 0) AS before, coalesce(b.n, 0) AS after, coalesce(b.n, 0) - coalesce(a.n, 0) AS change FROM a FULL JOIN b USING (line_id)")
 book.add("dq04_unequal_within", lambda a, b: V.unequal_within(a, b, ["station_id"], ["x", "y"], 2.0), [P0, P1], "SELECT station_id FROM v_positions WHERE (station_id % 29 = 0) <> (station_id % 31 = 0) OR (station_id % 29 > 0 AND station_id % 31 > 0 AND station_id % 9 > 2)")
 SNAP5 = "SELECT snapshot_id, source_id, previous_id, retrieved_at, raw_mark, schema_mark, row_count, CASE WHEN row_count % 5 > 0 THEN raw_mark END AS request_mark, CASE WHEN row_count % 4 > 0 THEN retrieved_at - row_count % 7 END AS source_time, row_count % 50 AS coverage_count FROM v_snapshots"
 DIFF5 = f"""SELECT s.snapshot_id, s.raw_mark IS DISTINCT FROM p.raw_mark AS raw_changed, s.schema_mark IS DISTINCT FROM p.schema_mark AS schema_changed, s.request_mark IS DISTINCT FROM p.request_mark AS request_changed,
@@ -36,6 +37,10 @@ NAMES = "SELECT p_name AS name, p_partkey AS station_id, p_brand AS line_id FROM
 DEC = "SELECT p_name AS name, max(CASE WHEN p_size % 5 = 0 THEN 'MAYBE' ELSE 'MERGE' END) AS decision, {} AS station_ids FROM part WHERE p_size > 20 GROUP BY p_name"
 book.add("dq07_identity", V.identity_violations, [NAMES, DEC.format("array_agg(CAST(p_partkey AS STRING))")], f"""WITH s AS (SELECT name, count(DISTINCT station_id) AS n, list_sort(list(DISTINCT station_id::VARCHAR)) AS actual FROM ({NAMES}) GROUP BY name HAVING count(DISTINCT station_id) > 1), d AS ({DEC.format("list_sort(list(DISTINCT p_partkey::VARCHAR))")}),
   r AS (SELECT s.name, n, CASE WHEN decision IS NULL THEN 'NO_DECISION' WHEN decision NOT IN ('MERGE', 'DISTINCT') THEN 'UNKNOWN_DECISION' WHEN station_ids <> actual THEN 'OTHER_STATIONS' END AS reason FROM s LEFT JOIN d USING (name)) SELECT * FROM r WHERE reason IS NOT NULL""")
+LDEC = "SELECT p_name AS name, 'MERGE' AS decision, {} AS station_ids, {} AS line_ids FROM part WHERE p_size > 3 GROUP BY p_name"
+book.add("dq07_line_sets", V.identity_violations, [NAMES, LDEC.format("array_agg(CAST(p_partkey AS STRING))", "array_agg(CASE WHEN p_size % 7 > 0 THEN p_brand ELSE p_type END)")], f"""WITH s AS (SELECT name, count(DISTINCT station_id) AS n, list_sort(list(DISTINCT station_id::VARCHAR)) AS actual, list_sort(list(DISTINCT line_id)) AS lines FROM ({NAMES}) GROUP BY name HAVING count(DISTINCT station_id) > 1),
+  d AS ({LDEC.format("list_sort(list(DISTINCT p_partkey::VARCHAR))", "list_sort(list(DISTINCT CASE WHEN p_size % 7 > 0 THEN p_brand ELSE p_type END))")}), j AS (SELECT s.*, decision, station_ids, line_ids FROM s LEFT JOIN d USING (name))
+  SELECT name, n, 'NO_DECISION' AS reason FROM j WHERE decision IS NULL UNION ALL SELECT name, n, 'OTHER_STATIONS' FROM j WHERE decision IS NOT NULL AND station_ids <> actual UNION ALL SELECT name, n, 'OTHER_LINES' FROM j WHERE decision IS NOT NULL AND line_ids <> lines""")
 book.add("dq08_id_collisions", lambda a, b: V.id_collisions(a, b, "id"), ["SELECT p_partkey AS id FROM part", "SELECT s_suppkey * 3 AS id FROM supplier"], "SELECT p_partkey AS id FROM part INTERSECT SELECT s_suppkey * 3 FROM supplier")
 book.add("dq09_canonical_digest", lambda d: V.canonical_digest(d, "station_id", "line_id"), ["v_stops"], "SELECT line_id, count(DISTINCT station_id) AS n, sha256(to_json(list_sort(list(DISTINCT station_id::VARCHAR)))::VARCHAR) AS digest FROM v_stops GROUP BY line_id")
 ENT = "SELECT p_partkey AS entity_id, concat('s', p_size % 5) AS source_id, array(p_brand, p_type) AS line_ids, CASE WHEN p_size % 3 > 0 THEN p_name END AS name, CAST(p_size AS INT) AS size FROM part"

@@ -355,3 +355,22 @@ def test_lineage_chain(spark):
     ]
     assert [tuple(r) for r in topology.lineage(odd).where("snapshot_id = 3").collect()] == [("s", 3, "DUPLICATE_ID")]
     assert rows(topology.sources_without_root(odd)) == [("u",)] and topology.lineage_chain(odd.limit(0)).count() == 0
+
+
+def test_merged_ids(spark):
+    m = spark.createDataFrame([("a", "b"), ("a", "b"), ("b", "c"), ("d", "c"), ("x", "y"), ("y", "x"), ("z", "x"), ("t", "u"), ("t", "v"), ("s", "t"), ("n", None)], "old_id string, new_id string")
+    good, refused = topology.merged_ids(m)
+    assert rows(good) == [("a", "c"), ("b", "c"), ("d", "c")]
+    assert rows(refused) == [("s", "LEADS_TO_REFUSED"), ("t", "TWO_TARGETS"), ("x", "CYCLE"), ("y", "CYCLE"), ("z", "CYCLE")]
+    e = spark.createDataFrame([("a", "b:L1:x", 1), ("x", "zz", 2), (None, None, 3), ("b", "a", 4)], "station string, node string, k int")
+    got = topology.rewrite_ids({"e": e, "f": e}, good, {"e": ["station"]}, {"e": ["node"]})
+    assert rows(got["e"].orderBy("k"), "k", "station", "node") == [(1, "c", "c:L1:x"), (2, "x", "zz"), (3, None, None), (4, "c", "a")] and rows(got["f"]) == rows(e)
+    assert rows(topology.alias_rows(good, spark.createDataFrame([("a", "old A"), ("c", "C")], "station_id string, alias string"))) == [("c", "C"), ("c", "a"), ("c", "b"), ("c", "d"), ("c", "old A")]
+
+
+def test_stop_rows_and_terminals(spark):
+    s = spark.createDataFrame([("e", 1, 0, 1), ("e", 2, 1, 0), ("e", 3, None, None), ("e", 4, 1, 0), ("l", 1, 1, 0), ("l", 1, 0, 0), ("l", 0, 3, 0), ("q", 1, 0, 0)], "trip_id string, stop_no int, pickup_type int, drop_off_type int")
+    t = spark.createDataFrame([("e", "EXPRESS"), ("l", "LOCAL"), ("w", "LOCAL")], "trip_id string, pattern string")
+    assert rows(timetable.stop_row_violations(s, t), "trip_id", "stop_no", "reason") == [("e", 2, "EXPRESS_PASS_THROUGH"), ("l", 0, "BAD_PICKUP_TYPE"), ("l", 0, "STOP_NO_BELOW_1"), ("l", 1, "DUPLICATE_KEY"), ("q", 1, "UNKNOWN_TRIP"), ("w", None, "TRIP_WITHOUT_STOPS")]
+    r = spark.createDataFrame([("a", 1, "ORIGIN"), ("a", 2, "TERMINAL"), ("a", 3, "ORIGIN"), ("a", 4, "TERMINAL")], "trip_id string, stop_no int, role string")
+    assert rows(timetable.terminal_violations(r)) == [("a", 2, "TERMINAL_NOT_LAST"), ("a", 3, "ORIGIN_NOT_FIRST")]
