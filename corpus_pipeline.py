@@ -12,7 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from railtable.llm import decontam, mixing, neardup, quality, sharding
-from railtable.llm.common import cut, table
+from railtable.llm.common import cut, drop_cut, table
 from railtable.llm.queries import WEIGHTS, labelled_domains
 
 
@@ -61,10 +61,11 @@ ORACLE_SQL: str | None = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Applies STAGES to `documents`, each stage's rows written as a table that the next one reads."""
+    """Applies STAGES to `documents`, each stage's rows written as a table that the next one reads; a stage's table goes when the next one's is written."""
     docs = table(spark, sf_dir, "documents")
     for k, (name, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
+        before, docs = docs, stage(spark, docs, sf_dir)
         if k < len(STAGES) - 1:
             docs = cut(docs, name)
+            drop_cut(before)
     return docs
