@@ -82,6 +82,19 @@ def select_snapshots(wanted: DataFrame, snapshots: DataFrame, required: DataFram
     )
 
 
+def selection_freshness(wanted: DataFrame, snapshots: DataFrame, classes: DataFrame, policy: DataFrame, at: int) -> DataFrame:
+    """PL-10, behind `select_snapshots`: each selected snapshot (snapshot_id; known ones, once) needs exactly one policy class for its source (classes: source_id, class_id) and has to be
+    FRESH by it (PL-1): (snapshot_id, source_id, reason), reason NO_CLASS, SEVERAL_CLASSES, STALE or PL-1's reason for INVALID. snapshots: snapshot_id, source_id, basis_at, provider_end,
+    stored_expiry."""
+    chosen = wanted.select("snapshot_id").distinct().join(snapshots, "snapshot_id")
+    one = classes.where("class_id IS NOT NULL").groupBy("source_id").agg(F.count_distinct("class_id").alias("n"), F.min("class_id").alias("class_id"))
+    j = chosen.join(one, "source_id", "left")
+    judged = freshness(j.where("n = 1").select(F.struct("snapshot_id", "source_id").alias("source_id"), "class_id", "basis_at", "provider_end", "stored_expiry"), policy, at)
+    old = judged.where("state <> 'FRESH'").select("source_id.snapshot_id", "source_id.source_id", F.coalesce("reason", "state").alias("reason"))
+    none = j.where("n IS NULL OR n > 1").select("snapshot_id", "source_id", F.when(F.col("n").isNull(), "NO_CLASS").otherwise("SEVERAL_CLASSES").alias("reason"))
+    return old.unionByName(none)
+
+
 def expiry_notice(items: DataFrame, at: int, notice_days: int = 30) -> DataFrame:
     """PL-11: whole days to expiry, WARNING inside the notice window (EXPIRED at or after it), and severity."""
     days = F.floor((F.col("expires_at") - at) / DAY)

@@ -305,7 +305,8 @@ def run_lines(stops: DataFrame, preferred: str) -> DataFrame:
 
 def trips_from_pairs(pairs: DataFrame) -> DataFrame:
     """WN-26: stop times from OD rows (train, origin, origin_seq, departs, destination, destination_seq, arrives): each train's
-    stops by sequence with one arrival and one departure, and flags: times_agree, all_pairs (n(n-1)/2 present)."""
+    stops in the direction of travel (by falling sequence where destinations lie below origins) with one arrival and one departure, and flags: times_agree,
+    all_pairs (n(n-1)/2 present). `pair_violations` says what is wrong with a train."""
     ends = pairs.select("train", F.explode(F.array(
         F.struct(F.col("origin").alias("station"), F.col("origin_seq").alias("seq"), F.lit(None).cast("long").alias("a"), F.col("departs").cast("long").alias("d")),
         F.struct(F.col("destination").alias("station"), F.col("destination_seq").alias("seq"), F.col("arrives").cast("long").alias("a"), F.lit(None).cast("long").alias("d")),
@@ -314,7 +315,25 @@ def trips_from_pairs(pairs: DataFrame) -> DataFrame:
     n = stops.groupBy("train").agg(F.count("*").alias("n"))
     have = pairs.select("train", "origin", "destination").distinct().groupBy("train").agg(F.count("*").alias("pairs"))
     full = n.join(have, "train").select("train", (F.col("pairs") == F.col("n") * (F.col("n") - 1) / 2).alias("all_pairs"))
-    return stops.join(full, "train").withColumn("stop_no", F.row_number().over(Window.partitionBy("train").orderBy("seq", "station")))
+    way = pairs.groupBy("train").agg(F.when(F.max("destination_seq") - F.max("origin_seq") < 0, -1).otherwise(1).alias("_way"))
+    placed = stops.join(full, "train").join(way, "train")
+    return placed.withColumn("stop_no", F.row_number().over(Window.partitionBy("train").orderBy(F.col("seq") * F.col("_way"), "station"))).drop("_way")
+
+
+def pair_violations(pairs: DataFrame) -> DataFrame:
+    """WN-26: (train, reason) for OD rows that make no trip: MIXED_DIRECTION (sequences rise in some pairs and fall in others, or stand still), PAIR_TWICE, PAIRS_MISSING (not every
+    ordered pair of its stops in the direction of travel is there), TIMES_DISAGREE (a stop has two arrivals or two departures), SEVERAL_SEQUENCES (a station has two) and
+    TIMES_NOT_INCREASING (an arrival not behind the departure before it, or a departure ahead of its arrival)."""
+    way = F.signum(F.col("destination_seq") - F.col("origin_seq"))
+    trains = pairs.groupBy("train").agg(F.min(way).alias("lo"), F.max(way).alias("hi"), F.count("*").alias("rows"), F.count_distinct("origin", "destination").alias("pairs"))
+    stops = trips_from_pairs(pairs)
+    w = Window.partitionBy("train").orderBy("stop_no")
+    late = (F.col("arrival") <= F.lag("departure").over(w)) | (F.col("departure") < F.col("arrival"))
+    found = stops.withColumn("late", F.coalesce(late, F.lit(False))).groupBy("train").agg(F.bool_and("times_agree").alias("agree"), F.bool_and("all_pairs").alias("all_pairs"), F.bool_or("late").alias("late"), F.count("*").alias("stops"), F.count_distinct("station").alias("stations"))
+    return violations(trains.join(found, "train"), {
+        "MIXED_DIRECTION": (F.col("lo") != F.col("hi")) | (F.col("lo") == 0), "PAIR_TWICE": F.col("rows") > F.col("pairs"), "PAIRS_MISSING": ~F.col("all_pairs"), "TIMES_DISAGREE": ~F.col("agree"),
+        "SEVERAL_SEQUENCES": F.col("stops") > F.col("stations"), "TIMES_NOT_INCREASING": F.col("late"),
+    }).select("train", "reason")
 
 
 def trips_from_arrays(trips: DataFrame) -> DataFrame:

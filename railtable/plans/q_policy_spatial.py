@@ -32,6 +32,12 @@ SEL = ["SELECT snapshot_id FROM v_snapshots WHERE snapshot_id % 30 = 0 UNION ALL
 book.add("pl10_select_snapshots", P.select_snapshots, SEL, f"""WITH w AS (SELECT snapshot_id, count(*) AS n FROM ({SEL[0]}) GROUP BY 1), j AS (SELECT w.*, source_id FROM w LEFT JOIN v_snapshots USING (snapshot_id)), k AS (SELECT source_id, count(*) AS k FROM j WHERE source_id IS NOT NULL GROUP BY 1)
   SELECT snapshot_id::VARCHAR AS id, 'UNKNOWN' AS reason FROM j WHERE source_id IS NULL UNION ALL SELECT snapshot_id::VARCHAR, 'TWICE' FROM j WHERE n > 1 UNION ALL SELECT snapshot_id::VARCHAR, 'NOT_HEAD' FROM j WHERE snapshot_id IN (SELECT previous_id FROM v_snapshots)
   UNION ALL SELECT c_custkey::VARCHAR, 'SOURCE_MISSING' FROM customer WHERE c_custkey NOT IN (SELECT source_id FROM k) UNION ALL SELECT source_id::VARCHAR, 'SOURCE_TWICE' FROM k JOIN customer ON c_custkey = source_id WHERE k > 1""")
+SFR = ["SELECT snapshot_id FROM v_snapshots", "SELECT snapshot_id, source_id, retrieved_at AS basis_at, CASE WHEN snapshot_id % 7 = 0 THEN retrieved_at + 1000 END AS provider_end, CASE WHEN snapshot_id % 3 = 0 THEN retrieved_at END AS stored_expiry FROM v_snapshots",
+  "SELECT c_custkey AS source_id, CASE WHEN c_custkey % 5 = 0 THEN 'd' WHEN c_custkey % 5 = 1 THEN 's' WHEN c_custkey % 5 = 2 THEN 'none' ELSE 'w' END AS class_id FROM customer WHERE c_custkey % 8 > 0 UNION ALL SELECT c_custkey AS source_id, 'w' AS class_id FROM customer WHERE c_custkey % 9 = 1", POL]
+book.add("pl10_selection_freshness", lambda w, s, c, p: P.selection_freshness(w, s, c, p, NOW), SFR, f"""WITH s AS ({SFR[1]}), c AS (SELECT source_id, count(DISTINCT class_id) AS n, min(class_id) AS class_id FROM ({SFR[2]}) GROUP BY 1), j AS (SELECT s.*, n, class_id FROM s LEFT JOIN c USING (source_id)),
+  e AS (SELECT *, basis_at + CASE class_id WHEN 'd' THEN 2592000 WHEN 's' THEN 300 WHEN 'w' THEN 604800 END AS e FROM j WHERE n = 1), x AS (SELECT *, CASE WHEN e IS NOT NULL THEN least(e, coalesce(provider_end, e)) END AS expires_at FROM e),
+  r AS (SELECT snapshot_id, source_id, expires_at, CASE WHEN class_id = 'none' THEN 'NO_POLICY' WHEN basis_at > {NOW} + 300 THEN 'FUTURE_BASIS' WHEN stored_expiry <> expires_at THEN 'STORED_EXPIRY_DIFFERS' WHEN expires_at <= {NOW} THEN 'STALE' END AS reason FROM x)
+  SELECT snapshot_id, source_id, reason FROM r WHERE reason IS NOT NULL UNION ALL SELECT snapshot_id, source_id, CASE WHEN n IS NULL THEN 'NO_CLASS' ELSE 'SEVERAL_CLASSES' END FROM j WHERE n IS NULL OR n > 1""")
 book.add("pl11_expiry_notice", lambda d: P.expiry_notice(d, AT, 3), ["v_status"], f"WITH d AS (SELECT facility_id, seq, expires_at, floor((expires_at - {AT}) / 86400.0)::BIGINT AS days_left FROM v_status), s AS (SELECT *, CASE WHEN expires_at <= {AT} THEN 'EXPIRED' WHEN days_left <= 3 THEN 'WARNING' ELSE 'OK' END AS state FROM d) SELECT facility_id, seq, days_left, state, CASE state WHEN 'EXPIRED' THEN 2 WHEN 'WARNING' THEN 1 ELSE 0 END AS severity FROM s")
 
 PT = "SELECT station_id AS id, line_id, x, y FROM v_positions"

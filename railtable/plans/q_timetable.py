@@ -51,6 +51,13 @@ book.add("wn04_stop_rows", T.stop_row_violations, STR, f"""WITH s AS ({STR[0]}),
   SELECT DISTINCT * FROM b UNION ALL SELECT trip_id, NULL, 'TRIP_WITHOUT_STOPS' FROM t WHERE trip_id NOT IN (SELECT trip_id FROM s)""")
 ROLE = "SELECT trip_id, stop_no, CASE WHEN stop_no = 1 OR station_id % 43 = 0 THEN 'ORIGIN' WHEN station_id % 19 = 0 THEN 'TERMINAL' ELSE 'STOP' END AS role FROM v_stops"
 book.add("wn02_terminals", T.terminal_violations, [ROLE], f"WITH r AS (SELECT *, max(stop_no) OVER (PARTITION BY trip_id) AS hi FROM ({ROLE})) SELECT trip_id, stop_no, 'ORIGIN_NOT_FIRST' AS reason FROM r WHERE role = 'ORIGIN' AND stop_no <> 1 UNION ALL SELECT trip_id, stop_no, 'TERMINAL_NOT_LAST' FROM r WHERE role = 'TERMINAL' AND stop_no <> hi")
+ODV = "SELECT a.trip_id AS train, CASE WHEN a.trip_no % 11 = 0 THEN b.station_id ELSE a.station_id END AS origin, CASE WHEN a.trip_no % 11 = 0 THEN b.stop_no WHEN a.trip_no % 13 = 0 AND a.stop_no = 1 THEN b.stop_no ELSE a.stop_no END AS origin_seq, a.stop_no * 600 + CASE WHEN a.trip_no % 7 = 0 AND b.stop_no = 3 THEN 5 ELSE 0 END AS departs, CASE WHEN a.trip_no % 11 = 0 THEN a.station_id ELSE b.station_id END AS destination, CASE WHEN a.trip_no % 11 = 0 THEN a.stop_no WHEN a.trip_no % 13 = 0 AND a.stop_no = 1 THEN a.stop_no ELSE b.stop_no END AS destination_seq, b.stop_no * 600 - CASE WHEN a.trip_no % 17 = 0 THEN 700 ELSE 60 END AS arrives FROM (SELECT l_orderkey AS trip_no, concat(l_returnflag, '-', @str(l_orderkey)) AS trip_id, l_suppkey AS station_id, l_linenumber AS stop_no FROM lineitem) AS a JOIN (SELECT concat(l_returnflag, '-', @str(l_orderkey)) AS trip_id, l_suppkey AS station_id, l_linenumber AS stop_no FROM lineitem) AS b ON a.trip_id = b.trip_id AND a.stop_no < b.stop_no AND NOT (a.trip_no % 5 = 0 AND b.stop_no - a.stop_no = 2)"
+book.add("wn26_pair_violations", T.pair_violations, [ODV], f"""WITH p AS ({ODV}), t AS (SELECT train, min(sign(destination_seq - origin_seq)) AS lo, max(sign(destination_seq - origin_seq)) AS hi, count(*) AS n_rows, count(DISTINCT (origin, destination)) AS n_pairs, CASE WHEN max(destination_seq) - max(origin_seq) < 0 THEN -1 ELSE 1 END AS way FROM p GROUP BY 1),
+  e AS (SELECT train, origin AS station, origin_seq AS seq, NULL AS a, departs AS d FROM p UNION ALL SELECT train, destination, destination_seq, arrives, NULL FROM p),
+  s AS (SELECT train, station, seq, min(a) AS arrival, min(d) AS departure, count(DISTINCT a) <= 1 AND count(DISTINCT d) <= 1 AS agree FROM e GROUP BY 1, 2, 3),
+  l AS (SELECT s.*, coalesce(arrival <= lag(departure) OVER (PARTITION BY train ORDER BY seq * way, station) OR departure < arrival, false) AS late FROM s JOIN t USING (train)),
+  f AS (SELECT train, bool_and(agree) AS agree, bool_or(late) AS late, count(*) AS stops, count(DISTINCT station) AS stations FROM l GROUP BY 1), j AS (SELECT * FROM t JOIN f USING (train))
+  SELECT train, unnest(list_filter([CASE WHEN lo <> hi OR lo = 0 THEN 'MIXED_DIRECTION' END, CASE WHEN n_rows > n_pairs THEN 'PAIR_TWICE' END, CASE WHEN n_pairs <> stops * (stops - 1) / 2 THEN 'PAIRS_MISSING' END, CASE WHEN NOT agree THEN 'TIMES_DISAGREE' END, CASE WHEN stops > stations THEN 'SEVERAL_SEQUENCES' END, CASE WHEN late THEN 'TIMES_NOT_INCREASING' END], lambda x: x IS NOT NULL)) AS reason FROM j""")
 CHAINED = CHAIN.replace(" FROM events", ", concat('to', user_id % 2) AS destination FROM events")
 RIDES_ = "SELECT CAST(r_regionkey + 1 AS INT) AS seq, 60 + r_regionkey * 30 AS seconds FROM region"
 book.add("wn12_last_stops", lambda d, r: T.last_stops(T.chain_departures(d, 60, 3000), r), [CHAINED, RIDES_], None)

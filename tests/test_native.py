@@ -374,3 +374,20 @@ def test_stop_rows_and_terminals(spark):
     assert rows(timetable.stop_row_violations(s, t), "trip_id", "stop_no", "reason") == [("e", 2, "EXPRESS_PASS_THROUGH"), ("l", 0, "BAD_PICKUP_TYPE"), ("l", 0, "STOP_NO_BELOW_1"), ("l", 1, "DUPLICATE_KEY"), ("q", 1, "UNKNOWN_TRIP"), ("w", None, "TRIP_WITHOUT_STOPS")]
     r = spark.createDataFrame([("a", 1, "ORIGIN"), ("a", 2, "TERMINAL"), ("a", 3, "ORIGIN"), ("a", 4, "TERMINAL")], "trip_id string, stop_no int, role string")
     assert rows(timetable.terminal_violations(r)) == [("a", 2, "TERMINAL_NOT_LAST"), ("a", 3, "ORIGIN_NOT_FIRST")]
+
+
+def test_pair_violations(spark):
+    def full(train, stations, step=1, times=True):
+        out = []
+        for i, a in enumerate(stations):
+            for j, b in enumerate(stations):
+                if i < j:
+                    out.append((train, a, step * (i + 1), 600 * i, b, step * (j + 1), 600 * j - 60 if times else 600 * i))
+        return out
+
+    data = full("ok", "abcd") + full("down", "abcd", -1) + full("late", "abc", times=False) + full("twice", "abc") + [("twice", "a", 1, 0, "b", 2, 540)] + full("lacks", "abc")[:-1] + full("turn", "abc") + [("turn", "c", 3, 1300, "a", 1, 1400)]
+    df = spark.createDataFrame(data, "train string, origin string, origin_seq int, departs int, destination string, destination_seq int, arrives int")
+    got = rows(timetable.pair_violations(df))
+    assert [r for r in got if r[0] in ("ok", "down", "twice", "lacks")] == [("lacks", "PAIRS_MISSING"), ("twice", "PAIR_TWICE")]
+    assert {r[1] for r in got if r[0] == "turn"} >= {"MIXED_DIRECTION"} and ("late", "TIMES_NOT_INCREASING") in got
+    assert [r.station for r in timetable.trips_from_pairs(df).where("train = 'down'").orderBy("stop_no").collect()] == list("abcd")
