@@ -262,6 +262,16 @@ def off_track(nodes: DataFrame, segments: DataFrame, tolerance: dict[str, float]
     return d.join(nodes.select("id", "line_id", "role"), ["id", "line_id"]).where(F.col("distance") > limit).select("id", "line_id", "role", "distance")
 
 
+def straight_lead_violations(nodes: DataFrame, segments: DataFrame, clearance: float = 6.0, reach: float = 20.0) -> DataFrame:
+    """JN-30: nodes (id, line_id, x, y) whose nearest segment of the line (line_id, seg_id, kind, x0, y0, x1, y1) is a curve (NODE_ON_CURVE), or straight but shorter than the
+    clearance (SHORT_LEAD): the track bends right beside the node. A node farther than `reach` from its line is another audit's (`off_track`); of several
+    segments equally near the smallest id counts."""
+    kind = segments.select("line_id", "seg_id", "kind", F.hypot(F.col("x1") - F.col("x0"), F.col("y1") - F.col("y0")).alias("length"))
+    d = nearest_segment(nodes, segments).where(F.col("distance") <= reach).join(kind, ["line_id", "seg_id"])
+    reason = F.when(F.col("kind") == "curve", "NODE_ON_CURVE").when(F.col("length") < clearance, "SHORT_LEAD")
+    return d.select("id", "line_id", "seg_id", "length", reason.alias("reason")).where("reason IS NOT NULL")
+
+
 def snap_ends(ends: DataFrame, nodes: DataFrame, threshold: float) -> DataFrame:
     """JN-31: track ends (track, line_id, x, y) move to the nearest node of the line within the threshold, else are reported. Ends meet the
     nodes of the nine cells of the threshold's width around them."""

@@ -198,6 +198,28 @@ def service_edges(stops: DataFrame) -> DataFrame:
     return e.join(back, ["from_node", "to_node"], "left").withColumn("has_reverse", F.coalesce("has_reverse", F.lit(False)))
 
 
+def corridor_steps(stops: DataFrame, corridor: DataFrame) -> DataFrame:
+    """GR-6: each step between consecutive stops of a trip (trip_id, stop_no, station_id, line_id, direction up or down, seq as the trip states it) against the corridor (station_id, line_id,
+    seq): (trip_id, stop_no of the first stop, reason), reason null for a step that agrees, else UNKNOWN_DIRECTION, NOT_ON_CORRIDOR, OTHER_SEQUENCE (a stated number is not the
+    corridor's) or AGAINST_DIRECTION. A station that stands on the corridor more than once counts by its smallest number, on branches by line."""
+    c = corridor.groupBy("station_id", "line_id").agg(F.min("seq").alias("_seq"))
+    w = Window.partitionBy("trip_id").orderBy("stop_no")
+    s = stops.join(c, ["station_id", "line_id"], "left").withColumns({"_next": F.lead("_seq").over(w), "_said": F.lead("seq").over(w), "_more": F.lead("stop_no").over(w).isNotNull()}).where("_more")
+    on = F.col("_seq").isNotNull() & F.col("_next").isNotNull()
+    right = F.when(F.col("direction") == "up", F.col("_seq") < F.col("_next")).otherwise(F.col("_seq") > F.col("_next"))
+    agrees = F.col("seq").eqNullSafe(F.col("_seq")) & F.col("_said").eqNullSafe(F.col("_next"))
+    reason = F.when(~F.coalesce(F.col("direction").isin("up", "down"), F.lit(False)), "UNKNOWN_DIRECTION").when(~on, "NOT_ON_CORRIDOR").when(~agrees, "OTHER_SEQUENCE").when(~right, "AGAINST_DIRECTION")
+    return s.select("trip_id", "stop_no", reason.alias("reason"))
+
+
+def corridor_agreement(steps: DataFrame) -> DataFrame:
+    """GR-6: of `corridor_steps` per trip the steps, those that agree, and the longest run of agreeing ones."""
+    w = Window.partitionBy("trip_id").orderBy("stop_no")
+    bad = F.col("reason").isNotNull().cast("int")
+    runs = steps.withColumn("run", F.sum(bad).over(w)).groupBy("trip_id", "run").agg(F.count("*").alias("n"), F.sum(1 - bad).alias("good"))
+    return runs.groupBy("trip_id").agg(F.sum("n").alias("steps"), F.sum("good").alias("agreeing"), F.max("good").alias("longest"))
+
+
 def expand_bidirectional(links: DataFrame, explicit: DataFrame) -> DataFrame:
     """GR-7: links, the swapped ones of those that are bidirectional, and explicit edges."""
     swapped = links.where("bidirectional").select(F.col("to_node").alias("from_node"), F.col("from_node").alias("to_node"))

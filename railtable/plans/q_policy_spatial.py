@@ -69,6 +69,10 @@ _NS = f"""g AS ({SG}), n AS ({NO}), t AS (SELECT n.*, seg_id, x0, y0, x1 - x0 AS
   d AS (SELECT *, sqrt(power(x - x0 - u * dx, 2) + power(y - y0 - u * dy, 2)) AS dist FROM t), m AS (SELECT id, line_id, role, min(dist) AS distance FROM d GROUP BY ALL)"""
 book.add("jn18_nearest_segment", lambda a, b: S.nearest_segment(a, b).select("id", "line_id", F.round("distance", 6).alias("distance")), [NO, SG], f"WITH {_NS} SELECT id, line_id, round(distance, 6) AS distance FROM m")
 book.add("jn30_off_track", lambda a, b: S.off_track(a, b, {"interchange": 60.0, "stop": 30.0}, 30.0).withColumn("distance", F.round("distance", 6)), [NO, SG], f"WITH {_NS} SELECT id, line_id, role, round(distance, 6) AS distance FROM m WHERE distance > CASE role WHEN 'interchange' THEN 60 ELSE 30 END")
+SK = "SELECT line_id, station_id AS seg_id, CASE WHEN station_id % 5 = 0 THEN 'curve' ELSE 'line' END AS kind, x AS x0, y AS y0, x + station_id % 120 + 1 AS x1, y + station_id % 50 AS y1 FROM v_positions WHERE station_id % 3 = 0"
+book.add("jn30_leads", lambda a, b: S.straight_lead_violations(a, b, 60.0, 200.0).withColumn("length", F.round("length", 6)), [NO, SK], f"""WITH g AS ({SK}), n AS ({NO}), t AS (SELECT n.*, seg_id, kind, x0, y0, x1 - x0 AS dx, y1 - y0 AS dy, greatest(0.0::DOUBLE, least(1.0::DOUBLE, ((x - x0) * (x1 - x0) + (y - y0) * (y1 - y0))::DOUBLE / ((x1 - x0) * (x1 - x0) + (y1 - y0) * (y1 - y0)))) AS u FROM n JOIN g USING (line_id)),
+  d AS (SELECT *, sqrt(power(x - x0 - u * dx, 2) + power(y - y0 - u * dy, 2)) AS dist, sqrt(power(dx, 2) + power(dy, 2)) AS length FROM t QUALIFY row_number() OVER (PARTITION BY id, line_id ORDER BY dist, seg_id) = 1)
+  SELECT id, line_id, seg_id, round(length, 6) AS length, CASE WHEN kind = 'curve' THEN 'NODE_ON_CURVE' ELSE 'SHORT_LEAD' END AS reason FROM d WHERE dist <= 200 AND (kind = 'curve' OR length < 60)""")
 ED = "SELECT station_id AS track, line_id, x, y FROM v_positions WHERE station_id % 4 = 0"
 NN = "SELECT station_id AS id, line_id, x, y FROM v_positions WHERE station_id % 4 > 0"
 book.add("jn31_snap_ends", lambda a, b: S.snap_ends(a, b, 120.0), [ED, NN], f"""WITH e AS ({ED}), n AS ({NN}), j AS (SELECT e.*, n.id, n.x AS nx, n.y AS ny, sqrt(power(e.x - n.x, 2) + power(e.y - n.y, 2)) AS d FROM e LEFT JOIN n USING (line_id) QUALIFY row_number() OVER (PARTITION BY track ORDER BY d, n.id) = 1)

@@ -54,6 +54,12 @@ book.add("gr05_components", lambda n, e: G.components(e, n), ["v_nodes", "v_edge
   r(node, c) AS (SELECT node, node FROM v_nodes UNION SELECT b, c FROM r JOIN e ON node = a) SELECT node, min(c) AS component FROM r GROUP BY node""")
 book.add("gr06_service_edges", G.service_edges, ["v_stops"], """WITH e AS (SELECT DISTINCT a AS from_node, b AS to_node FROM (SELECT station_id AS a, lead(station_id) OVER (PARTITION BY trip_id ORDER BY stop_no) AS b FROM v_stops) WHERE b IS NOT NULL AND a <> b)
   SELECT e.*, EXISTS (SELECT 1 FROM e r WHERE r.from_node = e.to_node AND r.to_node = e.from_node) AS has_reverse FROM e""")
+COR = ["SELECT trip_id, stop_no, station_id, line_id, CASE WHEN station_id % 37 = 0 THEN NULL WHEN line_id = 'R' THEN 'down' ELSE 'up' END AS direction, CASE WHEN station_id % 23 = 0 THEN station_id + 1 ELSE station_id END AS seq FROM v_stops",
+  "SELECT s_suppkey AS station_id, r_name AS line_id, s_suppkey AS seq FROM supplier CROSS JOIN (SELECT 'A' AS r_name UNION ALL SELECT 'N' AS r_name UNION ALL SELECT 'R' AS r_name) AS l WHERE s_suppkey % 19 > 0 UNION ALL SELECT s_suppkey AS station_id, 'N' AS line_id, s_suppkey + 5000 AS seq FROM supplier WHERE s_suppkey % 29 = 0"]
+_COR = f"""WITH t AS ({COR[0]}), c AS (SELECT station_id, line_id, min(seq) AS k FROM ({COR[1]}) GROUP BY 1, 2), s AS (SELECT t.*, k, lead(k) OVER w AS k2, lead(seq) OVER w AS q2, lead(stop_no) OVER w AS more FROM t LEFT JOIN c USING (station_id, line_id) WINDOW w AS (PARTITION BY trip_id ORDER BY stop_no)),
+  r AS (SELECT trip_id, stop_no, CASE WHEN direction IS NULL THEN 'UNKNOWN_DIRECTION' WHEN k IS NULL OR k2 IS NULL THEN 'NOT_ON_CORRIDOR' WHEN seq <> k OR q2 <> k2 THEN 'OTHER_SEQUENCE' WHEN (direction = 'up' AND k >= k2) OR (direction = 'down' AND k <= k2) THEN 'AGAINST_DIRECTION' END AS reason FROM s WHERE more IS NOT NULL)"""
+book.add("gr06_corridor_steps", G.corridor_steps, COR, f"{_COR} SELECT * FROM r")
+book.add("gr06_corridor_agreement", lambda s, c: G.corridor_agreement(G.corridor_steps(s, c)), COR, f"{_COR}, u AS (SELECT *, sum((reason IS NOT NULL)::INT) OVER (PARTITION BY trip_id ORDER BY stop_no) AS run FROM r), v AS (SELECT trip_id, run, count(*) AS n, count(*) FILTER (WHERE reason IS NULL) AS good FROM u GROUP BY 1, 2) SELECT trip_id, sum(n)::BIGINT AS steps, sum(good)::BIGINT AS agreeing, max(good) AS longest FROM v GROUP BY 1")
 book.add("gr07_bidirectional", G.expand_bidirectional, ["SELECT from_node, to_node, from_node % 2 = 0 AS bidirectional FROM v_edges", "SELECT n_nationkey AS from_node, n_regionkey AS to_node FROM nation"], "SELECT from_node, to_node FROM v_edges UNION ALL SELECT to_node, from_node FROM v_edges WHERE from_node % 2 = 0 UNION ALL SELECT n_nationkey, n_regionkey FROM nation")
 book.add("gr08_replace_edges", lambda e, n: G.replace_edges(e, "A", n), [RIDES, "SELECT CAST(-n_nationkey - 1 AS BIGINT) AS edge_id, 'A' AS line_id, CAST(n_nationkey AS BIGINT) AS from_station, CAST(n_regionkey AS BIGINT) AS to_station, 60 AS seconds, 900 AS metres, 'LOCAL' AS pattern FROM nation"],
   f"SELECT * FROM ({RIDES}) WHERE NOT (line_id = 'A' AND pattern = 'LOCAL') UNION ALL SELECT -n_nationkey - 1, 'A', n_nationkey, n_regionkey, 60, 900, 'LOCAL' FROM nation")

@@ -391,3 +391,11 @@ def test_pair_violations(spark):
     assert [r for r in got if r[0] in ("ok", "down", "twice", "lacks")] == [("lacks", "PAIRS_MISSING"), ("twice", "PAIR_TWICE")]
     assert {r[1] for r in got if r[0] == "turn"} >= {"MIXED_DIRECTION"} and ("late", "TIMES_NOT_INCREASING") in got
     assert [r.station for r in timetable.trips_from_pairs(df).where("train = 'down'").orderBy("stop_no").collect()] == list("abcd")
+
+
+def test_corridor_order(spark):
+    s = spark.createDataFrame([("u", k, st, "L", "up", q) for k, (st, q) in enumerate([("a", 1), ("b", 2), ("c", 3), ("b", 2), ("d", 9), ("e", None)])] + [("d", 1, "c", "L", "down", 3), ("d", 2, "a", "L", "down", 1), ("n", 1, "a", "L", "sideways", 1), ("n", 2, "b", "L", "up", 2)], "trip_id string, stop_no int, station_id string, line_id string, direction string, seq int")
+    c = spark.createDataFrame([("a", "L", 1), ("b", "L", 2), ("c", "L", 3), ("d", "L", 4), ("b", "L", 7)], "station_id string, line_id string, seq int")
+    steps = topology.corridor_steps(s, c)
+    assert rows(steps) == [("d", 1, None), ("n", 1, "UNKNOWN_DIRECTION"), ("u", 0, None), ("u", 1, None), ("u", 2, "AGAINST_DIRECTION"), ("u", 3, "OTHER_SEQUENCE"), ("u", 4, "NOT_ON_CORRIDOR")]
+    assert rows(topology.corridor_agreement(steps)) == [("d", 1, 1, 1), ("n", 1, 0, 0), ("u", 5, 2, 2)]

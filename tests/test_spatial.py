@@ -149,3 +149,9 @@ def test_ranks_and_tiers(spark):
     assert rows(spatial.displacement_tiers(spreads, targets), "station_id", "target", "displacement", "tier", "converge", "suspect_split") == [
         (1, 55.0, 0.0, "mild", False, False), (2, 55.0, 7.5, "mid", True, True), (3, 56.0, 2.0, "mild", True, False), (4, 55.0, 122.5, "extreme", True, True)
     ]
+
+
+def test_straight_leads(spark):
+    segments = spark.createDataFrame([("L", 1, "line", 0.0, 0.0, 100.0, 0.0), ("L", 2, "curve", 100.0, 0.0, 120.0, 20.0), ("L", 3, "line", 120.0, 20.0, 120.0, 24.0)], "line_id string, seg_id int, kind string, x0 double, y0 double, x1 double, y1 double")
+    nodes = spark.createDataFrame([(1, "L", 50.0, 2.0), (2, "L", 110.0, 11.0), (3, "L", 121.0, 23.0), (4, "L", 50.0, 90.0), (5, "M", 0.0, 0.0)], "id int, line_id string, x double, y double")
+    assert rows(spatial.straight_lead_violations(nodes, segments), "id", "reason") == [(2, "NODE_ON_CURVE"), (3, "SHORT_LEAD")]
