@@ -91,3 +91,14 @@ def test_candidates_are_listed_once(spark):
     assert rows(again) == rows(got)
     firsts = R.first_candidates(got)
     assert rows(firsts) == rows(R.first_assignments(nodes, labels, stations, "here"))
+
+
+def test_fares_of_one_origin(spark):
+    """Every trip starts at station 0, which has a quote to each other station."""
+    from railtable.operators.timetable import attach_fares
+
+    stops = spark.range(2000).select(F.col("id").alias("trip_id"), F.explode(F.array(F.struct(F.lit(0).cast("long").alias("station_id"), F.lit(1).alias("stop_no")), F.struct((F.col("id") + 1).alias("station_id"), F.lit(2).alias("stop_no")))).alias("s")).select("trip_id", "s.*")
+    quotes = spark.range(1, 2001).select(F.lit(0).cast("long").alias("origin"), F.col("id").alias("destination"), (F.col("id") + 5).alias("fare"))
+    got = attach_fares(stops, quotes.unionByName(quotes.select(F.col("destination").alias("origin"), F.col("origin").alias("destination"), "fare")))
+    assert most_rows(got) <= 10_000
+    assert got.count() == 2000 and got.where("origin = 0 AND destination = trip_id + 1 AND fare = trip_id + 6").count() == 2000
