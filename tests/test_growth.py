@@ -102,3 +102,34 @@ def test_fares_of_one_origin(spark):
     got = attach_fares(stops, quotes.unionByName(quotes.select(F.col("destination").alias("origin"), F.col("origin").alias("destination"), "fare")))
     assert most_rows(got) <= 10_000
     assert got.count() == 2000 and got.where("origin = 0 AND destination = trip_id + 1 AND fare = trip_id + 6").count() == 2000
+
+
+def test_vertices_are_read_once(spark):
+    """The path of SC-21 is taken apart once for x and once for y, however many points are asked for."""
+    from railtable.plans import registry
+
+    df = registry.queries()["sc21_arc_length"](spark, "/root/testdata/sf0.001")
+    assert df._jdf.queryExecution().optimizedPlan().toString().count("regexp_extract_all") <= 2
+
+
+def test_points_within(spark):
+    """A target in the own cell, in the next ones, none; equal points each stand for themselves; most points of a crowd meet no target row by row."""
+    import math
+
+    from railtable.operators.spatial import within
+
+    draw = random.Random(4)
+    p = [(k, draw.uniform(0, 40), draw.uniform(0, 40)) for k in range(200)] + [(900, 0.0, 0.0), (901, 0.0, 0.0), (902, 17.0, 0.0), (903, 500.0, 0.0)]
+    t = [(draw.uniform(-20, 60), draw.uniform(-20, 60)) for _ in range(12)] + [(0.0, -17.0)]
+    near, rest = within(spark.createDataFrame(p, "id long, x double, y double"), spark.createDataFrame(t, "x double, y double"), 17.0, 10)
+    want = {k: min(math.hypot(x - u, y - v) for u, v in t) < 17 for k, x, y in p}
+    assert rows(near, "id") == sorted((k,) for k, w in want.items() if w) and rows(rest, "id") == sorted((k,) for k, w in want.items() if not w)
+
+
+def test_crossings_on_borders_count_once(spark):
+    """Crossings on a cell's corner, on its side, inside, and of two nearly parallel segments through many cells."""
+    from railtable.operators.spatial import crossing_points
+
+    s = [(1, 1, -50.0, -50.0, 50.0, 50.0), (2, 2, -50.0, 50.0, 50.0, -50.0), (3, 3, 5.0, -40.0, 5.0, 40.0), (4, 4, -1000.0, -200.0, 1000.0, -200.0), (5, 5, -1000.0, -200.0001, 1000.0, -199.9999)]
+    got = crossing_points(spark.createDataFrame(s, "id long, track long, x0 double, y0 double, x1 double, y1 double"), 10.0)
+    assert rows(got, "a", "b") == [(1, 2), (1, 3), (2, 3), (4, 5)]
