@@ -39,3 +39,15 @@ def test_od(spark):
     assert (r.stations, r.expected, r.pairs, r.complete) == (4, 12, 12, True)
     assert r.station_digest == plain([f'["{a}"]' for a in ids], 3) and r.pair_digest == plain([f'["{a}","{b}"]' for a in ids for b in ids if a != b], 3)
     assert not digests.od_digests(reconcile.od_matrix(s).where("origin > 1"), s).first().complete
+
+
+def test_od_by_place(spark):
+    """The digests of a matrix made from places are those of the sorted pairs: ids of one text inside another, quotes, signs that sort below them, nulls; no sort and no exchange sees the pairs."""
+    names = ["1", "10", "2", "3", "a", 'a"', "a!", "a b", "ab", "é", "\\", "1,2", "", "zz"]
+    for ids, kind, fan in ((names, "string", 2), (names, "string", 7), ([*range(9), None, 3], "long", 3), ([5], "int", 2)):
+        s = spark.createDataFrame([(k,) for k in ids], f"station_id {kind}")
+        assert digests.od_matrix_digests(s, fan).collect() == digests.od_digests(reconcile.od_matrix(s), s, fan=fan).collect(), (ids, fan)
+    from test_growth import most_rows
+
+    stations = spark.range(300).select(F.col("id").alias("station_id"))
+    assert most_rows(digests.od_matrix_digests(stations, 100)) <= 10_000  # of 89,700 pairs
