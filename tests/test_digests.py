@@ -51,3 +51,7 @@ def test_od_by_place(spark):
 
     stations = spark.range(300).select(F.col("id").alias("station_id"))
     assert most_rows(digests.od_matrix_digests(stations, 100)) <= 10_000  # of 89,700 pairs
+
+
+def test_matrix_is_dealt_out(spark):
+    assert reconcile.od_matrix(spark.range(50).select(F.col("id").alias("station_id"))).rdd.getNumPartitions() >= 8
