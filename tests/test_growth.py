@@ -144,3 +144,24 @@ def test_coming_reads_a_line_once(spark):
         got = along(lines, ["line"], ["id"], {"c": coming("x")}, block)
         assert "unboundedfollowing" not in got._jdf.queryExecution().optimizedPlan().toString().lower()
         assert got.where("c <> id - id % 1000 + 999 OR c IS NULL").count() == 0
+
+
+def test_unreachable_in_dense_graph(spark):
+    """Two rings with chords, one leading into the other, single nodes before, between and behind: no step lists a path of each length, and the pairs are those of a plain search."""
+    from railtable.operators.topology import unreachable_pairs
+
+    ring = lambda lo, n: [(lo + k, lo + (k + d) % n) for k in range(n) for d in range(1, 12)]
+    e = ring(0, 40) + ring(100, 30) + [(3, 200), (200, 104), (300, 5), (110, 301), (400, 400), (7, 999)]
+    nodes = [*range(40), *range(100, 130), 200, 300, 301, 400, 500]
+    out: dict[int, set[int]] = {}
+    for a, b in e:
+        out.setdefault(a, set()).add(b)
+    want = []
+    for a in nodes:
+        seen, todo = set(), [a]
+        while todo:
+            todo = [y for x in todo for y in out.get(x, ()) if y not in seen and not seen.add(y)]
+        want += [(a, b) for b in nodes if a != b and b not in seen]
+    got = unreachable_pairs(spark.createDataFrame([(k,) for k in nodes], "node long"), spark.createDataFrame(e, "from_node long, to_node long"))
+    assert rows(got, "source", "node") == sorted(want)
+    assert got.rdd.getNumPartitions() >= 8
