@@ -165,3 +165,14 @@ def test_unreachable_in_dense_graph(spark):
     got = unreachable_pairs(spark.createDataFrame([(k,) for k in nodes], "node long"), spark.createDataFrame(e, "from_node long, to_node long"))
     assert rows(got, "source", "node") == sorted(want)
     assert got.rdd.getNumPartitions() >= 8
+
+
+def test_agreement_needs_no_distinct_values(spark):
+    """Whether values agree is told by the smallest and largest, so rows are not multiplied for each distinct count; nulls do not count."""
+    from railtable.operators import timetable as T
+
+    plan = lambda d: d._jdf.queryExecution().optimizedPlan().toString()
+    pairs = spark.createDataFrame([(1, "a", 1, 5, "b", 2, 9), (1, "a", 1, 5, "c", 3, 20), (1, "b", 2, 10, "c", 3, None), (2, "a", 1, None, "b", 2, 9), (2, "a", 1, 6, "b", 2, 8)], "train int, origin string, origin_seq int, departs long, destination string, destination_seq int, arrives long")
+    got = T.trips_from_pairs(pairs)
+    assert "Expand" not in plan(got) and "Expand" not in plan(T.pair_violations(pairs))
+    assert rows(got, "train", "station", "times_agree") == [(1, "a", True), (1, "b", True), (1, "c", True), (2, "a", True), (2, "b", False)]
