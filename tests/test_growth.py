@@ -176,3 +176,6 @@ def test_agreement_needs_no_distinct_values(spark):
     got = T.trips_from_pairs(pairs)
     assert "Expand" not in plan(got) and "Expand" not in plan(T.pair_violations(pairs))
     assert rows(got, "train", "station", "times_agree") == [(1, "a", True), (1, "b", True), (1, "c", True), (2, "a", True), (2, "b", False)]
+    stops = spark.createDataFrame([(1, 1, 1, "L"), (1, 2, 2, None), (1, 3, 3, "L"), (2, 1, 1, "L"), (2, 2, 2, "E"), (3, 1, 1, None)], "trip_id int, stop_no int, seq int, pattern string")
+    found = T.direction_violations(stops)
+    assert "distinct" not in plan(found) and rows(found) == [(2, "MIXED_PATTERN")]
