@@ -220,10 +220,17 @@ def hot_tree(root: np.ndarray, kept: list[DataFrame], most: int = HOT_PAIRS) ->
             break
     levels = []
     for level in kept:
-        got = level.where(F.col("m") >= floor).select("context", "pair", "log", "lost").toArrow().to_pandas().sort_values("pair")
-        context, pairs = (got[c].to_numpy(np.int64).view(_U) for c in ("context", "pair"))
-        keys, first = np.unique(context, return_index=True)
-        levels.append((keys, got["lost"].to_numpy(float)[first], pairs, got["log"].to_numpy(float)))
+        # a pair has its context in it, and what the suffix keeps is sent once a context
+        hot = level.where(F.col("m") >= floor)
+        got = hot.groupBy("context").agg(F.max("lost").alias("lost")).toArrow()
+        keys, lost = got.column("context").to_numpy().view(_U), got.column("lost").to_numpy()
+        order = np.argsort(keys)
+        keys, lost = keys[order], lost[order]
+        got = hot.select("pair", "log").toArrow()
+        pairs, logs = got.column("pair").to_numpy().view(_U), got.column("log").to_numpy()
+        del got
+        order = np.argsort(pairs)
+        levels.append((keys, lost, pairs[order], logs[order]))
     if not floor:
         return Tree(root, levels), 0
 
