@@ -1,11 +1,13 @@
 """Joins by a name that many rows share make no row for each pair, and give what listing all pairs gives."""
 
 import random
+import re
 
 from conftest import rows
 from pyspark.sql import functions as F
 
 from railtable.operators import reconcile as R
+from railtable.operators import timetable as T
 
 
 def most_rows(df):
@@ -179,3 +181,18 @@ def test_agreement_needs_no_distinct_values(spark):
     stops = spark.createDataFrame([(1, 1, 1, "L"), (1, 2, 2, None), (1, 3, 3, "L"), (2, 1, 1, "L"), (2, 2, 2, "E"), (3, 1, 1, None)], "trip_id int, stop_no int, seq int, pattern string")
     found = T.direction_violations(stops)
     assert "distinct" not in plan(found) and rows(found) == [(2, "MIXED_PATTERN")]
+
+
+def steps_of(df, *names):
+    """How often each of the named steps stands in the plan that df was run by."""
+    df.collect()
+    final = df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0]
+    return [len(re.findall(rf"(?m)^[ :*+\-()\d]*{n}\b", final)) for n in names]
+
+
+def test_trips_need_one_sort(spark):
+    """WN-1: trips come from the rows as sorted for their stops, without hash tables of trips; a null sequence at an end is the end's."""
+    d = spark.createDataFrame([("A", "1", "w", 7, 3, 20), ("A", "1", "w", 8, 1, 10), ("A", "2", "w", 7, 1, 5), ("A", "2", "w", 9, 4, 5), ("B", "1", "w", 5, None, 1), ("B", "1", "w", None, 2, 2), (None, "1", "w", 4, 1, 1)], "line_id string, train_no string, day string, station_id int, seq int, time int")
+    trips = T.reconstruct_trips(d)[0]
+    assert rows(trips) == [(None, "1", "w", "UP", 4, 1), ("A", "1", "w", "UP", 7, 2), ("A", "2", "w", "UP", 9, 2), ("B", "1", "w", "DOWN", None, 2)]
+    assert steps_of(trips, "HashAggregate", "SortAggregate", "Sort", "Exchange") == [0, 0, 1, 1]
