@@ -196,3 +196,12 @@ def test_trips_need_one_sort(spark):
     trips = T.reconstruct_trips(d)[0]
     assert rows(trips) == [(None, "1", "w", "UP", 4, 1), ("A", "1", "w", "UP", 7, 2), ("A", "2", "w", "UP", 9, 2), ("B", "1", "w", "DOWN", None, 2)]
     assert steps_of(trips, "HashAggregate", "SortAggregate", "Sort", "Exchange") == [0, 0, 1, 1]
+
+
+def test_stop_rows_read_stops_once(spark):
+    """WN-4: stops and trips meet in one exchange, so the stops are not read once for each check; null keys and trips listed twice as in the SQL."""
+    s = spark.createDataFrame([("e", 1, 0, 0), ("e", 1, 0, 0), ("e", None, 0, 0), (None, 1, 0, 0)], "trip_id string, stop_no int, pickup_type int, drop_off_type int")
+    t = spark.createDataFrame([("e", "LOCAL"), ("w", "LOCAL"), ("w", "EXPRESS"), (None, "LOCAL")], "trip_id string, pattern string")
+    got = T.stop_row_violations(s, t)
+    assert rows(got) == [(None, None, "TRIP_WITHOUT_STOPS"), (None, 1, "UNKNOWN_TRIP"), ("e", 1, "DUPLICATE_KEY"), ("w", None, "TRIP_WITHOUT_STOPS")]
+    assert steps_of(got, "SortMergeJoin", "BroadcastHashJoin", "Sort", "Exchange") == [0, 0, 1, 1]
