@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from railtable.operators import reconcile as R
 from railtable.operators import timetable as T
+from railtable.operators import topology as G
 
 
 def most_rows(df):
@@ -198,6 +199,20 @@ def test_trips_need_one_sort(spark):
     assert steps_of(trips, "HashAggregate", "SortAggregate", "Sort", "Exchange") == [0, 0, 1, 1]
 
 
+def test_corridor_agreement_needs_one_sort(spark):
+    """GR-6: against a count in Python, with stops of one number; no hash tables of trips or runs."""
+    draw = random.Random(5)
+    listed = [(draw.choice(["a", "b", "c", None]), draw.randrange(12), draw.choice([None, None, "X"])) for _ in range(60)]
+    want = []
+    for trip in {t for t, _, _ in listed}:
+        own = [(n, r) for t, n, r in listed if t == trip]
+        run = lambda n: sum(r is not None for m, r in own if m <= n)  # noqa: B023, E731
+        want.append((trip, len(own), sum(r is None for _, r in own), max(sum(r is None for m, r in own if run(m) == k) for k in {run(n) for n, _ in own})))
+    got = G.corridor_agreement(spark.createDataFrame(listed, "trip_id string, stop_no int, reason string"))
+    assert rows(got) == sorted(want, key=lambda x: (x[0] is not None, x[0] or ""))
+    assert steps_of(got, "HashAggregate", "Sort", "Exchange") == [0, 1, 1]
+
+
 def test_stop_rows_read_stops_once(spark):
     """WN-4: stops and trips meet in one exchange, so the stops are not read once for each check; null keys and trips listed twice as in the SQL."""
     s = spark.createDataFrame([("e", 1, 0, 0), ("e", 1, 0, 0), ("e", None, 0, 0), (None, 1, 0, 0)], "trip_id string, stop_no int, pickup_type int, drop_off_type int")
