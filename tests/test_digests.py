@@ -2,10 +2,11 @@
 
 import hashlib
 import random
+import re
 
 from pyspark.sql import functions as F
 
-from railtable.operators import digests, reconcile
+from railtable.operators import digests, ordered, reconcile
 
 
 def plain(texts, fan):
@@ -55,3 +56,15 @@ def test_od_by_place(spark):
 
 def test_matrix_is_dealt_out(spark):
     assert reconcile.od_matrix(spark.range(50).select(F.col("id").alias("station_id"))).rdd.getNumPartitions() >= 8
+
+
+def test_one_set_is_placed_without_a_window_over_its_rows(spark):
+    """Places of a set over a block come from its ranges: no window, and no exchange of the texts after the ranges; nulls are left out and equal texts count each."""
+    df = spark.range(3000).select((F.col("id") % 700).cast("string").alias("t")).unionByName(spark.createDataFrame([(None,)] * 5, "t string"))
+    texts = sorted(str(k % 700) for k in range(3000))
+    for block in (100, 10_000):
+        assert [tuple(r) for r in digests.tree_digest(df, [], F.col("t"), 10, block).collect()] == [(3000, plain(texts, 10))]
+    placed = ordered.numbered(df.where("t IS NOT NULL"), 3005, ["t"], "at", 100)
+    assert [r.at for r in placed.orderBy("at").collect()] == list(range(3000)) and [r.t for r in placed.orderBy("at").collect()] == texts
+    plan = placed._jdf.queryExecution().executedPlan().toString()
+    assert not re.search(r"(hashpartitioning|Window \[).*\bt#", plan)
