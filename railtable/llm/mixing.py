@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import json
 import math
 import warnings
 
@@ -56,8 +55,9 @@ class Classifier:
         keys = [c for c in rows.columns if c != "text"]
         at = rows.select(F.monotonically_increasing_id().alias("_row"), *keys, "text")
         said = words(at).select("_row", *keys, (F.col("w") != "").cast("int").alias("one"), *[b.alias(f"_b{k}") for k, b in enumerate(buckets(F.col("w")))])
-        # one literal a domain: parsed once, when the plan is optimised
-        odds = [F.from_json(F.lit(json.dumps([round(x, 3) for x in o])), "array<double>") for o in self.odds]
+        # one row with all odds, as a subquery: as literals they would be written out in every text of the plan that the driver keeps
+        table = rows.sparkSession.createDataFrame([([[round(x, 3) for x in o] for o in self.odds],)], "odds array<array<double>>").scalar()
+        odds = [F.get(table, F.lit(k)) for k in range(len(self.odds))]
         sums = [F.sum(F.when(F.col("one") == 1, F.get(o, F.col("_b0")) + F.get(o, F.col("_b1")))) for o in odds]
         out = said.groupBy("_row", *keys).agg(F.sum("one").cast("long").alias("tokens"), *[s.alias(f"_e{k}") for k, s in enumerate(sums)])
         return out.select(*keys, "tokens", F.array(*[F.coalesce(f"_e{k}", F.lit(0.0)) for k in range(len(odds))]).cast("array<double>").alias("e"))

@@ -98,7 +98,7 @@ def _dictionary(pieces: list[bytes]) -> bytes:
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "quality") -> Model:
     """Fits on labelled rows outside the held-out fold. The dictionaries come from up to DICTIONARY_TEXTS texts of each
     class (up to PIECES pieces of them), the calibration from up to CALIBRATION_TEXTS others, those with the smallest
-    hashes: at most 50 MB of pieces and a few numbers a text reach the driver. Null labels and ids, and null texts, are left out; of
+    hashes: a class's pieces, 25 MB at most, are one task's, and its dictionary and a few numbers a text reach the driver. Null labels and ids, and null texts, are left out; of
     several labels of an id the smallest counts; repeated rows of an id teach as often as they stand there. With one class only the
     score is a constant: that class's label; without labels it is 1."""
     spark = docs.sparkSession
@@ -119,11 +119,16 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 
     every = rows.join(F.broadcast(for_dictionary), "doc_id").select("y", "text").mapInArrow(cut, "y int, piece binary")
     few = [every.where(F.col("y") == y).orderBy(F.xxhash64("piece"), "piece").limit(PIECES) for y in (0, 1)]
-    pieces = few[0].unionByName(few[1]).toArrow().to_pandas().sort_values(["y", "piece"])
-    good, bad = ([bytes(p) for p in pieces["piece"][pieces["y"] == y]] for y in (1, 0))
-    if not good or not bad:
-        return Model(b"", b"", constant=0.0 if bad else 1.0)
-    draft = Model(_dictionary(good), _dictionary(bad))
+
+    def fit(pieces: pa.Table) -> pa.Table:
+        made = _dictionary(sorted(p.as_buffer().to_pybytes() for p in pieces.column("piece").combine_chunks()))
+        return pa.table({"y": pa.array([pieces.column("y")[0].as_py()], pa.int32()), "d": pa.array([made], pa.binary())})
+
+    # training takes many times the pieces' own memory: a task for each class, and only the dictionaries come to the driver
+    made = {r["y"]: bytes(r["d"]) for r in few[0].unionByName(few[1]).groupBy("y").applyInArrow(fit, "y int, d binary").collect()}
+    if len(made) < 2:
+        return Model(b"", b"", constant=0.0 if 0 in made else 1.0)
+    draft = Model(made[1], made[0])
     sent = spark.sparkContext.broadcast(draft)
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

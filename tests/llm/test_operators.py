@@ -623,3 +623,33 @@ def test_pipeline(spark):
             assert docs.columns == before.columns
     assert docs.columns == ["doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard"]
     assert p.run(spark, SF).count() == docs.count()
+
+
+def test_odds_are_not_in_the_plan(spark):
+    """The driver keeps the text of each plan: the odds by bucket are not written into it. What they give is their sums."""
+    odds = [[round(math.sin(k), 3) for k in range(mixing.BUCKETS)], [0.5] * mixing.BUCKETS]
+    texts = spark.createDataFrame([(1, "one two"), (2, None), (3, "two")], "doc_id int, text string")
+    got = mixing.Classifier(["a", "b", "c"], [0.2, 0.3, 0.5], odds).evidence(texts)
+    want = {r.doc_id: r for r in got.collect()}
+    assert len(got._jdf.queryExecution().toString()) < 20_000
+    place = {r.w: (r.a, r.b) for r in spark.createDataFrame([("one",), ("two",)], "w string").select("w", *[b.alias(n) for b, n in zip(mixing.buckets(F.col("w")), "ab", strict=True)]).collect()}
+    own = lambda ws: sum(odds[0][k] for w in ws for k in place[w])
+    assert [want[k].tokens for k in (1, 2, 3)] == [2, 0, 1] and want[2].e == [0.0, 0.0] and want[1].e == pytest.approx([own(["one", "two"]), 2.0]) and want[3].e == pytest.approx([own(["two"]), 1.0])
+
+
+def test_dictionaries_are_trained_in_tasks(spark, monkeypatch):
+    """Training takes many times the memory of the pieces, so it is not the driver's; one class alone, and none, give constants."""
+    docs = docs_of(spark, [(k, ("good words of text " if k % 2 else "$$ buy 99 ") * 30 + str(k)) for k in range(400)])
+    labels = spark.createDataFrame([(k, k % 2) for k in range(400)], "doc_id long, quality int")
+    model = quality.train(docs, labels)
+    assert model.good and model.bad and model.weights is not None
+    assert quality.train(docs, labels.where("quality = 0")).constant == 0.0 and quality.train(docs, labels.where("quality = 1")).constant == quality.train(docs, labels.limit(0)).constant == 1.0
+    kept = quality._dictionary
+    driver = os.getpid()
+
+    def away(pieces):
+        assert os.getpid() != driver
+        return kept(pieces)
+
+    monkeypatch.setattr(quality, "_dictionary", away)
+    assert quality.train(docs, labels).good == model.good
