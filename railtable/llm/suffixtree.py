@@ -72,8 +72,13 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     held = 0
 
     def merged() -> tuple[np.ndarray, np.ndarray]:
-        keys, back = np.unique(np.concatenate([k for k, _ in seen]), return_inverse=True)
-        return keys, np.bincount(back.reshape(-1), np.concatenate([c for _, c in seen])).astype(np.int64)
+        if len(seen) == 1:
+            return seen[0]
+        keys = np.concatenate([k for k, _ in seen])
+        order = np.argsort(keys, kind="stable")  # which merges the sorted runs
+        keys = keys[order]
+        first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+        return keys[first], np.add.reduceat(np.concatenate([c for _, c in seen])[order], first)
 
     def flush() -> Iterator[pa.RecordBatch]:
         names = ["word", "gram", "n"]
@@ -90,10 +95,10 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             keys, n = np.unique(grams(tokens)[0], return_counts=True)
             seen.append((keys, n))
             held += len(keys)
-            if held > 2_000_000:
+            if held > 3_000_000:
                 seen[:] = [merged()]
                 held = len(seen[0][0])
-            if len(words) > 400_000 or held > 1_500_000:
+            if len(words) > 400_000 or held > 2_500_000:
                 yield from flush()
                 words.clear()
                 seen.clear()
@@ -101,6 +106,19 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     yield from flush()
 
 
+def _listed(owner: np.ndarray, keys: np.ndarray, logs: np.ndarray, rows: int) -> pa.ListArray:
+    """For each of `rows` rows its distinct grams with their log and how often they stand there: (g, h, c), in the order of g. `owner` is the row of each."""
+    order = np.lexsort((keys, owner))
+    owner, keys = owner[order], keys[order]
+    new = np.ones(len(keys), bool)
+    new[1:] = (keys[1:] != keys[:-1]) | (owner[1:] != owner[:-1])
+    first = np.flatnonzero(new)
+    times = np.diff(np.append(first, len(keys)))
+    ends = np.concatenate([[0], np.cumsum(np.bincount(owner[first], minlength=rows))])
+    made = pa.StructArray.from_arrays([pa.array(keys[first].view(np.int64)), pa.array(logs[order][first]), pa.array(times, pa.int64())], names=["g", "h", "c"])
+    return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), made)
+
+
 @dataclass(frozen=True)
 class Tree:
     """For each depth k: kept contexts (sorted, the last k bytes as a long), log10 of the weight their suffix keeps, and
@@ -305,28 +323,27 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                 hots = one[far_at]
                 one[far_at] = 0.0
                 logs = np.add.reduceat(one, starts[:-1])
-                beyond: list[list[dict]] = [[] for _ in tokens]
-                owner = np.searchsorted(starts, far_at, "right") - 1
-                for row in np.unique(owner).tolist():
-                    mine = owner == row
-                    keys, first, times = np.unique(g[far_at[mine]], return_index=True, return_counts=True)
-                    beyond[row] = [{"g": x, "h": h, "c": c} for x, h, c in zip(keys.view(np.int64).tolist(), hots[mine][first].tolist(), times.tolist(), strict=True)]
-                n, k, b, rest = [], [], [], []
+                beyond = _listed(np.searchsorted(starts, far_at, "right") - 1, g[far_at], hots, len(tokens))
+                n, k, b = [], [], []
+                other, often, ends_at = [], [], [0]
                 for t in tokens:
                     # a known word's log10(c + 1) is positive, so 0 marks the others
                     logs_of = np.fromiter(map(known.get, t, repeat(0.0)), np.float64, len(t))
                     far, near = float(logs_of.sum()), int(np.count_nonzero(logs_of))
-                    other = [] if whole else [{"w": w, "c": c} for w, c in Counter(t[x] for x in np.flatnonzero(logs_of == 0).tolist()).items()]
+                    if not whole:
+                        found = Counter(t[x] for x in np.flatnonzero(logs_of == 0).tolist())
+                        other.extend(found)
+                        often.extend(found.values())
+                    ends_at.append(len(other))
                     mine = len(t) + 1
                     n.append(mine)
                     k.append(near + (1 if ends else 0))
                     b.append(far + float(np.log10(ends + 1.0)) - mine * base)
-                    rest.append(other)
+                rest = pa.ListArray.from_arrays(pa.array(ends_at, pa.int32()), pa.StructArray.from_arrays([pa.array(other, pa.binary()), pa.array(often, pa.int64())], names=["w", "c"]))
                 yield pa.RecordBatch.from_arrays(
                     [
                         batch.column(0).slice(i, j - i), batch.column(1).slice(i, j - i), pa.array(n, pa.int64()), pa.array(k, pa.int64()), pa.array(b, pa.float64()), pa.array(logs, pa.float64()),
-                        pa.array(rest, pa.list_(pa.struct([("w", pa.binary()), ("c", pa.int64())]))),
-                        pa.array(beyond, pa.list_(pa.struct([("g", pa.int64()), ("h", pa.float64()), ("c", pa.int64())]))),
+                        rest, beyond,
                     ],
                     names=["doc_id", "held_out", "n_tokens", "n_known", "base_score", "score", "rest", "beyond"],
                 )

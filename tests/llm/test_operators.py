@@ -653,3 +653,18 @@ def test_dictionaries_are_trained_in_tasks(spark, monkeypatch):
 
     monkeypatch.setattr(quality, "_dictionary", away)
     assert quality.train(docs, labels).good == model.good
+
+
+def test_listed_grams():
+    """Distinct grams of each row with their log and times, as a loop lists them; rows without any have an empty list."""
+    import numpy as np
+
+    rng = np.random.default_rng(4)
+    owner, keys = np.sort(rng.integers(0, 9, 300)), rng.integers(0, 12, 300).astype(np.uint64) + np.uint64(2**63)
+    owner = owner[owner != 4]
+    keys = keys[: len(owner)]
+    got = suffixtree._listed(owner, keys, keys.astype(float) / 2, 11).to_pylist()
+    for row, one in enumerate(got):
+        own = keys[owner == row]
+        assert [(x["g"], x["h"], x["c"]) for x in one] == [(int(k.astype(np.int64)), float(k) / 2, int((own == k).sum())) for k in np.unique(own)]
+    assert got[4] == got[9] == got[10] == [] and suffixtree._listed(owner[:0], keys[:0], np.zeros(0), 2).to_pylist() == [[], []]
