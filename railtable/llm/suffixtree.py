@@ -7,6 +7,7 @@ from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 from itertools import repeat
+from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
@@ -31,7 +32,11 @@ COLD_BITS = 27
 HOT_WORDS = 65_536
 FOLDS, HELD_OUT = 7, 2
 END = 10
-CHUNK = 2 << 20
+CHUNK = 1 << 19
+#: A task sends counts once it holds so many words, or so many grams after merging.
+MOST_WORDS, MOST_GRAMS = 400_000, 2_000_000
+#: Counts of words and grams travel in so many parts a task: enough for any number of partitions, and with at most 3 million grams a row has a few KB.
+PARTS = 8192
 _U = np.uint64
 
 
@@ -65,45 +70,141 @@ def _chunks(batch: pa.Array) -> Iterator[tuple[int, int, list[list[bytes]]]]:
         yield i, j, [words_of(batch[k]) for k in range(i, j)]
 
 
-def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(word, gram, n): counts of a task's words and grams, flushed when they grow large. A row has a word or a gram."""
-    words: Counter[bytes] = Counter()
-    seen: list[tuple[np.ndarray, np.ndarray]] = []
-    held = 0
-
-    def merged() -> tuple[np.ndarray, np.ndarray]:
-        if len(seen) == 1:
-            return seen[0]
-        keys = np.concatenate([k for k, _ in seen])
-        order = np.argsort(keys, kind="stable")  # which merges the sorted runs
-        keys = keys[order]
-        first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
-        return keys[first], np.add.reduceat(np.concatenate([c for _, c in seen])[order], first)
-
-    def flush() -> Iterator[pa.RecordBatch]:
-        names = ["word", "gram", "n"]
-        if words:
-            yield pa.RecordBatch.from_arrays([pa.array(list(words), pa.binary()), pa.nulls(len(words), pa.int64()), pa.array(list(words.values()), pa.int64())], names=names)
-        if seen:
-            keys, n = merged()
-            yield pa.RecordBatch.from_arrays([pa.nulls(len(keys), pa.binary()), pa.array(keys.view(np.int64)), pa.array(n)], names=names)
+def _summed(seen: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """One sorted list of keys with counts from several."""
+    if len(seen) == 1:
+        return seen[0]
+    keys = np.concatenate([k for k, _ in seen])
+    order = np.argsort(keys, kind="stable")  # which merges the sorted runs
+    keys = keys[order]
+    first = np.flatnonzero(np.concatenate([[True], keys[1:] != keys[:-1]]))
+    return keys[first], np.add.reduceat(np.concatenate([c for _, c in seen])[order], first)
+
+
+class Counts:
+    """A task's counts of words and grams. Lists of grams are merged when they grow long; what is then still long is full."""
+
+    def __init__(self):
+        self.words: Counter[bytes] = Counter()
+        self.seen: list[tuple[np.ndarray, np.ndarray]] = []
+        self.held = 0
+
+    def add(self, keys: np.ndarray, n: np.ndarray) -> None:
+        self.seen.append((keys, n))
+        self.held += len(keys)
+        if self.held > 1.5 * MOST_GRAMS:
+            self.seen = [_summed(self.seen)]
+            self.held = len(self.seen[0][0])
+
+    def full(self) -> bool:
+        return len(self.words) > MOST_WORDS or (len(self.seen) == 1 and self.held > MOST_GRAMS)
+
+    def taken(self) -> tuple[list[bytes], np.ndarray, np.ndarray, np.ndarray]:
+        """(words, their counts, grams, their counts); nothing is held after it."""
+        words, n = list(self.words), np.fromiter(self.words.values(), np.int64, len(self.words))
+        keys, times = _summed(self.seen) if self.seen else (np.zeros(0, _U), np.zeros(0, np.int64))
+        self.__init__()
+        return words, n, keys, times
+
+
+def _distinct(raw: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """The grams of the lists, which are emptied, with their counts."""
+    keys = np.concatenate(raw)
+    raw.clear()
+    return np.unique(keys, return_counts=True)
+
+
+def _binaries(of: np.ndarray, ends: np.ndarray) -> pa.Array:
+    """A binary for each range of an array's values."""
+    return pa.Array.from_buffers(pa.binary(), len(ends) - 1, [None, pa.py_buffer((ends * of.itemsize).astype(np.int32)), pa.py_buffer(np.ascontiguousarray(of))])
+
+
+def _dealt(parts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """An order by part, the parts that occur and where each starts in it."""
+    order = np.argsort(parts, kind="stable")
+    found, starts = np.unique(parts[order], return_index=True)
+    return order, found, np.append(starts, len(parts))
+
 
+def _count_packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(part, said, keys, n): counts of a task's words (`said`) and grams, sent when they grow large: a row for each part of them, its
+    words (joined by the end symbol) or its grams, sorted, as one binary, and their counts as another."""
+    counts = Counts()
+
+    def sent() -> Iterator[pa.RecordBatch]:
+        words, n, keys, times = counts.taken()
+        for said in (True, False):
+            if not len(n if said else times):
+                continue
+            if said:
+                order, found, ends = _dealt((np.fromiter(map(crc32, words), np.uint32, len(words)) % PARTS).astype(np.uint16))
+                words = [words[k] for k in order.tolist()]
+                lists = pa.array([bytes([END]).join(words[i:j]) for i, j in zip(ends[:-1].tolist(), ends[1:].tolist(), strict=True)], pa.binary())
+                n = n[order]
+            else:
+                order, found, ends = _dealt((vectext.mix(keys) % _U(PARTS)).astype(np.uint16))
+                lists, n = _binaries(keys[order], ends), times[order]
+            yield pa.RecordBatch.from_arrays([pa.array(found.astype(np.int32)), pa.array(np.full(len(found), said)), lists, _binaries(n, ends)], names=["part", "said", "keys", "n"])
+
+    raw, long = [], 0
     for batch in batches:
         for _, _, tokens in _chunks(batch.column(0)):
             for t in tokens:
-                words.update(t)
-            keys, n = np.unique(grams(tokens)[0], return_counts=True)
-            seen.append((keys, n))
-            held += len(keys)
-            if held > 3_000_000:
-                seen[:] = [merged()]
-                held = len(seen[0][0])
-            if len(words) > 400_000 or held > 2_500_000:
-                yield from flush()
-                words.clear()
-                seen.clear()
-                held = 0
-    yield from flush()
+                counts.words.update(t)
+            raw.append(grams(tokens)[0])
+            long += len(raw[-1])
+            if long > 2_000_000:  # sorting some at once is cheaper than merging
+                counts.add(*_distinct(raw))
+                long = 0
+                if counts.full():
+                    yield from sent()
+    if raw:
+        counts.add(*_distinct(raw))
+    yield from sent()
+
+
+def _unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(word, gram, n, partial) from rows of _count_packed. A row has a word or a gram. What a task can hold is summed: as a part is in
+    one task, that is all there is of its words and grams. A task that has to send some before its end calls all its rows partial."""
+    counts, partial = Counts(), False
+
+    def sent() -> Iterator[pa.RecordBatch]:
+        words, n, keys, times = counts.taken()
+        names = ["word", "gram", "n", "partial"]
+        if words:
+            yield pa.RecordBatch.from_arrays([pa.array(words, pa.binary()), pa.nulls(len(words), pa.int64()), pa.array(n), pa.array(np.full(len(n), partial))], names=names)
+        if len(keys):
+            yield pa.RecordBatch.from_arrays([pa.nulls(len(keys), pa.binary()), pa.array(keys.view(np.int64)), pa.array(times), pa.array(np.full(len(keys), partial))], names=names)
+
+    for batch in batches:
+        for said, keys, n in zip(batch.column("said").to_pylist(), batch.column("keys"), batch.column("n"), strict=True):
+            times = np.frombuffer(n.as_buffer(), np.int64)
+            if said:
+                for w, c in zip(keys.as_py().split(bytes([END])), times.tolist(), strict=True):
+                    counts.words[w] += c
+            else:
+                counts.add(np.frombuffer(keys.as_buffer(), _U), times)
+            if counts.full():
+                partial = True
+                yield from sent()
+    yield from sent()
+
+
+def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(word, gram, n): counts of the words and grams of one task's texts."""
+    for batch in _unpacked(_count_packed(batches)):
+        yield batch.select(["word", "gram", "n"])
+
+
+def counted(texts: DataFrame) -> DataFrame:
+    """(word, gram, n): how often each word and each gram stands in the texts (one column). A task's counts travel as few long rows, and
+    those of one part meet in a task; only what such a task did not hold at once is summed by row."""
+    packed = texts.mapInArrow(_count_packed, "part int, said boolean, keys binary, n binary").repartition("part")
+    rows = cut(packed.mapInArrow(_unpacked, "word binary, gram long, n long, partial boolean"), "counts")
+    whole, rest = rows.where("NOT partial").drop("partial"), rows.where("partial")
+    if rest.isEmpty():
+        return whole
+    return whole.unionByName(cut(rest.groupBy("word", "gram").agg(F.sum("n").alias("n")), "counts"))
 
 
 def _listed(owner: np.ndarray, keys: np.ndarray, logs: np.ndarray, rows: int) -> pa.ListArray:
@@ -130,20 +231,23 @@ class Tree:
     cold: np.ndarray | None = None
 
     def score(self, grams: np.ndarray) -> np.ndarray:
-        """log10 P of each gram's last byte, from the longest kept suffix of its context."""
-        nxt = grams & _U(255)
-        out = self.root[nxt.astype(np.int64)].copy()
-        for k, (contexts, lost, pairs, logs) in enumerate(self.levels, 1):
-            if not len(contexts):
+        """log10 P of each gram's last byte, from the longest kept suffix of its context. Going up from the longest, a gram that has
+        its pair is through; else what its context, if kept, leaves to the suffix is added. Sorted grams are found faster."""
+        out = np.zeros(len(grams))
+        left = np.arange(len(grams))
+        for k in range(len(self.levels), 0, -1):
+            contexts, lost, pairs, logs = self.levels[k - 1]
+            if not len(contexts) or not len(left):
                 continue  # a longer context may be kept without its suffix
-            context = (grams >> _U(8)) & _U((1 << (8 * k)) - 1)
-            at = np.minimum(np.searchsorted(contexts, context), len(contexts) - 1)
-            kept = np.flatnonzero(contexts[at] == context)
-            if not len(kept):
-                continue
-            pair = (context[kept] << _U(8)) | nxt[kept]
+            pair = grams & _U((1 << (8 * k + 8)) - 1)
             where = np.minimum(np.searchsorted(pairs, pair), len(pairs) - 1)
-            out[kept] = np.where(pairs[where] == pair, logs[where], out[kept] + lost[at[kept]])
+            found = pairs[where] == pair
+            out[left[found]] += logs[where[found]]
+            left, grams, pair = left[~found], grams[~found], pair[~found]
+            context = pair >> _U(8)
+            at = np.minimum(np.searchsorted(contexts, context), len(contexts) - 1)
+            out[left] += np.where(contexts[at] == context, lost[at], 0.0)
+        out[left] += self.root[(grams & _U(255)).astype(np.int64)]
         return out
 
     def may_be_cold(self, grams: np.ndarray) -> np.ndarray:
@@ -162,26 +266,36 @@ def cold_place(contexts: np.ndarray, k: int) -> np.ndarray:
 
 class Cached:
     """Tree.score() and may_be_cold() behind a direct-mapped table: most grams of a text were looked up a moment ago. A gram that is not
-    in its slot is looked up in the tree and takes the slot."""
+    in its slot is looked up in the tree and takes the slot. A slot has the gram and, beside it in memory, the bits of its log, whose
+    sign tells whether it may be cold (a log10 of a probability needs none)."""
 
     BITS = 21
+    STEP = 1 << 17  # grams looked up at once, so that what is made on the way stays small
 
     def __init__(self, tree: Tree):
         self.tree = tree
-        self.keys, self.logs, self.cold = np.full(1 << self.BITS, 2**64 - 1, _U), np.zeros(1 << self.BITS), np.zeros(1 << self.BITS, bool)
+        self.slots = np.full((1 << self.BITS, 2), 2**64 - 1, _U)
+
+    def _slot(self, grams: np.ndarray) -> np.ndarray:
+        return ((grams * _U(0x9E3779B97F4A7C15)) >> _U(64 - self.BITS)).view(np.int64)
 
     def score(self, grams: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        slot = ((grams * _U(0x9E3779B97F4A7C15)) >> _U(64 - self.BITS)).astype(np.int64)
-        out, cold = self.logs[slot], self.cold[slot]
-        miss = np.flatnonzero(self.keys[slot] != grams)
+        out, misses = np.empty(len(grams)), []
+        for i in range(0, len(grams), self.STEP):
+            part = grams[i : i + self.STEP]
+            got = np.take(self.slots, self._slot(part), axis=0, mode="clip")
+            out[i : i + self.STEP] = got[:, 1].view(np.float64)
+            misses.append(np.flatnonzero(got[:, 0] != part) + i)
+        miss = np.concatenate(misses) if misses else np.zeros(0, np.int64)
         if len(miss):
             keys, back = np.unique(grams[miss], return_inverse=True)
-            logs, far = self.tree.score(keys), self.tree.may_be_cold(keys)
-            out[miss], cold[miss] = logs[back.reshape(-1)], far[back.reshape(-1)]
-            at = ((keys * _U(0x9E3779B97F4A7C15)) >> _U(64 - self.BITS)).astype(np.int64)
-            self.keys[at], self.logs[at], self.cold[at] = keys, logs, far
-        return out, cold
-
+            logs = np.copysign(self.tree.score(keys), np.where(self.tree.may_be_cold(keys), 1.0, -1.0))
+            out[miss] = logs[back.reshape(-1)]
+            at = self._slot(keys)
+            # of several grams that want a slot the last one gets it, with its own log
+            self.slots[at] = np.stack([keys, logs.view(_U)], axis=1)
+        cold = ~np.signbit(out)
+        return -np.abs(out), cold
 
 def _low(c: Column | str, symbols: int) -> Column:
     """The last so many bytes of a gram."""
@@ -194,7 +308,8 @@ def grow(counts: DataFrame, least: int = LEAST, saved: float = BITS_SAVED) -> tu
 
     Counts of a depth's (context, next) pairs are sums of the next depth's. Going down, a pair's probability is mixed with the one
     that its suffix predicts, from the suffix's own or, where that was not kept, from a shorter one; a context is kept where
-    its symbols, weighed by their counts, gain `saved` bits by it, whether or not its suffix is kept."""
+    its symbols, weighed by their counts, gain `saved` bits by it, whether or not its suffix is kept. Joins hash the side whose keys are
+    unique, a partition of it at a time, so the long sides are not sorted."""
     sums: list[DataFrame] = [counts.select(F.col("gram").alias("pair"), "n")]
     for k in range(DEPTH - 1, -1, -1):
         sums.insert(0, cut(sums[0].groupBy(_low("pair", k + 1).alias("pair")).agg(F.sum("n").alias("n")), "sums"))
@@ -207,14 +322,14 @@ def grow(counts: DataFrame, least: int = LEAST, saved: float = BITS_SAVED) -> tu
     for k in range(1, DEPTH + 1):
         rows = sums[k].withColumn("context", F.shiftrightunsigned("pair", 8))
         own = rows.groupBy("context").agg(F.sum("n").alias("m"), F.count("*").alias("kinds")).where(F.col("m") >= least)
-        rows = rows.join(own, "context").withColumn("weight", F.col("kinds") * BACKOFF + 1.0)
+        rows = rows.join(own.hint("shuffle_hash"), "context").withColumn("weight", F.col("kinds") * BACKOFF + 1.0)
         if before is None:
             rows = rows.withColumn("given", F.get(listed, _low("pair", 1).cast("int")))
         else:
-            rows = rows.withColumn("suffix", _low("pair", k)).join(before.select(F.col("pair").alias("suffix"), F.col("p").alias("given")), "suffix").drop("suffix")
+            rows = rows.withColumn("suffix", _low("pair", k)).join(before.select(F.col("pair").alias("suffix"), F.col("p").alias("given")).hint("shuffle_hash"), "suffix").drop("suffix")
         rows = cut(rows.withColumn("p", (F.col("n") + F.col("weight") * F.col("given")) / (F.col("m") + F.col("weight"))), "level")
         tested = rows.groupBy("context").agg(F.sum(F.col("n") * F.log2(F.col("p") / F.col("given"))).alias("bits")).where(F.col("bits") >= saved).select("context", F.lit(True).alias("kept"))
-        judged = cut(rows.join(tested, "context", "left").select("context", "pair", "m", "kinds", "p", "given", "weight", F.coalesce("kept", F.lit(False)).alias("kept")), "judged")
+        judged = cut(rows.join(tested.hint("shuffle_hash"), "context", "left").select("context", "pair", "m", "kinds", "p", "given", "weight", F.coalesce("kept", F.lit(False)).alias("kept")), "judged")
         kept.append(judged.where("kept").select("context", "pair", "m", "kinds", F.log10("p").alias("log"), F.log10(F.col("weight") / (F.col("m") + F.col("weight"))).alias("lost")))
         before = judged.select("pair", F.when(F.col("kept"), F.col("p")).otherwise(F.col("given")).alias("p"))
         used.append(rows)
@@ -298,7 +413,7 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).cast("string").alias("text"))
     fold = crc_mod(F.col("doc_id"), FOLDS)
     learned = rows.where(fold != HELD_OUT)
-    counts = cut(learned.select("text").mapInArrow(_count, "word binary, gram long, n long").groupBy("word", "gram").agg(F.sum("n").alias("n")), "counts")
+    counts = counted(learned.select("text"))
     words, found = counts.where("word IS NOT NULL").select("word", "n"), counts.where("gram IS NOT NULL").select("gram", "n")
     ends = learned.count()
     said, kinds = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
@@ -357,11 +472,11 @@ def score_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
         out = first
         if not whole:
             rare = first.selectExpr("row", "explode(rest) AS r").select("row", F.col("r.w").alias("word"), F.col("r.c").alias("c"))
-            sums = rare.join(words, "word").groupBy("row").agg(F.sum("c").alias("more"), F.sum(F.col("c") * F.log10(F.col("n") + 1.0)).alias("far"))
+            sums = rare.join(words.hint("shuffle_hash"), "word").groupBy("row").agg(F.sum("c").alias("more"), F.sum(F.col("c") * F.log10(F.col("n") + 1.0)).alias("far"))
             out = out.join(sums, "row", "left").withColumns({"n_known": F.col("n_known") + F.coalesce("more", F.lit(0)), "base_score": F.col("base_score") + F.coalesce("far", F.lit(0.0))})
         if floor:
             said = first.selectExpr("row", "explode(beyond) AS r").select("row", F.col("r.g").alias("gram"), F.col("r.h").alias("hot"), F.col("r.c").alias("c"))
             logs = cold_logs(said.groupBy("gram").agg(F.first("hot").alias("hot")), kept, floor)
-            sums = said.join(logs, "gram").groupBy("row").agg(F.sum(F.col("c") * F.col("log")).alias("deep"))
+            sums = said.join(logs.hint("shuffle_hash"), "gram").groupBy("row").agg(F.sum(F.col("c") * F.col("log")).alias("deep"))
             out = out.join(sums, "row", "left").withColumn("score", F.col("score") + F.coalesce("deep", F.lit(0.0)))
     return out.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(total).cast("long").alias("train_tokens"), "base_score", "score")

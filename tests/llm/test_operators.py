@@ -304,6 +304,73 @@ def test_tree_is_a_distribution(spark):
         assert math.isclose((10 ** tree.score(context)).sum(), 1.0, rel_tol=1e-9)
 
 
+def test_counts_travel_as_few_rows(spark):
+    """A task's counts are at most two rows a part, and sums are right whether or not a task holds all of its part at once."""
+    import numpy as np
+    import pyarrow as pa
+
+    rng = random.Random(12)
+    texts = [" ".join(sentence(rng, 30, 900).split() + ["x" * rng.randrange(1, 9), "\x00", "é"]) for _ in range(400)] + ["", None, " "]
+    batch = pa.RecordBatch.from_arrays([pa.array(texts)], names=["text"])
+    words = Counter(w for t in texts for w in split(t))
+    grams = Counter(suffixtree.grams([[w.encode() for w in split(t)] for t in texts])[0].tolist())
+
+    def sums(batches):
+        said, seen, flags = Counter(), Counter(), set()
+        for b in batches:
+            for r in b.to_pylist():
+                (said if r["word"] is not None else seen)[r["word"] if r["word"] is not None else r["gram"]] += r["n"]
+                flags.add(r["partial"])
+        return {w.decode(): n for w, n in said.items()}, seen, flags
+
+    packed = list(suffixtree._count_packed(iter([batch])))
+    assert sum(b.num_rows for b in packed) < (len(words) + len(grams)) and all(len(set(b.column("part").to_pylist())) == b.num_rows for b in packed)
+    assert sum(len(np.frombuffer(k, np.int64)) for b in packed for k in b.column("n").to_pylist()) == len(words) + len(grams)
+    assert sums(suffixtree._unpacked(iter(packed))) == (words, grams, {False})
+    before = suffixtree.MOST_WORDS, suffixtree.MOST_GRAMS
+    try:
+        suffixtree.MOST_WORDS, suffixtree.MOST_GRAMS = 50, 300
+        assert sums(suffixtree._unpacked(iter(packed * 2))) == ({w: 2 * n for w, n in words.items()}, {g: 2 * n for g, n in grams.items()}, {True})
+    finally:
+        suffixtree.MOST_WORDS, suffixtree.MOST_GRAMS = before
+
+
+def test_cached_scores_are_the_trees(spark):
+    """The table in front of the tree gives its scores and cold marks, on grams seen before and not."""
+    import numpy as np
+
+    rng = np.random.default_rng(3)
+    some = np.unique(rng.integers(97, 101, (4000, 7), dtype=np.uint64) @ (np.uint64(256) ** np.arange(7, dtype=np.uint64)))
+    levels = []
+    for k in range(1, suffixtree.DEPTH + 1):
+        pairs = np.unique(some[::k] & np.uint64((1 << (8 * k + 8)) - 1))
+        contexts = np.unique(pairs >> np.uint64(8))
+        levels.append((contexts, -rng.random(len(contexts)), pairs, -rng.random(len(pairs))))
+    levels[2] = tuple(a[:0] for a in levels[2])
+    cold = np.zeros(1 << (suffixtree.COLD_BITS - 3), np.uint8)
+    cold[rng.integers(0, len(cold), 10**6)] = 255
+    root = np.full(256, -2.0)
+    root[100] = 0.0  # a probability of 1 has a log without a sign
+    tree = suffixtree.Tree(root, levels, cold)
+
+    def slow(g, k):
+        if k == 0:
+            return root[g & 255]
+        contexts, lost, pairs, logs = levels[k - 1]
+        pair = g & ((1 << (8 * k + 8)) - 1)
+        if pair in pairs:
+            return logs[np.searchsorted(pairs, pair)]
+        return slow(g, k - 1) + (lost[np.searchsorted(contexts, pair >> 8)] if pair >> 8 in contexts else 0.0)
+
+    asked = np.concatenate([some[:300], rng.integers(97, 103, (300, 7), dtype=np.uint64) @ (np.uint64(256) ** np.arange(7, dtype=np.uint64)), np.array([100], np.uint64)])
+    want = np.array([slow(int(g), suffixtree.DEPTH) for g in asked])
+    quick = suffixtree.Cached(tree)
+    for _ in range(2):
+        logs, far = quick.score(asked)
+        assert np.allclose(logs, want, rtol=1e-12) and (far == tree.may_be_cold(asked)).all() and 0 < far.sum() < len(far)
+    assert len(quick.score(asked[:0])[0]) == 0
+
+
 @data
 def test_suffix_tree_grows_with_the_corpus(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
