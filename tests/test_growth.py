@@ -220,3 +220,16 @@ def test_stop_rows_read_stops_once(spark):
     got = T.stop_row_violations(s, t)
     assert rows(got) == [(None, None, "TRIP_WITHOUT_STOPS"), (None, 1, "UNKNOWN_TRIP"), ("e", 1, "DUPLICATE_KEY"), ("w", None, "TRIP_WITHOUT_STOPS")]
     assert steps_of(got, "SortMergeJoin", "BroadcastHashJoin", "Sort", "Exchange") == [0, 0, 1, 1]
+
+
+def test_all_pairs_repeat_few_values(spark):
+    """All pairs are listed in tiles, by as many tasks as asked for, whichever side is smaller: no partition goes through all of the other side again for each row, and none of the pairs is lost."""
+    from railtable.operators.ordered import tiled
+
+    for n, m in ((1100, 1300), (40, 1300), (1300, 40), (0, 3), (3, 0), (1, 1)):
+        a, b = spark.range(n).select(F.col("id").alias("a")), spark.range(m).select(F.col("id").alias("b"))
+        got = tiled(a, b, n, m, tile=100)
+        assert got.distinct().count() == got.count() == n * m
+        if n * m > 1:
+            assert got.rdd.getNumPartitions() >= 8
+            assert got.groupBy(F.spark_partition_id()).agg(F.count_distinct("b").alias("n")).where("n > 100").isEmpty()
