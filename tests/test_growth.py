@@ -233,3 +233,7 @@ def test_all_pairs_repeat_few_values(spark):
         if n * m > 1:
             assert got.rdd.getNumPartitions() >= 8
             assert got.groupBy(F.spark_partition_id()).agg(F.count_distinct("b").alias("n")).where("n > 100").isEmpty()
+    from railtable.operators.reconcile import od_matrix
+
+    od = od_matrix(spark.range(2000).withColumnRenamed("id", "station_id"))
+    assert od.count() == 2000 * 1999 and od.groupBy(F.spark_partition_id()).agg(F.count_distinct("destination").alias("n")).where("n > 512").isEmpty()
