@@ -237,3 +237,27 @@ def test_all_pairs_repeat_few_values(spark):
 
     od = od_matrix(spark.range(2000).withColumnRenamed("id", "station_id"))
     assert od.count() == 2000 * 1999 and od.groupBy(F.spark_partition_id()).agg(F.count_distinct("destination").alias("n")).where("n > 512").isEmpty()
+
+
+def test_crossings_are_compiled_and_once(spark):
+    """The functions that Spark makes of the join are short enough for the JVM to compile (8,000 bytes), no rows are made distinct, and crossings on cells' corners and sides come once: brute force on a lattice."""
+    import re
+
+    from railtable.operators.spatial import crossing_points
+
+    sign = lambda v: (v > 0) - (v < 0)
+    s = [(k, k % 4, float(k * 7 % 50), float(k * 11 % 40), float(k * 7 % 50 + k * 37 % 61 - 30), float(k * 11 % 40 + k * 53 % 61 - 30)) for k in range(150)]
+    turn = lambda a, x, y: (a[4] - a[2]) * (y - a[3]) - (a[5] - a[3]) * (x - a[2])
+    split = lambda a, b: sign(turn(a, b[2], b[3])) * sign(turn(a, b[4], b[5])) < 0
+    want = [(a[0], b[0]) for a in s for b in s if a[0] < b[0] and a[1] != b[1] and split(a, b) and split(b, a)]
+    segments = spark.createDataFrame(s, "id long, track long, x0 double, y0 double, x1 double, y1 double")
+    for crowd in (4096, 16):
+        assert rows(crossing_points(segments, 10.0, crowd), "a", "b") == want
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        plan = crossing_points(segments, 10.0)._jdf.queryExecution().executedPlan()
+        code = getattr(getattr(spark._jvm.org.apache.spark.sql.execution.debug, "package$"), "MODULE$").codegenString(plan)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", code)]
+    assert sizes and max(sizes) < 8000 and "HashAggregate" not in plan.toString()
