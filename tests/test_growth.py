@@ -261,3 +261,36 @@ def test_crossings_are_compiled_and_once(spark):
         spark.conf.unset("spark.sql.adaptive.enabled")
     sizes = [int(n) for n in re.findall(r"maxMethodCodeSize:(\d+)", code)]
     assert sizes and max(sizes) < 8000 and "HashAggregate" not in plan.toString()
+
+
+def test_collinear_pairs_come_once(spark):
+    """No pairs are made distinct, and those of lines in all directions, of lengths from 2 to 900 and far from the origin are those of a plain comparison."""
+    import math
+    import random
+
+    from railtable.operators.spatial import collinear_overlaps
+
+    r, s = random.Random(7), []
+    for k in range(40):
+        cx, cy, turn, far = r.uniform(-300, 300), r.uniform(-300, 300), r.choice([0, 0.2, 44.9, 90, 179.8, 359.9, 120.3]), 10.0 ** (5 * (k % 2))
+        for i in range(8):
+            t, half, d = math.radians(turn + r.uniform(-0.4, 0.4)), r.choice([1, 20, 30, 450]), r.uniform(-40, 40)
+            x, y = far + cx + d * math.cos(t) - r.uniform(-3, 3) * math.sin(t), cy + d * math.sin(t) + r.uniform(-3, 3) * math.cos(t)
+            s.append((8 * k + i, i % 3, x - half * math.cos(t), y - half * math.sin(t), x + half * math.cos(t), y + half * math.sin(t)))
+
+    def meets(a, b):
+        dx, dy = a[4] - a[2], a[5] - a[3]
+        n = math.hypot(dx, dy)
+        one, two = (math.degrees(math.atan2(v[5] - v[3], v[4] - v[2])) % 180 for v in (a, b))
+        ux, uy, diff = dx / n, dy / n, abs(one - two)
+        off = abs(((b[2] + b[4]) / 2 - a[2]) * uy - ((b[3] + b[5]) / 2 - a[3]) * ux)
+        ends = [(b[i] - a[2]) * ux + (b[i + 1] - a[3]) * uy for i in (2, 4)]
+        return min(diff, 180 - diff) <= 0.5 and off < 2 and min(n, max(ends)) > max(0.0, min(ends))
+
+    want = [(a[0], b[0]) for a in s for b in s if a[0] < b[0] and a[1] != b[1] and meets(a, b)]
+    d = spark.createDataFrame(s, "id long, line_id long, x0 double, y0 double, x1 double, y1 double")
+    assert len(want) > 200
+    for crowd in (4096, 4):
+        got = collinear_overlaps(d, crowd=crowd)
+        assert rows(got, "a", "b") == want
+    assert "Aggregate" not in collinear_overlaps(d)._jdf.queryExecution().optimizedPlan().toString()
