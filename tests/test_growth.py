@@ -294,3 +294,21 @@ def test_collinear_pairs_come_once(spark):
         got = collinear_overlaps(d, crowd=crowd)
         assert rows(got, "a", "b") == want
     assert "Aggregate" not in collinear_overlaps(d)._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_candidates_of_one_name_are_dealt_out(spark):
+    """5,000 nodes of one name and its 1,300 stations, 1,000 of them in the region: all 5,000,000 candidates once, from more than one task, beside a single station, a node without one and labels of one place."""
+    from railtable.operators.reconcile import node_candidates
+
+    nodes = spark.range(5000).selectExpr("id AS node_id", "'a' AS name", "'L' AS line_id", "false AS by_line", "id % 7 AS x", "id % 5 AS y")
+    nodes = nodes.unionByName(spark.createDataFrame([(5000, "b", "L", False, 1, 1), (5001, "none", "L", False, 2, 2), (5002, None, "L", False, 3, 3)], "node_id long, name string, line_id string, by_line boolean, x long, y long"))
+    stations = spark.range(1300).selectExpr("id AS station_id", "'a' AS name", "'L' AS line_id", "IF(id < 1000, 'here', 'there') AS region")
+    stations = stations.unionByName(spark.createDataFrame([(2000, "b", "M", "there")], stations.schema))
+    labels = spark.createDataFrame([("b", 9, 9), ("b", 9, 9), ("a", 8, 8)], "name string, x long, y long")
+    got = node_candidates(nodes, labels, stations, "here")
+    marked = got.where("source = 'NODE' AND node_id < 5000")
+    assert marked.groupBy(F.spark_partition_id()).count().count() > 1
+    whole = marked.agg(F.count("*"), F.count_distinct(F.col("node_id") * 1000 + F.col("station_id")), F.min("station_id"), F.max("station_id")).first()
+    assert tuple(whole) == (5_000_000, 5_000_000, 0, 999)
+    assert rows(got.where("source = 'NODE' AND node_id >= 5000"), "node_id", "station_id") == [(5000, 2000), (5001, None), (5002, None)]
+    assert rows(got.where("source = 'LABEL'").groupBy("x").agg(F.count("*").alias("n")), "x", "n") == [(8, 1000), (9, 1)]
